@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordspark.llm.language_id import op10_language_id
 from recordspark.llm.quality_rules import op5_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
