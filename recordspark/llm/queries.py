@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordspark.llm.language_id import op10_language_id
 from recordspark.llm.quality_rules import op5_quality_rules
+from recordspark.llm.secret_scan import op3_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op10_language_id": op10_language_id,
 }
