@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordspark.llm.language_id import op10_language_id
 from recordspark.llm.mixing import op6_mixing
+from recordspark.llm.nearest import op7_nearest
 from recordspark.llm.quality_model import op9_quality_model
 from recordspark.llm.quality_rules import op5_quality_rules
 from recordspark.llm.secret_scan import op3_secret_scan
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
+    "op7_nearest": op7_nearest,
     "op9_quality_model": op9_quality_model,
     "op10_language_id": op10_language_id,
 }
