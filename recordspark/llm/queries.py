@@ -12,8 +12,10 @@ from recordspark.llm.nearest import op7_nearest
 from recordspark.llm.quality_model import op9_quality_model
 from recordspark.llm.quality_rules import op5_quality_rules
 from recordspark.llm.secret_scan import op3_secret_scan
+from recordspark.llm.substring_dedup import op2_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
