@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordspark.llm.jaccard_join import op4_jaccard_join
 from recordspark.llm.language_id import op10_language_id
 from recordspark.llm.mixing import op6_mixing
 from recordspark.llm.nearest import op7_nearest
@@ -17,6 +18,7 @@ from recordspark.llm.substring_dedup import op2_substring_dedup
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_nearest": op7_nearest,
