@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordspark.llm.jaccard_join import op4_jaccard_join
 from recordspark.llm.language_id import op10_language_id
+from recordspark.llm.maxent_lm import op1_lm_score
 from recordspark.llm.mixing import op6_mixing
 from recordspark.llm.nearest import op7_nearest
 from recordspark.llm.quality_model import op9_quality_model
@@ -16,6 +17,7 @@ from recordspark.llm.secret_scan import op3_secret_scan
 from recordspark.llm.substring_dedup import op2_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_jaccard_join": op4_jaccard_join,
