@@ -14,6 +14,7 @@ from recordspark.llm.nearest import op7_nearest
 from recordspark.llm.quality_model import op9_quality_model
 from recordspark.llm.quality_rules import op5_quality_rules
 from recordspark.llm.secret_scan import op3_secret_scan
+from recordspark.llm.segmentation import op8_segmentation
 from recordspark.llm.substring_dedup import op2_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_nearest": op7_nearest,
+    "op8_segmentation": op8_segmentation,
     "op9_quality_model": op9_quality_model,
     "op10_language_id": op10_language_id,
 }
