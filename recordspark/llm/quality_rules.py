@@ -37,48 +37,49 @@ RULES = {"symbols": (0.5, False), "dup_lines": (1.0, False), "repeats": (0.5, Fa
 GRID = 40
 RISK, LEVEL = 0.02, 0.05
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+FEATURES = (*(f"_{c}" for c in COUNTS), "_n_lines")
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with one more column, the struct `_q` of the counts of a text."""
+    """`docs` with the further columns FEATURES, counts of each text.
+
+    Every step is a column of its own: Spark keeps such steps apart where a later one uses them twice.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
-    step = docs.withColumn("_q", F.struct(F.array_remove(F.split(t, SPACE), "").alias("words"), lines.alias("lines"), F.regexp_count(t, F.lit(r"[#*$%&|<>]")).alias("symbols")))
-    words = F.col("_q.words")
+    step = docs.withColumns({"_words": F.array_remove(F.split(t, SPACE), ""), "_lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]")), "_n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long")})
+    words = F.col("_words")
     n = F.size(words)
-    # the first of each pair of lambda variables is a word, the second its position
     grams = F.when(n >= 3, F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(1))), lambda w, i: F.xxhash64(w, words[i + 1], words[i + 2]))).otherwise(F.array().cast("array<bigint>"))
-    step = step.withColumn("_q", F.col("_q").withField("grams", grams))
-    step = step.withColumn("_q", F.col("_q").withField("sorted", F.when(F.size(F.array_distinct("_q.grams")) < F.size("_q.grams"), F.sort_array(F.transform("_q.grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))))))
-    s = F.col("_q.sorted")
+    step = step.withColumn("_grams", grams)
+    step = step.withColumn("_sorted", F.when(F.size(F.array_distinct("_grams")) < F.size("_grams"), F.sort_array(F.transform("_grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
+    s = F.col("_sorted")
     twice = F.filter(s, lambda x, i: (x["g"] == F.get(s, i - 1)["g"]) | (x["g"] == F.get(s, i + 1)["g"]))
-    step = step.withColumn("_q", F.col("_q").withField("starts", F.sort_array(F.transform(twice, lambda x: x["i"]))))
-    at = F.col("_q.starts")
+    step = step.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
+    at = F.col("_starts")
     covered = F.aggregate(F.transform(at, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    counts = F.struct(
-        n.cast("long").alias("n_words"),
-        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        F.col("_q.symbols").cast("long").alias("n_symbols"),
-        (F.size("_q.lines") - F.size(F.array_distinct("_q.lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size("_q.lines").cast("long").alias("n_lines"),
-    )
-    return step.withColumn("_q", counts)
+    step = step.withColumns({
+        "_n_words": n.cast("long"),
+        "_word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "_n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "_n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
+        "_n_lines": F.size("_lines").cast("long"),
+    })
+    return step.select(*docs.columns, *FEATURES)
 
 
-def failed(q: str = "_q") -> Column:
+def failed() -> Column:
     """The base rules: fewer than 50 words, or more than half of the words in repeated windows."""
-    n = F.col(f"{q}.n_words")
-    return (n < 50) | (100 * F.col(f"{q}.n_repeat_words") > 50 * n)
+    n = F.col("_n_words")
+    return (n < 50) | (100 * F.col("_n_repeat_words") > 50 * n)
 
 
-def stratum(q: str = "_q") -> Column:
-    n = F.col(f"{q}.n_words")
+def stratum() -> Column:
+    n = F.col("_n_words")
     return reduce(lambda rest, b: F.when(n < BANDS[b], b).otherwise(rest), reversed(range(len(BANDS))), F.lit(len(BANDS)))
 
 
-def ratios(q: str = "_q") -> dict[str, Column]:
-    at = lambda name: F.col(f"{q}.{name}").cast("double")
+def ratios() -> dict[str, Column]:
+    at = lambda name: F.col(f"_{name}").cast("double")
     words, lines = F.greatest(at("n_words"), F.lit(1.0)), F.greatest(at("n_lines"), F.lit(1.0))
     mean = at("word_chars") / words
     return {"symbols": at("n_symbols") / words, "dup_lines": at("n_dup_lines") / lines, "repeats": at("n_repeat_words") / words, "short_words": mean, "long_words": mean}
@@ -116,11 +117,12 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def thresholds(counted: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """One row for each stratum: `stratum`, and for each rule its strictest safe step (0: the rule is off).
 
-    counted: doc_id and `_q` of every document; labels: doc_id and quality.
+    counted: doc_id and FEATURES of every document; labels: doc_id and quality.
     """
     spark = counted.sparkSession
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    rows = counted.where(~failed()).select("doc_id", stratum().alias("stratum"), *[strictness(k, r).alias(k) for k, r in ratios().items()]).join(good, "doc_id", "left_semi")
+    # the null stratum of base failures meets no row of the grid
+    rows = counted.select("doc_id", F.when(~failed(), stratum()).alias("stratum"), *[strictness(k, r).alias(k) for k, r in ratios().items()]).join(good, "doc_id")
     tall = rows.select("stratum", F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("step")) for k in RULES])).alias("x")).select("stratum", "x.*")
     every = spark.createDataFrame([(s, k, i) for s in range(STRATA) for k in RULES for i in range(1, GRID + 2)], "stratum int, rule string, step int")
     seen = every.join(F.broadcast(tall.groupBy("stratum", "rule", "step").count()), ["stratum", "rule", "step"], "left")
@@ -138,14 +140,14 @@ def with_verdict(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """`counted` with the columns `_failed` and `_kept`.  cutoffs has STRATA rows, so it is broadcast."""
     joined = counted.withColumn("_stratum", stratum()).join(F.broadcast(cutoffs.withColumnRenamed("stratum", "_stratum")), "_stratum", "left")
     rejected = reduce(lambda a, b: a | b, [strictness(k, r) <= F.coalesce(F.col(f"_cut_{k}"), F.lit(0)) for k, r in ratios().items()])
-    return joined.withColumn("_failed", failed()).withColumn("_kept", ~F.col("_failed") & ~rejected)
+    return joined.withColumn("_failed", failed()).withColumn("_kept", F.when(F.col("_failed"), F.lit(False)).otherwise(~rejected))
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """doc_id, the five counts, base_failed and kept of every row of `docs`; texts are read once."""
-    counted = cut(features(docs.select("doc_id", "text")).select("doc_id", "_q"))
+    counted = cut(features(docs.select("doc_id", "text")).select("doc_id", *FEATURES))
     verdict = with_verdict(counted, thresholds(counted, labels, risk, level))
-    return verdict.select("doc_id", *[F.col(f"_q.{c}").alias(c) for c in COUNTS], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    return verdict.select("doc_id", *[F.col(f"_{c}").alias(c) for c in COUNTS], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
@@ -155,7 +157,8 @@ def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     them through a join.
     """
     spark = docs.sparkSession
-    cutoffs = thresholds(features(docs.select("doc_id", "text")).select("doc_id", "_q"), labels, risk, level)
+    counted = cut(features(docs.select("doc_id", "text")).select("doc_id", *FEATURES))
+    cutoffs = thresholds(counted, labels, risk, level)
     cutoffs = spark.createDataFrame(cutoffs.collect(), cutoffs.schema)  # STRATA rows
     names = docs.columns
     inner = docs.select(F.col("text").alias("text"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"))
