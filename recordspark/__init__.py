@@ -1,0 +1 @@
+"""Record, graph and vector queries as lazy Spark DataFrames."""
