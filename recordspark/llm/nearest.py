@@ -6,11 +6,12 @@ takes them to M_DIMS dimensions, where a squared distance is the true one times
 M_DIMS degrees.  A kd-tree over the projections, split at medians of a bounded sample, deals every vector
 to a cell.
 
-1. A query searches the cell it falls in; its k-th best distance there bounds the true one.
+1. A query searches the NEAREST_CELLS cells with the nearest boxes; its k-th best distance there bounds the
+   true one.
 2. By the chi-square test, a vector at that distance or less has, with probability CONFIDENCE, a projected
    distance of at most bound * quantile.  The query visits just the cells whose boxes reach that close.  In
-   a cell, vectors are verified in the order of their projected distances, with the bound shrinking, until
-   the test holds for all that follow.
+   a cell, vectors are verified in shells of growing projected distance, with the bound shrinking, until
+   the test holds for all that follow.  Only those within the bound are sent on.
 3. The verified ones of all cells are merged by their exact inner products.
 
 Cells of more than CELL rows (a vector that a third of the rows share can't be split by the tree) are
@@ -36,9 +37,12 @@ from pyspark.sql.window import Window
 
 from recordspark.llm.common import cut, share, table
 
-M_DIMS, CONFIDENCE, SEED = 8, 0.97, 3
+M_DIMS, CONFIDENCE, SEED = 8, 0.9, 3
 CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 768, 1 << 13, 2048, 16
-STEP = 64
+#: Cells that give a query its first bound; shells of verification, as shares of what the test still allows.
+NEAREST_CELLS, SHELLS = 4, (0.5, 0.75, 1.0)
+#: Pairs of vectors that are multiplied at once.
+PAIRS = 1 << 14
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -95,16 +99,32 @@ class Tree:
             node = 2 * node + 1 + (points[np.arange(len(points)), self.axis[node]] > self.at[node])
         return node - ((1 << self.depth) - 1)
 
+    def fit_boxes(self, boxes: dict[int, tuple[list[float], list[float]]]) -> None:
+        """Shrink the cells' boxes to what is in them; cells without rows get boxes out of reach."""
+        self.low[:], self.high[:] = np.inf, np.inf
+        for cell, (low, high) in boxes.items():
+            self.low[cell], self.high[cell] = low, high
+
+    def _squared(self, points: np.ndarray) -> np.ndarray:
+        p = points[:, None, :]
+        d = np.maximum(np.maximum(self.low - p, p - self.high), 0)
+        return (d * d).sum(axis=2)
+
     def reached(self, points: np.ndarray, squared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(point, cell) of all boxes within a squared distance of each point."""
-        row, cell = [], []
-        for i in range(0, len(points), 256):
-            p = points[i : i + 256, None, :]
-            d = np.maximum(np.maximum(self.low - p, p - self.high), 0)
-            r, c = np.nonzero((d * d).sum(axis=2) <= squared[i : i + 256, None])
+        row, cell = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i in range(0, len(points), 64):
+            d = self._squared(points[i : i + 64])
+            r, c = np.nonzero((d <= squared[i : i + 64, None]) & (d < np.inf))
             row.append(r + i)
             cell.append(c)
-        return (np.concatenate(row), np.concatenate(cell)) if row else (np.zeros(0, dtype=np.int64),) * 2
+        return np.concatenate(row), np.concatenate(cell)
+
+    def nearest(self, points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(point, cell) of the n cells with the nearest boxes."""
+        n = min(n, 1 << self.depth)
+        cells = [np.argsort(self._squared(points[i : i + 64]), axis=1, kind="stable")[:, :n] for i in range(0, len(points), 64)]
+        return np.repeat(np.arange(len(points)), n), np.concatenate(cells).ravel() if cells else np.zeros(0, dtype=np.int64)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -122,25 +142,38 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(fine & F.exists("vec", lambda v: v != 0)).withColumn("dims", F.size("vec"))
 
 
-def search(ids: np.ndarray, vectors: np.ndarray, shadows: np.ndarray, q_id: int, q: np.ndarray, q_shadow: np.ndarray, bound: float, largest: float, quantile: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and inner products of up to k verified neighbours of one query in one cell."""
-    near = ((shadows - q_shadow) ** 2).sum(axis=1)
-    order = np.argsort(near, kind="stable")
-    order = order[ids[order] != q_id]
-    base = float(q @ q) + largest
-    best_id, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-    for i in range(0, len(order), STEP):
-        chosen = order[i : i + STEP]
-        if near[chosen[0]] > bound * quantile:  # the test holds for all that follow
-            break
-        best_id = np.concatenate([best_id, ids[chosen]])
-        best = np.concatenate([best, vectors[chosen] @ q])
-        if len(best) > k:
-            keep = np.lexsort((best_id, -best))[:k]
-            best_id, best = best_id[keep], best[keep]
-        if len(best) == k:
-            bound = min(bound, max(base - 2 * float(best.min()), 0.0) * (1 + 1e-9))
-    return best_id, best
+def search(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, largest: float, quantile: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, inner product) of verified neighbours within the queries' bounds, in one cell.
+
+    bound: squared distances; largest: the largest squared norm.  Projected neighbours are verified shell by
+    shell; a query stops at the shell behind which the chi-square test holds for its bound.
+    """
+    shadows, q_shadows = project(vectors, largest), project(q, None)
+    near = (shadows * shadows).sum(axis=1) - 2 * (q_shadows @ shadows.T) + (q_shadows * q_shadows).sum(axis=1)[:, None]
+    base, bound = (q * q).sum(axis=1) + largest, bound.copy()
+    found: list[tuple[np.ndarray, ...]] = []
+    reached = np.full(len(q), -np.inf)
+    for shell in SHELLS:
+        # where there is no bound yet, a shell is a share of the cell
+        edge = np.where(np.isfinite(bound), bound * quantile * shell, np.quantile(near, shell, axis=1) if np.isinf(bound).any() else 0.0)
+        edge = np.maximum(edge, reached)
+        row, column = np.nonzero((near > reached[:, None]) & (near <= edge[:, None]))
+        reached = edge
+        other = ids[column] != q_ids[row]
+        row, column = row[other], column[other]
+        score = np.concatenate([np.einsum("ij,ij->i", q[row[i : i + PAIRS]], vectors[column[i : i + PAIRS]]) for i in range(0, len(row), PAIRS)] or [np.zeros(0)])
+        within = base[row] - 2 * score <= bound[row] * (1 + 1e-9)
+        found.append((row[within], column[within], score[within]))
+        row, column, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        # the k best of each query, and the bound where there are k
+        order = np.lexsort((ids[column], -score, row))
+        row, column, score = row[order], column[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < k
+        found = [(row[keep], column[keep], score[keep])]
+        last = keep & (place == k - 1)
+        bound[row[last]] = np.minimum(bound[row[last]], np.maximum(base[row[last]] - 2 * score[last], 0.0))
+    return found[0]
 
 
 def _distinct(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,23 +210,36 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tree.cells(project(matrix(b.column(1)), largest)))], ["id", "vec", "cell"])
 
     placed = data.select("id", "vec").mapInArrow(dealt, "id long, vec array<double>, cell long")
-    sizes = placed.groupBy("cell").count().collect()  # at most CELLS rows
+
+    def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                points, cell = project(matrix(b.column(1)), largest), b.column(2).to_numpy()
+                order = np.argsort(cell, kind="stable")
+                points, (own, first, n_) = points[order], np.unique(cell[order], return_index=True, return_counts=True)
+                low, high = (f.reduceat(points, first, axis=0) for f in (np.minimum, np.maximum))
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n_), pa.array(low.tolist(), pa.list_(pa.float64())), pa.array(high.tolist(), pa.list_(pa.float64()))], ["cell", "n", "low", "high"])
+
+    boxes = placed.mapInArrow(boxed, "cell long, n long, low array<double>, high array<double>").groupBy("cell")
+    side = lambda f, name: F.array(*[f(F.col(name)[i]) for i in range(M_DIMS)]).alias(name)
+    boxes = boxes.agg(F.sum("n").alias("n"), side(F.min, "low"), side(F.max, "high")).collect()  # at most CELLS rows
+    tree.fit_boxes({r["cell"]: (r["low"], r["high"]) for r in boxes})
     salts = np.ones(1 << depth, dtype=np.int64)
-    for r in sizes:
-        salts[r["cell"]] = math.ceil(r["count"] / CELL)
+    for r in boxes:
+        salts[r["cell"]] = math.ceil(r["n"] / CELL)
     salt_of = F.element_at(F.lit(salts.tolist()), (F.col("cell") + 1).cast("int"))
     placed = placed.withColumn("salt", F.pmod(F.xxhash64("id"), salt_of))
     queries = data.where(F.col("id") % every == 0).select("id", "vec")
 
     def visits(batches: Iterator[pa.RecordBatch], home: bool) -> Iterator[pa.RecordBatch]:
-        """The cells that each query visits: the one it falls in (one salt), or all in reach of its bound."""
+        """The cells that each query visits: the nearest ones (one salt of each), or all in reach of its bound."""
         for b in batches:
             if not b.num_rows:
                 continue
             points = project(matrix(b.column(1)), None)
             if home:
-                row, cell = np.arange(len(points)), tree.cells(points)
-                salt = b.column(0).to_numpy() % salts[cell]
+                row, cell = tree.nearest(points, NEAREST_CELLS)
+                salt = b.column(0).to_numpy()[row] % salts[cell]
                 bound = np.full(len(points), np.inf)
             else:
                 bound = b.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
@@ -207,18 +253,14 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(r), b.column(1).take(r), pa.array(cell[i : i + 4096]), pa.array(salt[i : i + 4096]), pa.array(bound[row[i : i + 4096]])], ["id", "vec", "cell", "salt", "bound"])
 
     def searched(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        parts = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
         if left.num_rows and right.num_rows:
             ids, x = _distinct(left["id"].to_numpy(), matrix(left["vec"]))
-            shadows = project(x, largest)
-            q = matrix(right["vec"])
-            q_shadows = project(q, None)
-            for i, (q_id, bound) in enumerate(zip(right["id"].to_pylist(), right["bound"].to_pylist(), strict=True)):
-                got, score = search(ids, x, shadows, q_id, q[i], q_shadows[i], bound, largest, quantile, k)
-                out[0] += [q_id] * len(got)
-                out[1] += got.tolist()
-                out[2] += score.tolist()
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            q_ids, q, bound = right["id"].to_numpy(), matrix(right["vec"]), right["bound"].to_numpy()
+            for i in range(0, len(q), 128):
+                row, column, score = search(ids, x, q_ids[i : i + 128], q[i : i + 128], bound[i : i + 128], largest, quantile, k)
+                parts.append((q_ids[i : i + 128][row], ids[column], score))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["query_id", "vec_id", "score"])
 
     def meet(visiting: DataFrame, blocks: int) -> DataFrame:
         """Each query with the rows of the cells that it visits; blocks: of queries, each of which gets the rows."""
@@ -230,12 +272,13 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
 
     places = "id long, vec array<double>, cell long, salt long, bound double"
     blocks = max(1, math.ceil(n / every / QUERIES))
-    first = meet(queries.mapInArrow(lambda b: visits(b, True), places), max(1, math.ceil(blocks / (1 << depth))))
+    first = cut(meet(queries.mapInArrow(lambda b: visits(b, True), places), max(1, math.ceil(NEAREST_CELLS * blocks / (1 << depth)))))
     # the squared distance of the k-th best; unknown where the cell has fewer candidates
-    kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+    one = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id")
+    kth = one.agg(F.when(F.count("*") >= k, F.sort_array(F.collect_list("score"), asc=False)[k - 1]).alias("kth"))
     bounded = queries.join(kth, queries["id"] == kth["query_id"], "left").select("id", "vec", (F.aggregate("vec", F.lit(largest), lambda a, v: a + v * v) - 2 * F.col("kth")).alias("bound"))
     bounded = bounded.withColumn("bound", F.greatest(F.col("bound"), F.lit(0.0)) * (1 + 1e-9))
-    return meet(bounded.mapInArrow(lambda b: visits(b, False), places), blocks)
+    return first.unionByName(meet(bounded.mapInArrow(lambda b: visits(b, False), places), blocks))
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

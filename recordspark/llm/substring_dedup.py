@@ -13,10 +13,11 @@ in both, at the same shift and at cover positions of their documents, are equal
    are repeated.
 3. Words covered by repeated windows are removed.
 
-Equal hashes are settled within a task first, and a task sends one row for each of them, its earliest.  So
-a passage that a third of all documents share makes one row a task in the shuffle, and both shuffles
-by hash are even.  What tasks settle by themselves travels as packed positions.  Texts are shuffled once,
-by doc_id, and that exchange serves steps 2 and 3.
+Equal hashes are settled within a task first, and a task sends one position for each of them, its earliest.
+So a passage that a third of all documents share makes one entry a task in the shuffle, and both shuffles
+by hash are even.  Hashes travel sorted and packed, a row for each range of hashes (BUCKETS a shuffle
+partition), and are compared range by range.  What tasks settle by themselves travels as packed positions.
+Texts are shuffled once, by doc_id, and that exchange serves steps 2 and 3.
 
 Windows are compared by 64-bit hashes of all their words.
 
@@ -34,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from recordspark.llm.common import table
-from recordspark.llm.words import Words, grams, pieces, split
+from recordspark.llm.words import Words, grams, mix, pieces, split
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
@@ -49,8 +50,58 @@ ANCHOR_BITS = 48
 HELD = 1 << 21
 _IN_COVER = np.zeros(PERIOD, dtype=bool)
 _IN_COVER[list(COVER)] = True
-#: key: hash to meet by; doc, part: document; at: position; known: packed positions that the task has settled.
-ROWS = "key long, doc long, part long, at int, known binary"
+#: Ranges of hashes for each shuffle partition.
+BUCKETS = 4
+#: bucket: range of hashes; packed: hashes and positions; or doc, part and known: settled positions of a document.
+ROWS = "bucket int, packed binary, doc long, part long, known binary"
+#: slot: a share of the documents; packed: documents and settled positions in it.
+SETTLED = "slot int, packed binary"
+FOUND = "doc long, part long, found binary"
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Equally long columns of 64-bit numbers, byte plane by byte plane, so that planes of zeros vanish."""
+    planes = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+
+
+def pack_positions(at: np.ndarray) -> bytes:
+    """Ascending positions as differences, which repeat where positions do."""
+    return np.diff(at, prepend=0).astype(np.int32).tobytes()
+
+
+def _in_order(key, doc, part, at):
+    """Sorted by hash and then from early to late, without doubles (rows repeated entirely are one document)."""
+    order = np.lexsort((at, part, doc, key))
+    key, doc, part, at = key[order], doc[order], part[order], at[order]
+    again = np.zeros(len(key), dtype=bool)
+    again[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (part[1:] == part[:-1]) & (at[1:] == at[:-1])
+    return (x[~again] for x in (key, doc, part, at)) if again.any() else (key, doc, part, at)
+
+
+def _firsts(key: np.ndarray, everyone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted hashes: which come first, and which are settled (of several equal ones, all or all but the first)."""
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    if not everyone:
+        return first, ~first
+    group = np.cumsum(first) - 1
+    return first, np.bincount(group)[group] > 1 if len(key) else first
+
+
+def _settled(doc: np.ndarray, part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Positions gathered by document: doc, part and packed positions."""
+    if not len(doc):
+        return doc, part, []
+    order = np.lexsort((at, part, doc))
+    doc, part, at = doc[order], part[order], at[order]
+    starts = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))))
+    return doc[starts], part[starts], [pack_positions(at[a:z]) for a, z in zip(starts, np.append(starts[1:], len(doc)), strict=True)]
 
 
 class _Sender:
@@ -59,11 +110,11 @@ class _Sender:
     everyone: whether the earliest of several is settled as well (anchors), or only the later ones (windows).
     """
 
-    def __init__(self, everyone: bool):
-        self.everyone, self.n, self.kept = everyone, 0, []
+    def __init__(self, everyone: bool, buckets: int):
+        self.everyone, self.buckets, self.n, self.kept = everyone, buckets, 0, []
 
     def add(self, key: np.ndarray, doc: np.ndarray, part: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.kept.append((key.view(np.int64), doc, part, at.astype(np.int32)))
+        self.kept.append((key, doc, part, at))
         self.n += len(key)
         if self.n >= HELD:
             yield from self.flush()
@@ -71,39 +122,88 @@ class _Sender:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        key, doc, part, at = (np.concatenate(x) for x in zip(*self.kept, strict=True))
+        key, doc, part, at = _in_order(*(np.concatenate(x) for x in zip(*self.kept, strict=True)))
         self.n, self.kept = 0, []
-        order = np.lexsort((at, part, doc, key))
-        key, doc, part, at = key[order], doc[order], part[order], at[order]
-        first = np.ones(len(key), dtype=bool)
-        first[1:] = key[1:] != key[:-1]
-        # rows repeated entirely are one document: their positions are equal and not repeated by each other
-        again = np.zeros(len(key), dtype=bool)
-        again[1:] = ~first[1:] & (doc[1:] == doc[:-1]) & (part[1:] == part[:-1]) & (at[1:] == at[:-1])
-        if again.any():
-            key, doc, part, at, first = key[~again], doc[~again], part[~again], at[~again], first[~again]
-        settled = ~first
-        if self.everyone:
-            group = np.cumsum(first) - 1
-            settled = np.bincount(group)[group] > 1
-        yield from self._rows(key[first], doc[first], part[first], at[first], None)
-        doc, part, at = doc[settled], part[settled], at[settled]
-        if len(doc):
-            order = np.lexsort((at, part, doc))
-            doc, part, at = doc[order], part[order], at[order]
-            starts = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))))
-            ends = np.append(starts[1:], len(doc))
-            packed = [at[a:z].tobytes() for a, z in zip(starts, ends, strict=True)]
-            # no hash to meet by: any key that spreads the rows
-            spread = (doc[starts] * -7046029254386353131) ^ part[starts] ^ len(doc)
-            yield from self._rows(spread, doc[starts], part[starts], np.full(len(starts), -1, dtype=np.int32), packed)
-
-    @staticmethod
-    def _rows(key, doc, part, at, packed) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(key), 1 << 16):
-            j = min(len(key), i + (1 << 16))
-            known = pa.nulls(j - i, pa.binary()) if packed is None else pa.array(packed[i:j], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(key[i:j]), pa.array(doc[i:j]), pa.array(part[i:j]), pa.array(at[i:j]), known], ["key", "doc", "part", "at", "known"])
+        first, settled = _firsts(key, self.everyone)
+        known = _settled(doc[settled], part[settled], at[settled])
+        key, doc, part, at = key[first], doc[first], part[first], at[first]
+        bucket = ((key >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        ends = np.append(starts[1:], len(key))
+        step = np.diff(key, prepend=key[:1]).view(np.int64)
+        step[starts] = key[starts].view(np.int64)
+        columns = (step, doc.astype(np.int64), part.astype(np.int64), at.astype(np.int64))
+        packed = [pack(*(c[a:z] for c in columns)) for a, z in zip(starts, ends, strict=True)]
+        n = len(packed)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int32()), pa.array(packed, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["bucket", "packed", "doc", "part", "known"])
+        doc, part, lists = known
+        for i in range(0, len(doc), 1 << 14):
+            s = slice(i, i + (1 << 14))
+            n = len(doc[s])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[s] % self.buckets, pa.int32()), pa.nulls(n, pa.binary()), pa.array(doc[s]), pa.array(part[s]), pa.array(lists[s], pa.binary())], ["bucket", "packed", "doc", "part", "known"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """Key and values of rows (key, value) that are sorted by key."""
+    now, held = None, []
+    for b in batches:
+        for key, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if key != now and held:
+                yield now, held
+                held = []
+            now = key
+            held.append(value)
+    if held:
+        yield now, held
+
+
+def compare(batches: Iterator[pa.RecordBatch], everyone: bool, slots: int) -> Iterator[pa.RecordBatch]:
+    """ROWS sorted by bucket to what is settled: within the tasks, and between them in each range of hashes."""
+    held, size = [], 0
+
+    def send() -> Iterator[pa.RecordBatch]:
+        nonlocal held, size
+        if held:
+            doc, part, at = (np.concatenate(x).astype(np.int64) for x in zip(*held, strict=True))
+            slot = ((mix(doc.view(np.uint64) ^ mix(part.view(np.uint64))) >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+            order = np.lexsort((at, part, doc, slot))
+            slot, doc, part, at = slot[order], doc[order], part[order], at[order]
+            starts = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1]))) if len(slot) else np.zeros(0, dtype=np.int64)
+            ends = np.append(starts[1:], len(slot)) if len(slot) else starts
+            packed = [pack(doc[a:z], part[a:z], at[a:z]) for a, z in zip(starts, ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(slot[starts], pa.int32()), pa.array(packed, pa.binary())], ["slot", "packed"])
+        held, size = [], 0
+
+    def ranges() -> Iterator[pa.RecordBatch]:
+        """The rows of hashes; those of documents are put with what is settled."""
+        nonlocal size
+        for b in batches:
+            whole = b.filter(b.column(4).is_valid())
+            for doc, part, known in zip(*(whole.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                at = np.cumsum(np.frombuffer(known, dtype=np.int32))
+                held.append((np.full(len(at), doc), np.full(len(at), part), at))
+                size += len(at)
+            rest = b.filter(b.column(1).is_valid())
+            yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1)], ["bucket", "packed"])
+
+    for _, packed in _runs(ranges()):
+        columns = [unpack(p, 4) for p in packed]
+        key = np.concatenate([np.add.accumulate(c[0].view(np.uint64), dtype=np.uint64) for c in columns])
+        key, doc, part, at = _in_order(key, *(np.concatenate([c[i] for c in columns]) for i in (1, 2, 3)))
+        _, settled = _firsts(key, everyone)
+        held.append((doc[settled], part[settled], at[settled]))
+        size += int(settled.sum())
+        if size >= HELD:
+            yield from send()
+    yield from send()
+
+
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SETTLED rows sorted by slot to one row a document with all its positions."""
+    for _, packed in _runs(batches):
+        columns = [unpack(p, 3) for p in packed]
+        doc, part, lists = _settled(*(np.concatenate([c[i] for c in columns]) for i in range(3)))
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(part), pa.array(lists, pa.binary())], ["doc", "part", "found"])
 
 
 def _whole(words: Words, n: int) -> np.ndarray:
@@ -117,9 +217,9 @@ def _documents(b: pa.RecordBatch, a: int, z: int) -> tuple[np.ndarray, np.ndarra
     return b.column(0).slice(a, z - a).to_numpy(), b.column(1).slice(a, z - a).to_numpy()
 
 
-def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Step 1: (doc, part, text) rows to hashed cover positions.  Documents below WINDOW words have none."""
-    sender = _Sender(everyone=True)
+    sender = _Sender(True, buckets)
     for b in batches:
         for a, z, data, offsets in pieces(b, "text"):
             doc, part = _documents(b, a, z)
@@ -128,7 +228,8 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.arange(len(text)) - words.first[text]
             start = _whole(words, ANCHOR)
             start = start[_IN_COVER[at[start] % PERIOD] & (words.counts[text[start]] >= WINDOW)]
-            key = grams(words.hashes(), ANCHOR)[start] >> np.uint64(64 - ANCHOR_BITS)
+            key = grams(words.hashes(), ANCHOR)[start] if len(start) else np.zeros(0, dtype=np.uint64)
+            key = key >> np.uint64(64 - ANCHOR_BITS) << np.uint64(64 - ANCHOR_BITS)
             yield from sender.add(key, doc[text[start]], part[text[start]], at[start])
     yield from sender.flush()
 
@@ -145,15 +246,15 @@ def marked_windows(words: Words, anchors_at: np.ndarray) -> np.ndarray:
 
 
 def _positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and position of packed positions; a row's list may hold several packings."""
-    lists = column.to_pylist()
-    arrays = [np.frombuffer(b"".join(x), dtype=np.int32) if x else np.zeros(0, dtype=np.int32) for x in lists]
-    return np.repeat(np.arange(len(arrays)), [len(x) for x in arrays]), np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.int32)
+    """Row and position of packed positions."""
+    none = np.zeros(0, dtype=np.int64)
+    arrays = [np.cumsum(np.frombuffer(p, dtype=np.int32)) if p else none for p in column.to_pylist()]
+    return np.repeat(np.arange(len(arrays)), [len(x) for x in arrays]), np.concatenate(arrays) if arrays else none
 
 
-def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Step 2: (doc, part, text, found) rows to the hashes of marked windows."""
-    sender = _Sender(everyone=False)
+    sender = _Sender(False, buckets)
     for b in batches:
         row, at = _positions(b.column(3))
         for a, z, data, offsets in pieces(b, "text"):
@@ -196,31 +297,37 @@ def removed(batches: Iterator[pa.RecordBatch], texts: bool = False) -> Iterator[
             yield pa.RecordBatch.from_arrays([b.column(3).slice(a, z - a), pa.array(n.astype(np.int64)), pa.array((n - (kept[first[1:]] - kept[first[:-1]])).astype(np.int64)), pa.array(out, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _of_documents(met: DataFrame, repeated: str) -> DataFrame:
-    """doc, part and the packed positions of each document that are settled or for which `repeated` holds."""
-    one = F.unhex(F.lpad(F.hex(F.col("at")), 8, "0"))
-    # four bytes, least significant first
-    little = F.concat(F.substring(one, 4, 1), F.substring(one, 3, 1), F.substring(one, 2, 1), F.substring(one, 1, 1))
-    found = met.where(f"known is not null or ({repeated})").select("doc", "part", F.coalesce("known", little).alias("packed"))
-    return found.groupBy("doc", "part").agg(F.collect_list("packed").alias("found"))
+def _compared(rows: DataFrame, everyone: bool, slots: int) -> DataFrame:
+    """doc, part and the packed positions that are settled, of each document that has any."""
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+    settled = dealt.mapInArrow(lambda b: compare(b, everyone, slots), SETTLED)
+    return settled.repartition("slot").sortWithinPartitions("slot").mapInArrow(gather, FOUND)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc, part and text (bytes).  part is 0 but for rows that share their doc_id, or have none."""
+    last, none = F.lit((1 << 63) - 1), F.lit(0).cast("long")
+    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    part = none
+    if not again.isEmpty():
+        again = again.select(F.col("doc_id").alias("_again"))
+        docs = docs.join(again, F.col("doc_id").eqNullSafe(F.col("_again")) & F.col("doc_id").isNotNull(), "left")
+        part = F.when(F.col("doc_id").isNull() | F.col("_again").isNotNull(), F.xxhash64("text")).otherwise(none)
+    return docs.select(F.coalesce(F.col("doc_id"), last).alias("doc"), part.alias("part"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
 def deduplicate(docs: DataFrame, texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the digest (or text) of what is left, for every row of `docs`."""
-    last = F.lit((1 << 63) - 1)
-    keyed = docs.select(F.coalesce(F.col("doc_id"), last).alias("doc"), F.xxhash64("text").alias("part"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    met = keyed.select("doc", "part", "text").mapInArrow(anchors, ROWS)
-    met = met.withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    marked = _of_documents(met, "n > 1")
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = _keyed(docs.select("doc_id", "text"))
+    marked = _compared(keyed.mapInArrow(lambda b: anchors(b, buckets), ROWS), True, buckets)
     # the same exchange of texts stands below both joins
     dealt = keyed.repartition("doc", "part")
-    met = dealt.join(marked.hint("shuffle_hash"), ["doc", "part"]).select("doc", "part", "text", "found").mapInArrow(windows, ROWS)
-    order = Window.partitionBy("key").orderBy("doc", "part", "at")
-    met = met.withColumn("n", F.row_number().over(order))
-    repeated = _of_documents(met, "n > 1")
+    candidates = dealt.join(marked.hint("shuffle_hash"), ["doc", "part"]).select("doc", "part", "text", "found")
+    repeated = _compared(candidates.mapInArrow(lambda b: windows(b, buckets), ROWS), False, buckets)
     joined = dealt.join(repeated.hint("shuffle_hash"), ["doc", "part"], "left")
     schema = RESULT.replace("kept_sha256", "text") if texts else RESULT
-    rows = joined.select("doc", "part", "text", F.nullif("doc", last).alias("doc_id"), "found")
+    rows = joined.select("doc", "part", "text", F.nullif("doc", F.lit((1 << 63) - 1)).alias("doc_id"), "found")
     return rows.mapInArrow(lambda b: removed(b, texts), schema)
 
 
