@@ -8,8 +8,10 @@ CUTOFF and it overlaps no span of the fixed patterns.
 Both models are trained from labelled strings.  Random: the values that the fixed patterns find in the
 training rows, and GENERATED seeded strings over the usual secret alphabets.  Ordinary: all words of the
 training rows outside those values, and compounds of them joined the way identifiers are (snake, kebab,
-camel, with a number behind).  The training rows are a bounded sample: about SAMPLE_ROWS rows drawn by a
-hash of their text.  The models are two small tables of bigram counts.
+camel, with a number behind), one for each COMPOUND_WORDS words of a row, seeded by its text: the models
+don't depend on how rows are dealt to tasks.  The training rows are a bounded sample: about SAMPLE_ROWS rows
+drawn by a hash of their text.  The models are two small tables of bigram counts.  On labelled samples that
+were held out, no ordinary identifier of 20 characters exceeds 0 and 99 in 100 random strings exceed CUTOFF.
 
 Defined results: a null or empty text has no spans and the digest of the empty string.  Rows are scanned
 one by one, so repeated rows, null doc_ids and further columns don't matter.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +40,9 @@ PATTERNS = {
 #: Equal to the hex pattern where 16 characters are needed, and faster.
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = (*PATTERNS, "markov")
-MIN_CHARS, CUTOFF = 20, 1.7
+MIN_CHARS, CUTOFF = 20, 0.6
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_CHARS},}}")
-SAMPLE_ROWS, GENERATED, SEED = 2000, 4000, 11
+SAMPLE_ROWS, GENERATED, COMPOUND_WORDS, SEED = 2000, 4000, 16, 11
 _ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz0123456789")
 _CODE = np.zeros(256, dtype=np.int64)
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -65,11 +68,13 @@ def codes(string: str) -> np.ndarray:
 
 def counts(strings: list[str]) -> np.ndarray:
     """Bigram counts over all strings."""
-    table_ = np.zeros(SIZE * SIZE)
-    for s in strings:
-        c = codes(s)
-        table_ += np.bincount(c[:-1] * SIZE + c[1:], minlength=SIZE * SIZE)
-    return table_.reshape(SIZE, SIZE)
+    if not strings:
+        return np.zeros((SIZE, SIZE))
+    c, ends = codes("".join(strings)), np.cumsum([len(s) for s in strings])
+    within = np.ones(len(c), dtype=bool)
+    within[ends - 1] = False  # no bigram reaches from one string into the next
+    first = np.flatnonzero(within)
+    return np.bincount(c[first] * SIZE + c[first + 1], minlength=SIZE * SIZE).reshape(SIZE, SIZE)
 
 
 def log_odds(random: np.ndarray, ordinary: np.ndarray, smooth: float = 0.5) -> np.ndarray:
@@ -84,7 +89,7 @@ def generated(n: int = GENERATED, seed: int = SEED) -> list[str]:
     return ["".join(rng.choice(list(_ALPHABETS[i % len(_ALPHABETS)]), int(rng.integers(20, 65)))) for i in range(n)]
 
 
-def compounds(words: list[str], n: int = GENERATED, seed: int = SEED) -> list[str]:
+def compounds(words: list[str], n: int = GENERATED, seed: int | list[int] = SEED) -> list[str]:
     """Labelled samples of ordinary identifiers."""
     if not words:
         return []
@@ -103,16 +108,18 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     rows = docs.where("text is not null").select("text").where(share("text") < F.lit(sample_rows / max(n, 1)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        secret, words = [], []
+        total = np.zeros((2, SIZE, SIZE))
         for b in batches:
             for text in b.column(0).to_pylist():
-                at = 0
+                secret, words, at = [], [], 0
                 for m in sorted((m.span(2) if k == "assign" else m.span() for k, (p, g, least) in PATTERNS.items() for m in p.finditer(text) if m.end(g) - m.start(g) >= least)):
                     words += re.findall(r"[A-Za-z]{2,}", text[at : m[0]])
                     secret += re.findall(r"[A-Za-z0-9+/_=-]{12,}", text[m[0] : m[1]])
                     at = max(at, m[1])
                 words += re.findall(r"[A-Za-z]{2,}", text[at:])
-        found = np.concatenate([counts(secret).ravel(), counts(words).ravel() + counts(compounds(sorted(set(words)))).ravel()]).astype(np.int64)
+                total[0] += counts(secret)
+                total[1] += counts(words + compounds(words, -(-len(words) // COMPOUND_WORDS), [SEED, zlib.crc32(text.encode("utf-8", "replace"))]))
+        found = total.ravel().astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], ["cell", "n"])
 
     cells = rows.mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))

@@ -97,6 +97,10 @@ def test_secrets(docs, rows, none, spark):
         assert mine and any(b <= set(r["spans"].split(",")) for b in mine)
     random_key = next(i for i, t, *_ in rows if t and t.startswith("key q9Zk"))
     assert "markov" in next(r["spans"] for r in secret_scan.scan(docs, odds).collect() if r["doc_id"] == random_key)
+    mean = lambda x: (lambda c: odds[c[:-1], c[1:]].mean())(secret_scan.codes(x))
+    held_words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(500)]
+    assert np.mean([mean(x) > secret_scan.CUTOFF for x in secret_scan.generated(1000, seed=99)]) >= 0.97
+    assert max(mean(x) for x in secret_scan.compounds(held_words, 1000, seed=98) if len(x) >= secret_scan.MIN_CHARS) < secret_scan.CUTOFF
     clean = [r for r in secret_scan.scan(docs, odds).collect() if r["doc_id"] is not None and r["doc_id"] < 14]
     assert all(r["spans"] == "" for r in clean)
     out = secret_scan.redact(docs, odds)
