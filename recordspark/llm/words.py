@@ -24,7 +24,7 @@ _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that one call handles; longer texts still go in one piece.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
