@@ -54,7 +54,7 @@ _IN_COVER[list(COVER)] = True
 BUCKETS = 4
 #: bucket: range of hashes; packed: hashes and positions; or doc, part and known: settled positions of a document.
 ROWS = "bucket int, packed binary, doc long, part long, known binary"
-#: slot: a share of the documents; packed: documents and settled positions in it.
+#: slot: a share of the documents, one for each shuffle partition; packed: documents and settled positions in it.
 SETTLED = "slot int, packed binary"
 FOUND = "doc long, part long, found binary"
 
@@ -301,7 +301,7 @@ def _compared(rows: DataFrame, everyone: bool, slots: int) -> DataFrame:
     """doc, part and the packed positions that are settled, of each document that has any."""
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
     settled = dealt.mapInArrow(lambda b: compare(b, everyone, slots), SETTLED)
-    return settled.repartition("slot").sortWithinPartitions("slot").mapInArrow(gather, FOUND)
+    return settled.repartitionById(slots, F.col("slot")).sortWithinPartitions("slot").mapInArrow(gather, FOUND)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -318,13 +318,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the digest (or text) of what is left, for every row of `docs`."""
-    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * slots
     keyed = _keyed(docs.select("doc_id", "text"))
-    marked = _compared(keyed.mapInArrow(lambda b: anchors(b, buckets), ROWS), True, buckets)
+    marked = _compared(keyed.mapInArrow(lambda b: anchors(b, buckets), ROWS), True, slots)
     # the same exchange of texts stands below both joins
     dealt = keyed.repartition("doc", "part")
     candidates = dealt.join(marked.hint("shuffle_hash"), ["doc", "part"]).select("doc", "part", "text", "found")
-    repeated = _compared(candidates.mapInArrow(lambda b: windows(b, buckets), ROWS), False, buckets)
+    repeated = _compared(candidates.mapInArrow(lambda b: windows(b, buckets), ROWS), False, slots)
     joined = dealt.join(repeated.hint("shuffle_hash"), ["doc", "part"], "left")
     schema = RESULT.replace("kept_sha256", "text") if texts else RESULT
     rows = joined.select("doc", "part", "text", F.nullif("doc", F.lit((1 << 63) - 1)).alias("doc_id"), "found")
