@@ -15,7 +15,7 @@ changes are averaged over the tasks that touched a row, wherever the block falls
 travel with the tables; all other words of a text meet their counts in a join by hash, where no hash is
 frequent.
 
-Words are met by 64-bit hashes.  Defined results: a null or empty text has the end token alone.  Rows with
+Words are met by 64-bit hashes, and rows by doc_id and a 64-bit hash of the text.  Defined results: a null or empty text has the end token alone.  Rows with
 a null doc_id are held out.  Repeated rows are scored one by one, and learned from as often as they occur.
 Without training rows all counts are 0 and both scores are those of an unseen word.  Further columns don't
 matter.
@@ -295,7 +295,7 @@ def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROU
     return Model(vocabulary, tables)
 
 
-SCORED = "word long, doc long, part int, n int, held_out boolean, n_tokens long, n_known long, base double, score double"
+SCORED = "word long, doc long, part long, n int, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def score_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -332,7 +332,7 @@ def score_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """Scores of every row of `docs` (doc_id, held_out, text)."""
     last = F.lit((1 << 63) - 1)
-    keyed = docs.select(F.coalesce("doc_id", last).alias("doc"), F.shiftrightunsigned(F.xxhash64("text"), 48).cast("int").alias("part"), "held_out", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select(F.coalesce("doc_id", last).alias("doc"), F.xxhash64("text").alias("part"), "held_out", F.coalesce("text", F.lit("")).alias("text"))
     rows = keyed.mapInArrow(lambda b: score_rows(b, model), SCORED)
     met = rows.join(counts, "word", "left")
     whole = F.col("n").isNull()

@@ -219,6 +219,17 @@ def test_language_model(docs, rows, none):
     assert maxent_lm.score(d, maxent_lm.train(e, "not held_out", empty), counts.limit(0)).count() == len(rows)
 
 
+def test_language_model_keeps_texts_of_one_id_apart(spark):
+    """Different texts under a null doc_id, and under one that repeats, have their own rows."""
+    lines = [(i, " ".join(["w"] * (1 + i // 50) + [f"u{i}"])) for i in range(3000)]
+    d = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in lines], "doc_id long, text string").withColumn("held_out", held_out("doc_id", 5, 1))
+    counts = maxent_lm.cut(spark.createDataFrame([(1, 1)], "word long, c long"))
+    v = maxent_lm.Vocabulary.of(counts)
+    got = maxent_lm.score(d, maxent_lm.Model(v, maxent_lm.Tables.blank()), counts).collect()
+    assert collections.Counter((r["doc_id"], r["n_tokens"]) for r in got) == collections.Counter((None if i % 2 else 7, len(t.split()) + 1) for i, t in lines)
+    assert all(r["base_score"] == pytest.approx(r["n_tokens"] * math.log10(0.5 / v.base_total)) for r in got)
+
+
 def test_language_model_sums_to_one():
     """Over the words of the model, the counted tail and one unseen word."""
     rng = np.random.default_rng(0)
