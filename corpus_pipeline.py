@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that the n-gram Jaccard join links, the one with the smallest doc_id stays."""
-    return jaccard_join.one_of_each(docs)
+    """Of each group of documents that the n-gram Jaccard join links, the one with the smallest doc_id stays; no other document goes."""
+    return jaccard_join.one_row_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,7 +132,7 @@ SETS = "doc long, n int, node long, elements array<long>"
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) rows to whole sets."""
+    """(doc_id, ..., text) rows to whole sets; columns between the two stay, at the end."""
     for b in batches:
         for a, z, data, offsets in pieces(b, "text"):
             key, first = shingles(split(data, offsets, lower=True))
@@ -140,7 +140,8 @@ def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.concatenate(([np.uint64(0)], np.cumsum(mix(key), dtype=np.uint64)))
             node = mix((total[first[1:]] - total[first[:-1]]) + n.astype(np.uint64)).view(np.int64)
             elements = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(key.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n.astype(np.int32)), pa.array(node), elements], ["doc", "n", "node", "elements"])
+            more = [c.slice(a, z - a) for c in b.columns[1:-1]]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n.astype(np.int32)), pa.array(node), elements, *more], ["doc", "n", "node", "elements", *b.schema.names[1:-1]])
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,21 +218,33 @@ def links(sets: DataFrame) -> DataFrame:
     return cut(direct.union(pairs.where("sure").select("a", "b")).union(verified))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of `docs`."""
-    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    named = texts.where("doc_id is not null")
-    finished, passed = passing(named)
+def labelled(named: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (doc_id, mark, text): doc and n of those that the filter finishes; the others with their sets; node, root, least and first of the nodes.
+
+    least is a node's smallest doc, and first its smallest (doc, mark)."""
+    finished, passed = passing(named.select("doc_id", "text"))
     small = passed.count() <= BROADCAST_IDS
     kept = named.join(F.broadcast(passed) if small else passed, named["doc_id"] == passed["doc"], "left_semi")
-    members = cut(kept.mapInArrow(set_rows, SETS))
-    sets = cut(members.groupBy("node").agg(F.first("n").alias("n"), F.first("elements").alias("elements"), F.min("doc").alias("least")).where("n > 0"))
+    members = cut(kept.mapInArrow(set_rows, SETS + ", mark long"))
+    sets = cut(members.groupBy("node").agg(F.first("n").alias("n"), F.first("elements").alias("elements"), F.min("doc").alias("least"), F.min(F.struct("doc", "mark")).alias("first")).where("n > 0"))
     roots = components(links(sets.select("node", "n", "elements")))
-    labels = sets.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return finished, members, sets.select("node", "least", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def marked(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text, which parts rows of one doc_id) and text."""
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `docs`."""
+    texts = marked(docs)
+    finished, members, labels = labelled(texts.where("doc_id is not null"))
+    labels = labels.select("node", "least", "root")
     labels = labels.join(labels.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     out = members.select(F.col("doc").alias("doc_id"), "n", "node").join(labels, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     out = out.union(finished.select("doc", F.col("n").cast("long"), "doc"))
-    unnamed = texts.where("doc_id is null").mapInArrow(set_rows, SETS).select(F.col("doc"), F.col("n").cast("long"), F.col("doc"))
+    unnamed = texts.where("doc_id is null").select("doc_id", "text").mapInArrow(set_rows, SETS).select(F.col("doc"), F.col("n").cast("long"), F.col("doc"))
     return out.union(unnamed)
 
 
@@ -250,5 +263,28 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated)
 
 
+def one_row_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` with all their columns, but of each class of linked rows only one: that of the smallest (doc_id, hash of the text).
+
+    A row goes only if it is linked with the one that stays.  Rows that share a doc_id and are not linked all stay."""
+    rows = marked(docs)
+    _, members, labels = labelled(rows.where("doc_id is not null"))
+    labels = labels.select("node", "first", "root")
+    labels = labels.join(labels.groupBy("root").agg(F.min("first").alias("stays")), "root").select("node", "stays")
+    own = F.struct("doc", "mark")
+    found = members.where("n > 0").select("doc", "mark", "node").join(labels, "node").select("doc", "mark", (own == F.col("stays")).alias("stays"))
+    found = cut(found.groupBy("doc", "mark").agg(F.count("*").alias("rows"), F.first("stays").alias("stays")).where("not stays or rows > 1"))
+    losers = found.where("not stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark"))
+    losers = F.broadcast(losers) if losers.count() <= BROADCAST_IDS else losers
+    left = docs.withColumn("_mark", F.xxhash64("text")).join(losers, ["doc_id", "_mark"], "left_anti")
+    again = found.where("stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark"))
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    # rows that repeat doc_id and text: one of them stays, by all their columns
+    row = F.struct(*docs.columns)
+    one = left.join(again, ["doc_id", "_mark"], "left_semi").groupBy("doc_id", "_mark").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
+    return left.join(again, ["doc_id", "_mark"], "left_anti").select(*docs.columns).unionByName(one)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))

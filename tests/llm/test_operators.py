@@ -144,6 +144,20 @@ def test_jaccard_components(docs, rows, none):
     assert jaccard_join.classes(none).count() == 0 and jaccard_join.one_of_each(none).count() == 0
 
 
+def test_near_duplicates_keep_unlinked_rows_of_one_id(spark):
+    """A doc_id with many different texts loses only what is linked with another row."""
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(5, text(k), "s1") for k in range(30)] + [(i, text(100 + i), "s2") for i in range(10, 30)]
+    rows += [(3, text(0) + " tail", "s1"), (5, text(110), "s1"), (6, text(1), "s1"), (5, text(2), "s1"), (5, "", "s1"), (5, None, "s1"), (None, text(3), "s1"), (None, text(3), "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    gone = collections.Counter([(5, text(0), "s1"), (10, text(110), "s2"), (6, text(1), "s1"), (5, text(2), "s1")])
+    assert by_row(kept) == collections.Counter(rows) - gone
+
+
 def test_jaccard_near_the_threshold(spark):
     """Random sets of shared and own words around 80 %."""
     import random
