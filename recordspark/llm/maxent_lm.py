@@ -2,16 +2,21 @@
 
 P(word | context) = P(class | context) * P(word | class, context).  The MODEL_WORDS most frequent words
 (and the end of a text) are in CLASSES - 1 classes by rank; all other words, unseen ones too, are in the
-tail class and have their smoothed share of it: (c + 0.5) / (N_tail + 0.5 * (V_tail + 1)).  So the model
-gives every word what it needs, and sums to 1 over the same events as the unigram base.  Class and word
-logits are sums of rows of weight tables, picked by hashed features of the context: the word before, the
-one before that (a skip), and both together; within a class, the first two with the class.
+tail class.  Unseen words have 0.5 / (N_tail + 0.5 * (V_tail + 1)) of it.  The counted ones are the leaves of
+a tree of classes: a word goes down by the bits of its hash, up to 5 a level, each step a softmax over the
+branches given the context, to a group of about LEAF words; there it has its smoothed share (c + 0.5).  The
+number of levels and groups follows from the number of distinct words, so groups don't grow with the corpus;
+what the context doesn't move is a word's share within its group.  So the model sums to 1 over the same events
+as the unigram base.  Class and word logits are sums of rows of weight tables, picked by hashed features of
+the context: the word before, the one before that (a skip), and both together; within a class or at a node
+of the tree, the first two with the class or node.  The tables' rows grow with the square root of the number
+of distinct words.
 
 Counting: every task counts the words of its rows, and the counts of all words meet by hash.  Training:
 ROUNDS disjoint slices of the training rows, each read once by 2 tasks a core; a task starts from the
 tables of the last round, takes AdaGrad steps over its rows, and sends its changes in blocks; a block's
 changes are averaged over the tasks that touched a row, wherever the block falls.  Only the finished tables
-(TABLES numbers, whatever the corpus) come to the driver.  Scoring: up to HEAD of the most frequent words with counts
+(224 numbers a row and 3, 2 and 2 kinds of features) and the masses of the groups come to the driver.  Scoring: up to HEAD of the most frequent words with counts
 travel with the tables; all other words of a text meet their counts in a join by hash, where no hash is
 frequent.
 
@@ -23,12 +28,13 @@ matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.llm.common import cut, held_out, table
@@ -37,11 +43,13 @@ from recordspark.llm.words import Words, mix, pieces, split
 CLASSES, CLASS_WORDS = 32, 33
 MODEL_WORDS = (CLASSES - 1) * CLASS_WORDS
 HEAD = 1 << 16
-#: Rows of the tables for each kind of feature.
+#: Rows of the tables for each kind of feature, at least; ROWS_ROOT times the root of the number of distinct words.
 CLASS_ROWS, WORD_ROWS = 1 << 12, 1 << 12
-CLASS_KINDS, WORD_KINDS = 3, 2
+ROWS_ROOT = 8
+CLASS_KINDS, WORD_KINDS, NODE_KINDS = 3, 2, 2
+#: Counted words of the tail in a group, about; and the most bits of a level of the tail's tree.
+LEAF, LEVEL_BITS = 16, 5
 ROUNDS, RATE, BATCH, BLOCK = 2, 0.12, 1 << 15, 32
-TABLES = CLASS_KINDS * CLASS_ROWS * CLASSES + WORD_KINDS * WORD_ROWS * CLASS_WORDS
 END, START = np.uint64(0xE5D5E5D5E5D5E5D5), np.uint64(0x0B5A0B5A0B5A0B5A)
 RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -74,15 +82,27 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def prefix_of(bits: int) -> Column:
+    """The first bits of the column `word`."""
+    return F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
+
+
+def prefixes(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), dtype=np.int64)
+
+
 @dataclass
 class Vocabulary:
-    """Totals, and the most frequent words: `word` sorted by hash, with rank (0 is the most frequent) and count."""
+    """Totals, and the most frequent words: `word` sorted by hash, with rank (0 is the most frequent) and count.
+
+    `groups` has the smoothed mass of the tail's counted words by the first bits of their hashes."""
 
     n: int
     v: int
     word: np.ndarray
     rank: np.ndarray
     c: np.ndarray
+    groups: np.ndarray | None = None
 
     @staticmethod
     def of(counts: DataFrame) -> Vocabulary:
@@ -100,7 +120,16 @@ class Vocabulary:
         by_count = np.lexsort((word, -c))
         word, c = word[by_count], c[by_count]
         order = np.argsort(word)
-        return Vocabulary(n, v, word[order], order.astype(np.int64), c[order])
+        out = Vocabulary(n, v, word[order], order.astype(np.int64), c[order])
+        model = out.rank < MODEL_WORDS
+        bits = max(0, math.ceil(math.log2(max(1, v - int(model.sum())) / LEAF)))
+        met = counts.groupBy(prefix_of(bits).alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).toArrow()
+        sums = np.zeros((2, 1 << bits), dtype=np.int64)
+        sums[:, met["g"].to_numpy()] = met["c"].to_numpy(), met["v"].to_numpy()
+        for i, x in enumerate((out.c[model], 1)):
+            np.subtract.at(sums[i], prefixes(out.word[model], bits), x)
+        out.groups = sums[0] + 0.5 * sums[1]
+        return out
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and count of each hash; rank -1 for those that aren't in the head."""
@@ -110,6 +139,28 @@ class Vocabulary:
         hit = self.word[at] == h
         return np.where(hit, self.rank[at], -1), np.where(hit, self.c[at], 0)
 
+    @property
+    def rows(self) -> int:
+        """Rows of the tables for each kind of feature: a power of 2."""
+        return max(CLASS_ROWS, 1 << math.ceil(math.log2(ROWS_ROOT * math.sqrt(max(1, self.v)))))
+
+    @property
+    def levels(self) -> list[tuple[int, int]]:
+        """For each level of the tail's tree, the bits above it and its own."""
+        bits = int(len(self.groups)).bit_length() - 1 if self.groups is not None else 0
+        n = -(-bits // LEVEL_BITS)
+        ends = [-(-bits * i // n) for i in range(n + 1)] if n else [0]
+        return [(a, z - a) for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
+    def branches(self) -> list[np.ndarray]:
+        """For each level, the log shares of the branches of each node; those without counted words have none."""
+        out = []
+        for above, own in self.levels:
+            mass = self.groups.reshape(1 << (above + own), -1).sum(axis=1).reshape(1 << above, 1 << own)
+            whole = np.maximum(mass.sum(axis=1, keepdims=True), 0.5)
+            out.append(np.where(mass > 0, np.log(np.maximum(mass, 0.5) / whole), -1e9).astype(np.float32))
+        return out
+
     @property
     def base_total(self) -> float:
         return self.n + 0.5 * (self.v + 1)
@@ -132,14 +183,23 @@ class Vocabulary:
 
 @dataclass
 class Tables:
-    """Weights of the classes (a row for each class feature) and of the words of a class."""
+    """Weights of the classes (a row for each class feature), of the words of a class, and of the branches in the tail's tree."""
 
     classes: np.ndarray
     words: np.ndarray
+    nodes: np.ndarray
 
     @staticmethod
-    def blank() -> Tables:
-        return Tables(np.zeros((CLASS_KINDS * CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_KINDS * WORD_ROWS, CLASS_WORDS), np.float32))
+    def blank(rows: int = CLASS_ROWS) -> Tables:
+        return Tables(*(np.zeros((kinds * rows, width), np.float32) for kinds, width in ((CLASS_KINDS, CLASSES), (WORD_KINDS, CLASS_WORDS), (NODE_KINDS, 1 << LEVEL_BITS))))
+
+    @property
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.classes, self.words, self.nodes
+
+    @property
+    def rows(self) -> int:
+        return len(self.classes) // CLASS_KINDS
 
 
 def context(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,17 +212,15 @@ def context(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one, two
 
 
-def class_features(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
-    rows = np.uint64(CLASS_ROWS)
+def class_features(one: np.ndarray, two: np.ndarray, rows: int) -> list[np.ndarray]:
     keys = (one, two * np.uint64(3) + np.uint64(1), mix(one + two * np.uint64(5)))
-    return [((k >> np.uint64(20)) % rows).astype(np.int64) + i * CLASS_ROWS for i, k in enumerate(keys)]
+    return [((k >> np.uint64(20)) % np.uint64(rows)).astype(np.int64) + i * rows for i, k in enumerate(keys)]
 
 
-def word_features(one: np.ndarray, two: np.ndarray, group: np.ndarray) -> list[np.ndarray]:
-    rows = np.uint64(WORD_ROWS)
+def word_features(one: np.ndarray, two: np.ndarray, group: np.ndarray, rows: int) -> list[np.ndarray]:
     c = group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     keys = (mix(one + c), mix(two * np.uint64(7) + c))
-    return [((k >> np.uint64(20)) % rows).astype(np.int64) + i * WORD_ROWS for i, k in enumerate(keys)]
+    return [((k >> np.uint64(20)) % np.uint64(rows)).astype(np.int64) + i * rows for i, k in enumerate(keys)]
 
 
 def log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -174,6 +232,7 @@ class Model:
     def __init__(self, vocabulary: Vocabulary, tables: Tables):
         self.vocabulary, self.tables = vocabulary, tables
         self.class_prior, self.word_prior = vocabulary.priors()
+        self.branches = vocabulary.branches()
 
     def parts(self, h: np.ndarray, text: np.ndarray):
         rank, c = self.vocabulary.look_up(h)
@@ -194,18 +253,40 @@ class Model:
             out = out + self.tables.words[r]
         return out
 
+    def steps(self, h: np.ndarray, one: np.ndarray, two: np.ndarray):
+        """For each level of the tail's tree: the features, the logits of the branches and the branch of each word."""
+        for (above, own), prior in zip(self.vocabulary.levels, self.branches, strict=True):
+            node = prefixes(h, above)
+            rows = word_features(one, two, node + (1 << above), self.tables.rows)
+            logits = prior[node]
+            for r in rows:
+                logits = logits + self.tables.nodes[r, : 1 << own]
+            yield rows, logits, prefixes(h, above + own) & ((1 << own) - 1)
+
+    def tail_log10(self, h: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For the tokens `at`, of the tail class: log10 of the probability, within the class, of a counted word divided by its c + 0.5."""
+        v, (one, two) = self.vocabulary, context(h, text)
+        groups = v.groups if v.groups is not None else np.array([v.tail_total() - 0.5])
+        bits = len(groups).bit_length() - 1
+        out = np.log(np.maximum(v.tail_total() - 0.5, 0.5) / v.tail_total()) - np.log(np.maximum(groups[prefixes(h[at], bits)], 0.5))
+        for i in range(0, len(at), BATCH):
+            x = at[i : i + BATCH]
+            for _, logits, branch in self.steps(h[x], one[x], two[x]):
+                out[i : i + BATCH] += log_softmax(logits)[np.arange(len(x)), branch]
+        return out / np.log(10)
+
     def log10(self, h: np.ndarray, text: np.ndarray):
         """Rank and count of each token, and its log10 probability; for tail words the one of the class alone."""
         rank, c, inner, group, one, two = self.parts(h, text)
         out = np.empty(len(h))
         for i in range(0, len(h), BATCH):
             s = slice(i, i + BATCH)
-            p = log_softmax(self.class_logits(class_features(one[s], two[s])))
+            p = log_softmax(self.class_logits(class_features(one[s], two[s], self.tables.rows)))
             out[s] = p[np.arange(len(p)), group[s]]
             x = np.flatnonzero(inner[s])
             if len(x):
                 g = group[s][x]
-                q = log_softmax(self.word_logits(word_features(one[s][x], two[s][x], g), g))
+                q = log_softmax(self.word_logits(word_features(one[s][x], two[s][x], g, self.tables.rows), g))
                 out[s][x] += q[np.arange(len(q)), rank[s][x] % CLASS_WORDS]
         return rank, c, out / np.log(10)
 
@@ -214,9 +295,8 @@ class Learner:
     """AdaGrad steps on a copy of the tables."""
 
     def __init__(self, model: Model):
-        t = model.tables
-        self.model = Model(model.vocabulary, Tables(t.classes.copy(), t.words.copy()))
-        self.squares = Tables(np.zeros_like(t.classes), np.zeros_like(t.words))
+        self.model = Model(model.vocabulary, Tables(*(t.copy() for t in model.tables.all)))
+        self.squares = Tables(*(np.zeros_like(t) for t in model.tables.all))
 
     @staticmethod
     def _step(table_: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray) -> None:
@@ -226,32 +306,38 @@ class Learner:
             starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
             g = np.add.reduceat(gradient[order], starts, axis=0)
             used = sorted_[starts]
-            squares[used] += g * g
-            table_[used] -= RATE * g / np.sqrt(squares[used] + 1e-6)
+            width = slice(0, g.shape[1])
+            squares[used, width] += g * g
+            table_[used, width] -= RATE * g / np.sqrt(squares[used, width] + 1e-6)
 
     def learn(self, h: np.ndarray, text: np.ndarray) -> None:
         m = self.model
         rank, _, inner, group, one, two = m.parts(h, text)
         for i in range(0, len(h), BATCH):
             s = slice(i, i + BATCH)
-            rows = class_features(one[s], two[s])
+            rows = class_features(one[s], two[s], m.tables.rows)
             g = np.exp(log_softmax(m.class_logits(rows)))
             g[np.arange(len(g)), group[s]] -= 1
             self._step(m.tables.classes, self.squares.classes, rows, g)
             x = np.flatnonzero(inner[s])
             if len(x):
                 k = group[s][x]
-                rows = word_features(one[s][x], two[s][x], k)
+                rows = word_features(one[s][x], two[s][x], k, m.tables.rows)
                 g = np.exp(log_softmax(m.word_logits(rows, k)))
                 g[np.arange(len(g)), rank[s][x] % CLASS_WORDS] -= 1
                 self._step(m.tables.words, self.squares.words, rows, g)
+            x = np.flatnonzero(~inner[s])
+            for rows, logits, branch in m.steps(h[s][x], one[s][x], two[s][x]) if len(x) else ():
+                g = np.exp(log_softmax(logits))
+                g[np.arange(len(g)), branch] -= 1
+                self._step(m.tables.nodes, self.squares.nodes, rows, g)
 
 
-def _blocks(changes: np.ndarray, touched: np.ndarray, first: int) -> Iterator[tuple[int, bytes, bytes]]:
-    for i in range(0, len(changes), BLOCK):
-        t = touched[i : i + BLOCK]
+def _blocks(changes: np.ndarray, touched: np.ndarray, first: int, block: int) -> Iterator[tuple[int, bytes, bytes]]:
+    for i in range(0, len(changes), block):
+        t = touched[i : i + block]
         if t.any():
-            yield first + i // BLOCK, changes[i : i + BLOCK].astype(np.float32).tobytes(), t.astype(np.int32).tobytes()
+            yield first + i // block, changes[i : i + block].astype(np.float32).tobytes(), t.astype(np.int32).tobytes()
 
 
 BLOCKS = "block int, change binary, touched binary"
@@ -260,48 +346,46 @@ BLOCKS = "block int, change binary, touched binary"
 def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
     """The model after `rounds` rounds over disjoint slices of the rows for which `learn` holds."""
     spark = docs.sparkSession
-    tables, tasks = Tables.blank(), 2 * spark.sparkContext.defaultParallelism
-    class_blocks = CLASS_KINDS * CLASS_ROWS // BLOCK
+    tables, tasks = Tables.blank(vocabulary.rows), 2 * spark.sparkContext.defaultParallelism
+    block_rows = BLOCK * (tables.rows // CLASS_ROWS)  # as many blocks whatever the rows
+    firsts = [0, *np.cumsum([len(t) // block_rows for t in tables.all]).tolist()]
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = Learner(Model(vocabulary, tables))
         for b in batches:
             for _, _, data, offsets in pieces(b, "text"):
                 learner.learn(*tokens(split(data, offsets, lower=True)))
-        after, squares = learner.model.tables, learner.squares
-        rows = [x for new, old, s, first in ((after.classes, tables.classes, squares.classes, 0), (after.words, tables.words, squares.words, class_blocks)) for x in _blocks(new - old, s.any(axis=1), first)]
+        each = zip(learner.model.tables.all, tables.all, learner.squares.all, firsts[:-1], strict=True)
+        rows = [x for new, old, s, first in each for x in _blocks(new - old, s.any(axis=1), first, block_rows)]
         if rows:
             block, change, touched = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(change, pa.binary()), pa.array(touched, pa.binary())], ["block", "change", "touched"])
 
     def averaged(met: pa.Table) -> pa.Table:
         n = sum(np.frombuffer(t, dtype=np.int32) for t in met["touched"].to_pylist())
-        total = sum(np.frombuffer(c, dtype=np.float32).astype(np.float64) for c in met["change"].to_pylist()).reshape(BLOCK, -1)
+        total = sum(np.frombuffer(c, dtype=np.float32).astype(np.float64) for c in met["change"].to_pylist()).reshape(block_rows, -1)
         mean = (total / np.maximum(n, 1)[:, None]).astype(np.float32)
         return pa.table([pa.array([met["block"][0].as_py()], pa.int32()), pa.array([mean.tobytes()], pa.binary()), pa.array([n.astype(np.int32).tobytes()], pa.binary())], names=["block", "change", "touched"])
 
     for i in range(rounds):
         own = docs.where(learn).where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text")
         met = own.coalesce(tasks).mapInArrow(learned, BLOCKS).groupBy("block").applyInArrow(averaged, BLOCKS)
-        new = Tables(tables.classes.copy(), tables.words.copy())
-        for r in met.toArrow().to_pylist():  # at most TABLES numbers
-            change = np.frombuffer(r["change"], dtype=np.float32).reshape(BLOCK, -1)
-            if r["block"] < class_blocks:
-                new.classes[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] += change
-            else:
-                at = (r["block"] - class_blocks) * BLOCK
-                new.words[at : at + BLOCK] += change
+        new = Tables(*(t.copy() for t in tables.all))
+        for r in met.toArrow().to_pylist():  # at most the numbers of the tables
+            k = int(np.searchsorted(firsts, r["block"], side="right")) - 1
+            at = (r["block"] - firsts[k]) * block_rows
+            new.all[k][at : at + block_rows] += np.frombuffer(r["change"], dtype=np.float32).reshape(block_rows, -1)
         tables = new
     return Model(vocabulary, tables)
 
 
-SCORED = "word long, doc long, part long, n int, held_out boolean, n_tokens long, n_known long, base double, score double"
+SCORED = "word long, doc long, part long, n int, held_out boolean, n_tokens long, n_known long, base double, score double, path double"
 
 
 def score_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """(doc, part, held_out, text) rows to one row each (n is null), and one for each of its words outside the head."""
     v = model.vocabulary
-    base_total, tail_total = np.log10(v.base_total), np.log10(v.tail_total())
+    base_total = np.log10(v.base_total)
     names = [x.split()[0] for x in SCORED.split(", ")]
     for b in batches:
         for a, z, data, offsets in pieces(b, "text"):
@@ -312,21 +396,26 @@ def score_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             inner, out = (rank >= 0) & (rank < MODEL_WORDS), rank < 0
             own = np.where(out, 0.0, np.log10(c + 0.5))
             base = np.bincount(text, own - base_total, rows)
-            score = np.bincount(text, p + np.where(inner, 0.0, own - tail_total), rows)
+            # a counted word of the tail is p, path and c + 0.5; an unseen one p and 0.5 of the tail; outside the head, `score` decides
+            at = np.flatnonzero(~inner)
+            path = np.zeros(len(h))
+            path[at] = model.tail_log10(h, text, at)
+            score = np.bincount(text, p + np.where(inner | out, 0.0, own + path), rows)
             per = [np.bincount(text, minlength=rows), np.bincount(text, rank >= 0, rows).astype(np.int64)]
             spread = mix(doc.astype(np.uint64) + part.astype(np.uint64)).view(np.int64)
             nulls = lambda kind, m: pa.nulls(m, kind)
-            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(doc), pa.array(part), nulls(pa.int32(), rows), b.column(2).slice(a, rows), pa.array(per[0]), pa.array(per[1]), pa.array(base), pa.array(score)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(doc), pa.array(part), nulls(pa.int32(), rows), b.column(2).slice(a, rows), pa.array(per[0]), pa.array(per[1]), pa.array(base), pa.array(score), nulls(pa.float64(), rows)], names)
             # words outside the head, by text and word
-            h, text = h[out], text[out]
+            h, text, path = h[out], text[out], path[out]
             order = np.lexsort((h, text))
-            h, text = h[order], text[order]
+            h, text, path = h[order], text[order], path[order]
             starts = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))) if len(h) else np.zeros(0, dtype=np.int64)
             n = np.diff(np.append(starts, len(h))).astype(np.int32)
+            path = np.add.reduceat(path, starts) if len(h) else path
             h, text = h[starts].view(np.int64), text[starts]
             for i in range(0, len(h), 1 << 16):
                 s, m = slice(i, i + (1 << 16)), len(h[i : i + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([pa.array(h[s]), pa.array(doc[text[s]]), pa.array(part[text[s]]), pa.array(n[s]), nulls(pa.bool_(), m), nulls(pa.int64(), m), nulls(pa.int64(), m), nulls(pa.float64(), m), nulls(pa.float64(), m)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(h[s]), pa.array(doc[text[s]]), pa.array(part[text[s]]), pa.array(n[s]), nulls(pa.bool_(), m), nulls(pa.int64(), m), nulls(pa.int64(), m), nulls(pa.float64(), m), nulls(pa.float64(), m), pa.array(path[s])], names)
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -337,6 +426,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     met = rows.join(counts, "word", "left")
     whole = F.col("n").isNull()
     share_ = F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + 0.5)
+    unseen = F.col("n") * F.lit(float(-np.log10(model.vocabulary.tail_total())))
+    within = F.when(F.col("c") > 0, F.col("path")).otherwise(unseen)
     per = met.groupBy("doc", "part").agg(
         F.count_if(whole).alias("times"),
         F.max("held_out").alias("held_out"),
@@ -345,12 +436,13 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         F.max("base").alias("base"),
         F.max("score").alias("score"),
         F.coalesce(F.sum(F.when(~whole, share_)), F.lit(0.0)).alias("more"),
+        F.coalesce(F.sum(F.when(~whole, within)), F.lit(0.0)).alias("within"),
         F.coalesce(F.sum(F.when(~whole & (F.col("c") > 0), F.col("n"))), F.lit(0)).alias("more_known"),
     )
     # rows repeated entirely have met each word that often
-    each = per.withColumn("more", F.col("more") / F.col("times")).withColumn("more_known", (F.col("more_known") / F.col("times")).cast("long"))
+    each = per.withColumn("more", F.col("more") / F.col("times")).withColumn("within", F.col("within") / F.col("times")).withColumn("more_known", (F.col("more_known") / F.col("times")).cast("long"))
     each = each.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return each.select(F.nullif("doc", last).alias("doc_id"), "held_out", "n_tokens", (F.col("known") + F.col("more_known")).alias("n_known"), F.lit(model.vocabulary.n).cast("long").alias("train_tokens"), (F.col("base") + F.col("more")).alias("base_score"), (F.col("score") + F.col("more")).alias("score"))
+    return each.select(F.nullif("doc", last).alias("doc_id"), "held_out", "n_tokens", (F.col("known") + F.col("more_known")).alias("n_known"), F.lit(model.vocabulary.n).cast("long").alias("train_tokens"), (F.col("base") + F.col("more")).alias("base_score"), (F.col("score") + F.col("more") + F.col("within")).alias("score"))
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,6 +233,43 @@ def test_language_model(docs, rows, none):
     assert maxent_lm.score(d, maxent_lm.train(e, "not held_out", empty), counts.limit(0)).count() == len(rows)
 
 
+def test_language_model_learns_words_outside_the_classes(spark):
+    """4,000 words less frequent than MODEL_WORDS others, in fixed pairs: pairs as learned score better than the same words paired anew."""
+    rng = np.random.default_rng(1)
+    line = lambda first, then: " ".join(f"a{i} b{j}" for i, j in zip(first, then, strict=True))
+    common = " ".join(f"f{i}" for i in range(1100))  # they fill the classes
+    lines = [f"{common} {line(x, x)}" for x in (rng.permutation(2000)[:500] for _ in range(240))]
+    x = rng.permutation(2000)[:500]
+    learned = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string").withColumn("held_out", F.lit(False))
+    counts = maxent_lm.cut(learned.select("text").mapInArrow(maxent_lm.count_words, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
+    model = maxent_lm.train(learned, "not held_out", maxent_lm.Vocabulary.of(counts))
+    asked = spark.createDataFrame([(0, line(x, x)), (1, line(x, np.roll(x, 1)))], "doc_id long, text string").withColumn("held_out", F.lit(True))
+    got = {r["doc_id"]: r["score"] for r in maxent_lm.score(asked, model, counts).collect()}
+    assert got[0] > got[1] + 50
+
+
+def test_language_model_tree_sums_to_one(spark):
+    """Over all counted words and one unseen word, whatever the weights."""
+    rng = np.random.default_rng(2)
+    c = rng.integers(1, 500, 20000)
+    word = rng.integers(-(1 << 63), 1 << 63, 20000, dtype=np.int64)
+    v = maxent_lm.Vocabulary.of(maxent_lm.cut(spark.createDataFrame(list(zip(word.tolist(), c.tolist(), strict=True)), "word long, c long")))
+    assert len(v.groups) > 1 and v.groups.sum() == pytest.approx(v.tail_total() - 0.5)
+    t = maxent_lm.Tables.blank(v.rows)
+    for x in t.all:
+        x += rng.normal(0, 1, x.shape).astype(np.float32)
+    m = maxent_lm.Model(v, t)
+    h = np.column_stack([np.full(20001, word[3]), np.append(word, 1)]).ravel().view(np.uint64)
+    text = np.repeat(np.arange(20001), 2)
+    rank, _, p = m.log10(h, text)
+    tail = np.flatnonzero((rank < 0) | (rank >= maxent_lm.MODEL_WORDS))
+    path = np.zeros(len(h))
+    path[tail] = m.tail_log10(h, text, tail)
+    p[tail] += path[tail] + np.log10(np.repeat(np.append(c, 0), 2)[tail] + 0.5)
+    p[-1] += np.log10(0.5 / v.tail_total()) - path[-1] - np.log10(0.5)
+    assert (10 ** p[1::2]).sum() == pytest.approx(1, abs=1e-3)
+
+
 def test_language_model_keeps_texts_of_one_id_apart(spark):
     """Different texts under a null doc_id, and under one that repeats, have their own rows."""
     lines = [(i, " ".join(["w"] * (1 + i // 50) + [f"u{i}"])) for i in range(3000)]
