@@ -1,27 +1,31 @@
 """Exact n-gram Jaccard self-join, as classes of linked documents, by set-relation skipping.
 
 A document is the set of its distinct shingles of N words (lower-cased A-Z; one shingle of all words where
-there are fewer).  Two documents link when their Jaccard similarity is at least 80 %.
+there are fewer).  Two documents link when their Jaccard similarity is at least 80 %.  Equal sets are one
+node.
 
 1. Filter.  In the order of their hashes, two linked sets share the first elements of what they share
-   within their first 20 % + EXTRA (`prefix`), so a linked set has EXTRA * 80 % of its size of those
-   repeated elsewhere.  Sets that haven't are finished.
-2. Equal sets become one node.  Elements are now ordered by how many nodes have them, the rare ones first;
-   a node is listed under the elements of its prefix, with its size and the element's position.  An element
-   that only one node has lists nothing.
-3. Index lists.  In each list one set leads, the one with the largest share of repeated elements.  Its
+   within their first 20 % + EXTRA (`prefix`), so a linked set has EXTRA * 80 % of its size of those in other
+   nodes as well.  Nodes that haven't are finished.  These elements travel sorted and packed, a row for each
+   range of hashes; of equal ones within a task, one is sent.
+2. One row of each node that passes is read again for its whole set; sets are never shuffled to find
+   equal ones.
+3. Elements are ordered by how many nodes have them, the rare ones first; a node is listed under the elements
+   of its prefix, with its size and the element's position.  An element that only one node has lists nothing.
+4. Index lists.  In each list one set leads, the one with the largest share of repeated elements.  Its
    overlap with each member is computed.  From these answers those between two members of the list are
    derived: with the leader L, |a & b| is at most min(|a & L|, |b & L|) + min(|a - L|, |b - L|) and at least
    |a & L| + |b & L| - |L|, which mostly settles the pair without a look at it.
-4. What is left are pairs in different components that share a list.  Lists are cut into blocks by size;
-   a block meets only the blocks with sizes in reach, and positions skip the entries behind which too little
-   is left to share.  These pairs are verified.
-5. Components of all links.
+5. What is left are pairs in different components that share a list.  A list is cut into blocks by size and
+   by what remains behind the element's position.  A set meets the blocks of sets that are no larger, but for
+   those in which too little remains to reach its own size: they are skipped as a whole.  The pairs that
+   bounds don't settle are verified.
+6. Components of all links.
 
-No list is expanded into its pairs: leaders make one pair a member, and only members of different
-components in neighbouring blocks, not settled by bounds, meet.  Counts are partial before shuffles, lists
-join by hash (Spark splits a hot key in a join), and there is no cap anywhere.  Sets are compared by 64-bit
-hashes of shingles, and nodes are 64-bit hashes of sets.
+A leader makes one pair a member.  Beyond that only members of different components in blocks within reach
+meet.  Lists of more than LIST_CELL nodes are dealt to several tasks, in a grid where pairs meet, and so are
+the sets that many pairs name.  Counts are partial before shuffles, and there is no cap anywhere.  Sets are
+compared by 64-bit hashes of shingles, and nodes are 64-bit hashes of sets.
 
 Defined results: a null or empty text has no shingles and is its own component.  A row with a null doc_id
 links with nothing and has a null component.  Rows that repeat a doc_id are one vertex each (with the same
@@ -36,21 +40,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from recordspark.llm.common import cut, table
 from recordspark.llm.components import components
+from recordspark.llm.substring_dedup import _runs, pack, unpack
 from recordspark.llm.words import Words, grams, mix, pieces, split
 
 N = 5
 #: Filter: this share of a set is looked at beyond the 20 % that linked sets may differ in.
 EXTRA_PERCENT = 10
-#: Bits of a shingle's hash in the filter, where a chance collision costs work and nothing else.
-FILTER_BITS = 48
-#: Shingles that a task holds before it sends them on.
-HELD = 1 << 21
-#: The ids of documents that pass the filter are broadcast up to this many (8 bytes each), and shuffled beyond.
+#: Bits of a shingle's hash and of a node's in the filter, where a chance collision costs work and nothing else.
+FILTER_BITS, REF_BITS = 48, 40
+#: Shingles that a task holds before it sends them on; ranges of hashes for each shuffle partition.
+HELD, BUCKETS = 1 << 21, 4
+#: Nodes (or other longs) are broadcast up to this many (8 to 16 bytes each), and shuffled beyond.
 BROADCAST_IDS = 4_000_000
+#: Nodes of a list that one task gets; longer lists are dealt to several.
+LIST_CELL = 512
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +78,12 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return key, np.searchsorted(owner, np.arange(rows + 1))
 
 
+def nodes_of(key: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each set; `first` has the ends of their runs in `key`."""
+    total = np.concatenate(([np.uint64(0)], np.cumsum(mix(key), dtype=np.uint64)))
+    return mix((total[first[1:]] - total[first[:-1]]) + np.diff(first).astype(np.uint64))
+
+
 def slack(n):
     """How many elements of a set of n a linked set may lack."""
     return n - (80 * n + 99) // 100
@@ -81,36 +93,62 @@ def prefix(n):
     return np.minimum(n, slack(n) + np.maximum(1, (EXTRA_PERCENT * n + 99) // 100))
 
 
-def needed(n):
+def needed() -> Column:
     """Repeated elements in the prefix of a linked set of n: as many as the smaller set's extra part."""
-    least = (80 * n + 99) // 100
-    return np.maximum(1, (EXTRA_PERCENT * least + 99) // 100)
+    return F.greatest(F.lit(1), F.ceil(EXTRA_PERCENT * F.ceil(80 * F.col("n") / 100) / 100))
+
+
+def ref_of(node: Column) -> Column:
+    return F.greatest(F.shiftrightunsigned(node, 64 - REF_BITS), F.lit(1))
 
 
-FILTER_ROWS = "key long, doc long, n int, known int"
+#: bucket and packed: elements of a range of hashes and whose they are; or a row of a document, where `repeated` is what its task has settled.
+SENT = "bucket int, packed binary, ref long, repeated int, doc long, mark long, n int, node long"
+MET = "ref long, repeated int, doc long, mark long, n int, node long"
 
 
-def filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) rows to the prefixes' elements, and one row a document with n and what is repeated within the task."""
-    names = ["key", "doc", "n", "known"]
+def _starts(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, dtype=np.int64)
+
+
+def filter_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, mark, text) rows to SENT."""
+    names = [x.split()[0] for x in SENT.split(", ")]
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        key, doc, docs, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, row, docs, marks, sizes, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
+        refs = np.maximum(nodes >> np.uint64(64 - REF_BITS), np.uint64(1))
+        # of equal nodes one sends
+        leads = np.zeros(len(nodes), dtype=bool)
+        leads[np.unique(refs, return_index=True)[1]] = True
+        sends = leads[row]
+        key, ref = key[sends], refs[row[sends]]
         order = np.argsort(key, kind="stable")
-        key, doc = key[order], doc[order]
+        key, ref = key[order], ref[order]
         first = np.ones(len(key), dtype=bool)
         first[1:] = key[1:] != key[:-1]
-        group = np.cumsum(first) - 1
-        times = np.bincount(group)[group] if len(key) else group
-        # the first of several stands for all of them elsewhere, and is known here
-        known = np.bincount(doc[times > 1], minlength=len(docs))
-        out_key = key[first].view(np.int64)
-        out_doc = np.where(times[first] > 1, np.int64(-1), docs[doc[first]])
-        for i in range(0, len(out_key), 1 << 16):
-            z = min(len(out_key), i + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(out_key[i:z]), pa.array(out_doc[i:z], mask=out_doc[i:z] == -1), pa.nulls(z - i, pa.int32()), pa.nulls(z - i, pa.int32())], names)
-        spread = mix(docs.astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(docs), pa.array(sizes.astype(np.int32)), pa.array(known.astype(np.int32))], names)
+        times = np.diff(np.append(np.flatnonzero(first), len(key)))
+        several = np.repeat(times > 1, times)
+        known_ref, known = np.unique(ref[several], return_counts=True)
+        repeated = np.zeros(len(nodes), dtype=np.int32)
+        if len(known_ref):
+            at = np.minimum(np.searchsorted(known_ref, refs), len(known_ref) - 1)
+            repeated[leads] = np.where(known_ref[at] == refs, known[at], 0)[leads]
+        # the first of several stands for all of them elsewhere, as nobody's
+        key, ref = key[first], np.where(times > 1, np.uint64(0), ref[first])
+        bucket = ((key << np.uint64(64 - FILTER_BITS) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        starts = _starts(bucket)
+        step = np.diff(key, prepend=key[:1])
+        step[starts] = key[starts]
+        packed = [pack(step[a:z].view(np.int64), ref[a:z].view(np.int64)) for a, z in zip(starts, np.append(starts[1:], len(key)), strict=True)]
+        n = len(packed)
+        for i in range(0, n, 64):
+            m = min(64, n - i)
+            rest = [pa.nulls(m, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts[i : i + m]], pa.int32()), pa.array(packed[i : i + m], pa.binary()), *rest], names)
+        dealt = ((refs & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        m = len(nodes)
+        yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), pa.nulls(m, pa.binary()), pa.array(refs.view(np.int64)), pa.array(repeated), pa.array(docs), pa.array(marks), pa.array(sizes.astype(np.int32)), pa.array(nodes.view(np.int64))], names)
 
     held, size, texts = [], 0, 0
     for b in batches:
@@ -119,7 +157,7 @@ def filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.diff(first)
             owner = np.repeat(np.arange(z - a), n)
             chosen = np.arange(len(key)) - first[owner] < prefix(n)[owner]
-            held.append((key[chosen] >> np.uint64(64 - FILTER_BITS), owner[chosen] + texts, b.column(0).slice(a, z - a).to_numpy(), n))
+            held.append((key[chosen] >> np.uint64(64 - FILTER_BITS), owner[chosen] + texts, b.column(0).slice(a, z - a).to_numpy(), b.column(1).slice(a, z - a).to_numpy(), n, nodes_of(key, first)))
             size, texts = size + int(chosen.sum()), texts + z - a
             if size >= HELD:
                 yield from flush(held)
@@ -128,26 +166,101 @@ def filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
-SETS = "doc long, n int, node long, elements array<long>"
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SENT sorted by bucket to MET: how many elements of each node are repeated between tasks, and the documents' rows."""
+    names = [x.split()[0] for x in MET.split(", ")]
+    held, rows = [], []
+
+    def ranges() -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows.append(b.filter(b.column(4).is_valid()))
+            rest = b.filter(b.column(1).is_valid())
+            yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1)], ["bucket", "packed"])
+
+    def send() -> Iterator[pa.RecordBatch]:
+        if held:
+            ref, times = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            for i in range(0, len(ref), 1 << 16):
+                m = len(ref[i : i + (1 << 16)])
+                rest = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(ref[i : i + m].view(np.int64)), pa.array(times[i : i + m], pa.int32()), *rest], names)
+
+    for _, packed in _runs(ranges()):
+        columns = [unpack(p, 2) for p in packed]
+        key = np.concatenate([np.add.accumulate(c[0].view(np.uint64), dtype=np.uint64) for c in columns])
+        ref = np.concatenate([c[1].view(np.uint64) for c in columns])
+        order = np.lexsort((ref, key))
+        key, ref = key[order], ref[order]
+        fresh = np.ones(len(key), dtype=bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (ref[1:] != ref[:-1])
+        key, ref = key[fresh], ref[fresh]
+        times = np.diff(np.append(_starts(key), len(key)))
+        held.append(ref[np.repeat(times > 1, times) & (ref > 0)])
+        for b in rows:
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(2, 8)], names)
+        rows.clear()
+        if sum(map(len, held)) >= HELD:
+            yield from send()
+    for b in rows:
+        yield pa.RecordBatch.from_arrays([b.column(i) for i in range(2, 8)], names)
+    yield from send()
+
+
+SETS = "node long, n int, elements array<long>"
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, ..., text) rows to whole sets; columns between the two stay, at the end."""
+    """(text) rows to whole sets."""
     for b in batches:
         for a, z, data, offsets in pieces(b, "text"):
             key, first = shingles(split(data, offsets, lower=True))
-            n = np.diff(first)
-            total = np.concatenate(([np.uint64(0)], np.cumsum(mix(key), dtype=np.uint64)))
-            node = mix((total[first[1:]] - total[first[:-1]]) + n.astype(np.uint64)).view(np.int64)
             elements = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(key.view(np.int64)))
-            more = [c.slice(a, z - a) for c in b.columns[1:-1]]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n.astype(np.int32)), pa.array(node), elements, *more], ["doc", "n", "node", "elements", *b.schema.names[1:-1]])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes_of(key, first).view(np.int64)), pa.array(np.diff(first).astype(np.int32)), elements], ["node", "n", "elements"])
+
+
+def small(df: DataFrame) -> DataFrame:
+    """`df`, to be broadcast if it has at most BROADCAST_IDS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """MET of the rows (doc_id, mark, text), none of which has a null doc_id or text."""
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = docs.mapInArrow(lambda b: filter_rows(b, buckets), SENT)
+    return cut(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, MET))
+
+
+def passing(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node, n, first and least of every node with elements; and node, first of those that the filter passes.
+
+    first is a node's smallest (doc, mark, times), where times tells how often these rows are repeated entirely; least its smallest doc."""
+    each = met.where("node is not null and n > 0").groupBy("node", "doc", "mark").agg(F.first("n").alias("n"), F.count("*").alias("times"))
+    nodes = cut(each.groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("doc", "mark", "times")).alias("first"), F.min("doc").alias("least")))
+    repeated = met.groupBy("ref").agg(F.sum("repeated").alias("repeated")).where("repeated > 0")
+    return nodes, nodes.withColumn("ref", ref_of(F.col("node"))).join(repeated, "ref").where(F.col("repeated") >= needed()).select("node", "first")
+
+
+def whole_sets(docs: DataFrame, passed: DataFrame) -> DataFrame:
+    """The sets of the nodes in `passed`, from one row of `docs` (mark, text) each."""
+    passed = cut(passed.select(F.col("first.mark").alias("mark"), F.col("first.times").alias("times")))
+    read = lambda which: docs.join(small(passed.where(which).select("mark")), "mark", "left_semi")
+    out = read("times = 1").select("text").mapInArrow(set_rows, SETS)
+    if not passed.where("times > 1").isEmpty():
+        # rows repeated entirely become one before their texts are split
+        out = out.union(read("times > 1").groupBy("mark").agg(F.first("text").alias("text")).select("text").mapInArrow(set_rows, SETS))
+    return cut(out)
+
+
+def attach(pairs: DataFrame, sets: DataFrame, side: str, other: str, size: str, elements: str) -> DataFrame:
+    """`pairs` with the sets that `side` names.  A pair's `salts` tells over how many tasks those that name the same set are dealt."""
+    need = pairs.select(F.col(side).alias("node"), "salts").distinct()
+    copies = sets.join(small(need), "node").select(F.col("node").alias(side), "salts", F.col("n").alias(size), F.col("elements").alias(elements), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("_i"))
+    return pairs.withColumn("_i", F.pmod(F.xxhash64(other), F.col("salts")).cast("int")).join(copies, [side, "salts", "_i"]).drop("_i")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, the sizes na and nb, and the overlap of each pair (a, b) of nodes."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("elements").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("y"))
+    """a, b, the sizes na and nb, and the overlap of each pair (a, b, salts) of nodes."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -155,8 +268,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             found = [len(np.intersect1d(x[i].values.to_numpy(), y[i].values.to_numpy(), assume_unique=True)) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(found, pa.int32())], ["a", "b", "na", "nb", "overlap"])
 
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "x", "y")
-    return both.mapInArrow(counted, "a long, b long, na int, nb int, overlap int")
+    both = attach(attach(pairs.select("a", "b", "salts"), sets, "a", "b", "na", "x"), sets, "b", "a", "nb", "y")
+    return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(counted, "a long, b long, na int, nb int, overlap int")
 
 
 def linked(overlap: Column | str, na: Column | str, nb: Column | str) -> Column:
@@ -164,119 +277,101 @@ def linked(overlap: Column | str, na: Column | str, nb: Column | str) -> Column:
     return 100 * o >= 80 * (x + y - o)
 
 
-def passing(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc and n (of each row) of the documents that the filter finishes, and doc of those that it passes."""
-    met = docs.mapInArrow(filter_rows, FILTER_ROWS)
-    met = met.withColumn("times", F.count("*").over(Window.partitionBy("key")))
-    seen = met.where("doc is not null and (known is not null or times > 1)")
-    per = seen.groupBy("doc").agg(F.sum(F.coalesce("known", F.lit(1))).alias("repeated"), F.min(F.when(F.col("known").isNotNull(), F.col("n"))).alias("least"), F.collect_list(F.when(F.col("known").isNotNull(), F.col("n"))).alias("sizes"))
-    least = F.ceil(80 * F.col("least") / 100)
-    passes = (F.col("least") > 0) & (F.col("repeated") >= F.greatest(F.lit(1), F.ceil(EXTRA_PERCENT * least / 100)))
-    per = cut(per.select("doc", "sizes", (passes | (F.size("sizes") > 1)).alias("passes")))
-    return per.where("not passes").select("doc", F.explode("sizes").alias("n")), per.where("passes").select("doc")
-
-
 def index_lists(sets: DataFrame) -> DataFrame:
-    """The entries of the lists: h, node, n, pos (the element's position, from 0) and weight (share of repeated elements)."""
-    entries = sets.select("node", "n", F.explode("elements").alias("h"))
+    """The entries of the lists: h, node, n, pos (the element's position, from 0), weight (share of repeated elements) and salts.
+
+    h begins with 4 times the logarithm of the number of nodes that have the element, so its order is that of the
+    elements; 56 bits of the shingle's hash follow.  salts is how many tasks the list is dealt to."""
+    entries = sets.select("node", "n", F.explode("elements").alias("h")).withColumn("h", F.shiftrightunsigned("h", 8))
     times = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    per = entries.join(times, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("e"))
+    code = F.least(F.floor(F.log2("df") * 4), F.lit(127)).cast("long")
+    per = entries.join(times, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.shiftleft(code, 56).bitwiseOR(F.col("h")))).alias("e"))
     unique = F.col("n") - F.size("e")
     length = F.col("n") - F.ceil(80 * F.col("n") / 100) + 1
-    listed = per.where(unique < length).select("node", "n", unique.alias("u"), (F.size("e") / F.col("n")).alias("weight"), F.posexplode(F.slice("e", F.lit(1), (length - unique).cast("int"))).alias("i", "x"))
-    return listed.select(F.col("x.h").alias("h"), "node", "n", (F.col("u") + F.col("i")).alias("pos"), "weight")
+    listed = per.where(unique < length).select("node", "n", unique.alias("u"), (F.size("e") / F.col("n")).alias("weight"), F.posexplode(F.slice("e", F.lit(1), (length - unique).cast("int"))).alias("i", "h"))
+    most = F.pow(F.lit(2.0), (F.shiftright("h", 56) + 1) / 4)
+    return listed.select("h", "node", "n", (F.col("u") + F.col("i")).alias("pos"), "weight", F.ceil(most / LIST_CELL).cast("int").alias("salts"))
+
+
+def spread(per_list: DataFrame) -> DataFrame:
+    """Rows for each list (h, salts) to all tasks `_i` that it is dealt to."""
+    return per_list.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
 
 
 def links(sets: DataFrame) -> DataFrame:
     """a, b of links that connect all linked nodes."""
-    lists = cut(index_lists(sets))
-    best = lists.groupBy("h").agg(F.max(F.struct("weight", "node", "n")).alias("l"), F.count("*").alias("many")).where("many > 1").select("h", F.col("l.node").alias("leader"), F.col("l.n").alias("nl"))
-    lists = lists.join(best, "h").withColumnRenamed("node", "a")
-    led = lists.where("a <> leader").select("a", F.col("leader").alias("b")).distinct()
+    own = F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")
+    lists = cut(index_lists(sets)).withColumnRenamed("node", "a").withColumn("_i", own)
+    best = lists.groupBy("h", "salts").agg(F.max(F.struct("weight", "a", "n")).alias("l"), F.count("*").alias("many")).where("many > 1").select("h", "salts", F.col("l.a").alias("leader"), F.col("l.n").alias("nl"))
+    lists = lists.join(spread(best), ["h", "salts", "_i"])
+    led = cut(lists.where("a <> leader").groupBy("a", F.col("leader").alias("b")).agg(F.max("salts").alias("salts")))
     answers = cut(overlaps(led, sets))
     direct = answers.where(linked("overlap", "na", "nb")).select("a", "b")
     roots = components(direct).select(F.col("node").alias("a"), "root")
     known = answers.select("a", F.col("b").alias("leader"), "overlap")
     lists = lists.join(known, ["a", "leader"], "left").join(roots, "a", "left")
-    lists = lists.select("h", "a", "n", "pos", "nl", F.coalesce("root", "a").alias("root"), F.when(F.col("a") == F.col("leader"), F.col("n")).otherwise(F.col("overlap")).alias("o"))
+    lists = cut(lists.select("h", "salts", "_i", "a", "n", "pos", "nl", F.coalesce("root", "a").alias("root"), F.when(F.col("a") == F.col("leader"), F.col("n")).otherwise(F.col("overlap")).alias("o")))
     # lists whose members are all in one component have nothing left to find
-    mixed = lists.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    # log base 1.25 of the size: linked sets are in the same block or in neighbouring ones
-    lists = cut(lists.join(mixed, "h", "left_semi").withColumn("block", F.floor(F.log("n") / F.lit(float(np.log(1.25))))))
-    x = lists.select("h", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "pos", "root", "o", "nl")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
-    y = lists.select("h", "block", *[F.col(c).alias(f"y_{c}") for c in ("a", "n", "pos", "root", "o")])
+    mixed = lists.groupBy("h", "salts").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h", "salts")
+    lists = cut(lists.join(spread(mixed), ["h", "salts", "_i"], "left_semi"))
+    # blocks of size and of what remains from the position on, two for each factor of 1.25
+    block = lambda c: F.floor(2 * F.log(c) / F.lit(float(np.log(1.25)))).cast("int")
+    size, rest = block(F.col("n")), block(F.col("n") - F.col("pos"))
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    # x is the larger; linked, the smaller's rest is at least 80 % of x, which is two blocks
+    within = F.array(*[F.struct((F.col("_size") - i).alias("size"), (F.col("_size") - j).alias("rest")) for i in range(3) for j in range(i, 3)])
+    x = lists.select("h", "salts", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "pos", "root", "o", "nl")], "_i", every.alias("_j"), size.alias("_size"))
+    x = x.withColumn("_b", F.explode(within)).select("*", "_b.size", "_b.rest").drop("_b", "_size")
+    y = lists.select("h", *[F.col(c).alias(f"y_{c}") for c in ("a", "n", "pos", "root", "o")], every.alias("_i"), F.col("_i").alias("_j"), size.alias("size"), rest.alias("rest"))
     # overlap that links the two: 80 / 180 of their sizes, rounded up
     wanted = F.ceil(80 * (F.col("x_n") + F.col("y_n")) / F.lit(180) - F.lit(1e-9))
-    behind = 1 + F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) - 1
+    behind = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    larger = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_a") > F.col("y_a")))
     # the first shared element of a linked pair has all that they share behind it
-    met = x.join(y, ["h", "block"]).where("x_a < y_a and x_root <> y_root").where(behind >= wanted)
+    met = x.join(y, ["h", "_i", "_j", "size", "rest"]).where(larger & (F.col("x_root") != F.col("y_root"))).where(behind >= wanted)
     most = F.least("x_o", "y_o") + F.least(F.col("x_n") - F.col("x_o"), F.col("y_n") - F.col("y_o"))
     least = F.col("x_o") + F.col("y_o") - F.col("x_nl")
-    pairs = met.where(most >= wanted).groupBy(F.col("x_a").alias("a"), F.col("y_a").alias("b")).agg(F.max(least >= wanted).alias("sure"))
-    pairs = cut(pairs)
+    pairs = cut(met.where(most >= wanted).groupBy(F.col("x_a").alias("a"), F.col("y_a").alias("b")).agg(F.max(least >= wanted).alias("sure"), F.max("salts").alias("salts")))
     verified = overlaps(pairs.where("not sure"), sets).where(linked("overlap", "na", "nb")).select("a", "b")
     return cut(direct.union(pairs.where("sure").select("a", "b")).union(verified))
 
 
-def labelled(named: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of rows (doc_id, mark, text): doc and n of those that the filter finishes; the others with their sets; node, root, least and first of the nodes.
-
-    least is a node's smallest doc, and first its smallest (doc, mark)."""
-    finished, passed = passing(named.select("doc_id", "text"))
-    small = passed.count() <= BROADCAST_IDS
-    kept = named.join(F.broadcast(passed) if small else passed, named["doc_id"] == passed["doc"], "left_semi")
-    members = cut(kept.mapInArrow(set_rows, SETS + ", mark long"))
-    sets = cut(members.groupBy("node").agg(F.first("n").alias("n"), F.first("elements").alias("elements"), F.min("doc").alias("least"), F.min(F.struct("doc", "mark")).alias("first")).where("n > 0"))
-    roots = components(links(sets.select("node", "n", "elements")))
-    return finished, members, sets.select("node", "least", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def labelled(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of rows (doc_id, mark, text) with doc_id: MET, and node, root, least and first of the nodes with elements."""
+    met = sized(named)
+    nodes, passed = passing(met)
+    roots = components(links(whole_sets(named.select("mark", "text"), passed)))
+    return met, nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """doc_id, mark (a hash of the text, which parts rows of one doc_id) and text."""
-    return docs.select("doc_id", F.xxhash64("text").alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """doc_id, mark (a hash of the two that parts rows) and text."""
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs`."""
     texts = marked(docs)
-    finished, members, labels = labelled(texts.where("doc_id is not null"))
+    met, labels = labelled(texts.where("doc_id is not null"))
     labels = labels.select("node", "least", "root")
     labels = labels.join(labels.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
-    out = members.select(F.col("doc").alias("doc_id"), "n", "node").join(labels, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = out.union(finished.select("doc", F.col("n").cast("long"), "doc"))
-    unnamed = texts.where("doc_id is null").select("doc_id", "text").mapInArrow(set_rows, SETS).select(F.col("doc"), F.col("n").cast("long"), F.col("doc"))
-    return out.union(unnamed)
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with all their columns, but of each component only one document: that of its smallest doc_id."""
-    found = cut(classes(docs.select("doc_id", "text")))
-    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("component_id") == F.col("doc_id")).alias("stays"))
-    losers = ids.where("not stays").select("doc_id")
-    losers = F.broadcast(losers) if losers.count() <= BROADCAST_IDS else losers
-    left = docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
-    again = ids.where("stays and rows > 1").select("doc_id")
-    if again.isEmpty():
-        return left
-    # rows that repeat a doc_id: one of them stays
-    repeated = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated)
+    out = met.where("doc is not null").select(F.col("doc").alias("doc_id"), "n", "node").join(labels, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    unnamed = texts.where("doc_id is null").select("text").mapInArrow(set_rows, SETS)
+    return out.union(unnamed.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
 
 
 def one_row_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with all their columns, but of each class of linked rows only one: that of the smallest (doc_id, hash of the text).
+    """The rows of `docs` with all their columns, but of each class of linked rows only one: that of the smallest (doc_id, hash of id and text).
 
     A row goes only if it is linked with the one that stays.  Rows that share a doc_id and are not linked all stay."""
-    rows = marked(docs)
-    _, members, labels = labelled(rows.where("doc_id is not null"))
-    labels = labels.select("node", "first", "root")
+    met, labels = labelled(marked(docs).where("doc_id is not null"))
+    labels = labels.select("node", F.struct("first.doc", "first.mark").alias("first"), "root")
     labels = labels.join(labels.groupBy("root").agg(F.min("first").alias("stays")), "root").select("node", "stays")
-    own = F.struct("doc", "mark")
-    found = members.where("n > 0").select("doc", "mark", "node").join(labels, "node").select("doc", "mark", (own == F.col("stays")).alias("stays"))
-    found = cut(found.groupBy("doc", "mark").agg(F.count("*").alias("rows"), F.first("stays").alias("stays")).where("not stays or rows > 1"))
-    losers = found.where("not stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark"))
-    losers = F.broadcast(losers) if losers.count() <= BROADCAST_IDS else losers
-    left = docs.withColumn("_mark", F.xxhash64("text")).join(losers, ["doc_id", "_mark"], "left_anti")
+    rows = met.where("doc is not null and n > 0").groupBy("doc", "mark", "node").agg(F.count("*").alias("rows"))
+    found = rows.join(labels, "node").select("doc", "mark", "rows", (F.struct("doc", "mark") == F.col("stays")).alias("stays"))
+    found = cut(found.where("not stays or rows > 1"))
+    losers = small(found.where("not stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark")))
+    left = docs.withColumn("_mark", F.xxhash64("doc_id", "text")).join(losers, ["doc_id", "_mark"], "left_anti")
     again = found.where("stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark"))
     if again.isEmpty():
         return left.select(*docs.columns)
