@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,31 @@ def share(*keys: str | Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys, F.lit("share")), 11) / F.lit(float(1 << 53))
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the shared checkpoint folder of the session; make one only where none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names in spark.checkpoint.dir.
+
+    Where none is named, a temporary one is made, for sessions that run on one machine only: executors on
+    other machines wouldn't see it.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows from a table of compressed columns in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows from reliable storage, with no lineage behind them."""
-    ensure_checkpoints(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -1,15 +1,19 @@
 """Quality rules whose thresholds control the risk of rejecting good documents.
 
 Base rules are fixed.  Each further rule is a ratio of a document and rejects values beyond a cutoff.
-Cutoffs come from labelled documents: for each stratum (a band of lengths) and rule, the cutoffs of a
-fixed grid are tested from the mildest to the strictest; a cutoff holds while the exact binomial test
-says that the rule rejects fewer than `risk / rules` of good documents, at a level that is divided by
-the number of rules and strata (Bonferroni; within one rule the fixed order of tests needs no further
-correction).  So with probability 1 - `level`, no stratum loses more than `risk` of its good documents
-to these rules.  A rule with too few labels stays off.
-
-Everything is DataFrame expressions.  The features of a document are computed in its own row, so no
-text is ever shuffled; labels meet six numbers a document; the table of cutoffs has one row for each
+Cutoffs come from labelled documents, for each stratum (a band of lengths).  The rules' cutoffs are
+tightened together, along a path of GRID steps from the mildest to the strictest, and the whole set of
+documents that a step rejects is tested: the step holds while the exact binomial test says that it rejects
+fewer than `risk` of good documents.  Tests in a fixed order up to the first failure need no correction
+among themselves; for the strata the level is divided by their number (Bonferroni).  So with probability
+1 - `level`, no stratum loses more than `risk` of its good documents at any step that holds.  Among these
+steps the one is taken that parts the labels best (share of bad ones rejected less share of good ones; of
+equal ones the mildest).  A test can't hold with too few labels: such strata are merged with the next
+shorter one, by the numbers of their good labels alone.  If all are too few, or no step that holds rejects
+a larger share of bad labels than of good ones, the rules stay off.
+
+Everything is DataFrame expressions.  The features of a document are computed once, in its own row, so no
+text is ever shuffled; labels meet a few numbers a document; the table of cutoffs has one row for each
 of the STRATA and is the only thing broadcast.
 
 Defined results: a null or empty text has no words, zeros everywhere and fails the base rules.  Rows
@@ -21,13 +25,14 @@ returns them unchanged.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recordspark.llm.common import SPACE, cut, table
+from recordspark.llm.common import SPACE, cut, stored, table
 
 #: Upper ends (in words) of the strata; the last one is open.
 BANDS = (100, 200, 500, 2000)
@@ -93,6 +98,11 @@ def strictness(name: str, ratio: Column) -> Column:
     return F.least(F.greatest(step, F.lit(1)), F.lit(GRID + 1)).cast("int")
 
 
+def joint() -> Column:
+    """The first step at which any of the rules rejects a document."""
+    return F.least(*[strictness(k, r) for k, r in ratios().items()])
+
+
 def log_gamma(x: Column) -> Column:
     """ln of the gamma function for x >= 1, by Stirling's series from x + 8 on."""
     z = x + 8.0
@@ -114,33 +124,56 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.exp(first + F.log(down["total"]))
 
 
+def merged(grid: DataFrame, least: int) -> DataFrame:
+    """stratum and group: strata from the longest down, each group with at least `least` good labels if there are as many."""
+    per = grid.groupBy("stratum").agg(F.sum("good").alias("n"))
+    one = per.agg(F.reverse(F.sort_array(F.collect_list(F.struct("stratum", "n")))).alias("x"))  # STRATA items
+    start = F.struct(F.array().cast("array<int>").alias("groups"), F.lit(0).alias("g"), F.lit(0).cast("long").alias("s"))
+
+    def step(acc: Column, x: Column) -> Column:
+        full = acc["s"] >= least
+        g = acc["g"] + full.cast("int")
+        return F.struct(F.concat(acc["groups"], F.array(g)).alias("groups"), g.alias("g"), F.when(full, x["n"]).otherwise(acc["s"] + x["n"]).alias("s"))
+
+    def finish(acc: Column) -> Column:
+        # what is left at the end joins the group before
+        return F.transform(acc["groups"], lambda g: F.least(g, F.when((acc["s"] < least) & (acc["g"] > 0), acc["g"] - 1).otherwise(acc["g"])))
+
+    return one.select(F.explode(F.arrays_zip(F.col("x.stratum").alias("stratum"), F.aggregate("x", start, step, finish).alias("group"))).alias("y")).select("y.*")
+
+
 def thresholds(counted: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """One row for each stratum: `stratum`, and for each rule its strictest safe step (0: the rule is off).
+    """One row for each stratum: `stratum`, `_cut` (the step of its cutoffs; 0: off), and good, bad, good_rejected and bad_rejected labels of its group.
 
     counted: doc_id and FEATURES of every document; labels: doc_id and quality.
     """
-    spark = counted.sparkSession
-    good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    # the null stratum of base failures meets no row of the grid
-    rows = counted.select("doc_id", F.when(~failed(), stratum()).alias("stratum"), *[strictness(k, r).alias(k) for k, r in ratios().items()]).join(good, "doc_id")
-    tall = rows.select("stratum", F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("step")) for k in RULES])).alias("x")).select("stratum", "x.*")
-    every = spark.createDataFrame([(s, k, i) for s in range(STRATA) for k in RULES for i in range(1, GRID + 2)], "stratum int, rule string, step int")
-    seen = every.join(F.broadcast(tall.groupBy("stratum", "rule", "step").count()), ["stratum", "rule", "step"], "left")
-    upto = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("stratum", "rule")
-    tests = seen.select("stratum", "rule", "step", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("k"), F.coalesce(F.sum("count").over(whole), F.lit(0)).alias("n"))
-    limit = risk / len(RULES)
-    passed = (F.col("n") > 0) & (F.col("k") < limit * F.col("n")) & (binomial_tail(F.col("k"), F.col("n"), limit) <= level / (len(RULES) * STRATA))
-    tests = tests.where(F.col("step") <= GRID).select("stratum", "rule", "step", F.min(passed.cast("int")).over(upto).alias("safe"))
-    chosen = tests.groupBy("stratum", "rule").agg(F.coalesce(F.max(F.when(F.col("safe") == 1, F.col("step"))), F.lit(0)).alias("step"))
-    return chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == k, F.col("step"))).alias(f"_cut_{k}") for k in RULES])
+    quality = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = counted.where(~failed()).select("doc_id", stratum().alias("stratum"), joint().alias("step")).join(quality, "doc_id")
+    of = lambda q: F.count_if(F.col("quality") == q)
+    seen = rows.groupBy("stratum", "step").agg(of(1).alias("good"), of(0).alias("bad"))
+    every = counted.sparkSession.range(STRATA).select(F.col("id").cast("int").alias("stratum"), F.explode(F.sequence(F.lit(1), F.lit(GRID + 1))).alias("step"))
+    grid = every.join(F.broadcast(seen), ["stratum", "step"], "left").select("stratum", "step", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "bad")])
+    grid = cut(grid)  # STRATA * (GRID + 1) rows
+    # fewer can't pass the test, even if no good one is rejected
+    groups = cut(merged(grid, math.ceil(math.log(level / STRATA) / math.log1p(-risk))))
+    upto = Window.partitionBy("group").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("group")
+    tests = grid.join(F.broadcast(groups), "stratum").groupBy("group", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    tests = tests.select("group", "step", *[F.sum(c).over(w).alias(n) for c, w, n in (("good", upto, "k"), ("good", whole, "n"), ("bad", upto, "b"), ("bad", whole, "m"))])
+    passed = (F.col("n") > 0) & (F.col("k") < risk * F.col("n")) & (binomial_tail(F.col("k"), F.col("n"), risk) <= level / STRATA)
+    gain = F.col("b") / F.greatest("m", F.lit(1)) - F.col("k") / F.greatest("n", F.lit(1))
+    tests = tests.where(F.col("step") <= GRID).withColumn("held", F.min(passed.cast("int")).over(upto) == 1).withColumn("gain", gain)
+    best = F.max(F.when(F.col("held") & (F.col("gain") > 0), F.struct("gain", (-F.col("step")).alias("step"), "k", "b")))
+    chosen = tests.groupBy("group").agg(best.alias("x"), F.max("n").alias("good"), F.max("m").alias("bad"))
+    chosen = chosen.select("group", F.coalesce(-F.col("x.step"), F.lit(0)).alias("_cut"), "good", "bad", F.coalesce("x.k", F.lit(0)).alias("good_rejected"), F.coalesce("x.b", F.lit(0)).alias("bad_rejected"))
+    return groups.join(F.broadcast(chosen), "group").drop("group")
 
 
 def with_verdict(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """`counted` with the columns `_failed` and `_kept`.  cutoffs has STRATA rows, so it is broadcast."""
-    joined = counted.withColumn("_stratum", stratum()).join(F.broadcast(cutoffs.withColumnRenamed("stratum", "_stratum")), "_stratum", "left")
-    rejected = reduce(lambda a, b: a | b, [strictness(k, r) <= F.coalesce(F.col(f"_cut_{k}"), F.lit(0)) for k, r in ratios().items()])
-    return joined.withColumn("_failed", failed()).withColumn("_kept", F.when(F.col("_failed"), F.lit(False)).otherwise(~rejected))
+    cutoffs = cutoffs.select(F.col("stratum").alias("_stratum"), "_cut")
+    joined = counted.withColumn("_stratum", stratum()).join(F.broadcast(cutoffs), "_stratum", "left")
+    return joined.withColumn("_failed", failed()).withColumn("_kept", ~F.col("_failed") & (joint() > F.coalesce("_cut", F.lit(0))))
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
@@ -153,16 +186,13 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
 def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns.
 
-    Texts are read twice, once for the cutoffs and once for the verdicts, which is less than to carry
-    them through a join.
+    Rows are written with their features to the shared folder, so that the features are computed once.
     """
-    spark = docs.sparkSession
-    counted = cut(features(docs.select("doc_id", "text")).select("doc_id", *FEATURES))
-    cutoffs = thresholds(counted, labels, risk, level)
-    cutoffs = spark.createDataFrame(cutoffs.collect(), cutoffs.schema)  # STRATA rows
     names = docs.columns
-    inner = docs.select(F.col("text").alias("text"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"))
-    return with_verdict(features(inner), cutoffs).where("_kept").select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)])
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row")
+    counted = stored(features(docs.select("doc_id", "text", row)).drop("text"))
+    kept = with_verdict(counted, thresholds(counted.drop("_row"), labels, risk, level)).where("_kept")
+    return kept.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,29 @@ def test_thresholds_reject_only_what_is_safe(spark):
     assert all(r["kept"] == (r["doc_id"] % 11 != 0) for r in got)
 
 
+def test_thresholds_act_and_keep_the_risk_on_held_out_labels(spark):
+    """Cutoffs from half of the labels: they reject low quality, and of the other half's good documents no more than the risk."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").cache()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    counted = quality_rules.cut(quality_rules.features(docs.select("doc_id", "text")).select("doc_id", *quality_rules.FEATURES))
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
+    cutoffs = quality_rules.cut(quality_rules.thresholds(counted, labels.where(half == 0)))
+    assert cutoffs.count() == quality_rules.STRATA and cutoffs.where("_cut > 0").count() == quality_rules.STRATA
+    seen = quality_rules.with_verdict(counted, cutoffs).where("not _failed").join(labels.where(half == 1), "doc_id").groupBy("quality").agg(F.count_if(~F.col("_kept")).alias("rejected"), F.count("*").alias("n"))
+    seen = {r["quality"]: (r["rejected"], r["n"]) for r in seen.collect()}
+    assert seen[1][0] <= quality_rules.RISK * seen[1][1] and seen[0][0] >= 0.9 * seen[0][1]
+
+
+def test_thin_strata_are_merged(spark):
+    grid = lambda *n: spark.createDataFrame([(i, 1, x) for i, x in enumerate(n)], "stratum int, step int, good long")
+    groups = lambda *n: [r["group"] for r in quality_rules.merged(grid(*n), 228).orderBy("stratum").collect()]
+    assert groups(300, 300, 300, 300, 300) == [4, 3, 2, 1, 0]
+    assert groups(300, 300, 300, 200, 44) == [3, 2, 1, 0, 0]
+    assert groups(10, 300, 300, 0, 44) == [1, 1, 0, 0, 0]
+    assert groups(5, 5, 5, 5, 5) == [0] * 5
+
+
 # 10
 def test_language_id(spark, docs, rows, none):
     rng = np.random.default_rng(1)
