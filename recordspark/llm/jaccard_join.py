@@ -146,7 +146,8 @@ def filter_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             m = min(64, n - i)
             rest = [pa.nulls(m, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[starts[i : i + m]], pa.int32()), pa.array(packed[i : i + m], pa.binary()), *rest], names)
-        dealt = ((refs & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # evenly, whatever the nodes: these rows only pass
+        dealt = ((mix(marks.view(np.uint64) + np.arange(len(marks), dtype=np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         m = len(nodes)
         yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), pa.nulls(m, pa.binary()), pa.array(refs.view(np.int64)), pa.array(repeated), pa.array(docs), pa.array(marks), pa.array(sizes.astype(np.int32)), pa.array(nodes.view(np.int64))], names)
 
