@@ -9,14 +9,17 @@ to a cell.
 1. A query searches the NEAREST_CELLS cells with the nearest boxes; its k-th best distance there bounds the
    true one.
 2. By the chi-square test, a vector at that distance or less has, with probability CONFIDENCE, a projected
-   distance of at most bound * quantile.  The query visits just the cells whose boxes reach that close.  In
-   a cell, vectors are verified in shells of growing projected distance, with the bound shrinking, until
-   the test holds for all that follow.  Only those within the bound are sent on.
+   distance of at most bound * quantile.  The query visits just the cells whose boxes reach that close, found
+   from the top of the tree.  In a cell, vectors are verified in shells of growing projected distance, with
+   the bound shrinking, until the test holds for all that follow.  Only those within the bound are sent on.
 3. The verified ones of all cells are merged by their exact inner products.
 
 Cells of more than CELL rows (a vector that a third of the rows share can't be split by the tree) are
-salted: their rows are dealt to several tasks and the query visits each.  No task holds more than about
-CELL vectors and QUERIES queries; the tree has one box a cell, at most CELLS.
+salted: their rows are dealt to several tasks and the query visits each.  Visits are counted before vectors
+move: a cell that no query visits stays where it is, and one that more than QUERIES visit is copied once
+for each QUERIES of its own visits.  So no task holds more than about CELL vectors and QUERIES queries.  How
+many cells a query visits is up to the data: few where they are clustered; where they fill all dimensions
+evenly, the test leaves a fixed share of all vectors, and the work grows with the square of their number.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component, and rows without an
 id, take no part.  Only vectors of equal length meet.  Rows that share an id are one candidate, the best of
@@ -31,14 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recordspark.llm.common import cut, share, table
+from recordspark.llm.words import mix
 
 M_DIMS, CONFIDENCE, SEED = 8, 0.9, 3
-CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 768, 1 << 13, 2048, 16
+CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 1536, 1 << 16, 2048, 16
 #: Cells that give a query its first bound; shells of verification, as shares of what the test still allows.
 NEAREST_CELLS, SHELLS = 4, (0.5, 0.75, 1.0)
 #: Pairs of vectors that are multiplied at once.
@@ -74,24 +78,19 @@ class Tree:
         self.depth = depth
         n = (1 << depth) - 1
         self.axis, self.at = np.zeros(n, dtype=np.int64), np.zeros(n)
-        self.low = np.full((1 << depth, M_DIMS), -np.inf)
-        self.high = np.full((1 << depth, M_DIMS), np.inf)
-        self._split(0, 0, np.arange(len(sample)), sample, np.full(M_DIMS, -np.inf), np.full(M_DIMS, np.inf))
+        self.boxes: list[tuple[np.ndarray, np.ndarray]] = []
+        self._split(0, 0, np.arange(len(sample)), sample)
 
-    def _split(self, node: int, level: int, rows: np.ndarray, sample: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+    def _split(self, node: int, level: int, rows: np.ndarray, sample: np.ndarray) -> None:
         if level == self.depth:
-            cell = node - ((1 << self.depth) - 1)
-            self.low[cell], self.high[cell] = low, high
             return
         points = sample[rows]
         axis = int(np.argmax(points.max(axis=0) - points.min(axis=0))) if len(rows) else 0
         at = float(np.median(points[:, axis])) if len(rows) else 0.0
         self.axis[node], self.at[node] = axis, at
         right = points[:, axis] > at if len(rows) else np.zeros(0, dtype=bool)
-        upper, lower = high.copy(), low.copy()
-        upper[axis] = lower[axis] = at
-        self._split(2 * node + 1, level + 1, rows[~right], sample, low, upper)
-        self._split(2 * node + 2, level + 1, rows[right], sample, lower, high)
+        self._split(2 * node + 1, level + 1, rows[~right], sample)
+        self._split(2 * node + 2, level + 1, rows[right], sample)
 
     def cells(self, points: np.ndarray) -> np.ndarray:
         node = np.zeros(len(points), dtype=np.int64)
@@ -101,30 +100,53 @@ class Tree:
 
     def fit_boxes(self, boxes: dict[int, tuple[list[float], list[float]]]) -> None:
         """Shrink the cells' boxes to what is in them; cells without rows get boxes out of reach."""
-        self.low[:], self.high[:] = np.inf, np.inf
-        for cell, (low, high) in boxes.items():
-            self.low[cell], self.high[cell] = low, high
-
-    def _squared(self, points: np.ndarray) -> np.ndarray:
-        p = points[:, None, :]
-        d = np.maximum(np.maximum(self.low - p, p - self.high), 0)
-        return (d * d).sum(axis=2)
+        low, high = np.full((1 << self.depth, M_DIMS), np.inf), np.full((1 << self.depth, M_DIMS), -np.inf)
+        for cell, (least, most) in boxes.items():
+            low[cell], high[cell] = least, most
+        self.boxes = [(low, high)]
+        for _ in range(self.depth):  # the boxes of the inner nodes, level by level
+            low, high = np.minimum(low[::2], low[1::2]), np.maximum(high[::2], high[1::2])
+            self.boxes.insert(0, (low, high))
+
+    def _squared(self, level: int, points: np.ndarray, node: np.ndarray) -> np.ndarray:
+        low, high = self.boxes[level]
+        d = np.maximum(np.maximum(low[node] - points, points - high[node]), 0)
+        return (d * d).sum(axis=1)
 
     def reached(self, points: np.ndarray, squared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(point, cell) of all boxes within a squared distance of each point."""
-        row, cell = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        rows, cells = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for i in range(0, len(points), 64):
-            d = self._squared(points[i : i + 64])
-            r, c = np.nonzero((d <= squared[i : i + 64, None]) & (d < np.inf))
-            row.append(r + i)
-            cell.append(c)
-        return np.concatenate(row), np.concatenate(cell)
+            row = np.arange(i, min(len(points), i + 64))
+            node = np.zeros(len(row), dtype=np.int64)
+            for level in range(self.depth + 1):
+                d = self._squared(level, points[row], node)
+                near = (d <= squared[row]) & (d < np.inf)
+                row, node = row[near], node[near]
+                if level < self.depth:
+                    row, node = np.repeat(row, 2), (2 * node[:, None] + np.arange(2)).ravel()
+            rows.append(row)
+            cells.append(node)
+        return np.concatenate(rows), np.concatenate(cells)
 
     def nearest(self, points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(point, cell) of the n cells with the nearest boxes."""
-        n = min(n, 1 << self.depth)
-        cells = [np.argsort(self._squared(points[i : i + 64]), axis=1, kind="stable")[:, :n] for i in range(0, len(points), 64)]
-        return np.repeat(np.arange(len(points)), n), np.concatenate(cells).ravel() if cells else np.zeros(0, dtype=np.int64)
+        """(point, cell) of up to n cells with near boxes: of each level, the 4 * n nearest are followed."""
+        rows, cells = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i in range(0, len(points), 256):
+            row = np.arange(i, min(len(points), i + 256))
+            node = np.zeros(len(row), dtype=np.int64)
+            for level in range(self.depth + 1):
+                d = self._squared(level, points[row], node)
+                order = np.lexsort((node, d, row))
+                row, node, d = row[order], node[order], d[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                near = (d < np.inf) & (place < (n if level == self.depth else 4 * n))
+                row, node = row[near], node[near]
+                if level < self.depth:
+                    row, node = np.repeat(row, 2), (2 * node[:, None] + np.arange(2)).ravel()
+            rows.append(row)
+            cells.append(node)
+        return np.concatenate(rows), np.concatenate(cells)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -135,13 +157,18 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """id and vec (array of doubles) of the rows that take part."""
-    x = F.col(embedding).cast("array<double>")
+    """id, vec (array of floats, if they are floats, or else of doubles) and dims of the rows that take part."""
+    kind = vectors.schema[embedding].dataType
+    x = F.col(embedding) if kind.typeName() == "array" and kind.elementType.typeName() == "float" else F.col(embedding).cast("array<double>")
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), x.alias("vec")).where("id is not null and vec is not null and size(vec) > 0")
     fine = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return rows.where(fine & F.exists("vec", lambda v: v != 0)).withColumn("dims", F.size("vec"))
 
 
+def squared_norm(start: float) -> Column:
+    return F.aggregate("vec", F.lit(start), lambda a, v: a + v.cast("double") * v.cast("double"))
+
+
 def search(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, largest: float, quantile: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, vector, inner product) of verified neighbours within the queries' bounds, in one cell.
 
@@ -151,13 +178,14 @@ def search(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q: np.ndarra
     shadows, q_shadows = project(vectors, largest), project(q, None)
     near = (shadows * shadows).sum(axis=1) - 2 * (q_shadows @ shadows.T) + (q_shadows * q_shadows).sum(axis=1)[:, None]
     base, bound = (q * q).sum(axis=1) + largest, bound.copy()
+    # a product of matrices tells who is surely beyond the bound; the others' inner products are computed pair by pair
+    about = base[:, None] - 2 * (q @ vectors.T) - 1e-9 * base[:, None]
+    shared = len(np.unique(ids)) < len(ids)
     found: list[tuple[np.ndarray, ...]] = []
     reached = np.full(len(q), -np.inf)
     for shell in SHELLS:
-        # where there is no bound yet, a shell is a share of the cell
-        edge = np.where(np.isfinite(bound), bound * quantile * shell, np.quantile(near, shell, axis=1) if np.isinf(bound).any() else 0.0)
-        edge = np.maximum(edge, reached)
-        row, column = np.nonzero((near > reached[:, None]) & (near <= edge[:, None]))
+        edge = np.maximum(np.where(np.isfinite(bound), bound * quantile * shell, np.inf), reached)
+        row, column = np.nonzero((near > reached[:, None]) & (near <= edge[:, None]) & (about <= bound[:, None]))
         reached = edge
         other = ids[column] != q_ids[row]
         row, column = row[other], column[other]
@@ -165,6 +193,12 @@ def search(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q: np.ndarra
         within = base[row] - 2 * score <= bound[row] * (1 + 1e-9)
         found.append((row[within], column[within], score[within]))
         row, column, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        if shared:  # of several vectors with one id, the best
+            order = np.lexsort((-score, ids[column], row))
+            row, column, score = row[order], column[order], score[order]
+            best = np.ones(len(row), dtype=bool)
+            best[1:] = (row[1:] != row[:-1]) | (ids[column[1:]] != ids[column[:-1]])
+            row, column, score = row[best], column[best], score[best]
         # the k best of each query, and the bound where there are k
         order = np.lexsort((ids[column], -score, row))
         row, column, score = row[order], column[order], score[order]
@@ -176,16 +210,11 @@ def search(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q: np.ndarra
     return found[0]
 
 
-def _distinct(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.unique(np.column_stack([ids.astype(np.float64), vectors]), axis=0, return_index=True)[1] if len(np.unique(ids)) < len(ids) else np.arange(len(ids))
-    return ids[rows], vectors[rows]
-
-
 def neighbours(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found for each id divisible by `every`."""
     data = cut(usable(vectors, vec_id, embedding))
     spark = data.sparkSession
-    shapes = {r["dims"]: (r["n"], r["largest"]) for r in data.groupBy("dims").agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)).alias("largest")).collect()}
+    shapes = {r["dims"]: (r["n"], r["largest"]) for r in data.groupBy("dims").agg(F.count("*").alias("n"), F.max(squared_norm(0.0)).alias("largest")).collect()}
     quantile = chi_square_quantile(CONFIDENCE, M_DIMS)
     found = None
     for dims, (n, largest) in sorted(shapes.items()):  # as many as there are lengths of vectors
@@ -200,85 +229,101 @@ def neighbours(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", e
 
 def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k: int, every: int) -> DataFrame:
     depth = min(max(0, math.ceil(math.log2(n / CELL))), int(math.log2(CELLS)))
-    drawn = data.where(share("id") < F.lit((SAMPLE_PER_CELL << depth) / n)).select("vec").toArrow()["vec"]  # SAMPLE_PER_CELL rows a cell
-    sample = project(matrix(drawn), largest) if len(drawn) else np.zeros((0, M_DIMS))
-    tree = Tree(sample, depth)
+    kind = dict(data.dtypes)["vec"]
+    vec = pa.list_(pa.float32() if kind == "array<float>" else pa.float64())
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shadowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tree.cells(project(matrix(b.column(1)), largest)))], ["id", "vec", "cell"])
+                yield pa.RecordBatch.from_arrays([pa.array(project(matrix(b.column(0)), largest).tolist(), pa.list_(pa.float64()))], ["x"])
 
-    placed = data.select("id", "vec").mapInArrow(dealt, "id long, vec array<double>, cell long")
+    drawn = data.where(share("id") < F.lit((SAMPLE_PER_CELL << depth) / n)).select("vec").mapInArrow(shadowed, "x array<double>").toArrow()["x"]  # SAMPLE_PER_CELL rows a cell
+    tree = Tree(matrix(drawn) if len(drawn) else np.zeros((0, M_DIMS)), depth)
 
     def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                points, cell = project(matrix(b.column(1)), largest), b.column(2).to_numpy()
+                points = project(matrix(b.column(0)), largest)
+                cell = tree.cells(points)
                 order = np.argsort(cell, kind="stable")
                 points, (own, first, n_) = points[order], np.unique(cell[order], return_index=True, return_counts=True)
                 low, high = (f.reduceat(points, first, axis=0) for f in (np.minimum, np.maximum))
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n_), pa.array(low.tolist(), pa.list_(pa.float64())), pa.array(high.tolist(), pa.list_(pa.float64()))], ["cell", "n", "low", "high"])
 
-    boxes = placed.mapInArrow(boxed, "cell long, n long, low array<double>, high array<double>").groupBy("cell")
+    boxes = data.select("vec").mapInArrow(boxed, "cell long, n long, low array<double>, high array<double>").groupBy("cell")
     side = lambda f, name: F.array(*[f(F.col(name)[i]) for i in range(M_DIMS)]).alias(name)
     boxes = boxes.agg(F.sum("n").alias("n"), side(F.min, "low"), side(F.max, "high")).collect()  # at most CELLS rows
     tree.fit_boxes({r["cell"]: (r["low"], r["high"]) for r in boxes})
     salts = np.ones(1 << depth, dtype=np.int64)
     for r in boxes:
         salts[r["cell"]] = math.ceil(r["n"] / CELL)
-    salt_of = F.element_at(F.lit(salts.tolist()), (F.col("cell") + 1).cast("int"))
-    placed = placed.withColumn("salt", F.pmod(F.xxhash64("id"), salt_of))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                cell = tree.cells(project(matrix(b.column(1)), largest))
+                salt = (mix(b.column(0).to_numpy().astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % salts[cell]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cell), pa.array(salt)], ["id", "vec", "cell", "salt"])
+
+    placed = data.select("id", "vec").mapInArrow(dealt, f"id long, vec {kind}, cell long, salt long")
     queries = data.where(F.col("id") % every == 0).select("id", "vec")
 
+    def visited(b: pa.RecordBatch, home: bool) -> tuple[np.ndarray, ...]:
+        """Query, cell, salt and bound: of the nearest cells (one salt of each), or of all in reach of the query's bound."""
+        points = project(matrix(b.column(1)), None)
+        if home:
+            row, cell = tree.nearest(points, NEAREST_CELLS)
+            return row, cell, b.column(0).to_numpy()[row] % salts[cell], np.full(len(row), np.inf)
+        bound = b.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+        bound = np.where(np.isnan(bound), np.inf, bound)
+        row, cell = tree.reached(points, bound * quantile)
+        times = salts[cell]
+        salt = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        row, cell = np.repeat(row, times), np.repeat(cell, times)
+        return row, cell, salt, bound[row]
+
     def visits(batches: Iterator[pa.RecordBatch], home: bool) -> Iterator[pa.RecordBatch]:
-        """The cells that each query visits: the nearest ones (one salt of each), or all in reach of its bound."""
         for b in batches:
-            if not b.num_rows:
-                continue
-            points = project(matrix(b.column(1)), None)
-            if home:
-                row, cell = tree.nearest(points, NEAREST_CELLS)
-                salt = b.column(0).to_numpy()[row] % salts[cell]
-                bound = np.full(len(points), np.inf)
-            else:
-                bound = b.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-                bound = np.where(np.isnan(bound), np.inf, bound)
-                row, cell = tree.reached(points, bound * quantile)
-                times = salts[cell]
-                salt = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                row, cell = np.repeat(row, times), np.repeat(cell, times)
-            for i in range(0, len(row), 4096):
-                r = pa.array(row[i : i + 4096])
-                yield pa.RecordBatch.from_arrays([b.column(0).take(r), b.column(1).take(r), pa.array(cell[i : i + 4096]), pa.array(salt[i : i + 4096]), pa.array(bound[row[i : i + 4096]])], ["id", "vec", "cell", "salt", "bound"])
+            if b.num_rows:
+                row, *rest = visited(b, home)
+                for i in range(0, len(row), 4096):
+                    r = pa.array(row[i : i + 4096])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(r), b.column(1).take(r).cast(vec), *[pa.array(x[i : i + 4096]) for x in rest]], ["id", "vec", "cell", "salt", "bound"])
+
+    def counted(batches: Iterator[pa.RecordBatch], home: bool) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, cell, salt, _ = visited(b, home)
+                place, times = np.unique(np.column_stack([cell, salt]), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(place[:, 0]), pa.array(place[:, 1]), pa.array(times)], ["cell", "salt", "visits"])
 
     def searched(key, left: pa.Table, right: pa.Table) -> pa.Table:
         parts = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
         if left.num_rows and right.num_rows:
-            ids, x = _distinct(left["id"].to_numpy(), matrix(left["vec"]))
+            ids, x = left["id"].to_numpy(), matrix(left["vec"])
             q_ids, q, bound = right["id"].to_numpy(), matrix(right["vec"]), right["bound"].to_numpy()
             for i in range(0, len(q), 128):
                 row, column, score = search(ids, x, q_ids[i : i + 128], q[i : i + 128], bound[i : i + 128], largest, quantile, k)
                 parts.append((q_ids[i : i + 128][row], ids[column], score))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["query_id", "vec_id", "score"])
 
-    def meet(visiting: DataFrame, blocks: int) -> DataFrame:
-        """Each query with the rows of the cells that it visits; blocks: of queries, each of which gets the rows."""
-        block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        left = placed.withColumn("block", block) if blocks > 1 else placed.withColumn("block", F.lit(0))
-        right = visiting.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int"))
+    def meet(asked: DataFrame, home: bool) -> DataFrame:
+        """Each query with the rows of the cells that it visits; a cell's rows go to as many blocks as its visits need."""
+        blocks = asked.mapInArrow(lambda b: counted(b, home), "cell long, salt long, visits long").groupBy("cell", "salt").agg(F.ceil(F.sum("visits") / QUERIES).cast("int").alias("blocks"))
+        blocks = cut(blocks)  # a row for each CELL vectors
+        left = placed.join(blocks, ["cell", "salt"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        right = asked.mapInArrow(lambda b: visits(b, home), f"id long, vec {kind}, cell long, salt long, bound double").join(blocks, ["cell", "salt"])
+        right = right.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")).drop("blocks")
         keys = ["cell", "salt", "block"]
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(searched, FOUND)
 
-    places = "id long, vec array<double>, cell long, salt long, bound double"
-    blocks = max(1, math.ceil(n / every / QUERIES))
-    first = cut(meet(queries.mapInArrow(lambda b: visits(b, True), places), max(1, math.ceil(NEAREST_CELLS * blocks / (1 << depth)))))
+    first = cut(meet(queries, True))
     # the squared distance of the k-th best; unknown where the cell has fewer candidates
     one = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id")
     kth = one.agg(F.when(F.count("*") >= k, F.sort_array(F.collect_list("score"), asc=False)[k - 1]).alias("kth"))
-    bounded = queries.join(kth, queries["id"] == kth["query_id"], "left").select("id", "vec", (F.aggregate("vec", F.lit(largest), lambda a, v: a + v * v) - 2 * F.col("kth")).alias("bound"))
-    bounded = bounded.withColumn("bound", F.greatest(F.col("bound"), F.lit(0.0)) * (1 + 1e-9))
-    return first.unionByName(meet(bounded.mapInArrow(lambda b: visits(b, False), places), blocks))
+    bounded = queries.join(kth, queries["id"] == kth["query_id"], "left").select("id", "vec", (squared_norm(largest) - 2 * F.col("kth")).alias("bound"))
+    bounded = cut(bounded.withColumn("bound", F.greatest(F.col("bound"), F.lit(0.0)) * (1 + 1e-9)))
+    return first.unionByName(meet(bounded, False))
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
