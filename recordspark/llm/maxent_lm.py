@@ -13,12 +13,12 @@ of the tree, the first two with the class or node.  The tables' rows grow with t
 of distinct words.
 
 Counting: every task counts the words of its rows, and the counts of all words meet by hash.  Training:
-ROUNDS disjoint slices of the training rows, each read once by 2 tasks a core; a task starts from the
-tables of the last round, takes AdaGrad steps over its rows, and sends its changes in blocks; a block's
-changes are averaged over the tasks that touched a row, wherever the block falls.  Only the finished tables
-(224 numbers a row and 3, 2 and 2 kinds of features) and the masses of the groups come to the driver.  Scoring: up to HEAD of the most frequent words with counts
-travel with the tables; all other words of a text meet their counts in a join by hash, where no hash is
-frequent.
+ROUNDS disjoint slices of the training rows, each read once by as many tasks as it has TASK_TOKENS (whatever
+the cluster); a task starts from the tables of the last round, takes AdaGrad steps over its rows, and sends
+its changes in blocks.  A block's changes are summed in a tree, FAN at a time, and averaged over the tasks
+that touched a row.  Only the finished tables (32 numbers a row, with 3, 2 and 2 kinds of features) and the
+masses of the groups come to the driver.  Scoring: up to HEAD of the most frequent words with counts travel
+with the tables; all other words of a text meet their counts in a join by hash, where no hash is frequent.
 
 Words are met by 64-bit hashes, and rows by doc_id and a 64-bit hash of the text.  Defined results: a null or empty text has the end token alone.  Rows with
 a null doc_id are held out.  Repeated rows are scored one by one, and learned from as often as they occur.
@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ ROWS_ROOT = 8
 CLASS_KINDS, WORD_KINDS, NODE_KINDS = 3, 2, 2
 #: Counted words of the tail in a group, about; and the most bits of a level of the tail's tree.
 LEAF, LEVEL_BITS = 16, 5
-ROUNDS, RATE, BATCH, BLOCK = 2, 0.12, 1 << 15, 32
+ROUNDS, RATE, BATCH, BLOCK = 3, 0.12, 1 << 15, 32
+#: Tokens that a training task learns from, about (or a partition's, where these are larger); and sums of changes that one task adds.
+TASK_TOKENS, FAN = 1 << 22, 64
 END, START = np.uint64(0xE5D5E5D5E5D5E5D5), np.uint64(0x0B5A0B5A0B5A0B5A)
 RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -223,9 +226,24 @@ def word_features(one: np.ndarray, two: np.ndarray, group: np.ndarray, rows: int
     return [((k >> np.uint64(20)) % np.uint64(rows)).astype(np.int64) + i * rows for i, k in enumerate(keys)]
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def exponentials(logits: np.ndarray) -> np.ndarray:
+    """exp of the logits, in their place; and their sums.  Priors sum to 1, so the sums don't vanish."""
+    np.exp(np.minimum(logits, 60.0, out=logits), out=logits)
+    return np.maximum(logits @ np.ones(logits.shape[1], dtype=logits.dtype), 1e-30)
+
+
+def log_share(logits: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Log softmax of each row's label; the logits are used up."""
+    own = logits[np.arange(len(logits)), label]
+    return own - np.log(exponentials(logits))
+
+
+def gradient(logits: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Of minus the log softmax by the logits, which are used up."""
+    total = exponentials(logits)
+    logits /= total[:, None]
+    logits[np.arange(len(logits)), label] -= 1
+    return logits
 
 
 class Model:
@@ -242,15 +260,16 @@ class Model:
         return rank, c, inner, group, one, two
 
     def class_logits(self, rows: list[np.ndarray]) -> np.ndarray:
-        out = self.tables.classes[rows[0]] + self.class_prior
+        out = np.take(self.tables.classes, rows[0], axis=0)
+        out += self.class_prior
         for r in rows[1:]:
-            out += self.tables.classes[r]
+            out += np.take(self.tables.classes, r, axis=0)
         return out
 
     def word_logits(self, rows: list[np.ndarray], group: np.ndarray) -> np.ndarray:
-        out = self.word_prior[group]
+        out = np.take(self.word_prior, group, axis=0)
         for r in rows:
-            out = out + self.tables.words[r]
+            out += np.take(self.tables.words, r, axis=0)
         return out
 
     def steps(self, h: np.ndarray, one: np.ndarray, two: np.ndarray):
@@ -258,9 +277,9 @@ class Model:
         for (above, own), prior in zip(self.vocabulary.levels, self.branches, strict=True):
             node = prefixes(h, above)
             rows = word_features(one, two, node + (1 << above), self.tables.rows)
-            logits = prior[node]
+            logits = np.take(prior, node, axis=0)
             for r in rows:
-                logits = logits + self.tables.nodes[r, : 1 << own]
+                logits += np.take(self.tables.nodes, r, axis=0)[:, : 1 << own]
             yield rows, logits, prefixes(h, above + own) & ((1 << own) - 1)
 
     def tail_log10(self, h: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -272,7 +291,7 @@ class Model:
         for i in range(0, len(at), BATCH):
             x = at[i : i + BATCH]
             for _, logits, branch in self.steps(h[x], one[x], two[x]):
-                out[i : i + BATCH] += log_softmax(logits)[np.arange(len(x)), branch]
+                out[i : i + BATCH] += log_share(logits, branch)
         return out / np.log(10)
 
     def log10(self, h: np.ndarray, text: np.ndarray):
@@ -281,13 +300,11 @@ class Model:
         out = np.empty(len(h))
         for i in range(0, len(h), BATCH):
             s = slice(i, i + BATCH)
-            p = log_softmax(self.class_logits(class_features(one[s], two[s], self.tables.rows)))
-            out[s] = p[np.arange(len(p)), group[s]]
+            out[s] = log_share(self.class_logits(class_features(one[s], two[s], self.tables.rows)), group[s])
             x = np.flatnonzero(inner[s])
             if len(x):
                 g = group[s][x]
-                q = log_softmax(self.word_logits(word_features(one[s][x], two[s][x], g, self.tables.rows), g))
-                out[s][x] += q[np.arange(len(q)), rank[s][x] % CLASS_WORDS]
+                out[s][x] += log_share(self.word_logits(word_features(one[s][x], two[s][x], g, self.tables.rows), g), rank[s][x] % CLASS_WORDS)
         return rank, c, out / np.log(10)
 
 
@@ -299,16 +316,19 @@ class Learner:
         self.squares = Tables(*(np.zeros_like(t) for t in model.tables.all))
 
     @staticmethod
-    def _step(table_: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray) -> None:
+    def _step(table_: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], gradient_: np.ndarray) -> None:
+        width = gradient_.shape[1]
+        columns = np.ascontiguousarray(gradient_.T, dtype=np.float64)
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            sorted_ = r[order]
-            starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-            g = np.add.reduceat(gradient[order], starts, axis=0)
-            used = sorted_[starts]
-            width = slice(0, g.shape[1])
-            squares[used, width] += g * g
-            table_[used, width] -= RATE * g / np.sqrt(squares[used, width] + 1e-6)
+            # the touched rows get numbers, and each column its sums by them
+            base = int(r.min())
+            touched = np.bincount(r - base) > 0
+            used = np.flatnonzero(touched) + base
+            number = (np.cumsum(touched) - 1)[r - base]
+            g = np.array([np.bincount(number, c, len(used)) for c in columns], dtype=np.float32).T
+            total = squares[used, :width] + g * g
+            squares[used, :width] = total
+            table_[used, :width] -= RATE * g / np.sqrt(total + 1e-6)
 
     def learn(self, h: np.ndarray, text: np.ndarray) -> None:
         m = self.model
@@ -316,37 +336,43 @@ class Learner:
         for i in range(0, len(h), BATCH):
             s = slice(i, i + BATCH)
             rows = class_features(one[s], two[s], m.tables.rows)
-            g = np.exp(log_softmax(m.class_logits(rows)))
-            g[np.arange(len(g)), group[s]] -= 1
-            self._step(m.tables.classes, self.squares.classes, rows, g)
+            self._step(m.tables.classes, self.squares.classes, rows, gradient(m.class_logits(rows), group[s]))
             x = np.flatnonzero(inner[s])
             if len(x):
                 k = group[s][x]
                 rows = word_features(one[s][x], two[s][x], k, m.tables.rows)
-                g = np.exp(log_softmax(m.word_logits(rows, k)))
-                g[np.arange(len(g)), rank[s][x] % CLASS_WORDS] -= 1
-                self._step(m.tables.words, self.squares.words, rows, g)
+                self._step(m.tables.words, self.squares.words, rows, gradient(m.word_logits(rows, k), rank[s][x] % CLASS_WORDS))
             x = np.flatnonzero(~inner[s])
             for rows, logits, branch in m.steps(h[s][x], one[s][x], two[s][x]) if len(x) else ():
-                g = np.exp(log_softmax(logits))
-                g[np.arange(len(g)), branch] -= 1
-                self._step(m.tables.nodes, self.squares.nodes, rows, g)
+                self._step(m.tables.nodes, self.squares.nodes, rows, gradient(logits, branch))
 
 
 def _blocks(changes: np.ndarray, touched: np.ndarray, first: int, block: int) -> Iterator[tuple[int, bytes, bytes]]:
     for i in range(0, len(changes), block):
         t = touched[i : i + block]
         if t.any():
-            yield first + i // block, changes[i : i + block].astype(np.float32).tobytes(), t.astype(np.int32).tobytes()
+            yield first + i // block, changes[i : i + block].astype(np.float16).tobytes(), t.astype(np.uint8).tobytes()
 
 
-BLOCKS = "block int, change binary, touched binary"
+#: change: sums of changes (of a task's own: 16-bit floats); touched: how many tasks touched each row (of a task's own: a byte each).
+BLOCKS = "block int, task int, change binary, touched binary"
+
+
+def _summed(met: pa.Table, block_rows: int) -> pa.Table:
+    """One row for the changes to one block of up to FAN tasks or sums of tasks."""
+    n = np.zeros(block_rows, dtype=np.int64)
+    total: np.ndarray | float = 0.0
+    for c, t in zip(met["change"].to_pylist(), met["touched"].to_pylist(), strict=True):
+        own = len(t) == block_rows
+        n += np.frombuffer(t, dtype=np.uint8 if own else np.int32)
+        total = total + np.frombuffer(c, dtype=np.float16 if own else np.float32).astype(np.float64)
+    columns = [pa.array([met[c][0].as_py()], pa.int32()) for c in ("block", "task")]
+    return pa.table([*columns, pa.array([total.astype(np.float32).tobytes()], pa.binary()), pa.array([n.astype(np.int32).tobytes()], pa.binary())], names=["block", "task", "change", "touched"])
 
 
 def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
     """The model after `rounds` rounds over disjoint slices of the rows for which `learn` holds."""
-    spark = docs.sparkSession
-    tables, tasks = Tables.blank(vocabulary.rows), 2 * spark.sparkContext.defaultParallelism
+    tables, tasks = Tables.blank(vocabulary.rows), max(1, math.ceil(vocabulary.n / rounds / TASK_TOKENS))
     block_rows = BLOCK * (tables.rows // CLASS_ROWS)  # as many blocks whatever the rows
     firsts = [0, *np.cumsum([len(t) // block_rows for t in tables.all]).tolist()]
 
@@ -359,22 +385,23 @@ def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROU
         rows = [x for new, old, s, first in each for x in _blocks(new - old, s.any(axis=1), first, block_rows)]
         if rows:
             block, change, touched = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(change, pa.binary()), pa.array(touched, pa.binary())], ["block", "change", "touched"])
-
-    def averaged(met: pa.Table) -> pa.Table:
-        n = sum(np.frombuffer(t, dtype=np.int32) for t in met["touched"].to_pylist())
-        total = sum(np.frombuffer(c, dtype=np.float32).astype(np.float64) for c in met["change"].to_pylist()).reshape(block_rows, -1)
-        mean = (total / np.maximum(n, 1)[:, None]).astype(np.float32)
-        return pa.table([pa.array([met["block"][0].as_py()], pa.int32()), pa.array([mean.tobytes()], pa.binary()), pa.array([n.astype(np.int32).tobytes()], pa.binary())], names=["block", "change", "touched"])
+            task = pa.array(np.full(len(block), TaskContext.get().partitionId()), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), task, pa.array(change, pa.binary()), pa.array(touched, pa.binary())], ["block", "task", "change", "touched"])
 
     for i in range(rounds):
         own = docs.where(learn).where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text")
-        met = own.coalesce(tasks).mapInArrow(learned, BLOCKS).groupBy("block").applyInArrow(averaged, BLOCKS)
+        met, left = own.coalesce(tasks).mapInArrow(learned, BLOCKS), tasks
+        while True:  # sums of FAN, and of FAN sums
+            met = met.withColumn("task", (F.col("task") / FAN).cast("int")).groupBy("block", "task").applyInArrow(lambda t: _summed(t, block_rows), BLOCKS)
+            left = math.ceil(left / FAN)
+            if left == 1:
+                break
         new = Tables(*(t.copy() for t in tables.all))
-        for r in met.toArrow().to_pylist():  # at most the numbers of the tables
+        for r in met.toArrow().to_pylist():  # the numbers of the tables, at most
             k = int(np.searchsorted(firsts, r["block"], side="right")) - 1
             at = (r["block"] - firsts[k]) * block_rows
-            new.all[k][at : at + block_rows] += np.frombuffer(r["change"], dtype=np.float32).reshape(block_rows, -1)
+            n = np.maximum(np.frombuffer(r["touched"], dtype=np.int32), 1)[:, None]
+            new.all[k][at : at + block_rows] += np.frombuffer(r["change"], dtype=np.float32).reshape(block_rows, -1) / n
         tables = new
     return Model(vocabulary, tables)
 
