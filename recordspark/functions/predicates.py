@@ -5,6 +5,7 @@ Comparisons follow SQL: with null they are neither true nor false, and the row i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -132,6 +133,11 @@ def like(name: str, pattern: str) -> Predicate:
 
 
 def full_text(name: str, terms: str) -> Predicate:
-    """All words of `terms` are words of the text, whatever their case."""
-    words = terms.lower().split()
-    return Predicate(lambda df: F.size(F.array_except(value(words), F.split(F.lower(F.col(name)), r"\W+"))) == 0)
+    """All words of `terms` are words of the text, whatever their case; words are runs of Unicode letters, digits and `_`."""
+    words = [w for w in re.split(r"\W+", terms.lower()) if w]
+    return Predicate(lambda df: F.size(F.array_except(value(words).cast("array<string>"), F.split(F.lower(F.col(name)), r"(?U)\W+"))) == 0)
+
+
+def in_rows(name: str, rows: DataFrame) -> Predicate:
+    """The value is in the only column of `rows`: Spark plans a semi join."""
+    return Predicate(lambda df: F.col(name).isin(rows))

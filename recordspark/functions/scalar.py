@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -120,22 +124,24 @@ def time_now() -> Column:
     return F.current_timestamp()
 
 
+#: Microseconds of the units of durations.
+DURATION_UNITS = {"us": 1, "ms": 1_000, "s": 1_000_000, "m": 60_000_000, "h": 3_600_000_000, "d": 86_400_000_000, "w": 604_800_000_000}
 #: strftime directives and the date patterns they stand for.
-STRFTIME = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%y": "yy", "%j": "DDD", "%b": "MMM", "%B": "MMMM", "%a": "EEE", "%A": "EEEE", "%p": "a", "%I": "hh", "%f": "SSSSSS", "%z": "xx", "%%": "%"}
+STRFTIME = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%y": "yy", "%j": "DDD", "%b": "MMM", "%B": "MMMM", "%a": "EEE", "%A": "EEEE", "%p": "a", "%I": "hh", "%f": "SSSSSS", "%z": "xx"}
 
 
 def time_format(x: ColumnOr, fmt: str) -> Column:
-    """A timestamp by a strftime format."""
-    out, i = "", 0
-    while i < len(fmt):
-        if fmt[i] == "%":
-            if fmt[i : i + 2] not in STRFTIME:
-                raise ValueError(f"unknown directive: {fmt[i : i + 2]}")
-            out += STRFTIME[fmt[i : i + 2]]
-            i += 2
+    """A timestamp by a strftime format; `%%` is a percent sign."""
+    parts = [(d, d != "%%" and STRFTIME.get(d), t) for d, t in re.findall(r"(%.?)|([^%]+)", fmt, re.DOTALL)]
+    if unknown := [d for d, pattern, _ in parts if d and pattern is None]:
+        raise ValueError(f"unknown directive: {unknown[0]}")
+    out = ""
+    for literal, run in groupby(parts, lambda x: not x[1]):
+        if literal:  # quoted in one piece, as two quoted pieces side by side would make a quote
+            text = "".join(t or "%" for _, _, t in run).replace("'", "''")
+            out += f"'{text}'"
         else:
-            out += "''" if fmt[i] == "'" else f"'{fmt[i]}'" if fmt[i].isalpha() else fmt[i]
-            i += 1
+            out += "".join(pattern for _, pattern, _ in run)
     return F.date_format(_c(x), out)
 
 
@@ -144,11 +150,30 @@ def time_floor(x: ColumnOr, unit: str) -> Column:
     return F.date_trunc(unit, _c(x))
 
 
+def duration(text: str) -> Column:
+    """A duration such as `1w2d`, `90m` or `1h30m` as an interval, to be added to or taken from timestamps."""
+    parts = re.findall(r"(\d+)(ms|us|[wdhms])", text)
+    if not parts or "".join(n + u for n, u in parts) != text:
+        raise ValueError(f"not a duration: {text!r}")
+    micros = sum(int(n) * DURATION_UNITS[u] for n, u in parts)
+    return F.make_dt_interval(secs=F.lit(Decimal(micros) / 1_000_000).cast("decimal(18,6)"))
+
+
 def to_datetime(x: ColumnOr) -> Column:
     """ISO 8601 text as a timestamp; null where it isn't one."""
     return F.try_to_timestamp(_c(x))
 
 
+def rand_uuid() -> Column:
+    """A random UUID in each row."""
+    return F.expr("uuid()")
+
+
+def call(name: str, *arguments: object) -> Column:
+    """A built-in function by its name; text arguments are columns, other values are literals."""
+    return F.call_function(name, *[F.col(a) if isinstance(a, str) else value(a) for a in arguments])
+
+
 # types
 TYPES = {"string": "string", "int": "bigint", "float": "double", "bool": "boolean", "datetime": "timestamp", "duration": "interval day to second", "decimal": "decimal(38,18)", "number": "double"}
 
@@ -165,4 +190,4 @@ def type_is(x: ColumnOr, name: str) -> Column:
     return F.typeof(_c(x)) == TYPES[name]
 
 
-__all__ = ["TYPES", "array_contains", "array_length", "cast", "count", "count_if", "field", "id_part", "is_email", "json_field", "math_abs", "math_ceil", "math_floor", "math_max", "math_mean", "math_min", "math_round", "math_sum", "record_id", "string_concat", "string_len", "string_lower", "string_slice", "string_upper", "time_floor", "time_format", "time_now", "to_datetime", "type_is", "value"]
+__all__ = ["TYPES", "array_contains", "array_length", "call", "cast", "count", "count_if", "duration", "field", "id_part", "is_email", "json_field", "math_abs", "math_ceil", "math_floor", "math_max", "math_mean", "math_min", "math_round", "math_sum", "rand_uuid", "record_id", "string_concat", "string_len", "string_lower", "string_slice", "string_upper", "time_floor", "time_format", "time_now", "to_datetime", "type_is", "value"]

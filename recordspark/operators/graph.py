@@ -11,19 +11,30 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from recordspark.functions.predicates import Condition, as_column
 from recordspark.sources.catalog import Catalog
 
 _HOP = re.compile(r"(<->|->|<-)([A-Za-z_][A-Za-z0-9_]*|\?)")
 
 
 def _cut(df: DataFrame) -> DataFrame:
+    """The same rows from the checkpoint folder.  Without one, sessions on one machine get a temporary folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
     return df.checkpoint()
 
 
+def _keys(edges: DataFrame, *names: str) -> T.StructType:
+    """A schema of columns of the edges' key type."""
+    return T.StructType([T.StructField(n, edges.schema[0].dataType) for n in names])
+
+
 def oriented(edges: DataFrame, direction: str) -> DataFrame:
     """Edges with the columns `_from` and `_to` in the direction of travel: out, in or both."""
     ahead = edges.select(F.col("in").alias("_from"), F.col("out").alias("_to"))
@@ -107,7 +118,7 @@ def neighbours(catalog: Catalog, key: object, edge: str, depth: int = 1, directi
     if depth < 1:
         raise ValueError("depth must be at least 1")
     steps = oriented(catalog.frame(edge), direction)
-    start = steps.sparkSession.createDataFrame([(key,)], "id long")
+    start = steps.sparkSession.createDataFrame([(key,)], _keys(steps, "id"))
     seen, frontier = start.withColumn("depth", F.lit(0)), start
     for level in range(1, depth + 1):
         met = frontier.join(steps, F.col("id") == F.col("_from")).select(F.col("_to").alias("id")).distinct()
@@ -116,10 +127,13 @@ def neighbours(catalog: Catalog, key: object, edge: str, depth: int = 1, directi
     return seen.where("depth > 0")
 
 
-def degrees(catalog: Catalog, edge: str) -> DataFrame:
-    """id, in_degree, out_degree and total of every record that an edge touches; one shuffle."""
+def degrees(catalog: Catalog, edge: str, table: str | None = None) -> DataFrame:
+    """id, in_degree, out_degree and total of every record that an edge touches, or with `table` of all its records; one shuffle of edges."""
     ends = catalog.frame(edge).select(F.explode(F.array(F.struct(F.col("in").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")), F.struct(F.col("out").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))).alias("e"))
     per = ends.groupBy(F.col("e.id").alias("id")).agg(F.sum("e.i").alias("in_degree"), F.sum("e.o").alias("out_degree"))
+    if table is not None:
+        every = catalog.frame(table).select(F.col(catalog.key(table)).alias("id")).distinct()
+        per = every.join(per, "id", "left").select("id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("in_degree", "out_degree")])
     return per.withColumn("total", F.col("in_degree") + F.col("out_degree"))
 
 
@@ -137,15 +151,18 @@ def mutual(catalog: Catalog, key: object, edge: str) -> DataFrame:
     return out.join(back, "id", "left_semi")
 
 
-def shortest_path(catalog: Catalog, a: object, b: object, edge: str, max_depth: int = 10) -> DataFrame:
+def shortest_path(catalog: Catalog, a: object, b: object, edge: str, max_depth: int = 10, where: Condition | None = None, table: str | None = None) -> DataFrame:
     """step and id of a shortest path along outgoing edges; no rows if there is none within max_depth.
 
+    where: a condition on the edges that may be used.  table: the records of the path follow, with all columns.
     Every record that is met remembers the smallest record it was met from, so the path is one of the
     shortest and always the same.
     """
-    steps = oriented(catalog.frame(edge), "out")
+    edges = catalog.frame(edge)
+    steps = oriented(edges if where is None else edges.where(as_column(where, edges)), "out")
     spark = steps.sparkSession
-    start = spark.createDataFrame([(a, None)], "id long, parent long")
+    start = spark.createDataFrame([(a, None)], _keys(steps, "id", "parent"))
+    form = T.StructType([T.StructField("step", T.IntegerType()), *_keys(steps, "id").fields])
     levels, seen, frontier = [start], start, start
     found = a == b
     while not found and len(levels) <= max_depth:
@@ -156,18 +173,42 @@ def shortest_path(catalog: Catalog, a: object, b: object, edge: str, max_depth:
         levels.append(frontier)
         seen = seen.union(frontier)
         found = not frontier.where(F.col("id") == b).isEmpty()
-    if not found:
-        return spark.createDataFrame([], "step int, id long")
     path, at = [], b
+    if not found:
+        levels = []
     for i in range(len(levels) - 1, -1, -1):
         path.append((i, at))
         at = levels[i].where(F.col("id") == at).first()["parent"]
-    return spark.createDataFrame(path[::-1], "step int, id long")
+    out = spark.createDataFrame(path[::-1], form)
+    if table is None:
+        return out
+    nodes = catalog.frame(table)
+    return out.join(nodes, out["id"] == nodes[catalog.key(table)])  # max_depth rows, at most
+
+
+def leading(catalog: Catalog, table: str, path: str, condition: Condition | None = None) -> DataFrame:
+    """`_key` of the rows of a table from which a path leads to a row for which the condition holds.
+
+    The path is walked from its end, with distinct keys at each step, so no row is met twice.
+    """
+    steps = _HOP.findall(path)
+    if not steps or "".join(a + n for a, n in steps) != path or len(steps) % 2:
+        raise ValueError(f"not a path to a table: {path!r}")
+    hops = [(catalog.edges[name], {"->": "out", "<-": "in", "<->": "both"}[arrow]) for arrow, name in steps[::2]]
+    last, direction = hops[-1]
+    target = steps[-1][1] if steps[-1][1] != "?" else last.from_table if direction == "in" else last.to_table
+    rows = catalog.frame(target)
+    keys = (rows if condition is None else rows.where(as_column(condition, rows))).select(F.col(catalog.key(target)).alias("_key"))
+    for edge, direction in reversed(hops):
+        moved = oriented(catalog.frame(edge.name), direction)
+        keys = moved.join(keys, moved["_to"] == keys["_key"], "left_semi").select(F.col("_from").alias("_key")).distinct()
+    return keys
 
 
 def relate(edges: DataFrame, a: object, b: object, **properties: object) -> DataFrame:
     """The edges and one more."""
-    new = edges.sparkSession.createDataFrame([(a, b)], "`in` long, out long").withColumns({k: F.lit(v) for k, v in properties.items()})
+    form = T.StructType([T.StructField(n, edges.schema[n].dataType) for n in ("in", "out")])
+    new = edges.sparkSession.createDataFrame([(a, b)], form).withColumns({k: F.lit(v) for k, v in properties.items()})
     return edges.unionByName(new, allowMissingColumns=True)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -45,10 +46,13 @@ def _image(before: DataFrame, after: DataFrame, key: str, image: str) -> DataFra
 
 
 def diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """The key and `changes`, an array of (op, path, value) for each field that differs; rows without changes are left out."""
-    names = [c for c in after.columns if c != key]
-    old = before.select(F.col(key), F.lit(True).alias("_there"), *[F.col(c).alias(f"_old_{c}") for c in names if c in before.columns])
-    met = after.join(old, key, "left")
+    """The key and `changes`, an array of (op, path, value) for each field that differs; rows without changes are left out.
+
+    A field that only one of the two has is null in the other.
+    """
+    names = [c for c in dict.fromkeys([*after.columns, *before.columns]) if c != key]
+    old = before.select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in names if c in before.columns])
+    met = after.withColumns({c: F.lit(None).cast(before.schema[c].dataType) for c in names if c not in after.columns}).join(old, key, "left")
 
     def change(c: str) -> Column:
         new = F.col(c)
@@ -93,13 +97,25 @@ def merge(df: DataFrame, key: str, id_: Any, values: Mapping[str, Any], image: s
 
 
 def upsert(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame, key: str, image: str = "after", on: Sequence[str] = ()) -> Mutation:
-    """Replace whole records, or add them.  on: the fields that tell a record, instead of the key."""
+    """Replace whole records, or add them.  on: the fields that tell a record, instead of the key; nulls are equal.
+
+    Of several items for one record the last stays: the last of a list, or of a DataFrame the one with the
+    largest fields, as its rows have no order.
+    """
     if not isinstance(rows, DataFrame) and not rows:
         return Mutation(df, df.limit(0))
-    new = df.limit(0).unionByName(_rows(df, rows), allowMissingColumns=True)
     by = list(on) or [key]
-    before = df.join(new.select(*by), by, "left_semi").select(*df.columns)
-    state = df.join(new.select(*by), by, "left_anti").select(*df.columns).unionByName(new, allowMissingColumns=True)
+    if not isinstance(rows, DataFrame):
+        rows = df.sparkSession.createDataFrame([{**r, "_place": i} for i, r in enumerate(rows)])
+        place = F.col("_place")
+    else:
+        place = F.to_json(F.struct(*rows.columns))
+    last = _rows(df, rows).groupBy(*by).agg(F.max_by(F.struct(*rows.columns), place).alias("_row")).select("_row.*").drop("_place")
+    new = df.limit(0).unionByName(last, allowMissingColumns=True)
+    keys = new.select(*[F.col(c).alias(f"_by_{c}") for c in by])
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(keys[f"_by_{c}"]) for c in by])
+    before = df.join(keys, same, "left_semi")
+    state = df.join(keys, same, "left_anti").unionByName(new, allowMissingColumns=True)
     return Mutation(state, _image(before, new, key, image))
 
 

@@ -66,7 +66,8 @@ def applied(df: DataFrame, hints: Iterable[Hint], table: str | None = None) -> D
         raise ValueError(f"an index of {i.table} on a query of {table}")
     if e := last.get(Explain):
         df.explain("extended" if e.full else "formatted")
-    return df.coalesce(p.workers) if (p := last.get(Parallel)) else df
+    # the result in so many parts; scans and shuffles below keep their own
+    return df.hint("rebalance", p.workers) if (p := last.get(Parallel)) else df
 
 
 def fetch(df: DataFrame, hints: Iterable[Hint]) -> Iterator[Row] | Iterator[list[Row]]:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from recordspark.functions import vectors
-from recordspark.functions.predicates import Condition, as_column
-from recordspark.operators.graph import follow
+from recordspark.functions.predicates import Condition, as_column, in_rows
+from recordspark.operators.graph import follow, leading
 from recordspark.plans import hints as H
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import RecordId
@@ -32,15 +32,24 @@ class Join:
     how: str
 
 
+@dataclass(frozen=True)
+class Leads:
+    path: str
+    condition: Condition | None
+
+
 @dataclass(frozen=True)
 class Query:
-    """Every method returns a new query.  Clauses apply in the order: scan, path, joins, where, nearest, group, order, offset, limit."""
+    """Every method returns a new query.  Clauses apply in the order: scan, path, joins, links, where, nearest, group, order, offset, limit."""
 
     source: str | RecordId | None = None
     fields: tuple[Column | str, ...] = ()
     conditions: tuple[Condition, ...] = ()
     path: str = ""
     joins: tuple[Join, ...] = ()
+    links: tuple[str, ...] = ()
+    leads: tuple[Leads, ...] = ()
+    parameters: tuple[tuple[str, Any], ...] = ()
     near: Near | None = None
     groups: tuple[str, ...] = ()
     whole: bool = False
@@ -69,6 +78,33 @@ class Query:
     def join(self, table: str, on: Condition, how: str = "inner") -> Query:
         return replace(self, joins=(*self.joins, Join(table, on, how)))
 
+    def out(self, edge: str, depth: int = 1) -> Query:
+        """Exactly `depth` hops along an edge, to the records there."""
+        return self._hops(f"->{edge}->?", depth)
+
+    def in_(self, edge: str, depth: int = 1) -> Query:
+        return self._hops(f"<-{edge}<-?", depth)
+
+    def both(self, edge: str, depth: int = 1) -> Query:
+        return self._hops(f"<->{edge}<->?", depth)
+
+    def _hops(self, hop: str, depth: int) -> Query:
+        if depth < 1:
+            raise ValueError("depth must be at least 1")
+        return self.traverse(hop * depth)
+
+    def fetch_link(self, *fields: str) -> Query:
+        """Put the record that a declared link names in the link's place, as a struct; dots lead into fetched records."""
+        return replace(self, links=(*self.links, *fields))
+
+    def where_path(self, path: str, condition: Condition | None = None) -> Query:
+        """Rows from which the path leads to a record, of those for which the condition holds."""
+        return replace(self, leads=(*self.leads, Leads(path, condition)))
+
+    def bind(self, **values: Any) -> Query:
+        """Values for the `:name` markers in conditions and fields given as text."""
+        return replace(self, parameters=(*self.parameters, *values.items()))
+
     def group_by(self, *fields: str) -> Query:
         return replace(self, groups=(*self.groups, *fields))
 
@@ -122,8 +158,13 @@ class Query:
         for j in self.joins:
             other = catalog.frame(j.table)
             df = df.join(other, as_column(j.on, df), j.how)
+        for link in self.links:
+            df = self._fetched(catalog, df, name, link)
+        for p in self.leads:
+            keys = leading(catalog, name, p.path, p.condition)
+            df = df.join(keys, df[key] == keys["_key"], "left_semi")
         for c in self.conditions:
-            df = df.where(as_column(c, df))
+            df = self._bound(df, where=c) if self.parameters and isinstance(c, str) else df.where(as_column(c, df))
         if self.near:
             df = self._nearest(df, key)
         if self.whole:
@@ -134,10 +175,12 @@ class Query:
             df = df.where(as_column(c, df))
         plain = not (self.whole or self.groups)
         # sort keys may be columns that the selection leaves out, or ones that it makes
-        names = {f if isinstance(f, str) else None for f in self.fields}
         late = plain and self.fields and all(o in df.columns for o, _ in self.orders)
+        dropped: list[str] = []
         if plain and self.fields and not late:
-            df = df.select(*self.fields)
+            chosen = self._selected(df)
+            dropped = [o for o, _ in self.orders if o in df.columns and o not in chosen.columns]
+            df = self._selected(df, dropped) if dropped else chosen
         if self.orders:
             df = df.orderBy(*[F.asc_nulls_first(o) if d == "ASC" else F.desc_nulls_last(o) for o, d in self.orders])
         if self.skip:
@@ -145,9 +188,52 @@ class Query:
         if self.count is not None:
             df = df.limit(self.count)
         if late:
-            df = df.select(*self.fields) if names else df
+            df = self._selected(df)
+        if dropped:
+            df = df.drop(*dropped)
         return H.applied(df, self.hints, name)
 
+    def _selected(self, df: DataFrame, more: list[str] | None = None) -> DataFrame:
+        """The selection, and `more` columns behind it.  Bound texts are expressions."""
+        fields = [*self.fields, *(more or [])]
+        return self._bound(df, fields) if self.parameters and all(isinstance(f, str) for f in fields) else df.select(*fields)
+
+    def _bound(self, df: DataFrame, fields: list[str] | None = None, where: str | None = None) -> DataFrame:
+        """Texts with markers, as Spark binds them."""
+        plain = lambda x: x.replace("{", "{{").replace("}", "}}")
+        text = f"SELECT {plain(', '.join(fields or ['*']))} FROM {{_rows}}" + (f" WHERE {plain(where)}" if where else "")
+        return df.sparkSession.sql(text, args=dict(self.parameters), _rows=df)
+
+    def _fetched(self, catalog: Catalog, df: DataFrame, table: str, link: str) -> DataFrame:
+        *outer, last = link.split(".")
+        for name in outer:
+            table = catalog.links[table, name]
+        if (table, last) not in catalog.links:
+            raise ValueError(f"not a link: {link}")
+        target = catalog.links[table, last]
+        rows = catalog.frame(target)
+        there = rows.select(F.col(catalog.key(target)).alias("_link"), F.struct(*rows.columns).alias("_record"))
+        met = df.join(there, F.col(link) == F.col("_link"), "left")
+        new = F.col("_record")
+        if outer:
+            new = F.col(outer[0]).withField(".".join([*outer[1:], last]), new)
+        return met.withColumn(outer[0] if outer else last, new).drop("_link", "_record")
+
+    # subqueries of other queries' conditions
+    def scalar(self, catalog: Catalog) -> Column:
+        """The only value of the only row."""
+        return self.frame(catalog).scalar()
+
+    def inside(self, catalog: Catalog, name: str) -> Condition:
+        """The condition that a column's value is in this query's only column."""
+        return in_rows(name, self.frame(catalog))
+
+    def count_rows(self, catalog: Catalog) -> int:
+        return self.frame(catalog).count()
+
+    def exists(self, catalog: Catalog) -> bool:
+        return not self.frame(catalog).isEmpty()
+
     def _columns(self, keys: tuple[str, ...]) -> list[Column]:
         columns = [f for f in self.fields if not isinstance(f, str)]
         if any(isinstance(f, str) and f not in keys for f in self.fields):

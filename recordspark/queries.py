@@ -118,31 +118,40 @@ def like_match(c):
     return over("customer").where(P.like("c_name", "Customer%1")).select("c_custkey").frame(c)
 
 
-@query("SELECT doc_id FROM documents WHERE list_has_all(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), ['the', 'and'])")
+_NOT_WORD = r"[^\p{L}\p{M}\p{Nd}_]+"
+
+
+@query(f"SELECT doc_id FROM documents WHERE list_has_all(regexp_split_to_array(lower(text), '{_NOT_WORD}'), ['the', 'and'])")
 def fulltext_match(c):
     return over("documents").where(P.full_text("text", "the AND")).select("doc_id").frame(c)
 
 
+@query(f"SELECT doc_id FROM documents WHERE list_has_all(regexp_split_to_array(lower(text), '{_NOT_WORD}'), ['für'])")
+def fulltext_unicode(c):
+    return over("documents").where(P.full_text("text", "FÜR!")).select("doc_id").frame(c)
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
 def scalar_subquery(c):
-    c.spark.sql("SELECT 1")
-    c.frame("orders").createOrReplaceTempView("orders")
-    return c.spark.sql("SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
+    mean = over("orders").select(S.math_mean("o_totalprice").alias("mean")).group_all()
+    return over("orders").where(P.gt("o_totalprice", mean.scalar(c))).select("o_orderkey").frame(c)
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)")
 def in_subquery(c):
-    rich = over("customer").where("c_acctbal > 9000").select("c_custkey").frame(c)
-    orders = c.frame("orders")
-    return orders.join(rich, orders["o_custkey"] == rich["c_custkey"], "left_semi").select("o_orderkey")
+    rich = over("customer").where("c_acctbal > 9000").select("c_custkey")
+    return over("orders").where(rich.inside(c, "o_custkey")).select("o_orderkey").frame(c)
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)")
 def path_predicate(c):
-    big = over("orders").where("o_totalprice > 100000").frame(c)
-    with_big = c.frame("placed").join(big, F.col("out") == big["o_orderkey"], "left_semi")
-    customers = c.frame("customer")
-    return customers.join(with_big, customers["c_custkey"] == with_big["in"], "left_semi").select("c_custkey")
+    return over("customer").where_path("->placed->orders", "o_totalprice > 100000").select("c_custkey").frame(c)
+
+
+@query("""SELECT s_suppkey FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_partkey IN
+(SELECT l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_totalprice > 400000))""")
+def path_predicate_back(c):
+    return over("supplier").where_path("<-supplied<-part<-contains<-orders", "o_totalprice > 400000").select("s_suppkey").frame(c)
 
 
 @query("SELECT c_custkey FROM customer WHERE c_acctbal >= 0")
@@ -151,16 +160,16 @@ def row_permission(c):
     return over("own").select("c_custkey").frame(c)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net, CAST(l_quantity AS BIGINT) % 7 AS rest FROM lineitem WHERE l_orderkey < 100")
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net, CAST(l_quantity AS BIGINT) % 7 AS rest FROM lineitem WHERE l_quantity >= 30")
 def bind_parameters(c):
-    c.frame("lineitem").createOrReplaceTempView("lineitem")
-    return c.spark.sql("SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net, CAST(l_quantity AS BIGINT) % :m AS rest FROM lineitem WHERE l_orderkey < :top", args={"m": 7, "top": 100})
+    q = over("lineitem").where("l_quantity >= :least").bind(m=7, least=30)
+    return q.select("l_orderkey", "l_linenumber", "l_extendedprice * (1 - l_discount) AS net", "CAST(l_quantity AS BIGINT) % :m AS rest").frame(c)
 
 
 # joins and links
 @query("SELECT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey")
 def fetch_link(c):
-    return over("orders").join("customer", "o_custkey = c_custkey", "left").join("nation", "c_nationkey = n_nationkey", "left").select("o_orderkey", "c_name", "n_name").frame(c)
+    return over("orders").fetch_link("o_custkey", "o_custkey.c_nationkey").select("o_orderkey", F.col("o_custkey.c_name"), F.col("o_custkey.c_nationkey.n_name")).frame(c)
 
 
 @query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0")
@@ -173,9 +182,9 @@ def semi_join(c):
     return over("customer").join("orders", "o_custkey = c_custkey", "left_semi").select("c_custkey").frame(c)
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
 def anti_join(c):
-    return over("customer").join("orders", "o_custkey = c_custkey", "left_anti").select("c_custkey").frame(c)
+    return over("customer").join("orders", "o_custkey = c_custkey and o_totalprice > 200000", "left_anti").select("c_custkey").frame(c)
 
 
 # aggregation
@@ -264,6 +273,28 @@ def fn_time(c):
     return over("events").select("event_id", S.time_format("ts", "%Y-%m-%d %H:%M").alias("t")).frame(c)
 
 
+@query("SELECT event_id, strftime(ts, '%d.%m.%Y at %H o''clock, 100%% day''s %j') AS t FROM events")
+def fn_time_letters(c):
+    return over("events").select("event_id", S.time_format("ts", "%d.%m.%Y at %H o'clock, 100%% day's %j").alias("t")).frame(c)
+
+
+@query("SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 26 HOUR")
+def fn_duration(c):
+    newest = over("events").select(S.math_max("ts").alias("ts")).group_all().scalar(c)
+    return over("events").where(P.gt("ts", newest - S.duration("1d2h"))).select("event_id").frame(c)
+
+
+@query("SELECT c_custkey, upper(c_name) AS u, greatest(c_acctbal, 100) AS g FROM customer")
+def fn_call(c):
+    return over("customer").select("c_custkey", S.call("upper", "c_name").alias("u"), S.call("greatest", "c_acctbal", 100.0).alias("g")).frame(c)
+
+
+@query("SELECT ts::TIMESTAMP AS ts, event_id FROM events")
+def fn_datetime(c):
+    df = c.frame("events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("text"))
+    return df.select("event_id", S.to_datetime("text").cast("timestamp_ntz").alias("ts"))
+
+
 @query("SELECT p_partkey, CAST(p_size AS VARCHAR) AS s, CAST(p_retailprice AS BIGINT) AS i, try_cast(p_name AS DOUBLE) AS d, true AS is_text FROM part WHERE p_retailprice = floor(p_retailprice) OR p_retailprice % 1 < 0.5")
 def fn_cast(c):
     return over("part").where("p_retailprice = floor(p_retailprice) or p_retailprice % 1 < 0.5").select("p_partkey", S.cast("p_size", "string").alias("s"), S.cast("p_retailprice", "int").alias("i"), S.cast("p_name", "float").alias("d"), S.type_is("p_name", "string").alias("is_text")).frame(c)
@@ -275,6 +306,12 @@ def fn_record_id(c):
     return df.select("id", id_part("id").alias("part"))
 
 
+@query("SELECT CASE WHEN regexp_full_match(p_name, '[A-Za-z0-9_]+') THEN 'part:' || p_name ELSE 'part:<' || p_name || '>' END AS id, p_name AS part FROM part UNION ALL SELECT 't:<a:b c>', 'a:b c'")
+def record_id_text(c):
+    df = c.frame("part").select(record_id("part", "p_name").alias("id"))
+    return df.union(c.spark.range(1).select(record_id("t", F.lit("a:b c")))).select("id", id_part("id").alias("part"))
+
+
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_path(c):
     return over("events").select("event_id", S.json_field("props", "k").alias("k")).frame(c)
@@ -353,15 +390,69 @@ def neighbours_2(c):
     return graph.neighbours(c, 6, "knows", 2)
 
 
-@query("SELECT * FROM (VALUES (0, 0::BIGINT), (1, 3), (2, 24), (3, 25)) t(step, id)")
+def _path_sql(a: str, b: str, steps: str, max_depth: int = 10) -> str:
+    """Shortest path by levels; a record is met from the smallest one of the level before."""
+    return f"""{_WITH}, steps AS ({steps}), reach(x, d) AS (SELECT {a}, 0 UNION SELECT b, d + 1 FROM reach JOIN steps ON x = a WHERE d < {max_depth}),
+dist AS (SELECT x, min(d) AS d FROM reach GROUP BY x),
+parent AS (SELECT b AS x, min(a) AS p FROM steps JOIN dist u ON u.x = a JOIN dist v ON v.x = b AND v.d = u.d + 1 GROUP BY b),
+back(x, step) AS (SELECT x, d FROM dist WHERE x = {b} UNION ALL SELECT p, step - 1 FROM back JOIN parent ON parent.x = back.x WHERE step > 0)"""
+
+
+@query(_path_sql("0::BIGINT", "25", "SELECT a, b FROM knows") + " SELECT step, x AS id FROM back")
 def shortest_path(c):
     return graph.shortest_path(c, 0, 25, "knows")
 
 
-@query("SELECT c_custkey, list_sort(list(o_orderkey) FILTER (o_orderkey IS NOT NULL)) IS NULL AS none, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+@query(_path_sql("0::BIGINT", "40", "SELECT a, b FROM knows WHERE b <> 3") + " SELECT step, x AS id, c_custkey, c_name FROM back JOIN customer ON c_custkey = x")
+def shortest_path_records(c):
+    return graph.shortest_path(c, 0, 40, "knows", where="out <> 3", table="customer").select("step", "id", "c_custkey", "c_name")
+
+
+def _text_keys(c: Catalog) -> Catalog:
+    """Customers with text keys, and an edge between them."""
+    name = lambda k: F.concat(F.lit("u "), F.col(k).cast("string"))
+    c.add("people", c.frame("customer").withColumn("id", name("c_custkey")))
+    return c.add_edge("follows", c.frame("knows").select(name("in").alias("in"), name("out").alias("out")), "people", "people")
+
+
+_TEXT_STEPS = "SELECT 'u ' || a AS a, 'u ' || b AS b FROM knows"
+
+
+@query(_path_sql("'u 0'", "'u 25'", _TEXT_STEPS) + " SELECT step, x AS id FROM back")
+def shortest_path_text(c):
+    return graph.shortest_path(_text_keys(c), "u 0", "u 25", "follows")
+
+
+@query(f"""{_WITH}, s AS ({_TEXT_STEPS}), both_ways AS (SELECT a, b FROM s UNION ALL SELECT b, a FROM s),
+reach(x, d) AS (SELECT 'u 6', 0 UNION SELECT b, d + 1 FROM reach JOIN both_ways ON x = a WHERE d < 2)
+SELECT x AS id, min(d) AS depth FROM reach WHERE x <> 'u 6' GROUP BY x""")
+def neighbours_text(c):
+    return graph.neighbours(_text_keys(c), "u 6", "follows", 2)
+
+
+@query(f"{_WITH}, s AS ({_TEXT_STEPS}) SELECT a AS \"in\", b AS \"out\" FROM s WHERE NOT (a = 'u 0' AND b = 'u 1') UNION ALL SELECT 'u 1', 'new one'")
+def relate_text(c):
+    return graph.relate(graph.unrelate(_text_keys(c).frame("follows"), "u 0", "u 1"), "u 1", "new one")
+
+
+@query(f"{_WITH} SELECT c_name FROM knows j JOIN knows k ON j.b = k.a JOIN customer ON k.b = c_custkey WHERE j.a = 6")
+def hop_depth(c):
+    return over("people:<u 6>").out("follows", 2).select("c_name").frame(_text_keys(c))
+
+
+@query(f"""{_WITH}, s AS (SELECT a, b FROM knows WHERE a % 5 = 0 AND b % 3 = 0)
+SELECT c_custkey AS id, (SELECT count(*) FROM s WHERE b = c_custkey) AS in_degree, (SELECT count(*) FROM s WHERE a = c_custkey) AS out_degree, (SELECT count(*) FROM s WHERE b = c_custkey) + (SELECT count(*) FROM s WHERE a = c_custkey) AS total FROM customer""")
+def degree_zero(c):
+    c.add_edge("some", c.frame("knows").where("`in` % 5 = 0 and out % 3 = 0"), "customer", "customer")
+    return graph.degrees(c, "some", "customer")
+
+
+@query("SELECT c_custkey, coalesce(string_agg(o_orderkey || ':' || o_orderstatus, ',' ORDER BY o_orderkey), 'none') AS found FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 200000 GROUP BY c_custkey")
 def collected_related(c):
-    df = graph.collected(c, "customer", "placed", "orders", ["o_orderkey"], "orders")
-    return df.select("c_custkey", F.col("orders").isNull().alias("none"), F.coalesce(F.when(F.col("orders").isNotNull(), F.size("orders")), F.lit(0)).cast("long").alias("n"))
+    c.add("large_orders", c.frame("orders").where("o_totalprice > 200000"), "o_orderkey")
+    df = graph.collected(c, "customer", "placed", "large_orders", ["o_orderkey", "o_orderstatus"], "orders")
+    each = F.transform("orders", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderstatus"]))
+    return df.select("c_custkey", F.coalesce(F.array_join(each, ","), F.lit("none")).alias("found"))
 
 
 @query(f"{_WITH} SELECT count(*) AS n FROM (SELECT * FROM knows WHERE NOT (a = 0 AND b = 1) UNION ALL SELECT 1, 2)")
@@ -429,6 +520,21 @@ def mahalanobis_identity(c):
     return over("embeddings").select("vec_id", F.round(vectors.score("embedding", v, "MAHALANOBIS", inverse=inverse), 6).alias("d")).frame(c)
 
 
+@query(f"SELECT vec_id, CASE WHEN label = 3 THEN NULL ELSE round({_METRIC_SQL['COSINE']}, 6) END AS similarity FROM embeddings")
+def similarity_of_zero(c):
+    v = _vector(c)
+    zeroed = c.frame("embeddings").withColumn("embedding", F.when(F.col("label") == 3, F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")))
+    return Query().from_table("zeroed").select("vec_id").similarity_score("embedding", v).frame(c.add("zeroed", zeroed, "vec_id")).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(f"""WITH q AS MATERIALIZED (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
+SELECT vec_id, CASE WHEN label = 3 THEN NULL ELSE round({_METRIC_SQL['PEARSON'].replace(_Q, 'q')}, 6) END AS similarity FROM embeddings, q""")
+def pearson_of_constant(c):
+    v = _vector(c)
+    flat = c.frame("embeddings").withColumn("embedding", F.when(F.col("label") == 3, F.transform("embedding", lambda x: x * 0 + 0.3)).otherwise(F.col("embedding")))
+    return flat.select("vec_id", F.round(vectors.score("embedding", v, "PEARSON"), 6).alias("similarity"))
+
+
 # mutations
 _NATION = "n_nationkey, n_name, n_regionkey"
 
@@ -453,6 +559,19 @@ def upsert(c):
     return mutate.upsert(c.frame("nation"), [{"n_nationkey": 3, "n_name": "NEW", "n_regionkey": 1}, {"n_nationkey": 99, "n_name": "LAST", "n_regionkey": 2}], "n_nationkey").state
 
 
+@query(f"SELECT {_NATION} FROM nation WHERE n_nationkey <> 3 UNION ALL VALUES (3, 'LAST', 2), (99, 'B', 1)")
+def upsert_repeated(c):
+    rows = [(3, "NEW", 1), (99, "A", 1), (3, "LAST", 2), (99, "B", 1)]
+    return mutate.upsert(c.frame("nation"), [dict(zip(("n_nationkey", "n_name", "n_regionkey"), r, strict=True)) for r in rows], "n_nationkey").state
+
+
+@query(f"SELECT * FROM (SELECT {_NATION} FROM nation UNION ALL VALUES (60, NULL, 1)) WHERE n_name IS NOT NULL AND n_name <> 'CHINA' UNION ALL VALUES (70, NULL, 4), (71, 'CHINA', 0)")
+def upsert_conflict(c):
+    df = c.frame("nation").where("n_name <> 'CHINA'").union(c.spark.range(1).selectExpr("60", "cast(null as string)", "1"))
+    rows = c.spark.createDataFrame([(70, None, 4), (71, "CHINA", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    return mutate.upsert(df, rows, "n_nationkey", on=["n_name"]).state
+
+
 @query(f"SELECT {_NATION} FROM nation UNION ALL VALUES (98, 'A', 1), (99, 'B', NULL)")
 def insert_many(c):
     return mutate.insert(c.frame("nation"), [{"n_nationkey": 98, "n_name": "A", "n_regionkey": 1}, {"n_nationkey": 99, "n_name": "B", "n_regionkey": None}], "n_nationkey").state
@@ -479,6 +598,13 @@ def return_diff(c):
     return d.select("n_nationkey", F.explode("changes").alias("x")).select("n_nationkey", "x.*")
 
 
+@query("SELECT n_nationkey, 'remove' AS op, '/n_name' AS path, NULL::VARCHAR AS value FROM nation WHERE n_nationkey < 5 UNION ALL SELECT n_nationkey, 'add', '/size', '1' FROM nation WHERE n_nationkey < 5")
+def diff_of_fields(c):
+    old = c.frame("nation")
+    d = mutate.diff(old, old.where("n_nationkey < 5").drop("n_name").withColumn("size", F.lit(1)), "n_nationkey")
+    return d.select("n_nationkey", F.explode("changes").alias("x")).select("n_nationkey", "x.*")
+
+
 @query("SELECT c_custkey, c_name, 'new' AS status FROM customer")
 def backfill_default(c):
     return mutate.backfill(c.frame("customer"), "status", "new").select("c_custkey", "c_name", "status")
@@ -525,6 +651,12 @@ def snapshot_diff(c):
     return feeds.snapshot_changes(old, new.union(more), "event_id")
 
 
+@query("SELECT c_custkey, 'UPDATE' AS action FROM customer WHERE c_acctbal > 0")
+def snapshot_added_field(c):
+    old = c.frame("customer")
+    return feeds.snapshot_changes(old, old.withColumn("rank", F.when(F.col("c_acctbal") > 0, F.lit(1))), "c_custkey")
+
+
 @query("SELECT time_bucket(INTERVAL '1 hour', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def window_counts(c):
     rows = c.frame("events").withColumn("ts", F.col("ts").cast("timestamp"))

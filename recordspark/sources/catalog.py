@@ -35,6 +35,7 @@ class Catalog:
     spark: SparkSession
     tables: dict[str, Table] = field(default_factory=dict)
     edges: dict[str, Edge] = field(default_factory=dict)
+    links: dict[tuple[str, str], str] = field(default_factory=dict)
 
     def add(self, name: str, source: DataFrame | str | Callable[[], DataFrame], key: str = "id", rule: Callable[[DataFrame], Column] | None = None) -> Catalog:
         """Register a DataFrame, a Parquet path, or a function that makes a DataFrame."""
@@ -67,6 +68,11 @@ class Catalog:
         df = self.frame(ref.table)
         return ref.table, df.where(df[self.key(ref.table)] == ref.id)
 
+    def add_link(self, table: str, field_: str, target: str) -> Catalog:
+        """Declare that a field holds keys of another table."""
+        self.links[table, field_] = target
+        return self
+
     def describe(self) -> list[tuple[str, str, str]]:
         """(table, column, type) of everything registered."""
         return [(n, c, k) for n in [*self.tables, *self.edges] for c, k in self.frame(n).dtypes]
@@ -87,10 +93,15 @@ def files(spark: SparkSession, sf_dir: str) -> Catalog:
     c.add_edge("lives_in", edge("customer", "c_custkey", "c_nationkey"), "customer", "nation")
     c.add_edge("in_region", edge("nation", "n_nationkey", "n_regionkey"), "nation", "region")
 
+    for table, name, target in (("orders", "o_custkey", "customer"), ("customer", "c_nationkey", "nation"), ("supplier", "s_nationkey", "nation"), ("nation", "n_regionkey", "region"), ("lineitem", "l_orderkey", "orders"), ("lineitem", "l_partkey", "part"), ("lineitem", "l_suppkey", "supplier")):
+        c.add_link(table, name, target)
+    customers: list[int] = []
+
     def knows() -> DataFrame:
         """A sparse directed graph over customers, made by arithmetic on their keys."""
         k = c.frame("customer").select(F.col("c_custkey").alias("k"))
-        n = F.lit(k.count())
+        customers.extend([] if customers else [k.count()])  # once for a catalog
+        n = F.lit(customers[0])
         to = F.array(F.pmod(F.col("k") + 1, n), F.pmod(7 * F.col("k") + 3, n), F.when(F.col("k") % 3 == 0, F.pmod(F.col("k") - 1 + n, n)))
         return k.select(F.col("k").alias("in"), F.explode(to).alias("out")).where("out is not null")
 

@@ -40,10 +40,14 @@ class RecordId:
 
 
 def record_id(table: str, key: Column | str) -> Column:
-    """The text form of the ids of a key column."""
-    return F.concat(F.lit(f"{table}:"), (F.col(key) if isinstance(key, str) else key).cast("string"))
+    """The text form of the ids of a key column, as `RecordId` writes them."""
+    key = F.col(key) if isinstance(key, str) else key
+    text = key.cast("string")
+    quoted = (F.typeof(key) == "string") & ~text.rlike(f"^{_PLAIN.pattern}$")
+    return F.concat(F.lit(f"{table}:"), F.when(quoted, F.concat(F.lit("<"), text, F.lit(">"))).otherwise(text))
 
 
 def id_part(ref: Column | str) -> Column:
-    """The key of a record id in its text form."""
-    return F.substring_index(F.col(ref) if isinstance(ref, str) else ref, ":", -1)
+    """The key of a record id in its text form: what follows the first colon, without brackets around it."""
+    key = F.regexp_replace(F.col(ref) if isinstance(ref, str) else ref, r"(?s)^[^:]*:", "")
+    return F.regexp_replace(key, r"(?s)^[<⟨](.*)[>⟩]$", "$1")

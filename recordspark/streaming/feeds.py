@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recordspark.operators.mutate import diff
 
@@ -28,6 +30,50 @@ def created(rows: DataFrame, key: str, time: str, late: str = "1 hour") -> DataF
     return once.select(F.lit("CREATE").alias("action"), F.struct(*rows.columns).alias("result"))
 
 
+def notifications(rows: DataFrame, key: str, order: str, deleted: str) -> DataFrame:
+    """key, action (CREATE, UPDATE, DELETE) and result (JSON) for the versions of records in a stream.
+
+    A version replaces the one before in the order of the column `order`, within each batch; where the column
+    `deleted` is true, the record goes.  A version that changes nothing gives nothing.  The state has a hash
+    of each record that is there and nothing of those that went.
+    """
+    fields = [c for c in rows.columns if c not in (order, deleted)]
+    result = F.to_json(F.struct(*fields))
+    versions = rows.select(F.col(key).cast("string").alias("key"), F.col(order).alias("order"), F.coalesce(F.col(deleted), F.lit(False)).alias("gone"), F.xxhash64(result).alias("mark"), result.alias("result"))
+
+    def told(k: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        there = state.get[0] if state.exists else None
+        out = []
+        for r in pd.concat(list(batches)).sort_values(["order", "mark"]).itertuples():
+            if r.gone:
+                action, now = "DELETE" if there is not None else None, None
+            else:
+                action, now = "CREATE" if there is None else "UPDATE" if there != r.mark else None, int(r.mark)
+            if action:
+                out.append((k[0], action, r.result))
+            there = now
+        if there is not None:
+            state.update((there,))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["key", "action", "result"])
+
+    return versions.groupBy("key").applyInPandasWithState(told, "key string, action string, result string", "mark long", "append", GroupStateTimeout.NoTimeout)
+
+
+def active(spark: SparkSession) -> list[StreamingQuery]:
+    """The live queries of the session."""
+    return list(spark.streams.active)
+
+
+def kill(spark: SparkSession, query_id: str) -> bool:
+    """Stop a live query; whether there was one of that id."""
+    found = [q for q in spark.streams.active if str(q.id) == query_id]
+    for q in found:
+        q.stop()
+    return bool(found)
+
+
 def live(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, condition: Column | None = None, once: bool = False) -> StreamingQuery:
     """Hand every batch of the rows that a condition holds for to a callback.  once: what is there now, then stop."""
     kept = rows if condition is None else rows.where(condition)
@@ -46,8 +92,9 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame
 
     Rows are compared by a hash of their other fields, so that one narrow full join does.
     """
-    names = [c for c in before.columns if c != key]
-    mark = lambda df, name: df.select(F.col(key), F.xxhash64(F.to_json(F.struct(*names))).alias(name))
+    names = sorted({*before.columns, *after.columns} - {key})
+    # JSON leaves nulls out, so a field that only one of the two has is null in the other
+    mark = lambda df, name: df.select(F.col(key), F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in names if c in df.columns] or [F.lit(0)]))).alias(name))
     both = mark(before, "_a").join(mark(after, "_b"), key, "full")
     action = F.when(F.col("_a").isNull(), "CREATE").when(F.col("_b").isNull(), "DELETE").when(F.col("_a") != F.col("_b"), "UPDATE")
     return both.select(key, action.alias("action")).where("action is not null")

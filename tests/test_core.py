@@ -192,3 +192,42 @@ def test_vector_metrics(spark):
         assert df.select(vectors.score("v", q, metric)).first()[0] == pytest.approx(x)
     inverse = [[2.0, 0, 0], [0, 1.0, 0], [0, 0, 0.5]]
     assert df.select(vectors.score("v", q, "MAHALANOBIS", inverse=inverse)).first()[0] == pytest.approx((2 + 4.5) ** 0.5)
+
+
+def test_notifications_of_updates_and_deletes(spark, tmp_path):
+    form = "id long, name string, at int, gone boolean"
+    batches = [[(1, "a", 1, False), (2, "b", 2, False)], [(1, "c", 3, None), (2, "b", 4, False), (3, "x", 6, True), (3, "x", 5, False)], [(2, "b", 7, True), (4, "d", 8, True), (3, "y", 9, False)]]
+    got = []
+    for rows in batches:
+        spark.createDataFrame(rows, form).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        told = feeds.notifications(feeds.stream(spark, str(tmp_path / "in"), form), "id", "at", "gone")
+        q = feeds.live(told, lambda df, _: got.append(sorted((r["key"], r["action"]) for r in df.collect())), str(tmp_path / "c"), once=True)
+        q.awaitTermination(60)
+    assert [g for g in got if g] == [[("1", "CREATE"), ("2", "CREATE")], [("1", "UPDATE"), ("3", "CREATE"), ("3", "DELETE")], [("2", "DELETE"), ("3", "CREATE")]]
+    q = feeds.live(feeds.stream(spark, str(tmp_path / "in"), form), lambda df, _: None, str(tmp_path / "c2"))
+    assert [x.id for x in feeds.active(spark)] == [q.id]
+    assert feeds.kill(spark, str(q.id)) and not feeds.kill(spark, str(q.id)) and feeds.active(spark) == []
+
+
+def test_query_conditions_of_other_queries(people):
+    users = Query().from_table("user")
+    ids = lambda q: sorted(r["id"] for r in q.frame(people).collect())
+    every = ids(users)
+    assert ids(users.bind(n=min(every)).where("id > :n")) == every[1:]
+    assert ids(users.where(users.where(P.eq("id", every[0])).select("id").inside(people, "id"))) == every[:1]
+    assert users.count_rows(people) == len(every) and users.exists(people) and not users.where("id < -1").exists(people)
+    # by a column that the selection makes and one that it drops
+    got = users.select(F.lit(1).alias("one"), "name").order_by("one").order_by("id", "DESC").frame(people)
+    assert got.columns == ["one", "name"]
+    with pytest.raises(ValueError):
+        users.fetch_link("name").frame(people)
+    with pytest.raises(ValueError):
+        users.out("follows", 0)
+
+
+def test_durations(spark):
+    df = spark.range(1).select(F.lit("2024-01-10 00:00:00").cast("timestamp").alias("t"))
+    assert df.select((F.col("t") - S.duration("1w1d2h30m15s5ms")).cast("string").alias("t")).first()[0] == "2024-01-01 21:29:44.995"
+    with pytest.raises(ValueError):
+        S.duration("3 days")
+    assert len({r[0] for r in spark.range(5).select(S.rand_uuid()).collect()}) == 5
