@@ -1,7 +1,12 @@
 """A corpus pipeline: quality rules, near-duplicate removal, secret redaction, mixing, tokenisation.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before kept.  All but the
-last return the columns of their input, whatever further columns there are.
+last return the columns of their input, whatever further columns there are.  `run` writes the output of each
+stage but the last to the shared folder as Parquet, and the next stage reads it from there.
+
+Defined results: null and empty texts fail the base rules of the first stage, so they are gone behind it.
+Rows with a null doc_id are judged and redacted like others; they are nobody's near-duplicates, and are mixed
+by their source.  Of rows repeated entirely one stays.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordspark.llm import jaccard_join, mixing, quality_rules, secret_scan, segmentation
-from recordspark.llm.common import table
+from recordspark.llm.common import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +43,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_rules", quality), ("jaccard_join", near_duplicates), ("secret_scan", secrets), ("mixing", mixture), ("segmentation", tokens)]
-#: Sampled mixtures and segmentations are not SQL; tests hold the pipeline against a brute-force version.
+#: Sampled mixtures and segmentations are not SQL; tests/llm/test_pipeline.py holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    *first, (_, last) = STAGES
+    for _, stage in first:
+        docs = stored(stage(spark, docs, sf_dir))
+    return last(spark, docs, sf_dir)
