@@ -440,6 +440,32 @@ def test_segmentation(docs, rows, none):
     assert segmentation.sample(none, v).count() == 0
 
 
+def test_round_trip_is_of_the_original_text():
+    v = segmentation.Vocabulary.load()
+    v.prepare()
+    texts = ["a\u2581b", "plain words", "", " two  spaces ", "\u2581", "\U0001f600 é"]
+    s = segmentation.segment(texts, np.arange(len(texts), dtype=np.uint64), v, 2)
+    for i, t in enumerate(s.text):
+        assert s.round_trip[i] == (v.decode(s.ids[s.first[i] : s.first[i + 1]]) == texts[t])
+    assert not s.round_trip[s.text == 0].any() and not s.round_trip[s.text == 4].any() and s.round_trip[(s.text != 0) & (s.text != 4)].all()
+    # a text that decodes to another length leaves the others' bytes compared
+    pieces, v.bytes = v.bytes.copy(), v.bytes.copy()
+    v.bytes[v.byte_start[s.ids[s.first[list(s.text).index(1)]]] + 3] ^= 1
+    assert not segmentation.segment(texts, np.arange(len(texts), dtype=np.uint64), v, 1).round_trip[1]
+    v.bytes = pieces
+
+
+def test_segmentation_inclusion_weights():
+    """Over many keys, sums weighted by log_prob - log_inclusion come to the whole, 1."""
+    v = segmentation.Vocabulary.load()
+    v.prepare()
+    total = []
+    for key in range(800):
+        s = segmentation.segment(["hello the"], np.array([key * 11 + 5], dtype=np.uint64), v, 2)
+        total.append(np.exp(s.log_prob - s.log_inclusion).sum())
+    assert np.mean(total) == pytest.approx(1, abs=4 * np.std(total) / len(total) ** 0.5 + 1e-6)
+
+
 def test_segmentation_without_replacement():
     """First and second samples have the frequencies of drawing without replacement."""
     v = segmentation.Vocabulary.load()
