@@ -1,17 +1,19 @@
 """Secrets in texts: fixed patterns, and strings that look random under character Markov models.
 
 Two bigram models over the characters of candidate strings are compared: one of random strings, one of
-ordinary identifiers.  A candidate is a maximal run of `[A-Za-z0-9+/_=-]` of at least MIN_CHARS characters
-with a digit and a letter; it becomes a `markov` span if its log-likelihood ratio, a character, exceeds
-CUTOFF and it overlaps no span of the fixed patterns.
+ordinary identifiers.  A candidate is a maximal run of `[A-Za-z0-9+/_=-]` of at least MIN_CHARS characters;
+it becomes a `markov` span if its log-likelihood ratio, a character, exceeds the cutoff for its length and
+it overlaps no span of the fixed patterns.  The cutoff is CUTOFF from SURE_CHARS characters on, and larger
+for shorter ones, whose mean strays further: by the root of the ratio of lengths.
 
 Both models are trained from labelled strings.  Random: the values that the fixed patterns find in the
 training rows, and GENERATED seeded strings over the usual secret alphabets.  Ordinary: all words of the
 training rows outside those values, and compounds of them joined the way identifiers are (snake, kebab,
-camel, with a number behind), one for each COMPOUND_WORDS words of a row, seeded by its text: the models
+camel, paths, sums and assignments, mostly with a number behind), one for each COMPOUND_WORDS words of a row, seeded by its text: the models
 don't depend on how rows are dealt to tasks.  The training rows are a bounded sample: about SAMPLE_ROWS rows
 drawn by a hash of their text.  The models are two small tables of bigram counts.  On labelled samples that
-were held out, no ordinary identifier of 20 characters exceeds 0 and 99 in 100 random strings exceed CUTOFF.
+were held out, no ordinary identifier exceeds 0 and 98 in 100 random strings of 16 characters exceed the
+cutoff (of 40 characters, all).
 
 Defined results: a null or empty text has no spans and the digest of the empty string.  Rows are scanned
 one by one, so repeated rows, null doc_ids and further columns don't matter.
@@ -40,7 +42,7 @@ PATTERNS = {
 #: Equal to the hex pattern where 16 characters are needed, and faster.
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = (*PATTERNS, "markov")
-MIN_CHARS, CUTOFF = 20, 0.6
+MIN_CHARS, SURE_CHARS, CUTOFF = 16, 20, 0.6
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_CHARS},}}")
 SAMPLE_ROWS, GENERATED, COMPOUND_WORDS, SEED = 2000, 4000, 16, 11
 _ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz0123456789")
@@ -98,7 +100,8 @@ def compounds(words: list[str], n: int = GENERATED, seed: int | list[int] = SEED
     for i in range(n):
         parts = [words[j] for j in rng.integers(0, len(words), int(rng.integers(2, 5)))]
         tail = str(int(rng.integers(0, 10 ** int(rng.integers(1, 5)))))
-        out.append(("_".join(parts) + "_" + tail, "-".join(parts) + "-" + tail, "".join(x.capitalize() for x in parts) + tail, "_".join(parts).upper() + "_" + tail)[i % 4])
+        styles = ("_".join(parts) + "_" + tail, "-".join(parts) + "-" + tail, "".join(x.capitalize() for x in parts) + tail, "_".join(parts).upper() + "_" + tail, "/".join([*parts, tail]), "/" + "/".join(parts), "+".join(parts), "=".join((parts[0], "-".join(parts[1:]) + tail)))
+        out.append(styles[i % len(styles)])
     return out
 
 
@@ -130,15 +133,17 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     return log_odds(random + counts(generated()), ordinary)
 
 
-def markov_spans(text: str, odds: np.ndarray, taken: list[tuple[int, int, int]], cutoff: float = CUTOFF) -> list[tuple[int, int, int]]:
+def cutoff_of(n: int) -> float:
+    """The log-likelihood ratio a character that strings of n characters must exceed."""
+    return CUTOFF * max(1.0, SURE_CHARS / n) ** 0.5
+
+
+def markov_spans(text: str, odds: np.ndarray, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates that look random and overlap none of the spans in `taken`."""
     out = []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if s.isalpha() or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)):
-            continue
-        c = codes(s)
-        if odds[c[:-1], c[1:]].mean() > cutoff and not any(a < m.end() and m.start() < z for a, _, z in taken):
+        c = codes(m.group())
+        if odds[c[:-1], c[1:]].mean() > cutoff_of(len(c)) and not any(a < m.end() and m.start() < z for a, _, z in taken):
             out.append((m.start(), len(PATTERNS), m.end()))
     return out
 

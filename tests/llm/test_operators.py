@@ -124,6 +124,13 @@ def test_secrets(docs, rows, none, spark):
     held_words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(500)]
     assert np.mean([mean(x) > secret_scan.CUTOFF for x in secret_scan.generated(1000, seed=99)]) >= 0.97
     assert max(mean(x) for x in secret_scan.compounds(held_words, 1000, seed=98) if len(x) >= secret_scan.MIN_CHARS) < secret_scan.CUTOFF
+    # the ratio alone decides: no digit is needed, short strings have a larger cutoff, and paths are ordinary
+    marks = lambda t: [t[a:z] for a, _, z in secret_scan.find(t, odds)[1]]
+    letters = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), 32))
+    short = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 16))
+    assert marks(f"see {letters} and {short}") == [letters, short]
+    assert marks("/".join(held_words[:6]) + "/17 " + "+".join(held_words[6:12]) + " " + "".join(held_words[12:20])) == []
+    assert secret_scan.cutoff_of(16) > secret_scan.cutoff_of(20) == secret_scan.cutoff_of(200)
     clean = [r for r in secret_scan.scan(docs, odds).collect() if r["doc_id"] is not None and r["doc_id"] < 14]
     assert all(r["spans"] == "" for r in clean)
     out = secret_scan.redact(docs, odds)
