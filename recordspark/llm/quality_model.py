@@ -1,19 +1,21 @@
 """Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
 
 A text has one feature for each bucket of its hashed words (its share of the words, square-rooted and
-scaled to unit length), and STRUCTURE dense features of its shape: lengths, shares of classes of
-characters, repetition of words and lines.  All features have a weight and a vector of FACTORS numbers;
+scaled to unit length), and STRUCTURE dense features: of its shape (lengths, shares of classes of
+characters, repetition of words and lines) and of its metadata (the recorded n_chars, and whether there is
+one).  All features have a weight and a vector of FACTORS numbers;
 pairs of features interact by the product of their vectors, summed in linear time as half of the square
 of the sum minus the sum of squares.
 
-Fitting takes a bounded sample of labelled rows: about SAMPLE_ROWS of them, drawn by a hash of doc_id.
-Their sparse features (not their texts) meet in one task, which runs EPOCHS of AdaGrad and returns the
+Fitting takes a bounded sample of labelled rows: about SAMPLE_ROWS of them, drawn by a hash of doc_id, and
+never more than twice as many, however often a doc_id is repeated.  Their sparse features (not their texts) meet in one task, which runs EPOCHS of AdaGrad and returns the
 model of (BUCKETS + STRUCTURE) x (FACTORS + 1) numbers.  Scoring reads every whole text in its own task.
 
 Defined results: a null or empty text has no words, and its structure features decide.  Rows with a null
 doc_id are held out.  Repeated rows are scored one by one; a doc_id with several labels teaches each of
 them; without labelled rows every score is 0.5.  Labels other than 0 and 1 and null labels teach nothing.
-Further columns don't matter.
+Without a
+column n_chars it counts as null; further columns don't matter.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.llm.common import held_out, share, table
@@ -34,7 +36,7 @@ SAMPLE_ROWS = 6000
 RATE, DECAY = 0.08, 1e-5
 THRESHOLD = 0.7
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
-STRUCTURE = 14
+STRUCTURE = 16
 _IS = {k: np.zeros(256, dtype=np.int64) for k in ("upper", "digit", "symbol", "stop", "bang", "comma", "high")}
 for _k, _chars in {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "symbol": b"#*$%&|<>", "stop": b".", "bang": b"!?", "comma": b",;:"}.items():
     _IS[_k][list(_chars)] = 1
@@ -55,8 +57,8 @@ def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (total[offsets[1:]] - total[offsets[:-1]]).astype(np.float64)
 
 
-def structure(words: Words, hashes: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    """The dense features of each text, each about between 0 and 1."""
+def structure(words: Words, hashes: np.ndarray, distinct: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """The dense features of each text, each about between 0 and 1.  chars: the recorded n_chars, NaN where there is none."""
     data, offsets = words.data, words.offsets
     size = np.maximum(np.diff(offsets), 1)
     n = np.maximum(words.counts, 1)
@@ -68,11 +70,11 @@ def structure(words: Words, hashes: np.ndarray, distinct: np.ndarray) -> np.ndar
     columns.append(_sums(same, words.first) / n)
     lines = _sums(data == 10, offsets) + 1
     columns.append(np.minimum(lines / n, 1.0))
-    columns.append(np.ones(len(size)))
+    columns += [np.log1p(np.clip(np.nan_to_num(chars), 0, 1e12)) / 12, np.isnan(chars).astype(np.float64), np.ones(len(size))]
     return np.column_stack(columns)
 
 
-def features(words: Words) -> Sparse:
+def features(words: Words, chars: np.ndarray) -> Sparse:
     hashes = words.hashes()
     rows = len(words.counts)
     key = words.texts_of_words() * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
@@ -80,7 +82,7 @@ def features(words: Words) -> Sparse:
     text = key // BUCKETS
     per = np.bincount(text, minlength=rows)
     value = np.sqrt(count / np.maximum(words.counts, 1)[text])  # the squares of a text sum to 1
-    dense = structure(words, hashes, per)
+    dense = structure(words, hashes, per, chars)
     first = np.concatenate(([0], np.cumsum(per + STRUCTURE)))
     index = np.empty(first[-1], dtype=np.int32)
     out = np.empty(first[-1], dtype=np.float32)
@@ -159,27 +161,39 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, se
     return m
 
 
+def n_chars(docs: DataFrame) -> Column:
+    """The recorded length, where the rows have one."""
+    return (F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")).alias("n_chars")
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, Sparse]]:
+    """Batches with `text` and `n_chars`, and their features piece by piece."""
+    for b in batches:
+        chars = b.column(b.schema.get_field_index("n_chars")).to_numpy(zero_copy_only=False).astype(np.float64)
+        for a, z, data, offsets in pieces(b, "text"):
+            yield b, a, z, features(split(data, offsets), chars[a:z])
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: str, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """The model from a bounded sample of the labelled rows for which the SQL condition `learn` holds."""
     marked = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
     n = marked.count()
     drawn = marked.where(share("doc_id") < F.lit(sample_rows / max(n, 1)))
     # about sample_rows rows of 12 bytes, so the texts stay where they are
-    rows = docs.where(learn).select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = docs.where(learn).select("doc_id", "text", n_chars(docs)).join(F.broadcast(drawn), "doc_id")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for a, z, data, offsets in pieces(b, "text"):
-                x = features(split(data, offsets))
-                cells = [(x.index[x.first[i] : x.first[i + 1]].tobytes(), x.value[x.first[i] : x.first[i + 1]].tobytes()) for i in range(z - a)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(2).slice(a, z - a).cast(pa.int32()), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())], ["doc_id", "quality", "index", "value"])
+        for b, a, z, x in _read(batches):
+            cells = [(x.index[x.first[i] : x.first[i + 1]].tobytes(), x.value[x.first[i] : x.first[i + 1]].tobytes()) for i in range(z - a)]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(3).slice(a, z - a).cast(pa.int32()), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())], ["doc_id", "quality", "index", "value"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_ = sorted((d, i, v, q) for b in batches for d, q, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True))
         m = fit([(np.frombuffer(i, dtype=np.int32), np.frombuffer(v, dtype=np.float32), q) for _, i, v, q in rows_])
         yield pa.RecordBatch.from_arrays([pa.array([m.packed()], pa.binary())], ["model"])
 
-    x = rows.mapInArrow(extracted, "doc_id long, quality int, index binary, value binary").repartition(1).mapInArrow(fitted, "model binary")
+    x = rows.mapInArrow(extracted, "doc_id long, quality int, index binary, value binary")
+    x = x.orderBy(F.xxhash64("doc_id", "index", "value")).limit(2 * sample_rows).repartition(1).mapInArrow(fitted, "model binary")
     found = x.collect()
     return Machine.unpacked(found[0]["model"]) if found else fit([])
 
@@ -190,14 +204,13 @@ def score(docs: DataFrame, model: Machine) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Machine.unpacked(packed)
-        for b in batches:
-            for a, z, data, offsets in pieces(b, "text"):
-                p = m.scores(features(split(data, offsets)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+        for b, a, z, x in _read(batches):
+            p = m.scores(x)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(scored, SCHEMA)
+    return docs.select("doc_id", "held_out", "text", n_chars(docs)).mapInArrow(scored, SCHEMA)
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out("doc_id", 4, 2))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars").withColumn("held_out", held_out("doc_id", 4, 2))
     return score(docs, train(docs, table(spark, sf_dir, "labels"), "not held_out"))
