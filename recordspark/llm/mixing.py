@@ -163,12 +163,23 @@ def mix_sized(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: floa
 
 
 def apply_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
-    """The mix itself: the rows of `docs`, each as often as the mix takes it, with all their columns."""
+    """The mix itself: the rows of `docs`, each as often as the mix takes it, with all their columns.
+
+    Rows that agree in doc_id, source and text are numbered in the order of their other columns.
+    """
     names = docs.columns
-    copies = mix(docs, weights, most).where("copies > 0").select("_h", "_n", "copies")
-    same = Window.partitionBy("_h").orderBy("_h")
-    inner = docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"), F.xxhash64("doc_id", "source", "text").alias("_h")).withColumn("_n", F.row_number().over(same))
-    repeated = inner.join(copies, ["_h", "_n"]).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    copies = cut(mix(docs, weights, most).select("_h", "_n", "copies"))
+    per = copies.groupBy("_h").agg(F.count("*").alias("_m"), F.sum("copies").alias("_copies")).where("_copies > 0")
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    taken = docs.select(row.alias("_row"), F.xxhash64("doc_id", "source", "text").alias("_h")).join(per, "_h")
+    out = taken.where("_m = 1").select("_row", F.col("_copies").alias("copies"))
+    if not per.where("_m > 1").isEmpty():
+        # equal rows become one with their number before they are put in order
+        forms = taken.where("_m > 1").groupBy("_h", F.xxhash64(F.to_json("_row")).alias("_form")).agg(F.first("_row").alias("_row"), F.count("*").alias("_c"))
+        last = F.sum("_c").over(Window.partitionBy("_h").orderBy("_form"))
+        forms = forms.withColumn("_last", last).withColumn("_n", F.explode(F.sequence(F.col("_last") - F.col("_c") + 1, F.col("_last"))))
+        out = out.unionByName(forms.join(copies.where("copies > 0"), ["_h", "_n"]).select("_row", "copies"))
+    repeated = out.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return repeated.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)])
 
 
