@@ -4,8 +4,8 @@ For each language a raw-content zstandard dictionary is made of sampled training
 to the language whose dictionary lets it be compressed to the fewest bytes.  The prediction is marked
 as rejected when the runner-up is nearly as small.
 
-Fitting takes a bounded sample: about SAMPLE_DOCS texts a language, drawn by a hash of doc_id, of which
-each gives at most SHARE_BYTES and all together DICTIONARY_BYTES.  Scoring compresses every whole text,
+Fitting takes a bounded sample: about SAMPLE_DOCS texts a language, drawn by a hash of doc_id and text, of
+which each gives at most SHARE_BYTES, a slice at a hashed place, and all together DICTIONARY_BYTES.  Scoring compresses every whole text,
 case-folded, with every dictionary.  The dictionaries (languages x DICTIONARY_BYTES) travel in the tasks'
 closure; there are as many as the training rows have languages.
 
@@ -42,9 +42,11 @@ def dictionaries(docs: DataFrame, learn: str, sample_docs: int = SAMPLE_DOCS) ->
     rows = docs.where(f"({learn}) and lang is not null and text is not null and text <> ''").select("doc_id", "lang", "text")
     # twice the sample's share of each language, then exactly the first of those by the same order
     n = rows.groupBy("lang").agg(F.count("*").alias("_n"))
-    drawn = rows.join(F.broadcast(n), "lang").where(share("doc_id") < F.lit(2.0 * sample_docs + 64) / F.col("_n"))
-    first = Window.partitionBy("lang").orderBy(share("doc_id"), "doc_id", F.xxhash64("text"))
-    drawn = drawn.withColumn("text", F.substring("text", 1, 2 * SHARE_BYTES)).withColumn("_i", F.row_number().over(first)).where(F.col("_i") <= sample_docs)
+    drawn = rows.join(F.broadcast(n), "lang").where(share("doc_id", "text") < F.lit(2.0 * sample_docs + 64) / F.col("_n"))
+    first = Window.partitionBy("lang").orderBy(share("doc_id", "text"), "doc_id", F.xxhash64("text"))
+    # a slice of the whole text, from anywhere in it
+    start = F.floor(share("text", F.lit("slice")) * F.greatest(F.length("text") - SHARE_BYTES, F.lit(0))).cast("int") + 1
+    drawn = drawn.withColumn("_i", F.row_number().over(first)).withColumn("text", F.substr("text", start, F.lit(SHARE_BYTES))).where(F.col("_i") <= sample_docs)
     parts: dict[str, list[tuple[int, bytes]]] = {}
     for r in drawn.select("lang", "_i", "text").collect():  # languages x sample_docs rows
         parts.setdefault(r["lang"], []).append((r["_i"], r["text"].lower().encode()[:SHARE_BYTES]))

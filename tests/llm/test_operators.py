@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from recordspark.llm import jaccard_join, language_id, maxent_lm, mixing, nearest, quality_model, quality_rules, secret_scan, segmentation, substring_dedup
@@ -93,6 +94,16 @@ def test_language_id(spark, docs, rows, none):
     assert [x for x, _ in contents] == ["de", "en"]
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(df, contents).collect()}
     assert got == {i: lang for i, _, lang in texts}
+    # plain zstandard, one dictionary after the other
+    for i, t, _ in texts[:20]:
+        size = {}
+        for lang, content in contents:
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            size[lang] = len(zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=d, write_content_size=False).compress(language_id.PRIME + t.lower().encode() + b" "))
+        assert min(size, key=size.get) == got[i] and abs(size["de"] - size["en"]) > language_id.NARROW * min(size.values())
+    # a common header doesn't fill the dictionaries
+    header = df.withColumn("text", F.concat(F.lit("same header again " * 400), "text"))
+    assert all(len(set(c.split())) > 5 for _, c in language_id.dictionaries(header, "not held_out"))
     odd = language_id.identify(docs.withColumn("held_out", F.lit(False)), contents).collect()
     assert len(odd) == len(rows) and all((r["lang_pred"] == "und") == (r["score"] == 0 and r["lang_pred"] not in ("de", "en")) for r in odd)
     assert language_id.dictionaries(none.withColumn("held_out", F.lit(False)), "not held_out") == []
@@ -350,6 +361,16 @@ def test_quality_model(spark, docs, rows, none):
     assert {r["score"] for r in quality_model.score(docs.withColumn("held_out", F.lit(True)), blank).collect()} == {0.5}
 
 
+def test_quality_model_of_a_repeated_document_and_metadata(spark):
+    """One labelled doc_id with many texts stays within the bound; n_chars tells where the text doesn't."""
+    rows = [(i, "same words here", 50 if i % 2 else 5000) for i in range(200)] + [(1000, f"same words here {i}", 50) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("held_out", F.lit(False))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(1000, 1)], "doc_id long, quality int")
+    model = quality_model.train(df, labels, "not held_out", 210)
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(df, model).collect()}
+    assert min(got[i] for i in range(1, 200, 2)) > max(got[i] for i in range(0, 200, 2))
+
+
 def test_factorisation_identity():
     m = quality_model.Machine.blank()
     m.weight += np.random.default_rng(1).normal(size=m.weight.shape).astype(np.float32)
@@ -379,9 +400,24 @@ def test_mixing(docs, rows, none):
     assert by_row(mixing.mix(docs.repartition(7))) == by_row(mixing.mix(docs))
     out = mixing.apply_mix(docs)
     assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in got)
+    assert by_row(mixing.apply_mix(docs.repartition(5))) == by_row(out)
+    # rows that differ in further columns alone, and some that don't
+    alike = docs.limit(1).select("doc_id", F.lit("x y z " * 9).alias("text"), "lang", F.lit("s7").alias("source"), "n_chars", F.explode(F.expr("sequence(0, 8)")).alias("_row"))
+    alike = docs.union(alike).union(alike.where("_row < 3"))
+    assert by_row(mixing.apply_mix(alike)) == by_row(mixing.apply_mix(alike.repartition(6)))
+    assert mixing.apply_mix(alike).count() == mixing.mix(alike).agg(F.sum("copies")).first()[0]
     assert mixing.mix(none).count() == 0 and mixing.apply_mix(none).count() == 0
 
 
+def test_mixed_words_come_near_the_targets(spark):
+    """Of every source, but for its residual document; many sources and sizes."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "w " * int(rng.integers(0, 90)), f"s{int(rng.integers(0, 9)) ** 2 % 7}") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).withColumn("source_size", F.col("source_size"))
+    per = got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("most"), F.sum("size").alias("size")).collect()
+    assert all(r["size"] == r["source_size"] and abs(r["taken"] - r["target"]) <= r["most"] for r in per) and len(per) >= 3
+
+
 def test_settling_keeps_words_and_expectations():
     rng = np.random.default_rng(4)
     sizes, start, totals = rng.integers(1, 50, 40).tolist(), rng.random(40).tolist(), np.zeros(40)
