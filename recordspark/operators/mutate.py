@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from dataclasses import replace as replace_
 from functools import reduce
 from typing import Any
 
@@ -77,11 +78,38 @@ def insert(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame, key: st
     return Mutation(state, df.limit(0).unionByName(new, allowMissingColumns=True))
 
 
-def update(df: DataFrame, values: Mapping[str, Any], key: str, where: Condition | None = None, image: str = "after", readonly: Sequence[str] = ()) -> Mutation:
-    """Set fields of the rows that a condition holds for.  Fields in `readonly` can't be set."""
+@dataclass(frozen=True)
+class Update:
+    """An update that is put together step by step and applied to a table's rows at the end; each step returns a new one."""
+
+    values: tuple[tuple[str, Any], ...] = ()
+    conditions: tuple[Condition, ...] = ()
+    image: str = "after"
+
+    def set(self, **values: Any) -> Update:
+        return replace_(self, values=(*self.values, *values.items()))
+
+    def where(self, condition: Condition) -> Update:
+        """All conditions must hold."""
+        return replace_(self, conditions=(*self.conditions, condition))
+
+    def returning(self, image: str) -> Update:
+        if image not in IMAGES:
+            raise ValueError(f"not a form of return: {image}")
+        return replace_(self, image=image)
+
+    def apply(self, df: DataFrame, key: str, readonly: Sequence[str] = ()) -> Mutation:
+        if not self.values:
+            raise ValueError("nothing is set")
+        where = reduce(lambda a, b: a & b, [as_column(c, df) for c in self.conditions]) if self.conditions else None
+        return update(df, dict(self.values), key, where, self.image, readonly)
+
+
+def update(df: DataFrame, values: Mapping[str, Any], key: str, where: Condition | None = None, image: str = "after", readonly: Sequence[str] = (), permitted: Condition | None = None) -> Mutation:
+    """Set fields of the rows that a condition holds for.  Fields in `readonly` can't be set; rows that aren't `permitted` stay as they are."""
     if blocked := set(values) & set(readonly):
         raise ValueError(f"read only: {', '.join(sorted(blocked))}")
-    hit = F.lit(True) if where is None else F.coalesce(as_column(where, df), F.lit(False))
+    hit = _hit(df, where, permitted)
     types = dict(df.dtypes)
     marked = df.withColumn("_hit", hit)
     new = {k: (value(v).cast(types[k]) if k in types else value(v)) for k, v in values.items()}
@@ -127,9 +155,14 @@ def replace(df: DataFrame, key: str, id_: Any, values: Mapping[str, Any], image:
     return Mutation(df.where(~(F.col(key) == id_) | F.col(key).isNull()).unionByName(new), _image(there, new, key, image))
 
 
-def delete(df: DataFrame, where: Condition | None = None, image: str = "before") -> Mutation:
-    """Without a condition, all rows."""
-    hit = F.lit(True) if where is None else F.coalesce(as_column(where, df), F.lit(False))
+def _hit(df: DataFrame, *conditions: Condition | None) -> Column:
+    """Whether all conditions that there are hold; what is null doesn't."""
+    return reduce(lambda a, b: a & b, [F.coalesce(as_column(c, df), F.lit(False)) for c in conditions if c is not None], F.lit(True))
+
+
+def delete(df: DataFrame, where: Condition | None = None, image: str = "before", permitted: Condition | None = None) -> Mutation:
+    """Without a condition, all rows; rows that aren't `permitted` stay."""
+    hit = _hit(df, where, permitted)
     gone = df.where(hit)
     return Mutation(df.where(~hit), gone if image == "before" else gone.limit(0))
 

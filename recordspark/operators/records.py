@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, fields, is_dataclass
 from math import ceil
 from typing import Any
 
@@ -78,6 +78,69 @@ def page(catalog: Catalog, query: Query, number: int, size: int) -> Page:
     return Page(query.offset((number - 1) * size).limit(size).frame(catalog).collect(), number, size, whole.count())
 
 
+@dataclass(frozen=True)
+class Found[R]:
+    """A record, or none."""
+
+    record: R | None
+
+    @property
+    def exists(self) -> bool:
+        return self.record is not None
+
+    def unwrap(self) -> R:
+        if self.record is None:
+            raise LookupError("no record")
+        return self.record
+
+    def unwrap_or(self, default: R) -> R:
+        return default if self.record is None else self.record
+
+
+@dataclass(frozen=True)
+class Records[R]:
+    """Records of a limited read, and whether there are more."""
+
+    items: tuple[R, ...]
+    limit: int | None = None
+    offset: int = 0
+    has_more: bool = False
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    def __iter__(self) -> Iterator[R]:
+        return iter(self.items)
+
+    def __getitem__(self, i: int) -> R:
+        return self.items[i]
+
+    @property
+    def first(self) -> R | None:
+        return self.items[0] if self.items else None
+
+    @property
+    def last(self) -> R | None:
+        return self.items[-1] if self.items else None
+
+
+def typed[R](row: Row, kind: type[R]) -> R:
+    """A row as an object of a dataclass, or of any class that takes its fields by name; other columns are left out."""
+    values = row.asDict(recursive=True)
+    return kind(**({f.name: values[f.name] for f in fields(kind) if f.name in values} if is_dataclass(kind) else values))
+
+
+def find[R](catalog: Catalog, table: str, key: object, kind: type[R]) -> Found[R]:
+    row = get_record(catalog, table, key)
+    return Found(None if row is None else typed(row, kind))
+
+
+def read[R](catalog: Catalog, query: Query, kind: type[R], limit: int, offset: int = 0) -> Records[R]:
+    """Up to `limit` records of a query; one more is read to know whether there are more."""
+    rows = query.offset(offset).limit(limit + 1).frame(catalog).collect()
+    return Records(tuple(typed(r, kind) for r in rows[:limit]), limit, offset, len(rows) > limit)
+
+
 # results
 def one(df: DataFrame) -> dict[str, Any] | None:
     rows = df.take(1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from typing import Literal
@@ -59,13 +61,21 @@ def merged(hints: Iterable[Hint]) -> dict[type, Hint]:
     return {type(h): h for h in hints}
 
 
+def explained(df: DataFrame, full: bool = False) -> str:
+    """The plan as text: the physical one, or with all stages of its making."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("extended" if full else "formatted")
+    return out.getvalue()
+
+
 def applied(df: DataFrame, hints: Iterable[Hint], table: str | None = None) -> DataFrame:
     """The DataFrame under the hints that concern its plan."""
     last = merged(hints)
     if (i := last.get(Index)) and table and i.table != table:
         raise ValueError(f"an index of {i.table} on a query of {table}")
     if e := last.get(Explain):
-        df.explain("extended" if e.full else "formatted")
+        print(explained(df, e.full))
     # the result in so many parts; scans and shuffles below keep their own
     return df.hint("rebalance", p.workers) if (p := last.get(Parallel)) else df
 

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from fnmatch import fnmatchcase
+from functools import wraps
+from typing import Any
 
 from pyspark.sql import DataFrame
 
 
+def key_of(f: Callable[..., Any], *args: Any, **kw: Any) -> str:
+    """The key of a call: the function's name, and a digest of its arguments."""
+    told = repr((args, sorted(kw.items())))
+    return f"{f.__module__}.{f.__qualname__}:{hashlib.sha256(told.encode()).hexdigest()[:16]}"
+
+
+def is_cached(f: Callable[..., Any]) -> bool:
+    return hasattr(f, "cache")
+
+
 @dataclass
 class Cache:
     """At most `size` results, each for `ttl` seconds; the oldest go first."""
@@ -38,9 +52,30 @@ class Cache:
         self.held[key] = (self.clock() + self.ttl, table, kept)
         return kept
 
-    def invalidate(self, table: str | None = None) -> int:
-        """Drop what was made of a table, or everything; how many."""
-        return self._drop([k for k, v in self.held.items() if table is None or v[1] == table])
+    def invalidate(self, table: str | None = None, key: str | None = None, pattern: str | None = None) -> int:
+        """Drop what was made of a table, or is under a key or under keys of a glob pattern, or everything; how many."""
+        every = table is key is pattern is None
+        return self._drop([k for k, v in self.held.items() if every or (table is not None and v[1] == table) or k == key or (pattern is not None and fnmatchcase(k, pattern))])
+
+    def has(self, key: str) -> bool:
+        return key in self.held and self.held[key][0] > self.clock()
+
+    def stats(self) -> dict[str, float]:
+        asked = self.hits + self.misses
+        return {"hits": self.hits, "misses": self.misses, "size": len(self.held), "ratio": self.hits / asked if asked else 0.0}
+
+    def cached(self, table: str = "") -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+        """A decorator: results of a function, by its name and arguments."""
+
+        def wrap(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+            @wraps(f)
+            def call(*args: Any, **kw: Any) -> DataFrame:
+                return self.get_or_set(lambda: f(*args, **kw), table, key_of(f, *args, **kw))
+
+            call.cache = self  # type: ignore[attr-defined]
+            return call
+
+        return wrap
 
     def _drop(self, keys: list[str]) -> int:
         gone = [self.held.pop(k) for k in keys if k in self.held]

@@ -52,11 +52,43 @@ def record_field(name: str, target: str, **kw: Any) -> Field:
     return Field(name, "record", target=target, **kw)
 
 
+#: Distances and component types that vector indexes may declare.
+DISTANCES = {"mtree": ("COSINE", "EUCLIDEAN", "MANHATTAN", "MINKOWSKI"), "hnsw": ("CHEBYSHEV", "COSINE", "EUCLIDEAN", "HAMMING", "JACCARD", "MANHATTAN", "MINKOWSKI", "PEARSON")}
+COMPONENTS = ("F64", "F32", "I64", "I32", "I16")
+
+
 @dataclass(frozen=True)
 class Index:
+    """kind: standard, search, mtree or hnsw.  Spark has no indexes; these are promises that `violations` and `duplicates` check."""
+
     name: str
     columns: tuple[str, ...]
     unique: bool = False
+    kind: str = "standard"
+    dimension: int | None = None
+    distance: str = "EUCLIDEAN"
+    component: str = "F64"
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("standard", "search", *DISTANCES):
+            raise ValueError(f"not a kind of index: {self.kind}")
+        if self.kind in DISTANCES:
+            if len(self.columns) != 1 or self.dimension is None or self.dimension < 1:
+                raise ValueError("a vector index needs one column and a dimension")
+            if self.distance not in DISTANCES[self.kind] or self.component not in COMPONENTS:
+                raise ValueError(f"not possible in a {self.kind} index: {self.distance}, {self.component}")
+
+
+def search_index(name: str, *columns: str) -> Index:
+    return Index(name, columns, kind="search")
+
+
+def vector_index(name: str, column: str, dimension: int, kind: str = "hnsw", distance: str = "EUCLIDEAN", component: str = "F64") -> Index:
+    return Index(name, (column,), kind=kind, dimension=dimension, distance=distance, component=component)
+
+
+#: What permissions are given for.
+ACTIONS = ("select", "create", "update", "delete")
 
 
 @dataclass(frozen=True)
@@ -65,6 +97,8 @@ class TableSchema:
     fields: tuple[Field, ...] = ()
     indexes: tuple[Index, ...] = ()
     rule: str | None = None
+    #: (action, Spark SQL condition) pairs: which rows an action may see or touch; an action without one may all.
+    permissions: tuple[tuple[str, str], ...] = ()
 
     def with_fields(self, *fields: Field) -> TableSchema:
         return replace(self, fields=(*self.fields, *fields))
@@ -72,6 +106,18 @@ class TableSchema:
     def with_indexes(self, *indexes: Index) -> TableSchema:
         return replace(self, indexes=(*self.indexes, *indexes))
 
+    def with_permissions(self, **conditions: str) -> TableSchema:
+        if unknown := set(conditions) - set(ACTIONS):
+            raise ValueError(f"not an action: {', '.join(sorted(unknown))}")
+        return replace(self, permissions=tuple((dict(self.permissions) | conditions).items()))
+
+    def permitted(self, action: str) -> Column:
+        """The condition on rows that an action may see or touch; also for `Catalog.add` and for mutations."""
+        if action not in ACTIONS:
+            raise ValueError(f"not an action: {action}")
+        condition = dict(self.permissions).get(action)
+        return F.lit(True) if condition is None else F.coalesce(F.expr(condition), F.lit(False))
+
     def spark(self) -> T.StructType:
         return T.StructType([f.spark() for f in self.fields])
 
@@ -86,7 +132,7 @@ class TableSchema:
         return df.where(self.rule) if self.rule else df
 
     def violations(self, df: DataFrame, key: str) -> DataFrame:
-        """key, field and kind ("null" or "assert") of every field that breaks its declaration; one pass."""
+        """key, field and kind ("null", "assert" or "dimension") of every field that breaks its declaration; one pass."""
         checks: list[Column] = []
         for f in self.fields:
             struct = lambda kind, f=f: F.struct(F.lit(f.name).alias("field"), F.lit(kind).alias("kind"))
@@ -94,6 +140,9 @@ class TableSchema:
                 checks.append(F.when(F.col(f.name).isNull(), struct("null")))
             if f.assertion:
                 checks.append(F.when(~F.coalesce(F.expr(f.assertion), F.lit(True)), struct("assert")))
+        for i in self.indexes:
+            if i.kind in DISTANCES:
+                checks.append(F.when(F.size(i.columns[0]) != i.dimension, F.struct(F.lit(i.columns[0]).alias("field"), F.lit("dimension").alias("kind"))))
         if not checks:
             return df.select(key, F.lit("").alias("field"), F.lit("").alias("kind")).limit(0)
         return df.select(key, F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("v")).select(key, "v.field", "v.kind")
@@ -113,6 +162,36 @@ class TableSchema:
         return out
 
 
+@dataclass(frozen=True)
+class EdgeSchema(TableSchema):
+    """An edge table: rows with `in` and `out`, from one table to another (or any, where they aren't named)."""
+
+    from_table: str | None = None
+    to_table: str | None = None
+
+    def broken(self, edges: DataFrame, tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+        """in, out and end of the edges that lack an end, or whose end isn't in the table that it must be in."""
+        out = edges.where("`in` is null or out is null").select("in", "out", F.when(F.col("in").isNull(), "in").otherwise("out").alias("end"))
+        for end, table in (("in", self.from_table), ("out", self.to_table)):
+            if table in tables:
+                rows, key = tables[table]
+                there = rows.select(F.col(key).alias("_key"))
+                out = out.union(edges.where(F.col(end).isNotNull()).join(there, F.col(end) == F.col("_key"), "left_anti").select("in", "out", F.lit(end)))
+        return out
+
+    def reversed(self, name: str) -> EdgeSchema:
+        return replace(self, name=name, from_table=self.to_table, to_table=self.from_table)
+
+
+def typed_edge(name: str, from_table: str, to_table: str, *fields: Field) -> EdgeSchema:
+    return EdgeSchema(name, fields, from_table=from_table, to_table=to_table)
+
+
+def bidirectional_edge(name: str, table: str, *fields: Field) -> EdgeSchema:
+    """Between records of one table."""
+    return typed_edge(name, table, table, *fields)
+
+
 @dataclass(frozen=True)
 class Change:
     """One difference between two schemas."""
@@ -132,11 +211,34 @@ def differences(old: Iterable[TableSchema], new: Iterable[TableSchema]) -> list[
         out += [Change("add_field", n, f, True) for f in after if f not in before]
         out += [Change("drop_field", n, f, False) for f in before if f not in after]
         out += [Change("modify_field", n, f, before[f].type == after[f].type) for f in after if f in before and after[f] != before[f]]
-        was, now = {i.name for i in a[n].indexes}, {i.name for i in b[n].indexes}
-        out += [Change("add_index", n, i, True) for i in sorted(now - was)] + [Change("drop_index", n, i, True) for i in sorted(was - now)]
+        was, now = {i.name: i for i in a[n].indexes}, {i.name: i for i in b[n].indexes}
+        out += [Change("add_index", n, i, True) for i in sorted(set(now) - set(was))] + [Change("drop_index", n, i, True) for i in sorted(set(was) - set(now))]
+        out += [Change("modify_index", n, i, True) for i in now if i in was and now[i] != was[i]]
+        if dict(a[n].permissions) != dict(b[n].permissions) or a[n].rule != b[n].rule:
+            out.append(Change("modify_permissions", n, n, True))
+        ends = lambda t: (getattr(t, "from_table", None), getattr(t, "to_table", None))
+        if ends(a[n]) != ends(b[n]):
+            out.append(Change("modify_edge", n, n, False))
     return out
 
 
+def report(found: Iterable[tuple[str, str, str]]) -> dict[str, Any]:
+    """Numbers of errors and warnings, whether there are errors, and a text with a line for each finding."""
+    found = sorted(found)
+    n = {s: sum(x[0] == s for x in found) for s in ("error", "warning")}
+    return {"errors": n["error"], "warnings": n["warning"], "failed": n["error"] > 0, "text": "\n".join(f"{s}: {f}: {w}" for s, f, w in found)}
+
+
+#: The table of applied migrations.
+HISTORY = "version string, description string, applied_at timestamp, checksum string, execution_time_ms long"
+
+
+def pending(history: DataFrame, migrations: Mapping[str, str]) -> tuple[list[str], list[str]]:
+    """Of migrations (version: checksum): versions not yet applied, in order, and applied ones whose checksum is another by now."""
+    applied = {r["version"]: r["checksum"] for r in history.select("version", "checksum").collect()}
+    return sorted(set(migrations) - set(applied)), sorted(v for v, c in migrations.items() if v in applied and applied[v] != c)
+
+
 def mismatches(schema: TableSchema, df: DataFrame) -> list[tuple[str, str, str]]:
     """(severity, field, what) between a declaration and the rows there are."""
     there, out = {f.name: f for f in df.schema.fields}, []

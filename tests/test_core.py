@@ -1,5 +1,7 @@
 """Validation, quirks and behaviour that SQL can't show."""
 
+from dataclasses import dataclass
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from recordspark.operators.aggregate import aggregate_records
 from recordspark.plans import hints
 from recordspark.plans.query import Query
 from recordspark.sources import schema as sc
-from recordspark.sources.cache import Cache
+from recordspark.sources.cache import Cache, is_cached, key_of
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import RecordId
 from recordspark.streaming import feeds
@@ -231,3 +233,73 @@ def test_durations(spark):
     with pytest.raises(ValueError):
         S.duration("3 days")
     assert len({r[0] for r in spark.range(5).select(S.rand_uuid()).collect()}) == 5
+
+
+def test_typed_records_and_wrappers(people):
+    @dataclass
+    class User:
+        id: int
+        name: str
+
+    ids = [r["id"] for r in Query().from_table("user").order_by("id").frame(people).collect()]
+    assert records.find(people, "user", ids[0], User).unwrap().id == ids[0] and not records.find(people, "user", -5, User).exists
+    with pytest.raises(LookupError):
+        records.find(people, "user", -5, User).unwrap()
+    q = Query().from_table("user").order_by("id")
+    some = records.read(people, q, User, len(ids) - 1)
+    assert [u.id for u in some] == ids[:-1] and some.has_more and some.first.id == ids[0]
+    rest = records.read(people, q, User, len(ids), 1)
+    assert len(rest) == len(ids) - 1 and not rest.has_more and rest.last.id == rest[-1].id == ids[-1]
+
+
+def test_deferred_updates_and_permissions(people):
+    df = people.frame("user")
+    u = mutate.Update().set(name="X").where(P.gt("id", 1)).where("id < 3")
+    assert [r["id"] for r in u.apply(df, "id").result.collect()] == [2]
+    assert {c["path"] for r in u.returning("diff").apply(df, "id").result.collect() for c in r["changes"]} == {"/name"}
+    with pytest.raises(ValueError):
+        mutate.Update().apply(df, "id")
+    schema = sc.TableSchema("user").with_permissions(update="id <> 2", delete="age > 1000")
+    assert mutate.update(df, {"name": "Y"}, "id", "id <= 2", permitted=schema.permitted("update")).result.select("id").collect() == [(1,)]
+    assert mutate.delete(df, permitted=schema.permitted("delete")).state.count() == df.count()
+    with pytest.raises(ValueError):
+        schema.with_permissions(read="true")
+
+
+def test_edge_schemas_and_vector_indexes(spark, people):
+    e = sc.typed_edge("follows", "user", "user", sc.Field("since", "int", assertion="since > 0"))
+    edges = spark.createDataFrame([(1, 2, 5), (1, 99, 0), (None, 2, 1)], "in long, out long, since long")
+    users = (people.frame("user"), "id")
+    assert sorted((r["in"] or 0, r["out"], r["end"]) for r in e.broken(edges, {"user": users}).collect()) == [(0, 2, "in"), (1, 99, "out")]
+    assert e.violations(edges, "out").collect() == [(99, "since", "assert")]
+    assert e.reversed("followed").from_table == "user" and sc.bidirectional_edge("knows", "user").to_table == "user"
+    moved = sc.EdgeSchema("follows", from_table="user", to_table="post")
+    assert ("modify_edge", False) in {(c.op, c.safe) for c in sc.differences([e], [moved])}
+    v = sc.TableSchema("chunk").with_indexes(sc.vector_index("near", "v", 3, distance="COSINE"), sc.search_index("text", "t"))
+    assert v.violations(spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "id long, v array<double>"), "id").collect() == [(2, "v", "dimension")]
+    new = v.with_permissions(select="id > 0")
+    assert [c.op for c in sc.differences([v], [new])] == ["modify_permissions"]
+    for bad in (lambda: sc.vector_index("x", "v", 0), lambda: sc.vector_index("x", "v", 3, "mtree", "JACCARD"), lambda: sc.Index("x", ("a",), kind="tree")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_reports_history_and_cache_keys(spark, people):
+    r = sc.report([("warning", "b", "not declared"), ("error", "a", "missing")])
+    assert (r["errors"], r["warnings"], r["failed"]) == (1, 1, True) and r["text"].splitlines()[0] == "error: a: missing"
+    history = spark.createDataFrame([("1", "first", None, "aa", 3), ("2", "second", None, "bb", None)], sc.HISTORY)
+    assert sc.pending(history, {"1": "aa", "2": "cc", "3": "dd"}) == (["3"], ["2"])
+    c = Cache()
+
+    @c.cached("user")
+    def older(n):
+        return people.frame("user").where(F.col("age") > n)
+
+    assert is_cached(older) and not is_cached(len) and older(20) is older(20) and older(30) is not older(20)
+    key = key_of(older.__wrapped__, 20)
+    assert c.has(key) and c.stats()["ratio"] == 0.5 and c.invalidate(key=key) == 1 and not c.has(key)
+    assert c.invalidate(pattern="*older*") == 1 and c.invalidate() == 0
+
+
+def test_explained_plans(people):
+    assert "Physical Plan" in hints.explained(people.frame("user")) and "Optimized Logical Plan" in hints.explained(people.frame("user"), full=True)
