@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from recordspark.llm.common import cut, table
 from recordspark.llm.components import components
-from recordspark.llm.substring_dedup import _runs, pack, unpack
+from recordspark.llm.packed import pack_buckets, runs, unpack_bucket
 from recordspark.llm.words import Words, grams, mix, pieces, split
 
 N = 5
@@ -136,16 +136,12 @@ def filter_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             repeated[leads] = np.where(known_ref[at] == refs, known[at], 0)[leads]
         # the first of several stands for all of them elsewhere, as nobody's
         key, ref = key[first], np.where(times > 1, np.uint64(0), ref[first])
-        bucket = ((key << np.uint64(64 - FILTER_BITS) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        starts = _starts(bucket)
-        step = np.diff(key, prepend=key[:1])
-        step[starts] = key[starts]
-        packed = [pack(step[a:z].view(np.int64), ref[a:z].view(np.int64)) for a, z in zip(starts, np.append(starts[1:], len(key)), strict=True)]
+        bucket, packed = pack_buckets(key, FILTER_BITS, buckets, ref.view(np.int64))
         n = len(packed)
         for i in range(0, n, 64):
             m = min(64, n - i)
             rest = [pa.nulls(m, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts[i : i + m]], pa.int32()), pa.array(packed[i : i + m], pa.binary()), *rest], names)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[i : i + m], pa.int32()), pa.array(packed[i : i + m], pa.binary()), *rest], names)
         # evenly, whatever the nodes: these rows only pass
         dealt = ((mix(marks.view(np.uint64) + np.arange(len(marks), dtype=np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         m = len(nodes)
@@ -167,7 +163,7 @@ def filter_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
         yield from flush(held)
 
 
-def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def meet(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """SENT sorted by bucket to MET: how many elements of each node are repeated between tasks, and the documents' rows."""
     names = [x.split()[0] for x in MET.split(", ")]
     held, rows = [], []
@@ -187,17 +183,16 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rest = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(ref[i : i + m].view(np.int64)), pa.array(times[i : i + m], pa.int32()), *rest], names)
 
-    for _, packed in _runs(ranges()):
-        columns = [unpack(p, 2) for p in packed]
-        key = np.concatenate([np.add.accumulate(c[0].view(np.uint64), dtype=np.uint64) for c in columns])
-        ref = np.concatenate([c[1].view(np.uint64) for c in columns])
-        order = np.lexsort((ref, key))
-        key, ref = key[order], ref[order]
-        fresh = np.ones(len(key), dtype=bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (ref[1:] != ref[:-1])
-        key, ref = key[fresh], ref[fresh]
-        times = np.diff(np.append(_starts(key), len(key)))
-        held.append(ref[np.repeat(times > 1, times) & (ref > 0)])
+    for bucket, packed in runs(ranges()):
+        for key, ref in unpack_bucket(bucket, packed, 2, FILTER_BITS, buckets):
+            ref = ref.view(np.uint64)
+            order = np.lexsort((ref, key))
+            key, ref = key[order], ref[order]
+            fresh = np.ones(len(key), dtype=bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (ref[1:] != ref[:-1])
+            key, ref = key[fresh], ref[fresh]
+            times = np.diff(np.append(_starts(key), len(key)))
+            held.append(ref[np.repeat(times > 1, times) & (ref > 0)])
         for b in rows:
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(2, 8)], names)
         rows.clear()
@@ -229,7 +224,7 @@ def sized(docs: DataFrame) -> DataFrame:
     """MET of the rows (doc_id, mark, text), none of which has a null doc_id or text."""
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.mapInArrow(lambda b: filter_rows(b, buckets), SENT)
-    return cut(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, MET))
+    return cut(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: meet(b, buckets), MET))
 
 
 def passing(met: DataFrame) -> tuple[DataFrame, DataFrame]:

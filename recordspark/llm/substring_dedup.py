@@ -16,7 +16,7 @@ in both, at the same shift and at cover positions of their documents, are equal
 Equal hashes are settled within a task first, and a task sends one position for each of them, its earliest.
 So a passage that a third of all documents share makes one entry a task in the shuffle, and both shuffles
 by hash are even.  Hashes travel sorted and packed, a row for each range of hashes (BUCKETS a shuffle
-partition), and are compared range by range.  What tasks settle by themselves travels as packed positions.
+partition), and are compared range by range; a range of too many rows is unpacked in parts.  What tasks settle by themselves travels as packed positions.
 Texts are shuffled once, by doc_id, and that exchange serves steps 2 and 3.
 
 Windows are compared by 64-bit hashes of all their words.
@@ -35,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.llm.common import table
+from recordspark.llm.packed import pack, pack_buckets, runs, unpack, unpack_bucket
 from recordspark.llm.words import Words, grams, mix, pieces, split
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
@@ -59,17 +59,6 @@ SETTLED = "slot int, packed binary"
 FOUND = "doc long, part long, found binary"
 
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Equally long columns of 64-bit numbers, byte plane by byte plane, so that planes of zeros vanish."""
-    planes = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(planes)
-
-
-def unpack(data: bytes, columns: int) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
-
-
 def pack_positions(at: np.ndarray) -> bytes:
     """Ascending positions as differences, which repeat where positions do."""
     return np.diff(at, prepend=0).astype(np.int32).tobytes()
@@ -127,15 +116,9 @@ class _Sender:
         first, settled = _firsts(key, self.everyone)
         known = _settled(doc[settled], part[settled], at[settled])
         key, doc, part, at = key[first], doc[first], part[first], at[first]
-        bucket = ((key >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
-        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        ends = np.append(starts[1:], len(key))
-        step = np.diff(key, prepend=key[:1]).view(np.int64)
-        step[starts] = key[starts].view(np.int64)
-        columns = (step, doc.astype(np.int64), part.astype(np.int64), at.astype(np.int64))
-        packed = [pack(*(c[a:z] for c in columns)) for a, z in zip(starts, ends, strict=True)]
+        bucket, packed = pack_buckets(key, 64, self.buckets, doc.astype(np.int64), part.astype(np.int64), at.astype(np.int64))
         n = len(packed)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int32()), pa.array(packed, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["bucket", "packed", "doc", "part", "known"])
+        yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(packed, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["bucket", "packed", "doc", "part", "known"])
         doc, part, lists = known
         for i in range(0, len(doc), 1 << 14):
             s = slice(i, i + (1 << 14))
@@ -143,21 +126,7 @@ class _Sender:
             yield pa.RecordBatch.from_arrays([pa.array(doc[s] % self.buckets, pa.int32()), pa.nulls(n, pa.binary()), pa.array(doc[s]), pa.array(part[s]), pa.array(lists[s], pa.binary())], ["bucket", "packed", "doc", "part", "known"])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Key and values of rows (key, value) that are sorted by key."""
-    now, held = None, []
-    for b in batches:
-        for key, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if key != now and held:
-                yield now, held
-                held = []
-            now = key
-            held.append(value)
-    if held:
-        yield now, held
-
-
-def compare(batches: Iterator[pa.RecordBatch], everyone: bool, slots: int) -> Iterator[pa.RecordBatch]:
+def compare(batches: Iterator[pa.RecordBatch], everyone: bool, slots: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """ROWS sorted by bucket to what is settled: within the tasks, and between them in each range of hashes."""
     held, size = [], 0
 
@@ -186,21 +155,20 @@ def compare(batches: Iterator[pa.RecordBatch], everyone: bool, slots: int) -> It
             rest = b.filter(b.column(1).is_valid())
             yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1)], ["bucket", "packed"])
 
-    for _, packed in _runs(ranges()):
-        columns = [unpack(p, 4) for p in packed]
-        key = np.concatenate([np.add.accumulate(c[0].view(np.uint64), dtype=np.uint64) for c in columns])
-        key, doc, part, at = _in_order(key, *(np.concatenate([c[i] for c in columns]) for i in (1, 2, 3)))
-        _, settled = _firsts(key, everyone)
-        held.append((doc[settled], part[settled], at[settled]))
-        size += int(settled.sum())
-        if size >= HELD:
-            yield from send()
+    for bucket, packed in runs(ranges()):
+        for columns in unpack_bucket(bucket, packed, 4, 64, buckets):
+            key, doc, part, at = _in_order(*columns)
+            _, settled = _firsts(key, everyone)
+            held.append((doc[settled], part[settled], at[settled]))
+            size += int(settled.sum())
+            if size >= HELD:
+                yield from send()
     yield from send()
 
 
 def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SETTLED rows sorted by slot to one row a document with all its positions."""
-    for _, packed in _runs(batches):
+    for _, packed in runs(batches):
         columns = [unpack(p, 3) for p in packed]
         doc, part, lists = _settled(*(np.concatenate([c[i] for c in columns]) for i in range(3)))
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(part), pa.array(lists, pa.binary())], ["doc", "part", "found"])
@@ -297,10 +265,10 @@ def removed(batches: Iterator[pa.RecordBatch], texts: bool = False) -> Iterator[
             yield pa.RecordBatch.from_arrays([b.column(3).slice(a, z - a), pa.array(n.astype(np.int64)), pa.array((n - (kept[first[1:]] - kept[first[:-1]])).astype(np.int64)), pa.array(out, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _compared(rows: DataFrame, everyone: bool, slots: int) -> DataFrame:
+def _compared(rows: DataFrame, everyone: bool, slots: int, buckets: int) -> DataFrame:
     """doc, part and the packed positions that are settled, of each document that has any."""
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
-    settled = dealt.mapInArrow(lambda b: compare(b, everyone, slots), SETTLED)
+    settled = dealt.mapInArrow(lambda b: compare(b, everyone, slots, buckets), SETTLED)
     return settled.repartitionById(slots, F.col("slot")).sortWithinPartitions("slot").mapInArrow(gather, FOUND)
 
 
@@ -321,11 +289,11 @@ def deduplicate(docs: DataFrame, texts: bool = False) -> DataFrame:
     slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS * slots
     keyed = _keyed(docs.select("doc_id", "text"))
-    marked = _compared(keyed.mapInArrow(lambda b: anchors(b, buckets), ROWS), True, slots)
+    marked = _compared(keyed.mapInArrow(lambda b: anchors(b, buckets), ROWS), True, slots, buckets)
     # the same exchange of texts stands below both joins
     dealt = keyed.repartition("doc", "part")
     candidates = dealt.join(marked.hint("shuffle_hash"), ["doc", "part"]).select("doc", "part", "text", "found")
-    repeated = _compared(candidates.mapInArrow(lambda b: windows(b, buckets), ROWS), False, slots)
+    repeated = _compared(candidates.mapInArrow(lambda b: windows(b, buckets), ROWS), False, slots, buckets)
     joined = dealt.join(repeated.hint("shuffle_hash"), ["doc", "part"], "left")
     schema = RESULT.replace("kept_sha256", "text") if texts else RESULT
     rows = joined.select("doc", "part", "text", F.nullif("doc", F.lit((1 << 63) - 1)).alias("doc_id"), "found")

@@ -11,7 +11,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from recordspark.llm import jaccard_join, language_id, maxent_lm, mixing, nearest, quality_model, quality_rules, secret_scan, segmentation, substring_dedup
+from recordspark.llm import jaccard_join, language_id, maxent_lm, mixing, nearest, packed, quality_model, quality_rules, secret_scan, segmentation, substring_dedup
 from recordspark.llm.common import held_out
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -230,6 +230,20 @@ def test_jaccard_near_the_threshold(spark, monkeypatch, cell):
 
 
 # 2
+def test_packed_buckets():
+    """Buckets come back whole, in one part or in several."""
+    rng = np.random.default_rng(7)
+    for bits in (48, 64):
+        key = np.sort(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) >> np.uint64(64 - bits))
+        bucket, blocks = packed.pack_buckets(key, bits, 6, np.arange(5000))
+        assert bucket.tolist() == list(range(6))
+        for most in (1 << 23, 100):
+            parts = [list(packed.unpack_bucket(b, [p, p], 2, bits, 6, most)) for b, p in zip(bucket.tolist(), blocks, strict=True)]
+            got = sorted((int(k), int(i)) for x in parts for k_, i_ in x for k, i in zip(k_, i_, strict=True))
+            assert got == sorted(2 * list(zip(key.tolist(), range(5000), strict=True)))
+            assert all(len(x) == 1 for x in parts) if most > 100 else all(len(x) > 10 and max(len(k) for k, _ in x) < 300 for x in parts)
+
+
 def test_substring_dedup(docs, rows, none):
     keyed = {}
     for i, t, *_ in rows:
