@@ -43,24 +43,35 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^ \t\n\x0B\f\r]+")).cast("long")
 
 
+def ranked(per: DataFrame) -> DataFrame:
+    """`per` (source, ...) with `_rank`, the place of each source by code points, null last, from 0; sorted in ranges."""
+    source = F.col("source").cast("binary").asc_nulls_last()
+    ranges = per.repartitionByRange(source).withColumn("_p", F.spark_partition_id())
+    within = cut(ranges.withColumn("_rank", F.row_number().over(Window.partitionBy("_p").orderBy(source)) - 1))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # over as many rows as there are ranges
+    firsts = within.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
+    return within.join(F.broadcast(firsts), "_p").withColumn("_rank", F.col("_rank") + F.col("_first")).drop("_p", "_first")
+
+
 def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """source, source_size and target: one row a source, from `sized` (source, size).
 
     The targets are least(most * source_size, level * weight) for the level at which they sum to the whole.
-    Windows over all rows are windows over sources here, not over documents.
+    The level rises from that without caps, round by round, until no further source reaches its cap; only
+    sums of sources come to the driver, so there may be many of them.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
-    order = Window.orderBy(F.col("source").cast("binary").asc_nulls_last())
-    ranked = per.withColumn("_w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.row_number().over(order) - 1) % len(weights) + 1)).withColumn("_cap", most * F.col("source_size"))
-    # sources reach their caps in the order of cap / weight; before[i] is what the capped ones take
-    by = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("source").cast("binary").asc_nulls_last())
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    after = by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    levels = ranked.withColumn("_level", (F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_w").over(after))
-    # the level is that of the first source which doesn't reach its cap
-    levels = levels.withColumn("_level", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct((F.col("_cap") / F.col("_w")).alias("a"), F.col("_level").alias("b")))).over(whole)["b"])
-    return levels.select("source", "source_size", "_docs", F.least(F.col("_cap"), F.coalesce(F.col("_level") * F.col("_w"), F.col("_cap"))).alias("target"))
+    per = cut(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs")))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
+    rated = cut(ranked(per).withColumn("_w", weight).withColumn("_cap", most * F.col("source_size")))
+    level, capped = 0.0, -1
+    while True:
+        full = F.lit(False) if capped < 0 else F.col("_cap") < F.lit(level) * F.col("_w")
+        r = rated.agg(F.sum("source_size").alias("size"), F.sum(F.when(full, F.col("_cap"))).alias("taken"), F.sum(F.when(~full, F.col("_w"))).alias("w"), F.count_if(full).alias("n")).first()
+        if r["n"] == capped:
+            break
+        capped = r["n"]
+        level = ((r["size"] or 0) - (r["taken"] or 0.0)) / r["w"] if r["w"] else 0.0
+    return rated.select("source", "source_size", "_docs", F.least("_cap", F.lit(level) * F.col("_w")).alias("target"))
 
 
 def chance(a: int, b: int) -> float:
@@ -151,7 +162,6 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
 
 def mix_sized(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     per = targets(sized, weights, most).select(F.col("source").alias("_source"), "source_size", "_docs", "target")
-    per = cut(per)
     # equal rows get numbers; there are as many in a group as a row is repeated
     numbered = sized.groupBy("doc_id", "source", "size", "_h").count().select("doc_id", "source", "size", "_h", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("_n"))
     rated = numbered.join(per, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
