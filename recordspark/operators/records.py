@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields, is_dataclass
 from math import ceil
@@ -141,6 +142,17 @@ def read[R](catalog: Catalog, query: Query, kind: type[R], limit: int, offset: i
     return Records(tuple(typed(r, kind) for r in rows[:limit]), limit, offset, len(rows) > limit)
 
 
+def raw(catalog: Catalog, text: str, **parameters: Any) -> DataFrame:
+    """A Spark SQL statement over the catalog: `{name}` stands for a table or an edge, `:name` for a parameter.  No view stays behind."""
+    names = {n for n in re.findall(r"\{(\w+)\}", text) if n in catalog.tables or n in catalog.edges}
+    return catalog.spark.sql(text, args=parameters, **{n: catalog.frame(n) for n in names})
+
+
+def raw_typed[R](catalog: Catalog, kind: type[R], text: str, **parameters: Any) -> list[R]:
+    """The rows of a statement as objects; they come to the driver."""
+    return [typed(r, kind) for r in raw(catalog, text, **parameters).collect()]
+
+
 # results
 def one(df: DataFrame) -> dict[str, Any] | None:
     rows = df.take(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -16,6 +17,10 @@ from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import RecordId
 
 
+#: A column, a path into one, or all columns.
+_NAME = re.compile(r"(\w+|`[^`]+`|\*)(\.(\w+|`[^`]+`|\*))*")
+
+
 @dataclass(frozen=True)
 class Near:
     field: str
@@ -194,9 +199,11 @@ class Query:
         return H.applied(df, self.hints, name)
 
     def _selected(self, df: DataFrame, more: list[str] | None = None) -> DataFrame:
-        """The selection, and `more` columns behind it.  Bound texts are expressions."""
+        """The selection, and `more` columns behind it.  Texts that aren't names of columns are Spark SQL expressions."""
         fields = [*self.fields, *(more or [])]
-        return self._bound(df, fields) if self.parameters and all(isinstance(f, str) for f in fields) else df.select(*fields)
+        if self.parameters and all(isinstance(f, str) for f in fields):
+            return self._bound(df, fields)
+        return df.select(*[f if not isinstance(f, str) or f in df.columns or _NAME.fullmatch(f) else F.expr(f) for f in fields])
 
     def _bound(self, df: DataFrame, fields: list[str] | None = None, where: str | None = None) -> DataFrame:
         """Texts with markers, as Spark binds them."""

@@ -166,6 +166,16 @@ def bind_parameters(c):
     return q.select("l_orderkey", "l_linenumber", "l_extendedprice * (1 - l_discount) AS net", "CAST(l_quantity AS BIGINT) % :m AS rest").frame(c)
 
 
+@query("SELECT n_name, count(*) AS n, 3 AS least FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 1000 GROUP BY n_name HAVING count(*) >= 3")
+def raw_statement(c):
+    return records.raw(c, "SELECT n_name, count(*) AS n, :least AS least FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_acctbal > :low GROUP BY n_name HAVING count(*) >= :least", low=1000, least=3)
+
+
+@query("SELECT o_orderkey, year(o_orderdate) AS year, upper(o_orderstatus) || '!' AS status FROM orders WHERE o_totalprice BETWEEN 1000 AND 90000")
+def select_text(c):
+    return over("orders").where("o_totalprice between 1000 and 90000").select("o_orderkey", "year(o_orderdate) as year", "upper(o_orderstatus) || '!' as status").frame(c)
+
+
 # joins and links
 @query("SELECT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey")
 def fetch_link(c):
@@ -435,6 +445,12 @@ def relate_text(c):
     return graph.relate(graph.unrelate(_text_keys(c).frame("follows"), "u 0", "u 1"), "u 1", "new one")
 
 
+@query(f"{_WITH} SELECT DISTINCT c_custkey FROM knows j JOIN knows k ON j.b = k.a JOIN customer ON k.b = c_custkey WHERE j.a = 6 AND k.b <> 6 AND k.b NOT IN (SELECT b FROM knows WHERE a = 6)")
+def friends_of_friends(c):
+    friends = over("customer:6").out("knows").select("c_custkey")
+    return over("customer:6").out("knows", 2).where("c_custkey <> 6").where(~friends.inside(c, "c_custkey")).select("c_custkey").frame(c).distinct()
+
+
 @query(f"{_WITH} SELECT c_name FROM knows j JOIN knows k ON j.b = k.a JOIN customer ON k.b = c_custkey WHERE j.a = 6")
 def hop_depth(c):
     return over("people:<u 6>").out("follows", 2).select("c_name").frame(_text_keys(c))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +61,14 @@ def notifications(rows: DataFrame, key: str, order: str, deleted: str) -> DataFr
     return versions.groupBy("key").applyInPandasWithState(told, "key string, action string, result string", "mark long", "append", GroupStateTimeout.NoTimeout)
 
 
+def on_event(changes: DataFrame, actions: Sequence[str], then: Callable[[DataFrame, int], None], checkpoint: str, when: Column | None = None, once: bool = False) -> StreamingQuery:
+    """An event trigger: hand the notifications of some actions, for which a condition holds, to a callback."""
+    if unknown := set(actions) - {"CREATE", "UPDATE", "DELETE"}:
+        raise ValueError(f"not an action: {', '.join(sorted(unknown))}")
+    wanted = F.col("action").isin(list(actions))
+    return live(changes, then, checkpoint, wanted if when is None else wanted & when, once)
+
+
 def active(spark: SparkSession) -> list[StreamingQuery]:
     """The live queries of the session."""
     return list(spark.streams.active)

@@ -206,6 +206,12 @@ def test_notifications_of_updates_and_deletes(spark, tmp_path):
         q = feeds.live(told, lambda df, _: got.append(sorted((r["key"], r["action"]) for r in df.collect())), str(tmp_path / "c"), once=True)
         q.awaitTermination(60)
     assert [g for g in got if g] == [[("1", "CREATE"), ("2", "CREATE")], [("1", "UPDATE"), ("3", "CREATE"), ("3", "DELETE")], [("2", "DELETE"), ("3", "CREATE")]]
+    gone = []
+    told = feeds.notifications(feeds.stream(spark, str(tmp_path / "in"), form), "id", "at", "gone")
+    feeds.on_event(told, ["DELETE"], lambda df, _: gone.extend(r["key"] for r in df.collect()), str(tmp_path / "c3"), F.col("key") > "2", once=True).awaitTermination(60)
+    assert gone == ["3"]
+    with pytest.raises(ValueError):
+        feeds.on_event(told, ["DROP"], print, str(tmp_path / "c4"))
     q = feeds.live(feeds.stream(spark, str(tmp_path / "in"), form), lambda df, _: None, str(tmp_path / "c2"))
     assert [x.id for x in feeds.active(spark)] == [q.id]
     assert feeds.kill(spark, str(q.id)) and not feeds.kill(spark, str(q.id)) and feeds.active(spark) == []
@@ -242,6 +248,7 @@ def test_typed_records_and_wrappers(people):
         name: str
 
     ids = [r["id"] for r in Query().from_table("user").order_by("id").frame(people).collect()]
+    assert records.raw_typed(people, User, "SELECT * FROM {user} WHERE id = :n", n=ids[0])[0].id == ids[0]
     assert records.find(people, "user", ids[0], User).unwrap().id == ids[0] and not records.find(people, "user", -5, User).exists
     with pytest.raises(LookupError):
         records.find(people, "user", -5, User).unwrap()
