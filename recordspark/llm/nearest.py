@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 from recordspark.llm.common import cut, share, table
 from recordspark.llm.words import mix
 
-M_DIMS, CONFIDENCE, SEED = 8, 0.9, 3
+M_DIMS, CONFIDENCE, SEED = 8, 0.95, 3
 CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 1536, 1 << 16, 2048, 16
 #: Cells that give a query its first bound; shells of verification, as shares of what the test still allows.
 NEAREST_CELLS, SHELLS = 4, (0.5, 0.75, 1.0)

@@ -330,6 +330,51 @@ def test_language_model_tree_sums_to_one(spark):
     assert (10 ** p[1::2]).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_language_model_scores_are_those_of_a_plain_softmax(spark):
+    """Token by token, class by class and branch by branch."""
+    rng = np.random.default_rng(12)
+    lines = [" ".join(f"w{int(i)}" for i in np.minimum(rng.zipf(1.3, 60), 5000)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").withColumn("held_out", F.lit(False))
+    counts = maxent_lm.cut(df.select("text").mapInArrow(maxent_lm.count_words, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
+    model = maxent_lm.train(df, "not held_out", maxent_lm.Vocabulary.of(counts))
+    v, t = model.vocabulary, model.tables
+    c = {np.int64(r["word"]).view(np.uint64): r["c"] for r in counts.collect()}
+    rank = dict(zip(v.word.tolist(), v.rank.tolist(), strict=True))
+    class_prior, word_prior = v.priors()
+    assert sum(np.abs(x).sum() > 0 for x in t.all) == 3 and len(v.groups) > 1
+
+    def share(logits, i):
+        e = [math.exp(float(x)) for x in logits]
+        return math.log(e[i] / sum(e))
+
+    asked = [*lines[:12], "unseen words w1 w2", ""]
+    got = {r["doc_id"]: r["score"] for r in maxent_lm.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string").withColumn("held_out", F.lit(True)), model, counts).collect()}
+    for i, text in enumerate(asked):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        h, owner = maxent_lm.tokens(maxent_lm.split(data, np.array([0, len(data)]), lower=True))
+        one, two = maxent_lm.context(h, owner)
+        total = 0.0
+        for j, w in enumerate(h):
+            s = slice(j, j + 1)
+            r = rank.get(int(w), -1)
+            group = r // maxent_lm.CLASS_WORDS + 1 if 0 <= r < maxent_lm.MODEL_WORDS else 0
+            total += share(class_prior + sum(t.classes[k[0]] for k in maxent_lm.class_features(one[s], two[s], t.rows)), group)
+            if group:
+                rows = maxent_lm.word_features(one[s], two[s], np.array([group]), t.rows)
+                total += share(word_prior[group] + sum(t.words[k[0]] for k in rows), r % maxent_lm.CLASS_WORDS)
+                continue
+            if w not in c:
+                total += math.log(0.5 / v.tail_total())
+                continue
+            total += math.log((v.tail_total() - 0.5) / v.tail_total())
+            for (above, own), prior in zip(v.levels, v.branches(), strict=True):
+                node, branch = int(w) >> (64 - above) if above else 0, (int(w) >> (64 - above - own)) & ((1 << own) - 1)
+                rows = maxent_lm.word_features(one[s], two[s], np.array([node + (1 << above)]), t.rows)
+                total += share(prior[node] + sum(t.nodes[k[0], : 1 << own] for k in rows), branch)
+            total += math.log((c[w] + 0.5) / v.groups[int(w) >> (64 - (len(v.groups).bit_length() - 1))])
+        assert got[i] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
 def test_language_model_keeps_texts_of_one_id_apart(spark):
     """Different texts under a null doc_id, and under one that repeats, have their own rows."""
     lines = [(i, " ".join(["w"] * (1 + i // 50) + [f"u{i}"])) for i in range(3000)]
@@ -470,6 +515,38 @@ def test_nearest(spark):
     assert nearest.neighbours(df.limit(0), 20, 20).count() == 0
 
 
+def test_nearest_in_many_small_cells(spark, monkeypatch):
+    """64 cells and blocks of few queries; many equal vectors, ids with several vectors, and clashing columns."""
+    monkeypatch.setattr(nearest, "CELL", 64)
+    monkeypatch.setattr(nearest, "QUERIES", 8)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 24))
+    x = centres[rng.integers(0, 12, 3000)] + 0.5 * rng.normal(size=(3000, 24))
+    x[rng.permutation(3000)[:700]] = x[40] = 3 * x[40]  # one large group of equal vectors, a query among them
+    x = x.astype(np.float32).astype(np.float64)
+    owner = np.arange(3000)
+    owner[[7, 9, 11]] = 5  # an id with four vectors
+    rows = [(int(owner[i]), v.tolist(), i, [0.0], "c", "s") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int, vec array<double>, cell string, salt string").repartition(5)
+    got = collections.defaultdict(list)
+    for r in nearest.neighbours(df, 20, 20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 3000, 20))
+    hits = 0
+    for q, found in got.items():
+        best = {}
+        for i, score in zip(owner, np.einsum("j,ij->i", x[q], x), strict=True):
+            if i != q:
+                best[i] = max(score, best.get(i, -np.inf))
+        want = sorted(best.items(), key=lambda t: (-t[1], t[0]))[:20]
+        assert len({i for i, _ in found}) == 20 and all(c == pytest.approx(best[i]) for i, c in found)
+        assert [(-c, i) for i, c in found] == sorted((-c, i) for i, c in found)
+        hits += sum(c >= want[-1][1] - 1e-9 for _, c in found)
+    assert hits >= 0.9 * 20 * len(got)
+    equal = sorted({int(owner[i]) for i in range(3000) if (x[i] == x[40]).all()} - {40})
+    assert [i for i, _ in got[40]] == equal[:20]
+
+
 def test_chi_square_quantile():
     assert nearest.chi_square_quantile(0.95, 8) == pytest.approx(15.5073, abs=1e-3)
 
