@@ -16,7 +16,7 @@ Counting: every task counts the words of its rows, and the counts of all words m
 ROUNDS disjoint slices of the training rows, each read once by as many tasks as it has TASK_TOKENS (whatever
 the cluster); a task starts from the tables of the last round, takes AdaGrad steps over its rows, and sends
 its changes in blocks.  A block's changes are summed in a tree, FAN at a time, and averaged over the tasks
-that touched a row.  Only the finished tables (32 numbers a row, with 3, 2 and 2 kinds of features) and the
+that touched a row.  So are the mean squares of a row's gradients, with which the next round's steps begin.  Only the finished tables (32 numbers a row, with 3, 2 and 2 kinds of features) and the
 masses of the groups come to the driver.  Scoring: up to HEAD of the most frequent words with counts travel
 with the tables; all other words of a text meet their counts in a join by hash, where no hash is frequent.
 
@@ -311,9 +311,12 @@ class Model:
 class Learner:
     """AdaGrad steps on a copy of the tables."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, before: list[np.ndarray] | None = None):
+        """before: for each row of each table, the mean square of its gradients in the rounds before."""
         self.model = Model(model.vocabulary, Tables(*(t.copy() for t in model.tables.all)))
         self.squares = Tables(*(np.zeros_like(t) for t in model.tables.all))
+        for s, b in zip(self.squares.all, before or [], strict=bool(before)):
+            s += b[:, None]
 
     @staticmethod
     def _step(table_: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], gradient_: np.ndarray) -> None:
@@ -347,27 +350,29 @@ class Learner:
                 self._step(m.tables.nodes, self.squares.nodes, rows, gradient(logits, branch))
 
 
-def _blocks(changes: np.ndarray, touched: np.ndarray, first: int, block: int) -> Iterator[tuple[int, bytes, bytes]]:
+def _blocks(changes: np.ndarray, squares: np.ndarray, first: int, block: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     for i in range(0, len(changes), block):
-        t = touched[i : i + block]
-        if t.any():
-            yield first + i // block, changes[i : i + block].astype(np.float16).tobytes(), t.astype(np.uint8).tobytes()
+        q = squares[i : i + block]
+        if q.any():
+            yield first + i // block, changes[i : i + block].astype(np.float16).tobytes(), (q > 0).astype(np.uint8).tobytes(), q.astype(np.float32).tobytes()
 
 
-#: change: sums of changes (of a task's own: 16-bit floats); touched: how many tasks touched each row (of a task's own: a byte each).
-BLOCKS = "block int, task int, change binary, touched binary"
+#: change: sums of changes (of a task's own: 16-bit floats); touched: how many tasks touched each row (of a task's own: a byte each); square: sums of the rows' mean squares.
+BLOCKS = "block int, task int, change binary, touched binary, square binary"
 
 
 def _summed(met: pa.Table, block_rows: int) -> pa.Table:
     """One row for the changes to one block of up to FAN tasks or sums of tasks."""
     n = np.zeros(block_rows, dtype=np.int64)
     total: np.ndarray | float = 0.0
-    for c, t in zip(met["change"].to_pylist(), met["touched"].to_pylist(), strict=True):
+    squares = np.zeros(block_rows)
+    for c, t, q in zip(*(met[x].to_pylist() for x in ("change", "touched", "square")), strict=True):
         own = len(t) == block_rows
         n += np.frombuffer(t, dtype=np.uint8 if own else np.int32)
         total = total + np.frombuffer(c, dtype=np.float16 if own else np.float32).astype(np.float64)
+        squares += np.frombuffer(q, dtype=np.float32)
     columns = [pa.array([met[c][0].as_py()], pa.int32()) for c in ("block", "task")]
-    return pa.table([*columns, pa.array([total.astype(np.float32).tobytes()], pa.binary()), pa.array([n.astype(np.int32).tobytes()], pa.binary())], names=["block", "task", "change", "touched"])
+    return pa.table([*columns, *[pa.array([x.tobytes()], pa.binary()) for x in (total.astype(np.float32), n.astype(np.int32), squares.astype(np.float32))]], names=["block", "task", "change", "touched", "square"])
 
 
 def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
@@ -375,18 +380,19 @@ def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROU
     tables, tasks = Tables.blank(vocabulary.rows), max(1, math.ceil(vocabulary.n / rounds / TASK_TOKENS))
     block_rows = BLOCK * (tables.rows // CLASS_ROWS)  # as many blocks whatever the rows
     firsts = [0, *np.cumsum([len(t) // block_rows for t in tables.all]).tolist()]
+    before = [np.zeros(len(t), dtype=np.float32) for t in tables.all]
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner = Learner(Model(vocabulary, tables))
+        learner = Learner(Model(vocabulary, tables), before)
         for b in batches:
             for _, _, data, offsets in pieces(b, "text"):
                 learner.learn(*tokens(split(data, offsets, lower=True)))
-        each = zip(learner.model.tables.all, tables.all, learner.squares.all, firsts[:-1], strict=True)
-        rows = [x for new, old, s, first in each for x in _blocks(new - old, s.any(axis=1), first, block_rows)]
+        each = zip(learner.model.tables.all, tables.all, learner.squares.all, before, firsts[:-1], strict=True)
+        rows = [x for new, old, s, b, first in each for x in _blocks(new - old, np.where((new != old).any(axis=1), np.maximum(s.mean(axis=1) - b, 1e-30), 0), first, block_rows)]
         if rows:
-            block, change, touched = zip(*rows, strict=True)
+            block, change, touched, square = zip(*rows, strict=True)
             task = pa.array(np.full(len(block), TaskContext.get().partitionId()), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), task, pa.array(change, pa.binary()), pa.array(touched, pa.binary())], ["block", "task", "change", "touched"])
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), task, pa.array(change, pa.binary()), pa.array(touched, pa.binary()), pa.array(square, pa.binary())], ["block", "task", "change", "touched", "square"])
 
     for i in range(rounds):
         own = docs.where(learn).where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text")
@@ -396,13 +402,14 @@ def train(docs: DataFrame, learn: str, vocabulary: Vocabulary, rounds: int = ROU
             left = math.ceil(left / FAN)
             if left == 1:
                 break
-        new = Tables(*(t.copy() for t in tables.all))
+        new, squares = Tables(*(t.copy() for t in tables.all)), [b.copy() for b in before]
         for r in met.toArrow().to_pylist():  # the numbers of the tables, at most
             k = int(np.searchsorted(firsts, r["block"], side="right")) - 1
             at = (r["block"] - firsts[k]) * block_rows
-            n = np.maximum(np.frombuffer(r["touched"], dtype=np.int32), 1)[:, None]
-            new.all[k][at : at + block_rows] += np.frombuffer(r["change"], dtype=np.float32).reshape(block_rows, -1) / n
-        tables = new
+            n = np.maximum(np.frombuffer(r["touched"], dtype=np.int32), 1)
+            new.all[k][at : at + block_rows] += np.frombuffer(r["change"], dtype=np.float32).reshape(block_rows, -1) / n[:, None]
+            squares[k][at : at + block_rows] += np.frombuffer(r["square"], dtype=np.float32) / n
+        tables, before = new, squares
     return Model(vocabulary, tables)
 
 
