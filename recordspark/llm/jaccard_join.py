@@ -52,7 +52,7 @@ EXTRA_PERCENT = 10
 #: Bits of a shingle's hash and of a node's in the filter, where a chance collision costs work and nothing else.
 FILTER_BITS, REF_BITS = 48, 40
 #: Shingles that a task holds before it sends them on; ranges of hashes for each shuffle partition.
-HELD, BUCKETS = 1 << 21, 4
+HELD, BUCKETS = 1 << 20, 4
 #: Nodes (or other longs) are broadcast up to this many (8 to 16 bytes each), and shuffled beyond.
 BROADCAST_IDS = 4_000_000
 #: Nodes of a list that one task gets; longer lists are dealt to several.
