@@ -49,11 +49,24 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The same rows from a table of compressed columns in the shared folder."""
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same rows from a table of compressed columns in the shared folder, and the table's path."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows from a table in the shared folder."""
+    return store(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that `store` wrote, once nothing reads it any more."""
+    if "/table-" not in path:
+        raise ValueError(f"not a stored table: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
