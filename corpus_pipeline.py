@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before kept.  All but the
 last return the columns of their input, whatever further columns there are.  `run` writes the output of each
-stage but the last to the shared folder as Parquet, and the next stage reads it from there.
+stage but the last to the shared folder as Parquet, and the next stage reads it from there; a table that was
+read to the end is deleted.
 
 Defined results: null and empty texts fail the base rules of the first stage, so they are gone behind it.
 Rows with a null doc_id are judged and redacted like others; they are nobody's near-duplicates, and are mixed
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordspark.llm import jaccard_join, mixing, quality_rules, secret_scan, segmentation
-from recordspark.llm.common import stored, table
+from recordspark.llm.common import discard, store, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     *first, (_, last) = STAGES
     for _, stage in first:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs, path = store(stage(spark, docs, sf_dir))
+        if before:
+            discard(spark, before)  # the next stage's table is whole by now
+        before = path
     return last(spark, docs, sf_dir)
