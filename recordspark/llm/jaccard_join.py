@@ -332,12 +332,29 @@ def links(sets: DataFrame) -> DataFrame:
     return cut(direct.union(pairs.where("sure").select("a", "b")).union(verified))
 
 
+def smallest_of_class(nodes: DataFrame, value: str) -> DataFrame:
+    """node and the smallest `value` of its class, of nodes (node, root, value), where root is null for a class's root.
+
+    Members of classes of more than LIST_CELL nodes meet their class in a broadcast, as such a class would be
+    one task's in a shuffle; there is at most one for each LIST_CELL nodes.
+    """
+    members = nodes.where("root is not null").select("node", "root", value)
+    per = cut(members.groupBy("root").agg(F.min(value).alias("_v"), F.count("*").alias("_n")))
+    heads = nodes.where("root is null").join(per.select(F.col("root").alias("node"), "_v", "_n"), "node", "left").select("node", F.least(value, "_v").alias(value), F.coalesce("_n", F.lit(0)).alias("_n"))
+    heads = cut(heads)
+    of = lambda which: heads.where(which).select(F.col("node").alias("root"), value)
+    large = small(of(f"_n > {LIST_CELL}"))
+    members = members.drop(value)
+    rest = members.join(large, "root").union(members.join(large.select("root"), "root", "left_anti").join(of(f"_n > 0 and _n <= {LIST_CELL}"), "root"))
+    return heads.select("node", value).union(rest.select("node", value))
+
+
 def labelled(named: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of rows (doc_id, mark, text) with doc_id: MET, and node, root, least and first of the nodes with elements."""
+    """Of rows (doc_id, mark, text) with doc_id: MET, and node, root (null for a class's root), least and first of the nodes with elements."""
     met = sized(named)
     nodes, passed = passing(met)
     roots = components(links(whole_sets(named.select("mark", "text"), passed)))
-    return met, nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return met, cut(nodes.join(roots, "node", "left").select("node", "root", "least", "first"))
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -349,8 +366,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs`."""
     texts = marked(docs)
     met, labels = labelled(texts.where("doc_id is not null"))
-    labels = labels.select("node", "least", "root")
-    labels = labels.join(labels.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
+    labels = smallest_of_class(labels, "least").withColumnRenamed("least", "component_id")
     out = met.where("doc is not null").select(F.col("doc").alias("doc_id"), "n", "node").join(labels, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     unnamed = texts.where("doc_id is null").select("text").mapInArrow(set_rows, SETS)
     return out.union(unnamed.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
@@ -361,8 +377,7 @@ def one_row_of_each(docs: DataFrame) -> DataFrame:
 
     A row goes only if it is linked with the one that stays.  Rows that share a doc_id and are not linked all stay."""
     met, labels = labelled(marked(docs).where("doc_id is not null"))
-    labels = labels.select("node", F.struct("first.doc", "first.mark").alias("first"), "root")
-    labels = labels.join(labels.groupBy("root").agg(F.min("first").alias("stays")), "root").select("node", "stays")
+    labels = smallest_of_class(labels.withColumn("stays", F.struct("first.doc", "first.mark")), "stays")
     rows = met.where("doc is not null and n > 0").groupBy("doc", "mark", "node").agg(F.count("*").alias("rows"))
     found = rows.join(labels, "node").select("doc", "mark", "rows", (F.struct("doc", "mark") == F.col("stays")).alias("stays"))
     found = cut(found.where("not stays or rows > 1"))
