@@ -42,7 +42,9 @@ from recordspark.llm.common import cut, share, table
 from recordspark.llm.words import mix
 
 M_DIMS, CONFIDENCE, SEED = 8, 0.95, 3
-CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 1536, 1 << 16, 2048, 16
+CELL, CELLS, QUERIES, SAMPLE_PER_CELL = 1536, 1 << 16, 8192, 16
+#: Counts of visits, one for each CELL vectors, are broadcast up to this many and shuffled beyond.
+BROADCAST_COUNTS = 1 << 20
 #: Cells that give a query its first bound; shells of verification, as shares of what the test still allows.
 NEAREST_CELLS, SHELLS = 4, (0.5, 0.75, 1.0)
 #: Pairs of vectors that are multiplied at once.
@@ -311,6 +313,7 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
         """Each query with the rows of the cells that it visits; a cell's rows go to as many blocks as its visits need."""
         blocks = asked.mapInArrow(lambda b: counted(b, home), "cell long, salt long, visits long").groupBy("cell", "salt").agg(F.ceil(F.sum("visits") / QUERIES).cast("int").alias("blocks"))
         blocks = cut(blocks)  # a row for each CELL vectors
+        blocks = F.broadcast(blocks) if blocks.count() <= BROADCAST_COUNTS else blocks
         left = placed.join(blocks, ["cell", "salt"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
         right = asked.mapInArrow(lambda b: visits(b, home), f"id long, vec {kind}, cell long, salt long, bound double").join(blocks, ["cell", "salt"])
         right = right.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")).drop("blocks")
