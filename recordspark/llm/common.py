@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,13 @@ def share(*keys: str | Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys, F.lit("share")), 11) / F.lit(float(1 << 53))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, where they become Python objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that the session names in spark.checkpoint.dir.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recordspark.llm.common import held_out, share, table
+from recordspark.llm.common import held_out, share, slices, table
 
 SAMPLE_DOCS, SHARE_BYTES, DICTIONARY_BYTES = 96, 3072, 96 << 10
 LEVEL = 6
@@ -89,7 +89,7 @@ def identify(docs: DataFrame, contents: list[tuple[str, bytes]]) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = Compressors(contents)
-        for b in batches:
+        for b in slices(batches):
             found = [compressors.predict(t) for t in b.column(2).to_pylist()]
             lang, score, rejected = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordspark.llm.common import share, table
+from recordspark.llm.common import share, slices, table
 
 #: The fixed patterns; letters of the keywords are ASCII in either case.
 PATTERNS = {
@@ -112,7 +112,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SIZE, SIZE))
-        for b in batches:
+        for b in slices(batches):
             for text in b.column(0).to_pylist():
                 secret, words, at = [], [], 0
                 for m in sorted((m.span(2) if k == "assign" else m.span() for k, (p, g, least) in PATTERNS.items() for m in p.finditer(text) if m.end(g) - m.start(g) >= least)):
@@ -163,7 +163,7 @@ def scan(docs: DataFrame, odds: np.ndarray) -> DataFrame:
     """Counts, digest and spans of every row of `docs`."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 base, spans = find(text, odds)
@@ -182,7 +182,7 @@ def redact(docs: DataFrame, odds: np.ndarray, mask: str = "[secret]") -> DataFra
     at = schema.fieldNames().index("text")
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts, sizes = [], []
             for text in b.column(at).to_pylist():
                 if text:
