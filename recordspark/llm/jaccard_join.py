@@ -120,7 +120,7 @@ def filter_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
         refs = np.maximum(nodes >> np.uint64(64 - REF_BITS), np.uint64(1))
         # of equal nodes one sends
         leads = np.zeros(len(nodes), dtype=bool)
-        leads[np.unique(refs, return_index=True)[1]] = True
+        leads[np.unique(nodes, return_index=True)[1]] = True
         sends = leads[row]
         key, ref = key[sends], refs[row[sends]]
         order = np.argsort(key, kind="stable")
