@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
+from datetime import date, datetime
 from decimal import Decimal
 from itertools import groupby
 
@@ -23,6 +25,39 @@ def field(name: str) -> Column:
     return F.col(name)
 
 
+#: Parts of a Spark SQL text in which no marker is one (quoted text and names, comments), or a marker.
+_MARKER = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(?<![\w:]):([A-Za-z_]\w*)""", re.S)
+
+
+def literal(v: object) -> str:
+    """A value as Spark SQL text."""
+    if v is None or isinstance(v, bool):
+        return {None: "NULL", True: "TRUE", False: "FALSE"}[v]
+    if isinstance(v, int):
+        return f"{v}L" if -(1 << 63) <= v < 1 << 63 and abs(v) >= 1 << 31 else f"({v})"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    if isinstance(v, Decimal):
+        return f"CAST('{v}' AS DECIMAL(38, {max(0, -int(v.as_tuple().exponent))}))"
+    if isinstance(v, datetime):
+        return f"{'TIMESTAMP' if v.tzinfo else 'TIMESTAMP_NTZ'}'{v.isoformat(' ')}'"
+    if isinstance(v, date):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, bytes):
+        return f"X'{v.hex()}'"
+    if isinstance(v, list | tuple):
+        return f"array({', '.join(literal(x) for x in v)})"
+    if isinstance(v, str):
+        escaped = v.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    raise TypeError(f"not a value that can be bound: {v!r}")
+
+
+def bound(text: str, values: Mapping[str, object]) -> str:
+    """Spark SQL text with literals in the place of its `:name` markers; those without a value stay, and Spark refuses them."""
+    return _MARKER.sub(lambda m: literal(values[m[1]]) if m[1] in values else m[0], text)
+
+
 def json_field(column: ColumnOr, path: str) -> Column:
     """A dotted path into JSON text."""
     return F.get_json_object(_c(column), "$." + path)
@@ -178,6 +213,13 @@ def call(name: str, *arguments: object) -> Column:
 TYPES = {"string": "string", "int": "bigint", "float": "double", "bool": "boolean", "datetime": "timestamp", "duration": "interval day to second", "decimal": "decimal(38,18)", "number": "double"}
 
 
+#: Spark's types, as patterns of their names, that hold each kind of values.
+KINDS = {
+    "string": r"string|(var)?char\(.*", "int": "tinyint|smallint|int|bigint", "float": "float|double", "bool": "boolean", "datetime": "timestamp|timestamp_ntz|date", "duration": "interval .*", "decimal": r"decimal\(.*",
+    "number": r"tinyint|smallint|int|bigint|float|double|decimal\(.*", "object": "struct<.*|map<.*|variant", "array": "array<.*", "record": r"string|(var)?char\(.*|tinyint|smallint|int|bigint", "geometry": "binary", "any": ".*",
+}
+
+
 def cast(x: ColumnOr, to: str) -> Column:
     """Null where the value doesn't fit the type."""
     if to not in TYPES:
@@ -186,8 +228,10 @@ def cast(x: ColumnOr, to: str) -> Column:
 
 
 def type_is(x: ColumnOr, name: str) -> Column:
-    """Whether the type of a column is the named one (a constant that the analyser folds)."""
-    return F.typeof(_c(x)) == TYPES[name]
+    """Whether the type of a column is one that holds the named kind of values (a constant that the analyser folds)."""
+    if name not in KINDS:
+        raise ValueError(f"unknown type: {name}")
+    return F.typeof(_c(x)).rlike(f"^({KINDS[name]})$")
 
 
-__all__ = ["TYPES", "array_contains", "array_length", "call", "cast", "count", "count_if", "duration", "field", "id_part", "is_email", "json_field", "math_abs", "math_ceil", "math_floor", "math_max", "math_mean", "math_min", "math_round", "math_sum", "rand_uuid", "record_id", "string_concat", "string_len", "string_lower", "string_slice", "string_upper", "time_floor", "time_format", "time_now", "to_datetime", "type_is", "value"]
+__all__ = ["TYPES", "array_contains", "array_length", "bound", "call", "cast", "count", "count_if", "duration", "field", "id_part", "is_email", "json_field", "math_abs", "math_ceil", "math_floor", "math_max", "math_mean", "math_min", "math_round", "math_sum", "rand_uuid", "record_id", "string_concat", "string_len", "string_lower", "string_slice", "string_upper", "time_floor", "time_format", "time_now", "to_datetime", "type_is", "value"]

@@ -65,10 +65,10 @@ def follow(catalog: Catalog, start: DataFrame, table: str, path: str) -> tuple[D
             rows = catalog.frame(name)
             on = {"out": rows["in"] == frontier["_at"], "in": rows["out"] == frontier["_at"], "both": (rows["in"] == frontier["_at"]) | (rows["out"] == frontier["_at"])}[direction]
             if direction == "both":
-                # two equi-joins rather than one join by a disjunction; a loop counts once
+                # equi-joins rather than one join by a disjunction; the second half has the edges that the first doesn't
                 ahead = rows.join(frontier, rows["in"] == frontier["_at"], "left_semi")
-                back = rows.where("`in` <> out").join(frontier, rows["out"] == frontier["_at"], "left_semi")
-                return ahead.union(back).distinct(), name
+                back = rows.join(frontier, rows["out"] == frontier["_at"], "left_semi").join(frontier, rows["in"] == frontier["_at"], "left_anti")
+                return ahead.union(back), name
             return rows.join(frontier, on).drop("_at"), name
         table = steps[i + 1][1]
         if table == "?":

@@ -30,12 +30,20 @@ class Mutation:
 
 
 def _rows(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame) -> DataFrame:
-    """New rows with the table's types; columns that they leave out are null, further ones are added."""
-    new = rows if isinstance(rows, DataFrame) else df.sparkSession.createDataFrame([dict(r) for r in rows])
-    types = dict(df.dtypes)
+    """New rows with the table's types; columns that they leave out are null, further ones are added (as text where they are null in all rows)."""
+    new, types = rows if isinstance(rows, DataFrame) else _frame(df, rows), dict(df.dtypes)
     return new.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in new.columns])
 
 
+def _frame(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Rows of a list.  Types come from what isn't null; whole numbers beside fractions are fractions."""
+    names = list(dict.fromkeys(c for r in rows for c in r))
+    kinds = {c: {type(r[c]) for r in rows if r.get(c) is not None} for c in names}
+    fit = lambda c, v: float(v) if kinds[c] == {int, float} and v is not None else v
+    new = df.sparkSession.createDataFrame([{c: fit(c, r.get(c)) for c in names if kinds[c]} | {"__": 0} for r in rows])
+    return new.select(*[F.col(c) if kinds[c] else F.lit(None).cast("string").alias(c) for c in names])
+
+
 def _image(before: DataFrame, after: DataFrame, key: str, image: str) -> DataFrame:
     if image not in IMAGES:
         raise ValueError(f"not a form of return: {image}")
@@ -134,7 +142,7 @@ def upsert(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame, key: st
         return Mutation(df, df.limit(0))
     by = list(on) or [key]
     if not isinstance(rows, DataFrame):
-        rows = df.sparkSession.createDataFrame([{**r, "_place": i} for i, r in enumerate(rows)])
+        rows = _frame(df, [{**r, "_place": i} for i, r in enumerate(rows)])
         place = F.col("_place")
     else:
         place = F.to_json(F.struct(*rows.columns))

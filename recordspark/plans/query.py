@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordspark.functions import vectors
 from recordspark.functions.predicates import Condition, as_column, in_rows
+from recordspark.functions.scalar import bound
 from recordspark.operators.graph import follow, leading
 from recordspark.plans import hints as H
 from recordspark.sources.catalog import Catalog
@@ -107,7 +108,7 @@ class Query:
         return replace(self, leads=(*self.leads, Leads(path, condition)))
 
     def bind(self, **values: Any) -> Query:
-        """Values for the `:name` markers in conditions and fields given as text."""
+        """Values for the `:name` markers in whatever is given as text: conditions of rows, groups, joins and paths, and fields."""
         return replace(self, parameters=(*self.parameters, *values.items()))
 
     def group_by(self, *fields: str) -> Query:
@@ -162,14 +163,14 @@ class Query:
             key = catalog.tables[name].key if name in catalog.tables else None
         for j in self.joins:
             other = catalog.frame(j.table)
-            df = df.join(other, as_column(j.on, df), j.how)
+            df = df.join(other, as_column(self._text(j.on), df), j.how)
         for link in self.links:
             df = self._fetched(catalog, df, name, link)
         for p in self.leads:
-            keys = leading(catalog, name, p.path, p.condition)
+            keys = leading(catalog, name, p.path, self._text(p.condition))
             df = df.join(keys, df[key] == keys["_key"], "left_semi")
         for c in self.conditions:
-            df = self._bound(df, where=c) if self.parameters and isinstance(c, str) else df.where(as_column(c, df))
+            df = df.where(as_column(self._text(c), df))
         if self.near:
             df = self._nearest(df, key)
         if self.whole:
@@ -177,7 +178,7 @@ class Query:
         elif self.groups:
             df = df.groupBy(*self.groups).agg(*self._columns(self.groups))
         for c in self.having_:
-            df = df.where(as_column(c, df))
+            df = df.where(as_column(self._text(c), df))
         plain = not (self.whole or self.groups)
         # sort keys may be columns that the selection leaves out, or ones that it makes
         late = plain and self.fields and all(o in df.columns for o, _ in self.orders)
@@ -201,15 +202,11 @@ class Query:
     def _selected(self, df: DataFrame, more: list[str] | None = None) -> DataFrame:
         """The selection, and `more` columns behind it.  Texts that aren't names of columns are Spark SQL expressions."""
         fields = [*self.fields, *(more or [])]
-        if self.parameters and all(isinstance(f, str) for f in fields):
-            return self._bound(df, fields)
-        return df.select(*[f if not isinstance(f, str) or f in df.columns or _NAME.fullmatch(f) else F.expr(f) for f in fields])
-
-    def _bound(self, df: DataFrame, fields: list[str] | None = None, where: str | None = None) -> DataFrame:
-        """Texts with markers, as Spark binds them."""
-        plain = lambda x: x.replace("{", "{{").replace("}", "}}")
-        text = f"SELECT {plain(', '.join(fields or ['*']))} FROM {{_rows}}" + (f" WHERE {plain(where)}" if where else "")
-        return df.sparkSession.sql(text, args=dict(self.parameters), _rows=df)
+        return df.select(*[f if not isinstance(f, str) or f in df.columns or _NAME.fullmatch(f) else F.expr(self._text(f)) for f in fields])
+
+    def _text[C](self, condition: C) -> C:
+        """Text with the bound values in the place of its markers; anything else as it is."""
+        return bound(condition, dict(self.parameters)) if self.parameters and isinstance(condition, str) else condition
 
     def _fetched(self, catalog: Catalog, df: DataFrame, table: str, link: str) -> DataFrame:
         *outer, last = link.split(".")

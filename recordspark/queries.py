@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.functions import predicates as P
@@ -12,32 +11,13 @@ from recordspark.functions import scalar as S
 from recordspark.functions import vectors
 from recordspark.operators import graph, mutate, records
 from recordspark.operators.aggregate import aggregate_records
-from recordspark.plans.query import Query, vector_query
-from recordspark.sources.catalog import Catalog, files
+from recordspark.plans.query import vector_query
+from recordspark.registry import ORACLE_SQL, QUERIES, over, query
+from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import id_part, record_id
 from recordspark.sources.schema import Field, Index, TableSchema, computed_field, record_field
 from recordspark.streaming import feeds
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable:
-    """Register a function of a catalog under its name."""
-
-    def register(f: Callable[[Catalog], DataFrame]) -> Callable[[Catalog], DataFrame]:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(files(spark, sf_dir))
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def over(table: str) -> Query:
-    return Query().from_table(table)
-
-
 # flagship
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_extendedprice), 2) AS total, round(avg(l_discount), 6) AS mean_discount
 FROM lineitem WHERE l_quantity > 10 GROUP BY ALL""")
@@ -62,9 +42,9 @@ def select_value(c):
 
 
 # predicates
-@query("""SELECT o_orderkey FROM orders WHERE o_totalprice >= 1000 AND o_totalprice < 200000 AND o_orderstatus <> 'F' AND o_orderkey <= 5000 AND o_orderkey > 10""")
+@query("""SELECT o_orderkey FROM orders WHERE o_totalprice >= 1000 AND o_totalprice < 200000 AND o_orderstatus <> 'F' AND o_orderdate <= DATE '2000-01-01' AND o_orderdate > DATE '1995-06-30'""")
 def filter_cmp(c):
-    p = P.gte("o_totalprice", 1000) & P.lt("o_totalprice", 200000) & P.ne("o_orderstatus", "F") & P.lte("o_orderkey", 5000) & P.gt("o_orderkey", 10)
+    p = P.gte("o_totalprice", 1000) & P.lt("o_totalprice", 200000) & P.ne("o_orderstatus", "F") & P.lte("o_orderdate", date(2000, 1, 1)) & P.gt("o_orderdate", date(1995, 6, 30))
     return over("orders").where(p).select("o_orderkey").frame(c)
 
 
@@ -413,9 +393,10 @@ def shortest_path(c):
     return graph.shortest_path(c, 0, 25, "knows")
 
 
-@query(_path_sql("0::BIGINT", "40", "SELECT a, b FROM knows WHERE b <> 3") + " SELECT step, x AS id, c_custkey, c_name FROM back JOIN customer ON c_custkey = x")
+@query(_path_sql("0::BIGINT", "24", "SELECT a, b FROM knows WHERE b <> 3") + " SELECT step, x AS id, c_custkey, c_name FROM back JOIN customer ON c_custkey = x")
 def shortest_path_records(c):
-    return graph.shortest_path(c, 0, 40, "knows", where="out <> 3", table="customer").select("step", "id", "c_custkey", "c_name")
+    # without the condition, 3 is on the way
+    return graph.shortest_path(c, 0, 24, "knows", where="out <> 3", table="customer").select("step", "id", "c_custkey", "c_name")
 
 
 def _text_keys(c: Catalog) -> Catalog:
@@ -677,3 +658,60 @@ def snapshot_added_field(c):
 def window_counts(c):
     rows = c.frame("events").withColumn("ts", F.col("ts").cast("timestamp"))
     return feeds.windowed_counts(rows, "ts", "event_type", "1 hour", "1 hour").withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+# values that are null in all given rows, markers in every clause, kinds of values, odd keys
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, NULL::VARCHAR AS note FROM orders UNION ALL VALUES (-1, 7, NULL, NULL), (-2, NULL, NULL, NULL)")
+def insert_nulls(c):
+    rows = c.frame("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return mutate.insert(rows, [{"o_orderkey": -1, "o_custkey": 7, "o_orderpriority": None, "note": None}, {"o_orderkey": -2, "o_custkey": None, "o_orderpriority": None}], "o_orderkey").state
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey IN (1, 2) THEN NULL ELSE c_acctbal END AS c_acctbal, CASE WHEN c_custkey = 1 THEN 'one' WHEN c_custkey = 2 THEN 'two' ELSE c_name END AS c_name FROM customer")
+def upsert_nulls(c):
+    rows = c.frame("customer").select("c_custkey", "c_acctbal", "c_name")
+    return mutate.upsert(rows, [{"c_custkey": 1, "c_name": "one", "c_acctbal": None}, {"c_custkey": 2, "c_name": "two", "c_acctbal": None}], "c_custkey").state
+
+
+@query("SELECT o_custkey AS a, o_orderkey AS b, NULL::VARCHAR AS note FROM orders UNION ALL VALUES (1, 2, NULL), (3, 4, NULL)")
+def relate_nulls(c):
+    return mutate.relate_many(c.frame("placed"), [(1, 2, {"note": None}), (3, 4, {"note": None})]).state.select(F.col("in").alias("a"), F.col("out").alias("b"), "note")
+
+
+@query("""SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice * 1.5), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey AND c_acctbal > 1000
+WHERE o_orderstatus <> 'it''s :x' GROUP BY 1 HAVING count(*) > 10""")
+def bind_clauses(c):
+    q = over("orders").join("customer", "o_custkey = c_custkey and c_acctbal > :least").where("o_orderstatus <> :odd and ':x' <> :odd")
+    q = q.group_by("o_orderpriority").select("o_orderpriority", S.count().alias("n"), F.round(S.math_sum(F.expr("o_totalprice * 1.5")), 2).alias("total")).having("n > :few")
+    return q.bind(least=1000, odd="it's :x", few=10).frame(c)
+
+
+@query("SELECT c_custkey, c_name || ' of ' || 7 AS told, upper(c_mktsegment) AS segment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000)")
+def bind_mixed(c):
+    q = over("customer").where_path("->placed->orders", "o_totalprice > :price")
+    return q.select("c_custkey", "c_name || :of || :n AS told", F.upper("c_mktsegment").alias("segment")).bind(price=150_000.0, of=" of ", n=7).frame(c)
+
+
+@query("SELECT event_id, true AS i, true AS f, true AS t, false AS no, true AS a, true AS o FROM events")
+def type_is_kinds(c):
+    e = c.frame("events").withColumns({"small": F.col("user_id").cast("int"), "list": F.array("user_id"), "both": F.struct("user_id")})
+    return e.select("event_id", S.type_is("small", "int").alias("i"), S.type_is("value", "number").alias("f"), S.type_is("ts", "datetime").alias("t"), S.type_is("value", "int").alias("no"), S.type_is("list", "array").alias("a"), S.type_is("both", "object").alias("o"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey = 5")
+def lookup_text_key(c):
+    c.add("places", c.frame("nation").withColumn("id", F.col("n_nationkey").cast("string")))
+    return over("places:5").select("n_nationkey", "n_name").frame(c).unionByName(over("nation:<no number>").select("n_nationkey", "n_name").frame(c))
+
+
+@query("SELECT c_custkey, 'UPDATE' AS action FROM customer WHERE c_custkey % 5 <> 0 AND c_acctbal > 0")
+def snapshot_null_keys(c):
+    before = c.frame("customer").select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey")).alias("c_custkey"), "c_acctbal")
+    return feeds.snapshot_changes(before, before.withColumn("c_acctbal", F.least(F.lit(0.0), "c_acctbal")), "c_custkey")
+
+
+@query(f"{_WITH}, twice AS (SELECT * FROM knows UNION ALL SELECT * FROM knows) SELECT a, b FROM twice WHERE a = 6 OR b = 6")
+def both_edges_repeated(c):
+    knows = c.frame("knows")
+    c.add_edge("twice", knows.union(knows), "customer", "customer")
+    return over("customer:6").traverse("<->twice").frame(c).select(F.col("in").alias("a"), F.col("out").alias("b"))

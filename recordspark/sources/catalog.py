@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordspark.sources.ids import RecordId
 
@@ -65,8 +66,9 @@ class Catalog:
         if isinstance(target, str) and ":" not in target:
             return target, self.frame(target)
         ref = RecordId.parse(target) if isinstance(target, str) else target
-        df = self.frame(ref.table)
-        return ref.table, df.where(df[self.key(ref.table)] == ref.id)
+        df, key = self.frame(ref.table), self.key(ref.table)
+        # an id that the key's type can't hold is nobody's
+        return ref.table, df.where(df[key] == F.lit(ref.id).try_cast(df.schema[key].dataType))
 
     def add_link(self, table: str, field_: str, target: str) -> Catalog:
         """Declare that a field holds keys of another table."""
@@ -80,8 +82,6 @@ class Catalog:
 
 def files(spark: SparkSession, sf_dir: str) -> Catalog:
     """The catalog of a folder of Parquet tables, with the edges that its foreign keys imply."""
-    from pyspark.sql import functions as F
-
     c = Catalog(spark)
     keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id"}
     for name, key in keys.items():

@@ -98,11 +98,12 @@ def windowed_counts(rows: DataFrame, time: str, by: str, size: str, late: str) -
 def snapshot_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """key and action (CREATE, UPDATE, DELETE) of every record that differs between two snapshots.
 
-    Rows are compared by a hash of their other fields, so that one narrow full join does.
+    Rows are compared by a hash of their other fields, so that one narrow full join does.  Rows without a key
+    are nobody's record and take no part.
     """
     names = sorted({*before.columns, *after.columns} - {key})
     # JSON leaves nulls out, so a field that only one of the two has is null in the other
-    mark = lambda df, name: df.select(F.col(key), F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in names if c in df.columns] or [F.lit(0)]))).alias(name))
+    mark = lambda df, name: df.where(F.col(key).isNotNull()).select(F.col(key), F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in names if c in df.columns] or [F.lit(0)]))).alias(name))
     both = mark(before, "_a").join(mark(after, "_b"), key, "full")
     action = F.when(F.col("_a").isNull(), "CREATE").when(F.col("_b").isNull(), "DELETE").when(F.col("_a") != F.col("_b"), "UPDATE")
     return both.select(key, action.alias("action")).where("action is not null")

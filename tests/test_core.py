@@ -310,3 +310,31 @@ def test_reports_history_and_cache_keys(spark, people):
 
 def test_explained_plans(people):
     assert "Physical Plan" in hints.explained(people.frame("user")) and "Optimized Logical Plan" in hints.explained(people.frame("user"), full=True)
+
+
+def test_cached_functions_tell_frames_apart(spark):
+    c = Cache()
+
+    @c.cached()
+    def doubled(df, n):
+        return df.withColumn("n", F.col("id") * n)
+
+    assert doubled(spark.range(3), 2).count() == 3 and doubled(spark.range(100), 2).count() == 100
+    assert doubled(spark.range(3), 2) is doubled(spark.range(3), 2) and doubled(spark.range(3), 3) is not doubled(spark.range(3), 2)
+    with pytest.raises(TypeError):
+        doubled(spark.range(3), object())
+
+
+def test_bound_values():
+    assert S.bound("a = :x and b = ':x' and `:x`::int = :xx -- :x", {"x": "it's"}) == "a = 'it\\'s' and b = ':x' and `:x`::int = :xx -- :x"
+    assert [S.literal(v) for v in (None, True, 3, 1 << 40, [1, "a"], b"\x01")] == ["NULL", "TRUE", "(3)", f"{1 << 40}L", "array((1), 'a')", "X'01'"]
+    with pytest.raises(TypeError):
+        S.literal(object())
+
+
+def test_repeated_edges_and_loops_both_ways(spark):
+    nodes = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    edges = spark.createDataFrame([(1, 2), (1, 2), (2, 1), (2, 2), (3, 3)], "`in` long, out long")
+    c = Catalog(spark).add("n", nodes).add_edge("e", edges, "n", "n")
+    assert Query().from_table("n").where("id < 3").traverse("<->e").frame(c).count() == 4
+    assert Query().from_table("n").where("id = 3").traverse("<->e").frame(c).count() == 1
