@@ -234,8 +234,9 @@ def _replaced(codebook: np.ndarray, sums: DataFrame) -> np.ndarray:
 
 def first_codebook(packed: DataFrame, shape: _Cut, entries: int) -> np.ndarray:
     """The parts of the vectors with the smallest ids, from `packed` (id, q)."""
+    whole = F.rpad("q", 4 * shape.dimensions, F.lit(_SIGN.to_bytes(4, "big")))  # a zero's bytes behind shorter vectors
     ids = packed.select("id").distinct().orderBy(F.col("id").asc_nulls_last()).limit(entries)
-    rows = packed.join(F.broadcast(ids.withColumnRenamed("id", "_id")), F.col("id").eqNullSafe(F.col("_id"))).groupBy("id").agg(F.min("q").alias("q"))
+    rows = packed.join(F.broadcast(ids.withColumnRenamed("id", "_id")), F.col("id").eqNullSafe(F.col("_id"))).groupBy("id").agg(F.min(whole).alias("q"))
     found = rows.orderBy(F.col("id").asc_nulls_last()).collect()  # one row an entry
     return shape.of([bytes(r["q"]) for r in found]).transpose(1, 0, 2)
 
