@@ -32,6 +32,15 @@ class Predicate:
         return Predicate(lambda df: ~self.on(df))
 
 
+@dataclass(frozen=True)
+class FullText(Predicate):
+    """A full-text condition; a query whose table has a search index of the field asks that."""
+
+    name: str
+    terms: str
+    phrase: bool = False
+
+
 Condition = Predicate | Column | str
 
 
@@ -135,7 +144,18 @@ def like(name: str, pattern: str) -> Predicate:
 def full_text(name: str, terms: str) -> Predicate:
     """All words of `terms` are words of the text, whatever their case; words are runs of Unicode letters, digits and `_`."""
     words = [w for w in re.split(r"\W+", terms.lower()) if w]
-    return Predicate(lambda df: F.size(F.array_except(value(words).cast("array<string>"), F.split(F.lower(F.col(name)), r"(?U)\W+"))) == 0)
+    return FullText(lambda df: F.size(F.array_except(value(words).cast("array<string>"), F.split(F.lower(F.col(name)), r"(?U)\W+"))) == 0, name, terms)
+
+
+def phrase(name: str, terms: str) -> Predicate:
+    """The words of `terms` follow each other in the text, whatever stands between words."""
+
+    def on(df: DataFrame) -> Column:
+        words = lambda x: F.filter(F.split(F.lower(x), r"(?U)\W+"), lambda w: w != "")
+        joined = lambda x: F.concat(F.lit(" "), F.array_join(words(x), " "), F.lit(" "))
+        return F.contains(joined(F.col(name)), joined(F.lit(terms)))
+
+    return FullText(on, name, terms, True)
 
 
 def in_rows(name: str, rows: DataFrame) -> Predicate:

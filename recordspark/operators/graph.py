@@ -7,7 +7,6 @@ level; each level is written to the shared checkpoint folder, so plans stay shor
 from __future__ import annotations
 
 import re
-import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +14,14 @@ from pyspark.sql import types as T
 
 from recordspark.functions.predicates import Condition, as_column
 from recordspark.sources.catalog import Catalog
+from recordspark.sources.storage import shared_folder
 
 _HOP = re.compile(r"(<->|->|<-)([A-Za-z_][A-Za-z0-9_]*|\?)")
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """The same rows from the checkpoint folder.  Without one, sessions on one machine get a temporary folder."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and not re.match(r"local(\[|$)", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
+    """The same rows from the checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

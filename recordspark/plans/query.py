@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from recordspark.functions import vectors
-from recordspark.functions.predicates import Condition, as_column, in_rows
+from recordspark.functions.predicates import Condition, FullText, as_column, in_rows
 from recordspark.functions.scalar import bound
 from recordspark.operators.graph import follow, leading
 from recordspark.plans import hints as H
@@ -29,6 +29,8 @@ class Near:
     k: int
     metric: str
     threshold: float | None
+    probes: int | None = None
+    exact: bool = False
 
 
 @dataclass(frozen=True)
@@ -137,13 +139,20 @@ class Query:
             raise ValueError("an offset can't be negative")
         return replace(self, skip=n)
 
-    def vector_search(self, name: str, vector: list[float], k: int = 10, metric: str = "COSINE", threshold: float | None = None) -> Query:
-        """The k nearest of the rows that the conditions keep; ties go to the smaller key."""
+    def vector_search(self, name: str, vector: list[float], k: int = 10, metric: str = "COSINE", threshold: float | None = None, probes: int | None = None, exact: bool = False) -> Query:
+        """The k nearest of the rows that the conditions keep; ties go to the smaller key.
+
+        Where the table has an index of the field and metric, only cells near the vector are read: as many as
+        `probes` (the index's own number without it), or with `exact` all that can hold one of the k nearest, which takes
+        a job of its own to know.  Without an index every search is exact.
+        """
         if k < 1 or not vector:
             raise ValueError("a vector and at least one neighbour are needed")
         if metric.upper() not in vectors.METRICS:
             raise ValueError(f"unknown metric: {metric}")
-        return replace(self, near=Near(name, tuple(vector), k, metric.upper(), threshold))
+        if probes is not None and probes < 1:
+            raise ValueError("a search reads at least one cell")
+        return replace(self, near=Near(name, tuple(vector), k, metric.upper(), threshold, probes, exact))
 
     def similarity_score(self, name: str, vector: list[float], metric: str = "COSINE", alias: str = "similarity") -> Query:
         """One more column; without a selection it stands alone."""
@@ -157,10 +166,21 @@ class Query:
         if self.source is None:
             raise ValueError("a query needs a table")
         name, df = catalog.target(self.source)
-        key = catalog.tables[name].key if name in catalog.tables else None
         if self.path:
             df, name = follow(catalog, df, name, self.path)
-            key = catalog.tables[name].key if name in catalog.tables else None
+        key = catalog.tables[name].key if name in catalog.tables else None
+        index = catalog.vector_indexes.get((name, self.near.field)) if self.near and self.source == name and not self.path else None
+        if index and index.metric == self.near.metric:
+            n, kept = self.near, lambda rows: self._kept(catalog, name, key, catalog.visible(name, rows))
+            df = kept(index.exact(catalog.spark, n.vector, n.k, kept, n.threshold) if n.exact else index.near(catalog.spark, n.vector, n.probes))
+        else:
+            df = self._kept(catalog, name, key, df)
+        if self.near:
+            df = self._nearest(df, key)
+        return H.applied(self._shaped(df), self.hints, name)
+
+    def _kept(self, catalog: Catalog, name: str, key: str | None, df: DataFrame) -> DataFrame:
+        """The rows under joins, links and conditions."""
         for j in self.joins:
             other = catalog.frame(j.table)
             df = df.join(other, as_column(self._text(j.on), df), j.how)
@@ -170,9 +190,13 @@ class Query:
             keys = leading(catalog, name, p.path, self._text(p.condition))
             df = df.join(keys, df[key] == keys["_key"], "left_semi")
         for c in self.conditions:
-            df = df.where(as_column(self._text(c), df))
-        if self.near:
-            df = self._nearest(df, key)
+            index = catalog.search_indexes.get((name, c.name)) if isinstance(c, FullText) else None
+            keys = index.matching(catalog.spark, c.name, c.terms, c.phrase) if index else None
+            df = df.where(as_column(self._text(c), df)) if keys is None else df.join(keys, df[key] == keys["key"], "left_semi")
+        return df
+
+    def _shaped(self, df: DataFrame) -> DataFrame:
+        """Grouping, ordering, pages and the selection."""
         if self.whole:
             df = df.agg(*self._columns(()))
         elif self.groups:
@@ -197,7 +221,7 @@ class Query:
             df = self._selected(df)
         if dropped:
             df = df.drop(*dropped)
-        return H.applied(df, self.hints, name)
+        return df
 
     def _selected(self, df: DataFrame, more: list[str] | None = None) -> DataFrame:
         """The selection, and `more` columns behind it.  Texts that aren't names of columns are Spark SQL expressions."""
@@ -264,7 +288,7 @@ class Query:
         return rows[0] if rows else None
 
 
-def vector_query(table: str, name: str, vector: list[float], k: int = 10, metric: str = "COSINE", threshold: float | None = None, score: str | None = None) -> Query:
+def vector_query(table: str, name: str, vector: list[float], k: int = 10, metric: str = "COSINE", threshold: float | None = None, score: str | None = None, probes: int | None = None, exact: bool = False) -> Query:
     """The k nearest rows of a table; score: the name of a score column."""
-    q = Query().from_table(table).vector_search(name, vector, k, metric, threshold)
+    q = Query().from_table(table).vector_search(name, vector, k, metric, threshold, probes, exact)
     return q.select("*").similarity_score(name, vector, metric, score) if score else q

@@ -11,7 +11,7 @@ from recordspark.functions import scalar as S
 from recordspark.functions import vectors
 from recordspark.operators import graph, mutate, records
 from recordspark.operators.aggregate import aggregate_records
-from recordspark.plans.query import vector_query
+from recordspark.plans.query import Query, vector_query
 from recordspark.registry import ORACLE_SQL, QUERIES, over, query
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import id_part, record_id
@@ -458,7 +458,7 @@ def relate_unrelate(c):
 
 
 # vectors
-def _vector(c: Catalog) -> list[float]:
+def sample_vector(c: Catalog) -> list[float]:
     return [float(x) for x in c.frame("embeddings").where("vec_id = 0").first()["embedding"]]
 
 
@@ -476,19 +476,22 @@ _METRIC_SQL = {
 }
 
 
-def _knn(metric: str) -> None:
-    up = vectors.is_similarity(metric)
-    direction = "DESC" if up else "ASC"
+def knn_sql(metric: str) -> str:
+    """The ten nearest of vector 0."""
+    direction = "DESC" if vectors.is_similarity(metric) else "ASC"
     sql = f"WITH s AS (SELECT vec_id, {_METRIC_SQL[metric]} AS score FROM embeddings) SELECT vec_id, round(score, 6) AS score FROM s ORDER BY s.score {direction}, vec_id LIMIT 10"
     if metric in ("PEARSON", "MANHATTAN", "CHEBYSHEV", "MINKOWSKI", "HAMMING", "JACCARD"):  # lambdas take no subqueries
         sql = f"WITH q AS MATERIALIZED (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, {_METRIC_SQL[metric].replace(_Q, 'q')} AS score FROM embeddings, q) SELECT vec_id, round(score, 6) AS score FROM s ORDER BY s.score {direction}, vec_id LIMIT 10"
+    return sql
+
 
+def _knn(metric: str) -> None:
     def run(c: Catalog) -> DataFrame:
-        v = _vector(c)
+        v = sample_vector(c)
         return vector_query("embeddings", "embedding", v, 10, metric).select("vec_id", F.round(vectors.score("embedding", v, metric), 6).alias("score")).frame(c)
 
     run.__name__ = f"knn_{metric.lower()}"
-    query(sql)(run)
+    query(knn_sql(metric))(run)
 
 
 for _m in _METRIC_SQL:
@@ -497,29 +500,29 @@ for _m in _METRIC_SQL:
 
 @query(f"SELECT vec_id FROM embeddings WHERE {_METRIC_SQL['COSINE']} >= 0.5 ORDER BY {_METRIC_SQL['COSINE']} DESC, vec_id LIMIT 50")
 def knn_threshold(c):
-    return vector_query("embeddings", "embedding", _vector(c), 50, "COSINE", 0.5).select("vec_id").frame(c)
+    return vector_query("embeddings", "embedding", sample_vector(c), 50, "COSINE", 0.5).select("vec_id").frame(c)
 
 
 @query(f"SELECT vec_id FROM embeddings WHERE label = 3 ORDER BY {_METRIC_SQL['EUCLIDEAN']}, vec_id LIMIT 5")
 def knn_filtered(c):
-    return vector_query("embeddings", "embedding", _vector(c), 5, "EUCLIDEAN").where("label = 3").select("vec_id").frame(c)
+    return vector_query("embeddings", "embedding", sample_vector(c), 5, "EUCLIDEAN").where("label = 3").select("vec_id").frame(c)
 
 
 @query(f"SELECT vec_id, round({_METRIC_SQL['COSINE']}, 6) AS similarity FROM embeddings")
 def similarity_score(c):
-    return over("embeddings").select("vec_id").similarity_score("embedding", _vector(c)).frame(c).withColumn("similarity", F.round("similarity", 6))
+    return over("embeddings").select("vec_id").similarity_score("embedding", sample_vector(c)).frame(c).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(f"SELECT vec_id, round({_METRIC_SQL['EUCLIDEAN']}, 6) AS d FROM embeddings")
 def mahalanobis_identity(c):
-    v = _vector(c)
+    v = sample_vector(c)
     inverse = [[float(i == j) for j in range(len(v))] for i in range(len(v))]
     return over("embeddings").select("vec_id", F.round(vectors.score("embedding", v, "MAHALANOBIS", inverse=inverse), 6).alias("d")).frame(c)
 
 
 @query(f"SELECT vec_id, CASE WHEN label = 3 THEN NULL ELSE round({_METRIC_SQL['COSINE']}, 6) END AS similarity FROM embeddings")
 def similarity_of_zero(c):
-    v = _vector(c)
+    v = sample_vector(c)
     zeroed = c.frame("embeddings").withColumn("embedding", F.when(F.col("label") == 3, F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")))
     return Query().from_table("zeroed").select("vec_id").similarity_score("embedding", v).frame(c.add("zeroed", zeroed, "vec_id")).withColumn("similarity", F.round("similarity", 6))
 
@@ -527,7 +530,7 @@ def similarity_of_zero(c):
 @query(f"""WITH q AS MATERIALIZED (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
 SELECT vec_id, CASE WHEN label = 3 THEN NULL ELSE round({_METRIC_SQL['PEARSON'].replace(_Q, 'q')}, 6) END AS similarity FROM embeddings, q""")
 def pearson_of_constant(c):
-    v = _vector(c)
+    v = sample_vector(c)
     flat = c.frame("embeddings").withColumn("embedding", F.when(F.col("label") == 3, F.transform("embedding", lambda x: x * 0 + 0.3)).otherwise(F.col("embedding")))
     return flat.select("vec_id", F.round(vectors.score("embedding", v, "PEARSON"), 6).alias("similarity"))
 
@@ -715,3 +718,6 @@ def both_edges_repeated(c):
     knows = c.frame("knows")
     c.add_edge("twice", knows.union(knows), "customer", "customer")
     return over("customer:6").traverse("<->twice").frame(c).select(F.col("in").alias("a"), F.col("out").alias("b"))
+
+
+from recordspark import queries_stored  # noqa: E402, F401  registers its queries

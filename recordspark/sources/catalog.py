@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.sources.ids import RecordId
+from recordspark.sources.search_index import SearchIndex
+from recordspark.sources.vector_index import VectorIndex
 
 
 @dataclass(frozen=True)
@@ -37,6 +39,9 @@ class Catalog:
     tables: dict[str, Table] = field(default_factory=dict)
     edges: dict[str, Edge] = field(default_factory=dict)
     links: dict[tuple[str, str], str] = field(default_factory=dict)
+    #: By table and field.
+    vector_indexes: dict[tuple[str, str], VectorIndex] = field(default_factory=dict)
+    search_indexes: dict[tuple[str, str], SearchIndex] = field(default_factory=dict)
 
     def add(self, name: str, source: DataFrame | str | Callable[[], DataFrame], key: str = "id", rule: Callable[[DataFrame], Column] | None = None) -> Catalog:
         """Register a DataFrame, a Parquet path, or a function that makes a DataFrame."""
@@ -57,9 +62,12 @@ class Catalog:
             return self.edges[name].load()
         if name not in self.tables:
             raise KeyError(f"unknown table: {name}")
-        t = self.tables[name]
-        df = t.load()
-        return df if t.rule is None else df.where(t.rule(df))
+        return self.visible(name, self.tables[name].load())
+
+    def visible(self, name: str, df: DataFrame) -> DataFrame:
+        """Of rows of a table those that readers may see."""
+        rule = self.tables[name].rule
+        return df if rule is None else df.where(rule(df))
 
     def target(self, target: str | RecordId) -> tuple[str, DataFrame]:
         """The table's name and rows of a table, or of one record given by its id."""
@@ -75,6 +83,20 @@ class Catalog:
         self.links[table, field_] = target
         return self
 
+    def add_vector_index(self, table: str, index: VectorIndex) -> Catalog:
+        """Searches by the index's field and metric read its cells instead of the table."""
+        if table not in self.tables:
+            raise KeyError(f"unknown table: {table}")
+        self.vector_indexes[table, index.field] = index
+        return self
+
+    def add_search_index(self, table: str, index: SearchIndex) -> Catalog:
+        """Full-text conditions on the index's fields read its postings instead of texts."""
+        if table not in self.tables:
+            raise KeyError(f"unknown table: {table}")
+        self.search_indexes |= {(table, f): index for f in index.fields}
+        return self
+
     def describe(self) -> list[tuple[str, str, str]]:
         """(table, column, type) of everything registered."""
         return [(n, c, k) for n in [*self.tables, *self.edges] for c, k in self.frame(n).dtypes]

@@ -335,6 +335,6 @@ def test_bound_values():
 def test_repeated_edges_and_loops_both_ways(spark):
     nodes = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     edges = spark.createDataFrame([(1, 2), (1, 2), (2, 1), (2, 2), (3, 3)], "`in` long, out long")
-    c = Catalog(spark).add("n", nodes).add_edge("e", edges, "n", "n")
-    assert Query().from_table("n").where("id < 3").traverse("<->e").frame(c).count() == 4
-    assert Query().from_table("n").where("id = 3").traverse("<->e").frame(c).count() == 1
+    c = Catalog(spark).add("n", nodes).add("two", nodes.where("id < 3")).add("three", nodes.where("id = 3")).add_edge("e", edges, "n", "n")
+    assert Query().from_table("two").traverse("<->e").frame(c).count() == 4
+    assert Query().from_table("three").traverse("<->e").frame(c).count() == 1
