@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Literal
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row
 
 @dataclass(frozen=True)
 class Index:
-    """Spark scans have no indexes; kept so that queries say which they expect."""
+    """Read a table of the query through the layout of an index.  force: fail where there is none; else the table is read."""
 
     table: str
     name: str
@@ -61,6 +61,17 @@ def merged(hints: Iterable[Hint]) -> dict[type, Hint]:
     return {type(h): h for h in hints}
 
 
+def indexes(hints: Iterable[Hint], tables: Iterable[str], there: Container[tuple[str, str]]) -> dict[str, str]:
+    """By table the name of the index whose layout is read: the last hint of each table, of those that there are."""
+    last, tables = {h.table: h for h in hints if isinstance(h, Index)}, list(tables)
+    for h in last.values():
+        if h.table not in tables:
+            raise ValueError(f"an index of {h.table} on a query of {', '.join(tables)}")
+        if h.force and (h.table, h.name) not in there:
+            raise ValueError(f"no layout of the index {h.name} of {h.table}")
+    return {t: h.name for t, h in last.items() if (t, h.name) in there}
+
+
 def explained(df: DataFrame, full: bool = False) -> str:
     """The plan as text: the physical one, or with all stages of its making."""
     out = io.StringIO()
@@ -69,11 +80,9 @@ def explained(df: DataFrame, full: bool = False) -> str:
     return out.getvalue()
 
 
-def applied(df: DataFrame, hints: Iterable[Hint], table: str | None = None) -> DataFrame:
+def applied(df: DataFrame, hints: Iterable[Hint]) -> DataFrame:
     """The DataFrame under the hints that concern its plan."""
     last = merged(hints)
-    if (i := last.get(Index)) and table and i.table != table:
-        raise ValueError(f"an index of {i.table} on a query of {table}")
     if e := last.get(Explain):
         print(explained(df, e.full))
     # the result in so many parts; scans and shuffles below keep their own

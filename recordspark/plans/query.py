@@ -165,6 +165,9 @@ class Query:
     def frame(self, catalog: Catalog) -> DataFrame:
         if self.source is None:
             raise ValueError("a query needs a table")
+        if any(isinstance(h, H.Index) for h in self.hints):
+            start = self.source.table if isinstance(self.source, RecordId) else self.source.split(":")[0]
+            catalog = catalog.laid_out(H.indexes(self.hints, self._tables(catalog, start), catalog.layouts))
         name, df = catalog.target(self.source)
         if self.path:
             df, name = follow(catalog, df, name, self.path)
@@ -177,7 +180,15 @@ class Query:
             df = self._kept(catalog, name, key, df)
         if self.near:
             df = self._nearest(df, key)
-        return H.applied(self._shaped(df), self.hints, name)
+        return H.applied(self._shaped(df), self.hints)
+
+    def _tables(self, catalog: Catalog, start: str) -> list[str]:
+        """The tables that the query names: its own, and those of its path, joins and links."""
+        names = [start, *(j.table for j in self.joins)]
+        for p in [self.path, *(x.path for x in self.leads)]:
+            for n in re.findall(r"\w+", p):
+                names += [catalog.edges[n].from_table, catalog.edges[n].to_table] if n in catalog.edges else [n]
+        return list(dict.fromkeys([*names, *(t for (_, link), t in catalog.links.items() if any(link in x.split(".") for x in self.links))]))
 
     def _kept(self, catalog: Catalog, name: str, key: str | None, df: DataFrame) -> DataFrame:
         """The rows under joins, links and conditions."""

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordspark.functions import predicates as P
+from recordspark.functions import scalar as S
 from recordspark.functions import vectors
+from recordspark.operators import mutate
+from recordspark.plans import hints
 from recordspark.plans.query import vector_query
 from recordspark.queries import knn_sql, sample_vector
 from recordspark.registry import over, query
-from recordspark.sources import search_index, vector_index
+from recordspark.sources import layout, search_index, vector_index
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.storage import new_folder
+from recordspark.sources.store import Store
 
 
 # vector indexes
@@ -62,3 +66,58 @@ def fulltext_index_unicode(c):
 @query(f"SELECT doc_id FROM documents WHERE contains(' ' || array_to_string({_WORDS.format('text')}, ' ') || ' ', ' of the ') AND list_contains({_WORDS.format('source')}, list_extract({_WORDS.format('source')}, 1)) AND lang = 'en'")
 def fulltext_phrase(c):
     return over("documents").where(P.phrase("text", "of -- The")).where("source is not null and lang = 'en'").select("doc_id").frame(_searched(c, "text", "source"))
+
+
+# layouts by indexes
+def _laid_out(c: Catalog, table: str, column: str) -> Catalog:
+    return c.add_layout(table, layout.write(c.frame(table), f"{table}_by_{column}", [column], new_folder(c.spark, "layout"), 8))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 7 UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_partkey IN (3, 11)")
+def layout_lookup(c):
+    _laid_out(_laid_out(c, "orders", "o_custkey"), "lineitem", "l_partkey")
+    orders = over("orders").where("o_custkey = 7").select("o_orderkey", "o_totalprice").hint(hints.Index("orders", "orders_by_o_custkey", True))
+    items = over("lineitem").where(P.inside("l_partkey", [3, 11])).select("l_orderkey", "l_extendedprice").hint(hints.Index("lineitem", "lineitem_by_l_partkey", True))
+    return orders.frame(c).union(items.frame(c))
+
+
+@query("SELECT o_custkey, count(*) AS n, round(sum(o_totalprice + c_acctbal), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def layout_join(c):
+    _laid_out(_laid_out(c, "orders", "o_custkey"), "customer", "c_custkey")
+    q = over("orders").join("customer", "o_custkey = c_custkey").group_by("o_custkey").select("o_custkey", S.count().alias("n"), F.round(S.math_sum(F.expr("o_totalprice + c_acctbal")), 2).alias("total"))
+    return q.hint(hints.Index("orders", "orders_by_o_custkey", True), hints.Index("customer", "customer_by_c_custkey", True)).frame(c)
+
+
+# stored tables and transactions
+def _stored(c: Catalog, *tables: str) -> Store:
+    store = Store(c.spark, new_folder(c.spark, "store"))
+    t = store.begin()
+    for name in tables:
+        t.create(name, c.frame(name), c.key(name), 16)
+    t.commit()
+    return store
+
+
+@query("""SELECT c_mktsegment, count(*) AS n, round(sum(CASE WHEN c_custkey = 5 THEN 0 WHEN c_acctbal < 0 THEN c_acctbal + 10 ELSE c_acctbal END), 2) AS total,
+(SELECT count(*) FROM orders WHERE o_totalprice >= 5000) AS kept FROM customer GROUP BY 1""")
+def store_transaction(c):
+    store = _stored(c, "customer", "orders")
+    t = store.begin()
+    t.execute("customer", mutate.update, {"c_acctbal": F.col("c_acctbal") + 10}, "c_custkey", where="c_acctbal < 0")
+    t.execute("customer", mutate.merge, "c_custkey", 5, {"c_acctbal": 0.0}, keys=[5])
+    t.execute("orders", mutate.delete, "o_totalprice < 5000")
+    now = t.commit().catalog()
+    kept = now.frame("orders").agg(F.count("*").alias("kept"))
+    totals = over("customer").group_by("c_mktsegment").select("c_mktsegment", S.count().alias("n"), F.round(S.math_sum("c_acctbal"), 2).alias("total")).frame(now)
+    return totals.select("*", kept.scalar().alias("kept"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT -o_orderkey, 'new' FROM orders WHERE o_orderkey % 10 = 0")
+def store_versions(c):
+    store = _stored(c, "orders")
+    first = store.snapshot()
+    t, rows = store.begin(), c.frame("orders").where("o_orderkey % 10 = 0").withColumns({"o_orderkey": -F.col("o_orderkey"), "o_orderstatus": F.lit("new")})
+    t.execute("orders", mutate.delete, None)
+    t.execute("orders", mutate.insert, rows.where("o_orderkey is not null"), "o_orderkey")
+    last = t.commit()
+    return store.snapshot(first.version).frame("orders").select("o_orderkey", "o_orderstatus").union(last.frame("orders").select("o_orderkey", "o_orderstatus"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordspark.sources.ids import RecordId
+from recordspark.sources.layout import Layout
 from recordspark.sources.search_index import SearchIndex
 from recordspark.sources.vector_index import VectorIndex
 
@@ -42,6 +43,8 @@ class Catalog:
     #: By table and field.
     vector_indexes: dict[tuple[str, str], VectorIndex] = field(default_factory=dict)
     search_indexes: dict[tuple[str, str], SearchIndex] = field(default_factory=dict)
+    #: By table and name of the index.
+    layouts: dict[tuple[str, str], Layout] = field(default_factory=dict)
 
     def add(self, name: str, source: DataFrame | str | Callable[[], DataFrame], key: str = "id", rule: Callable[[DataFrame], Column] | None = None) -> Catalog:
         """Register a DataFrame, a Parquet path, or a function that makes a DataFrame."""
@@ -97,6 +100,19 @@ class Catalog:
         self.search_indexes |= {(table, f): index for f in index.fields}
         return self
 
+    def add_layout(self, table: str, layout: Layout) -> Catalog:
+        """Queries with a hint to the layout's index read it instead of the table."""
+        if table not in self.tables:
+            raise KeyError(f"unknown table: {table}")
+        self.layouts[table, layout.name] = layout
+        return self
+
+    def laid_out(self, names: Mapping[str, str]) -> Catalog:
+        """The catalog with the layouts of some tables (by table the index's name) in the tables' place."""
+        load = lambda found: lambda: found.rows(self.spark)
+        new = {t: replace(self.tables[t], load=load(self.layouts[t, n])) for t, n in names.items()}
+        return replace(self, tables=self.tables | new)
+
     def describe(self) -> list[tuple[str, str, str]]:
         """(table, column, type) of everything registered."""
         return [(n, c, k) for n in [*self.tables, *self.edges] for c, k in self.frame(n).dtypes]
