@@ -1,4 +1,8 @@
-"""Connected components by alternating large and small stars, with no node's neighbours in one place."""
+"""Connected components by alternating large and small stars.
+
+Edges are joined by node with a row for each node, so the edges of a node of a very large component come to one
+task, unless Spark's skew join splits them, which it does by their bytes; none is held there.
+"""
 
 from __future__ import annotations
 

@@ -381,15 +381,16 @@ def one_row_of_each(docs: DataFrame) -> DataFrame:
     rows = met.where("doc is not null and n > 0").groupBy("doc", "mark", "node").agg(F.count("*").alias("rows"))
     found = rows.join(labels, "node").select("doc", "mark", "rows", (F.struct("doc", "mark") == F.col("stays")).alias("stays"))
     found = cut(found.where("not stays or rows > 1"))
-    losers = small(found.where("not stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark")))
-    left = docs.withColumn("_mark", F.xxhash64("doc_id", "text")).join(losers, ["doc_id", "_mark"], "left_anti")
-    again = found.where("stays").select(F.col("doc").alias("doc_id"), F.col("mark").alias("_mark"))
+    losers = small(found.where("not stays").select("doc", "mark"))
+    # the whole row by position, so that no name of a column is in the way
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
+    left = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("doc_id", "text").alias("mark"), row).join(losers, ["doc", "mark"], "left_anti")
+    again, columns = found.where("stays").select("doc", "mark"), [F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
     if again.isEmpty():
-        return left.select(*docs.columns)
+        return left.select(*columns)
     # rows that repeat doc_id and text: one of them stays, by all their columns
-    row = F.struct(*docs.columns)
-    one = left.join(again, ["doc_id", "_mark"], "left_semi").groupBy("doc_id", "_mark").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
-    return left.join(again, ["doc_id", "_mark"], "left_anti").select(*docs.columns).unionByName(one)
+    one = left.join(again, ["doc", "mark"], "left_semi").groupBy("doc", "mark").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return left.join(again, ["doc", "mark"], "left_anti").select("row").unionByName(one.select("row")).select(*columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
