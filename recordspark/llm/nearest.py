@@ -271,7 +271,7 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
     queries = data.where(F.col("id") % every == 0).select("id", "vec")
 
     def visited(b: pa.RecordBatch, home: bool) -> tuple[np.ndarray, ...]:
-        """Query, cell, salt and bound: of the nearest cells (one salt of each), or of all in reach of the query's bound."""
+        """Query, cell, salt and bound: of the nearest cells (one salt of each), or of all others in reach of the query's bound."""
         points = project(matrix(b.column(1)), None)
         if home:
             row, cell = tree.nearest(points, NEAREST_CELLS)
@@ -282,6 +282,11 @@ def _of_one_length(data: DataFrame, n: int, largest: float, quantile: float, k:
         times = salts[cell]
         salt = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         row, cell = np.repeat(row, times), np.repeat(cell, times)
+        # what the first pass has searched whole isn't searched again
+        old, old_cell = tree.nearest(points, NEAREST_CELLS)
+        place = lambda r, c, s: (r * (1 << depth) + c) * salts.max() + s
+        new = ~np.isin(place(row, cell, salt), place(old, old_cell, b.column(0).to_numpy()[old] % salts[old_cell]))
+        row, cell, salt = row[new], cell[new], salt[new]
         return row, cell, salt, bound[row]
 
     def visits(batches: Iterator[pa.RecordBatch], home: bool) -> Iterator[pa.RecordBatch]:
