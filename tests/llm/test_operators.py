@@ -188,6 +188,24 @@ def test_jaccard_components(docs, rows, none):
     assert jaccard_join.classes(none).count() == 0 and jaccard_join.one_row_of_each(none).count() == 0
 
 
+def test_columns_with_names_of_the_join_s_own_stay_as_they_are(docs):
+    names = ["_mark", "mark", "doc", "row", "stays", "rows", "node", "first", "least"]
+    odd = docs.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    kept = jaccard_join.one_row_of_each(odd)
+    assert kept.columns == odd.columns and all(tuple(r[c] for c in names) == tuple(range(len(names))) for r in kept.collect())
+    assert kept.count() == jaccard_join.one_row_of_each(docs).count()
+
+
+def test_what_is_settled_of_rows_without_an_id_is_spread():
+    rng, last = np.random.default_rng(4), (1 << 63) - 1
+    sender = substring_dedup._Sender(True, 64)
+    key = np.repeat(rng.integers(0, 1 << 62, 2000, dtype=np.int64).view(np.uint64), 2)
+    list(sender.add(key, np.full(4000, last), rng.integers(-(1 << 62), 1 << 62, 4000), rng.integers(0, 100, 4000)))
+    sent = [b for b in sender.flush() if b.column(4).null_count == 0]
+    buckets = collections.Counter(x for b in sent for x in b.column(0).to_pylist())
+    assert sum(buckets.values()) == 4000 and len(buckets) == 64 and max(buckets.values()) < 3 * 4000 / 64
+
+
 def test_near_duplicates_keep_unlinked_rows_of_one_id(spark):
     """A doc_id with many different texts loses only what is linked with another row."""
     import corpus_pipeline
