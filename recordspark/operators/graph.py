@@ -14,17 +14,11 @@ from pyspark.sql import types as T
 
 from recordspark.functions.predicates import Condition, as_column
 from recordspark.sources.catalog import Catalog
-from recordspark.sources.storage import shared_folder
+from recordspark.sources.storage import cut
 
 _HOP = re.compile(r"(<->|->|<-)([A-Za-z_][A-Za-z0-9_]*|\?)")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """The same rows from the checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def _keys(edges: DataFrame, *names: str) -> T.StructType:
     """A schema of columns of the edges' key type."""
     return T.StructType([T.StructField(n, edges.schema[0].dataType) for n in names])
@@ -117,7 +111,7 @@ def neighbours(catalog: Catalog, key: object, edge: str, depth: int = 1, directi
     seen, frontier = start.withColumn("depth", F.lit(0)), start
     for level in range(1, depth + 1):
         met = frontier.join(steps, F.col("id") == F.col("_from")).select(F.col("_to").alias("id")).distinct()
-        frontier = _cut(met.join(seen, "id", "left_anti"))
+        frontier = cut(met.join(seen, "id", "left_anti"))
         seen = seen.union(frontier.withColumn("depth", F.lit(level)))
     return seen.where("depth > 0")
 
@@ -162,7 +156,7 @@ def shortest_path(catalog: Catalog, a: object, b: object, edge: str, max_depth:
     found = a == b
     while not found and len(levels) <= max_depth:
         met = frontier.join(steps, F.col("id") == F.col("_from")).groupBy("_to").agg(F.min("id").alias("parent")).withColumnRenamed("_to", "id")
-        frontier = _cut(met.join(seen.select("id"), "id", "left_anti"))
+        frontier = cut(met.join(seen.select("id"), "id", "left_anti"))
         if frontier.isEmpty():
             break
         levels.append(frontier)

@@ -29,7 +29,7 @@ class Mutation:
     result: DataFrame
 
 
-def _rows(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame) -> DataFrame:
+def typed(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame) -> DataFrame:
     """New rows with the table's types; columns that they leave out are null, further ones are added (as text where they are null in all rows)."""
     new, types = rows if isinstance(rows, DataFrame) else _frame(df, rows), dict(df.dtypes)
     return new.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in new.columns])
@@ -78,7 +78,7 @@ def insert(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame, key: st
     """Fails if a key is there already (or twice among the new rows)."""
     if not isinstance(rows, DataFrame) and not rows:
         return Mutation(df, df.limit(0))
-    new = _rows(df, rows)
+    new = typed(df, rows)
     taken = new.select(key).join(df.select(key), key, "left_semi").union(new.groupBy(key).count().where("count > 1").select(key)).take(1)
     if taken:
         raise ValueError(f"record exists: {taken[0][0]}")
@@ -146,7 +146,7 @@ def upsert(df: DataFrame, rows: Sequence[Mapping[str, Any]] | DataFrame, key: st
         place = F.col("_place")
     else:
         place = F.to_json(F.struct(*rows.columns))
-    last = _rows(df, rows).groupBy(*by).agg(F.max_by(F.struct(*rows.columns), place).alias("_row")).select("_row.*").drop("_place")
+    last = typed(df, rows).groupBy(*by).agg(F.max_by(F.struct(*rows.columns), place).alias("_row")).select("_row.*").drop("_place")
     new = df.limit(0).unionByName(last, allowMissingColumns=True)
     keys = new.select(*[F.col(c).alias(f"_by_{c}") for c in by])
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(keys[f"_by_{c}"]) for c in by])
@@ -184,7 +184,7 @@ def relate_many(edges: DataFrame, relations: Sequence[tuple[Any, Any, Mapping[st
     """Edges from (source, target, properties)."""
     if not relations:
         return Mutation(edges, edges.limit(0))
-    new = _rows(edges, [{"in": a, "out": b, **p} for a, b, p in relations])
+    new = typed(edges, [{"in": a, "out": b, **p} for a, b, p in relations])
     return Mutation(edges.unionByName(new, allowMissingColumns=True), edges.limit(0).unionByName(new, allowMissingColumns=True))
 
 

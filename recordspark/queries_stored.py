@@ -1,4 +1,4 @@
-"""Queries over written forms of the tables: indexes, layouts, versions; each with the SQL that gives the same rows."""
+"""Queries over written forms of the tables, enforced schemas, objects, patches and version graphs; each with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from recordspark.functions import predicates as P
 from recordspark.functions import scalar as S
 from recordspark.functions import vectors
-from recordspark.operators import mutate
+from recordspark.operators import enforced, mutate, versions
 from recordspark.plans import hints
 from recordspark.plans.query import vector_query
 from recordspark.queries import knn_sql, sample_vector
 from recordspark.registry import over, query
-from recordspark.sources import layout, search_index, vector_index
+from recordspark.sources import layout, search_index, snapshots, vector_index
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.storage import new_folder
+from recordspark.sources.schema import EdgeSchema, Event, Field, Index, TableSchema, record_field
 from recordspark.sources.store import Store
+from recordspark.streaming import feeds, patches
 
 
 # vector indexes
@@ -121,3 +123,169 @@ def store_versions(c):
     t.execute("orders", mutate.insert, rows.where("o_orderkey is not null"), "o_orderkey")
     last = t.commit()
     return store.snapshot(first.version).frame("orders").select("o_orderkey", "o_orderstatus").union(last.frame("orders").select("o_orderkey", "o_orderstatus"))
+
+
+# mutations that enforce a schema
+_CUSTOMER = TableSchema(
+    "customer",
+    (Field("c_acctbal", "float", assertion="c_acctbal > -500"), Field("c_name", "string", nullable=False), record_field("c_nationkey", "nation")),
+    (Index("by_name", ("c_name",), unique=True), Index("by_place", ("c_mktsegment", "c_acctbal"), unique=True)),
+    permissions=(("create", "c_mktsegment <> 'MACHINERY'"), ("update", "c_mktsegment = 'BUILDING'"), ("select", "c_acctbal >= 0")),
+)
+#: New customers made of those there are: some keep their name, their key or their place, lose their nation or their name.
+_NEW = """SELECT CASE WHEN c_custkey % 11 = 0 THEN c_custkey ELSE c_custkey + 1000000 END AS c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_name WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('new ', c_custkey) END AS c_name,
+CASE WHEN c_custkey % 3 = 0 THEN 99 ELSE c_nationkey END AS c_nationkey, c_acctbal + CASE WHEN c_custkey % 13 = 0 THEN 0 ELSE 0.001 END AS c_acctbal, c_mktsegment FROM {customer}"""
+_BROKEN = f"""WITH new AS ({_NEW.format(customer='customer')}), found AS (
+SELECT c_custkey, c_name, 'c_acctbal' AS field, 'assert' AS kind FROM new WHERE c_acctbal <= -500 UNION ALL SELECT c_custkey, c_name, 'c_name', 'null' FROM new WHERE c_name IS NULL
+UNION ALL SELECT c_custkey, c_name, '', 'permission' FROM new WHERE c_mktsegment = 'MACHINERY' UNION ALL SELECT c_custkey, c_name, 'c_nationkey', 'reference' FROM new WHERE c_nationkey = 99
+UNION ALL SELECT c_custkey, c_name, 'c_custkey', 'exists' FROM new WHERE c_custkey IN (SELECT c_custkey FROM customer) UNION ALL SELECT c_custkey, c_name, 'c_name', 'unique' FROM new WHERE c_name IN (SELECT c_name FROM customer)
+UNION ALL SELECT c_custkey, c_name, 'c_mktsegment,c_acctbal', 'unique' FROM new WHERE (c_mktsegment, c_acctbal) IN (SELECT c_mktsegment, c_acctbal FROM customer)
+UNION ALL SELECT c_custkey, c_name, 'c_mktsegment,c_acctbal', 'unique' FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, c_acctbal ORDER BY c_custkey::VARCHAR) AS i FROM new) WHERE i > 1)"""
+
+
+def _new_customers(c: Catalog) -> DataFrame:
+    return c.spark.sql(_NEW, customer=c.frame("customer"))
+
+
+@query(f"{_BROKEN} SELECT DISTINCT c_custkey, field, kind FROM found")
+def enforced_rejections(c):
+    done = enforced.insert(c.frame("customer"), _new_customers(c), "c_custkey", _CUSTOMER, c.keys())
+    return done.rejected.select("c_custkey", F.explode("violations").alias("v")).select("c_custkey", "v.field", "v.kind")
+
+
+@query(f"{_BROKEN} SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM new WHERE c_custkey NOT IN (SELECT c_custkey FROM found)")
+def enforced_insert(c):
+    return enforced.insert(c.frame("customer"), _new_customers(c), "c_custkey", _CUSTOMER, c.keys()).state.select("c_custkey", "c_name")
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal - 600 > -500 THEN c_acctbal - 600 ELSE c_acctbal END AS c_acctbal FROM customer")
+def enforced_update(c):
+    schema = TableSchema("customer", _CUSTOMER.fields, permissions=_CUSTOMER.permissions)
+    return enforced.update(c.frame("customer"), {"c_acctbal": F.col("c_acctbal") - 600}, "c_custkey", schema).state.select("c_custkey", "c_acctbal")
+
+
+@query("SELECT o_custkey + 5 AS a, o_orderkey AS b, CASE WHEN o_custkey + 5 NOT IN (SELECT c_custkey FROM customer) THEN 'in' ELSE 'out' END AS field FROM orders WHERE o_orderkey % 10 = 0 AND (o_custkey + 5 NOT IN (SELECT c_custkey FROM customer))")
+def enforced_edges(c):
+    new = c.frame("placed").where("out % 10 = 0").withColumn("in", F.col("in") + 5)
+    done = enforced.relate(c.frame("placed"), new, EdgeSchema("placed", from_table="customer", to_table="orders"), c.keys())
+    return done.rejected.select(F.col("in").alias("a"), F.col("out").alias("b"), F.explode("violations").alias("v")).select("a", "b", "v.field")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT o_custkey, NULL FROM orders WHERE o_orderkey % 2 = 0")
+def permitted_scans(c):
+    c.add_schema(_CUSTOMER).add_schema(EdgeSchema("placed", permissions=(("select", "out % 2 = 0"),)))
+    return over("customer").select("c_custkey", "c_name").frame(c).union(c.frame("placed").select("in", F.lit(None).cast("string")))
+
+
+@query("SELECT 'large' AS event, o_orderkey AS key, 'UPDATE' AS action FROM orders WHERE o_totalprice > 100000 UNION ALL SELECT 'any', o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'UPDATE' ELSE 'DELETE' END FROM orders WHERE o_totalprice > 100000 OR o_totalprice < 5000")
+def schema_events(c):
+    orders = c.frame("orders").select("o_orderkey", "o_totalprice")
+    after = orders.where("o_totalprice >= 5000").withColumn("o_totalprice", F.when(F.col("o_totalprice") > 100000, 100000.0).otherwise(F.col("o_totalprice")))
+    schema = TableSchema("orders").with_events(Event("large", "action = 'UPDATE' and before.o_totalprice > after.o_totalprice"), Event("any"))
+    return schema.fired(orders, after, "o_orderkey").select("event", "key", "action")
+
+
+# objects
+_PROPS = """CASE WHEN event_id % 17 = 0 THEN '{"k": "many"}' WHEN event_id % 19 = 0 THEN '{bad' WHEN event_id % 23 = 0 THEN '{"k": null, "in": {"deep": [1, 2]}}' ELSE replace(props, '}', ', "in": {"deep": [' || event_id || ', 2], "word": "w' || (event_id % 5) || '"}}') END"""
+_EVENTS = f"(SELECT event_id, CASE WHEN json_valid(p) THEN p END AS p FROM (SELECT event_id, {_PROPS} AS p FROM events))"
+_OBJECT = TableSchema("events", (Field("props", "object"), Field("props.k", "int", assertion="props.k < 90"), Field("props.in.word", "string"), Field("props.in.deep", "array", element="int")))
+
+
+def _events(c: Catalog) -> DataFrame:
+    return c.frame("events").select("event_id", F.expr(_PROPS).alias("props"))
+
+
+@query(f"SELECT event_id, TRY_CAST(p ->> '$.k' AS BIGINT) AS k, p ->> '$.in.word' AS word, TRY_CAST(p ->> '$.in.deep[0]' AS BIGINT) AS deep FROM {_EVENTS} WHERE coalesce(TRY_CAST(p ->> '$.k' AS BIGINT) > 20, true)")
+def object_paths(c):
+    c.add("opened", _OBJECT.opened(_events(c)), "event_id")
+    q = over("opened").where("props.k > 20 or props.k is null")
+    return q.select("event_id", F.col("props.k").alias("k"), F.col("props.in.word").alias("word"), F.get("props.in.deep", F.lit(0)).alias("deep")).frame(c)
+
+
+@query(f"SELECT p ->> '$.in.word' AS word, count(*) AS n, sum(TRY_CAST(p ->> '$.k' AS BIGINT)) AS total FROM {_EVENTS} GROUP BY 1")
+def object_groups(c):
+    c.add("opened", _OBJECT.opened(_events(c)).withColumn("word", F.col("props.in.word")), "event_id")
+    return over("opened").group_by("word").select("word", S.count().alias("n"), S.math_sum("props.k").alias("total")).frame(c)
+
+
+@query(f"""SELECT event_id, 'props.k' AS field, 'type' AS kind FROM {_EVENTS} WHERE (p ->> '$.k') = 'many' UNION ALL SELECT event_id, 'props.k', 'assert' FROM {_EVENTS} WHERE TRY_CAST(p ->> '$.k' AS BIGINT) >= 90""")
+def object_violations(c):
+    rows = _events(c)
+    return _OBJECT.mistyped(rows, "event_id").withColumn("kind", F.lit("type")).union(_OBJECT.violations(_OBJECT.opened(rows), "event_id"))
+
+
+# patches and live queries
+@query("""WITH e AS (SELECT event_id, CAST(props ->> '$.k' AS BIGINT) AS k FROM events)
+SELECT event_id, 'replace' AS op, '/m/k' AS path, (k + 1)::VARCHAR AS value FROM e WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'add', '/m/a~1b', 'null' FROM e WHERE event_id % 5 = 0
+UNION ALL SELECT event_id, 'remove', '/s/l/1', NULL FROM e WHERE event_id % 7 = 0 UNION ALL SELECT event_id, 'replace', '/s/l/0', '"' || k || '"' FROM e WHERE event_id % 7 = 0""")
+def nested_patches(c):
+    k = F.get_json_object("props", "$.k").cast("long")
+    user = F.col("user_id").cast("string")
+    old = c.frame("events").select("event_id", F.create_map(F.lit("k"), k).alias("m"), F.struct(F.array(F.concat(F.lit("u"), user), user).alias("l")).alias("s"))
+    nothing, e = F.create_map().cast("map<string,bigint>"), F.col("event_id")
+    changed = F.map_concat(F.create_map(F.lit("k"), F.when(e % 3 == 0, k + 1).otherwise(k)), F.when(e % 5 == 0, F.create_map(F.lit("a/b"), F.lit(None).cast("long"))).otherwise(nothing))
+    items = F.when(e % 7 == 0, F.array(k.cast("string"))).otherwise(F.array(F.concat(F.lit("u"), user), user))
+    new = c.frame("events").select("event_id", changed.alias("m"), F.struct(items.alias("l")).alias("s"))
+    return patches.patches(old, new, "event_id").select("event_id", F.explode("changes").alias("c")).select("event_id", "c.op", "c.path", "c.value")
+
+
+@query("""WITH v AS (SELECT user_id, event_id, event_type, event_type = 'error' AS gone, lag(event_type) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id::VARCHAR AS key, CASE WHEN gone THEN 'DELETE' WHEN before IS NULL OR before = 'error' THEN 'CREATE' ELSE 'UPDATE' END AS action, count(*) AS n
+FROM v WHERE (gone AND before <> 'error') OR (NOT gone AND before IS DISTINCT FROM event_type) GROUP BY ALL""")
+def live_notifications(c):
+    """Events as versions of their users, in batches of two files: those of odd numbers before the others."""
+    folder = new_folder(c.spark, "live")
+    rows = c.frame("events").select(F.col("user_id").alias("id"), "event_id", "event_type", (F.col("event_type") == "error").alias("gone"), F.timestamp_millis("event_id").alias("at"))
+    end = rows.agg(F.max("at").alias("at"))
+    for name, part in (("a", rows.where("event_id % 2 = 1")), ("b", rows.where("event_id % 2 = 0"))):
+        part.drop("event_id").write.parquet(f"{folder}/in/{name}")
+    form = c.spark.read.parquet(f"{folder}/in/a").schema
+    for i in (1, 2):  # time goes on
+        end.select(F.lit(None).cast("long").alias("id"), F.lit("end").alias("event_type"), F.lit(False).alias("gone"), (F.col("at") + F.expr(f"interval {i * 400} days")).alias("at")).select(form.names).write.parquet(f"{folder}/in/{'c' * i}")
+    stream = c.spark.readStream.schema(form).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in/*")
+    told = feeds.notifications(stream, "id", "at", "gone", late="300 days").where("key is not null")
+    q = feeds.live(told, lambda df, i: df.write.mode("overwrite").parquet(f"{folder}/told/{i}"), f"{folder}/checkpoint", once=True)
+    q.awaitTermination()
+    return c.spark.read.parquet(f"{folder}/told/*").groupBy("key", "action").agg(F.count("*").alias("n"))
+
+
+# version graphs, and what going back costs
+_GRAPH = "(SELECT c_custkey AS version, c_custkey // 2 AS parent FROM customer WHERE c_custkey > 1 UNION ALL SELECT c_custkey, c_custkey // 3 FROM customer WHERE c_custkey > 8 AND c_custkey % 4 = 1)"
+
+
+def _versions(c: Catalog) -> versions.Versions:
+    keys = c.frame("customer").select(F.col("c_custkey").alias("version"))
+    half = keys.where("version > 1").select("version", F.floor(F.col("version") / 2).cast("long").alias("parent"))
+    third = keys.where("version > 8 and version % 4 = 1").select("version", F.floor(F.col("version") / 3).cast("long").alias("parent"))
+    return versions.graph(half.union(third))
+
+
+def _reach_sql(start: int, a: str, b: str) -> str:
+    return f"WITH RECURSIVE g AS {_GRAPH}, r(version, distance) AS (SELECT {b}, 1 FROM g WHERE {a} = {start} UNION SELECT {b}, distance + 1 FROM r JOIN g ON {a} = r.version) SELECT version, min(distance) AS distance FROM r GROUP BY 1"
+
+
+@query(_reach_sql(117, "g.version", "g.parent").replace("SELECT g.parent, 1", "SELECT parent, 1"))
+def version_ancestors(c):
+    return _versions(c).ancestors(117)
+
+
+@query(_reach_sql(9, "g.parent", "g.version").replace("SELECT g.version, 1", "SELECT version, 1"))
+def version_descendants(c):
+    return _versions(c).descendants(9)
+
+
+@query(f"WITH g AS {_GRAPH} SELECT version FROM g WHERE version NOT IN (SELECT parent FROM g) GROUP BY 1")
+def version_heads(c):
+    return _versions(c).heads()
+
+
+@query("""SELECT 'drop_field' AS op, 'c_mktsegment' AS name, count(c_mktsegment) AS lost, 0 AS broken, 'DATA_LOSS' AS verdict FROM customer
+UNION ALL SELECT 'modify_field', 'c_name', count(c_name) FILTER (TRY_CAST(c_name AS BIGINT) IS NULL), 0, 'DATA_LOSS' FROM customer
+UNION ALL SELECT 'modify_field', 'c_acctbal', 0, count(*) FILTER (c_acctbal < 0), 'UNSAFE' FROM customer UNION ALL SELECT 'add_field', 'rank', 0, count(*), 'UNSAFE' FROM customer UNION ALL SELECT 'add_field', 'note', 0, 0, 'SAFE'""")
+def going_back(c):
+    now = [TableSchema("customer", (Field("c_name", "string"), Field("c_acctbal", "float"), Field("c_mktsegment", "string")))]
+    then = [TableSchema("customer", (Field("c_name", "int"), Field("c_acctbal", "float", assertion="c_acctbal >= 0"), Field("rank", "int", nullable=False), Field("note", "string")))]
+    held = snapshots.snapshot(c.spark, "2", now).union(snapshots.snapshot(c.spark, "1", then))
+    found = {r["version"]: snapshots.from_json(r["tables"]) for r in held.collect()}
+    costs = snapshots.going_back(found["2"], found["1"], {"customer": c.frame("customer")})
+    return c.spark.createDataFrame([(x.op, x.name, x.lost, x.broken, x.verdict) for x in costs], "op string, name string, lost long, broken long, verdict string")

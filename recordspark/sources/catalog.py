@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recordspark.sources.ids import RecordId
 from recordspark.sources.layout import Layout
+from recordspark.sources.schema import TableSchema
 from recordspark.sources.search_index import SearchIndex
 from recordspark.sources.vector_index import VectorIndex
 
@@ -43,6 +44,8 @@ class Catalog:
     #: By table and field.
     vector_indexes: dict[tuple[str, str], VectorIndex] = field(default_factory=dict)
     search_indexes: dict[tuple[str, str], SearchIndex] = field(default_factory=dict)
+    #: Tables and edges whose schema says which rows may be seen, and what may be written.
+    schemas: dict[str, TableSchema] = field(default_factory=dict)
     #: By table and name of the index.
     layouts: dict[tuple[str, str], Layout] = field(default_factory=dict)
 
@@ -62,7 +65,8 @@ class Catalog:
     def frame(self, name: str) -> DataFrame:
         """All visible rows of a table, or of an edge table."""
         if name in self.edges:
-            return self.edges[name].load()
+            df = self.edges[name].load()
+            return df.where(self.schemas[name].permitted("select")) if name in self.schemas else df
         if name not in self.tables:
             raise KeyError(f"unknown table: {name}")
         return self.visible(name, self.tables[name].load())
@@ -70,7 +74,19 @@ class Catalog:
     def visible(self, name: str, df: DataFrame) -> DataFrame:
         """Of rows of a table those that readers may see."""
         rule = self.tables[name].rule
-        return df if rule is None else df.where(rule(df))
+        df = df if rule is None else df.where(rule(df))
+        return df.where(self.schemas[name].permitted("select")) if name in self.schemas else df
+
+    def add_schema(self, schema: TableSchema) -> Catalog:
+        """Scans of the table or edge see the rows that its schema permits; `enforced` mutations follow it."""
+        if schema.name not in self.tables and schema.name not in self.edges:
+            raise KeyError(f"unknown table: {schema.name}")
+        self.schemas[schema.name] = schema
+        return self
+
+    def keys(self) -> dict[str, tuple[DataFrame, str]]:
+        """All rows and the key of every table, seen or not: what references may name."""
+        return {n: (t.load(), t.key) for n, t in self.tables.items()}
 
     def target(self, target: str | RecordId) -> tuple[str, DataFrame]:
         """The table's name and rows of a table, or of one record given by its id."""

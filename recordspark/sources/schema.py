@@ -91,6 +91,14 @@ def vector_index(name: str, column: str, dimension: int, kind: str = "hnsw", dis
 ACTIONS = ("select", "create", "update", "delete")
 
 
+@dataclass(frozen=True)
+class Event:
+    """What happens to a table when the Spark SQL condition on `action`, `before` and `after` (structs of the record) holds."""
+
+    name: str
+    when: str = "true"
+
+
 @dataclass(frozen=True)
 class TableSchema:
     name: str
@@ -99,6 +107,15 @@ class TableSchema:
     rule: str | None = None
     #: (action, Spark SQL condition) pairs: which rows an action may see or touch; an action without one may all.
     permissions: tuple[tuple[str, str], ...] = ()
+    #: Of a full table, rows may have declared fields only.
+    full: bool = False
+    events: tuple[Event, ...] = ()
+
+    def with_mode(self, full: bool) -> TableSchema:
+        return replace(self, full=full)
+
+    def with_events(self, *events: Event) -> TableSchema:
+        return replace(self, events=(*self.events, *events))
 
     def with_fields(self, *fields: Field) -> TableSchema:
         return replace(self, fields=(*self.fields, *fields))
@@ -119,7 +136,67 @@ class TableSchema:
         return F.lit(True) if condition is None else F.coalesce(F.expr(condition), F.lit(False))
 
     def spark(self) -> T.StructType:
-        return T.StructType([f.spark() for f in self.fields])
+        """The columns; fields inside of objects are no columns of their own."""
+        return T.StructType([f.spark() for f in self.fields if "." not in f.name])
+
+    def inside(self, name: str) -> dict[str, Any]:
+        """The declared fields of an object as a tree: its parts, and at the leaves the field."""
+        tree: dict[str, Any] = {}
+        for f in self.fields:
+            if f.name.startswith(f"{name}."):
+                *outer, last = f.name.split(".")[1:]
+                at = tree
+                for p in outer:
+                    if isinstance(at.get(p), Field) and at[p].type == "object":
+                        at[p] = {}
+                    at = at.setdefault(p, {})
+                if f.type != "object" or last not in at:
+                    at[last] = f
+        return tree
+
+    def as_objects(self, df: DataFrame) -> DataFrame:
+        """Object fields as Variant: text is read as JSON (null where it isn't), structs and maps as what they hold."""
+        out = {}
+        for f in self.fields:
+            if f.type == "object" and "." not in f.name and f.name in df.columns:
+                kind = df.schema[f.name].dataType
+                if not isinstance(kind, T.VariantType):
+                    out[f.name] = F.try_parse_json(F.col(f.name) if isinstance(kind, T.StringType) else F.to_json(F.col(f.name)))
+        return df.withColumns(out)
+
+    def opened(self, df: DataFrame) -> DataFrame:
+        """Object fields as structs of their declared fields, so that paths are columns; a value that can't be cast to its type is null."""
+
+        def struct(name: str, tree: dict[str, Any], path: str) -> Column:
+            get = lambda p, kind: F.try_variant_get(F.col(name), f"{path}.{p}", kind.simpleString())
+            return F.struct(*[(struct(name, x, f"{path}.{p}") if isinstance(x, dict) else get(p, x.spark().dataType)).alias(p) for p, x in tree.items()])
+
+        df = self.as_objects(df)
+        objects = {f.name: self.inside(f.name) for f in self.fields if f.type == "object" and "." not in f.name and f.name in df.columns}
+        return df.withColumns({n: F.when(F.col(n).isNotNull(), struct(n, t, "$")) for n, t in objects.items() if t})
+
+    def mistyped(self, df: DataFrame, key: str) -> DataFrame:
+        """key and field of the values inside of objects that are there (and aren't JSON's null) but can't be cast to the declared type."""
+        df, checks = self.as_objects(df), []
+        for f in self.fields:
+            top, _, path = f.name.partition(".")
+            if path and top in df.columns and f.type != "object":
+                there = F.try_variant_get(F.col(top), f"$.{path}", "variant")
+                fits = F.try_variant_get(F.col(top), f"$.{path}", f.spark().dataType.simpleString()).isNotNull()
+                checks.append(F.when(there.isNotNull() & ~F.is_variant_null(there) & ~fits, F.lit(f.name)))
+        found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+        return df.select(key, F.explode(found).alias("field"))
+
+    def fired(self, before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+        """event, key, action (CREATE, UPDATE, DELETE), before and after of every event that a mutation of the rows fires; one join."""
+        if not self.events:
+            raise ValueError(f"no events of {self.name}")
+        whole = lambda df, name: df.where(F.col(key).isNotNull()).select(F.col(key).alias(f"_{name}"), F.struct(*df.columns).alias(name))
+        met = whole(before, "before").join(whole(after, "after"), F.col("_before") == F.col("_after"), "full")
+        action = F.when(F.col("before").isNull(), "CREATE").when(F.col("after").isNull(), "DELETE").when(F.to_json("before") != F.to_json("after"), "UPDATE")
+        changed = met.select(F.coalesce("_before", "_after").alias("key"), action.alias("action"), "before", "after").where("action is not null")
+        held = F.array(*[F.when(F.coalesce(F.expr(e.when), F.lit(False)), F.lit(e.name)) for e in self.events])
+        return changed.select(F.explode(F.array_compact(held)).alias("event"), "key", "action", "before", "after")
 
     def applied(self, df: DataFrame) -> DataFrame:
         """Defaults for what is null or absent, then computed fields, then the row rule."""

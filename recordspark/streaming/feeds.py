@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from recordspark.operators.mutate import diff
 
@@ -30,35 +31,101 @@ def created(rows: DataFrame, key: str, time: str, late: str = "1 hour") -> DataF
     return once.select(F.lit("CREATE").alias("action"), F.struct(*rows.columns).alias("result"))
 
 
-def notifications(rows: DataFrame, key: str, order: str, deleted: str) -> DataFrame:
-    """key, action (CREATE, UPDATE, DELETE) and result (JSON) for the versions of records in a stream.
+#: What the state store of `transformWithState` needs.
+_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_TOLD = "key string, action string, result string, before string"
 
-    A version replaces the one before in the order of the column `order`, within each batch; where the column
-    `deleted` is true, the record goes.  A version that changes nothing gives nothing.  The state has a hash
-    of each record that is there and nothing of those that went.
+
+class _Versions(StatefulProcessor):
+    """The last version of a record: its order, its mark, and itself, until `keep` milliseconds after it.
+
+    waits: whether versions wait for the watermark to pass them, so that they come in order.
+    """
+
+    def __init__(self, order: str, waits: bool, keep: int | None):
+        self.order, self.waits, self.keep = order, waits, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        form = f"o {self.order}, mark long, gone boolean, result string"
+        self.last = handle.getValueState("last", form)
+        self.pending = handle.getListState("pending", form)
+
+    def _told(self, key: tuple, versions: list[tuple]) -> Iterator[Row]:
+        last = self.last.get() if self.last.exists() else None
+        last = tuple(last) if last is not None else None
+        for v in sorted(versions, key=lambda v: (v[0], not v[2], v[1])):
+            there = last is not None and not last[2]
+            if last is not None and v[0] < last[0]:
+                continue  # older than what is known
+            action = ("DELETE" if there else None) if v[2] else "CREATE" if not there else "UPDATE" if v[1] != last[1] else None
+            if action:
+                yield Row(key=key[0], action=action, result=last[3] if v[2] else v[3], before=last[3] if there else None)
+            last = v
+        if last is not None:
+            self.last.update(last)
+
+    def _until(self, order: Any) -> int:
+        return math.ceil(order.timestamp() * 1000)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        new = [(r["order"], r["mark"], r["gone"], r["result"]) for r in rows if r["order"] is not None]
+        if not self.waits:
+            yield from self._told(key, new)
+            if self.keep is not None and new:
+                for t in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep)
+            return
+        for v in new:
+            self.pending.appendValue(v)
+            self.handle.registerTimer(self._until(v[0]))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        if not self.waits:
+            self.last.clear()
+            return
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = [tuple(v) for v in self.pending.get()] if self.pending.exists() else []
+        due, rest = [v for v in waiting if self._until(v[0]) <= now], [v for v in waiting if self._until(v[0]) > now]
+        if rest:
+            self.pending.put(rest)
+        else:
+            self.pending.clear()
+        yield from self._told(key, due)
+        last = self.last.get() if self.last.exists() else None
+        if self.keep is not None and last is not None:
+            end = self._until(last[0]) + self.keep
+            if end <= now and not rest:
+                self.last.clear()
+            else:
+                self.handle.registerTimer(max(end, now + 1))
+
+    def close(self) -> None:
+        pass
+
+
+def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str | None = None, keep: float | None = None) -> DataFrame:
+    """key, action (CREATE, UPDATE, DELETE), result and before (JSON) for the versions of records in a stream.
+
+    A version replaces those before it in the order of the column `order`; where the column `deleted` is true, the
+    record goes, and the result is what it was.  A version that changes nothing gives nothing.  The last version of each
+    record, or that it went, is kept in state, so a version that comes late, in whatever batch, is left out.
+
+    late: `order` is a timestamp, and versions wait until the watermark has passed them by so much; so they are told
+    in their order even if batches come shuffled, but for those that come later still.  keep: seconds after which the
+    state of a record goes (since it came, or with `late` in the time of `order`); a version after that is a new record.
+    Of versions of one order a deletion is the last but for what is written again.  Versions without an order are left out.
     """
     fields = [c for c in rows.columns if c not in (order, deleted)]
+    rows.sparkSession.conf.set(*_STORE)
+    if late is not None:
+        rows = rows.withWatermark(order, late)
     result = F.to_json(F.struct(*fields))
     versions = rows.select(F.col(key).cast("string").alias("key"), F.col(order).alias("order"), F.coalesce(F.col(deleted), F.lit(False)).alias("gone"), F.xxhash64(result).alias("mark"), result.alias("result"))
-
-    def told(k: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        there = state.get[0] if state.exists else None
-        out = []
-        for r in pd.concat(list(batches)).sort_values(["order", "mark"]).itertuples():
-            if r.gone:
-                action, now = "DELETE" if there is not None else None, None
-            else:
-                action, now = "CREATE" if there is None else "UPDATE" if there != r.mark else None, int(r.mark)
-            if action:
-                out.append((k[0], action, r.result))
-            there = now
-        if there is not None:
-            state.update((there,))
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["key", "action", "result"])
-
-    return versions.groupBy("key").applyInPandasWithState(told, "key string, action string, result string", "mark long", "append", GroupStateTimeout.NoTimeout)
+    held = _Versions(rows.schema[order].dataType.simpleString(), late is not None, None if keep is None else math.ceil(keep * 1000))
+    mode = "EventTime" if late is not None else "None" if keep is None else "ProcessingTime"
+    return versions.groupBy("key").transformWithState(held, _TOLD, "Append", mode)
 
 
 def on_event(changes: DataFrame, actions: Sequence[str], then: Callable[[DataFrame, int], None], checkpoint: str, when: Column | None = None, once: bool = False) -> StreamingQuery:
