@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, fields, is_dataclass
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, fields, is_dataclass
 from math import ceil
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from recordspark.functions.predicates import Condition, as_column
+from recordspark.operators import mutate
 from recordspark.plans.query import Query
 from recordspark.sources.catalog import Catalog
 
 
 def get_record(catalog: Catalog, table: str, key: object) -> Row | None:
-    df = catalog.frame(table)
-    rows = df.where(df[catalog.key(table)] == key).take(1)
+    """A record by its key; a key that the column's type can't hold is nobody's."""
+    df, name = catalog.frame(table), catalog.key(table)
+    rows = df.where(df[name] == F.lit(key).try_cast(df.schema[name].dataType)).take(1)
     return rows[0] if rows else None
 
 
@@ -131,6 +134,32 @@ def typed[R](row: Row, kind: type[R]) -> R:
     return kind(**({f.name: values[f.name] for f in fields(kind) if f.name in values} if is_dataclass(kind) else values))
 
 
+def untyped(x: Any) -> dict[str, Any]:
+    """The fields of an object: of a dataclass, or of whatever names its attributes."""
+    return asdict(x) if is_dataclass(x) else dict(x) if isinstance(x, Mapping) else dict(vars(x))
+
+
+def create[R](df: DataFrame, objects: Sequence[R], key: str) -> tuple[mutate.Mutation, list[R]]:
+    """Insert objects of one class; the mutation, and the records that were made as objects again."""
+    return _written(mutate.insert(df, [untyped(x) for x in objects], key), objects)
+
+
+def put[R](df: DataFrame, objects: Sequence[R], key: str, on: Sequence[str] = ()) -> tuple[mutate.Mutation, list[R]]:
+    """Insert objects or replace records by them."""
+    return _written(mutate.upsert(df, [untyped(x) for x in objects], key, on=on), objects)
+
+
+def change[R](df: DataFrame, key: str, id_: Any, kind: type[R], **values: Any) -> tuple[mutate.Mutation, R | None]:
+    """Set fields of one record; the mutation, and the record as an object (None if there is none)."""
+    m = mutate.merge(df, key, id_, values)
+    rows = m.result.take(1)
+    return m, typed(rows[0], kind) if rows else None
+
+
+def _written[R](m: mutate.Mutation, objects: Sequence[R]) -> tuple[mutate.Mutation, list[R]]:
+    return m, [typed(r, type(objects[0])) for r in m.result.collect()] if objects else []  # as many as were given
+
+
 def find[R](catalog: Catalog, table: str, key: object, kind: type[R]) -> Found[R]:
     row = get_record(catalog, table, key)
     return Found(None if row is None else typed(row, kind))

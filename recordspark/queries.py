@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from recordspark.plans.query import Query, vector_query
 from recordspark.registry import ORACLE_SQL, QUERIES, over, query
 from recordspark.sources.catalog import Catalog
 from recordspark.sources.ids import id_part, record_id
-from recordspark.sources.schema import Field, Index, TableSchema, computed_field, record_field
+from recordspark.sources.schema import Field, Index, TableSchema, computed_field, record_field, typed_edge
 from recordspark.streaming import feeds
 
 # flagship
@@ -720,4 +721,70 @@ def both_edges_repeated(c):
     return over("customer:6").traverse("<->twice").frame(c).select(F.col("in").alias("a"), F.col("out").alias("b"))
 
 
+# reading, counting and describing
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 7")
+def get_by_id(c):
+    row = records.get_record(c, "customer", "7")
+    return c.spark.createDataFrame([(row["c_custkey"], row["c_name"])], "c_custkey long, c_name string")
+
+
+@query("SELECT true AS there, false AS absent, (SELECT count(*) FROM knows_of) AS n, (SELECT count(*) FROM knows_of) > 0 AS some, false AS none FROM (SELECT 1) t".replace("knows_of", "(SELECT 1 FROM orders WHERE o_custkey = 7)"))
+def existence_and_counts(c):
+    hop = over("customer:7").out("placed")
+    flags = (records.exists(c, "customer", 7), records.exists(c, "customer", "no key"), hop.count_rows(c), hop.exists(c), hop.where("o_totalprice < 0").exists(c))
+    return c.spark.createDataFrame([flags], "there boolean, absent boolean, n long, some boolean, none boolean")
+
+
+@query("SELECT table_name AS \"table\", column_name AS \"column\" FROM (SELECT * FROM (VALUES ('nation', 'n_nationkey'), ('nation', 'n_name'), ('nation', 'n_regionkey'), ('placed', 'in'), ('placed', 'out')) v(table_name, column_name))")
+def describe(c):
+    return c.spark.createDataFrame([(t, n) for t, n, _ in c.describe() if t in ("nation", "placed")], "`table` string, `column` string")
+
+
+@query("SELECT c_custkey, (SELECT count(*) FROM customer WHERE c_acctbal > 0) > 25 AS has_more FROM customer WHERE c_acctbal > 0 ORDER BY c_acctbal DESC, c_custkey LIMIT 15 OFFSET 10")
+def page_with_more(c):
+    q = over("customer").where("c_acctbal > 0").order_by("c_acctbal", "DESC").order_by("c_custkey").select("c_custkey", "c_acctbal")
+    got = records.read(c, q, SimpleNamespace, 15, 10)
+    return c.spark.createDataFrame([(x.c_custkey, got.has_more) for x in got], "c_custkey long, has_more boolean")
+
+
+@query(f"{_WITH} SELECT x.a AS c_custkey FROM knows x JOIN knows y ON x.b = y.a WHERE y.b = 6")
+def in_hop_depth(c):
+    return over("customer:6").in_("knows", 2).select("c_custkey").frame(c)
+
+
+@query(f"{_WITH}, both_ways AS (SELECT a, b FROM knows UNION ALL SELECT b, a FROM knows) SELECT y.b AS c_custkey FROM both_ways x JOIN both_ways y ON x.b = y.a WHERE x.a = 6")
+def both_hop_depth(c):
+    return over("customer:6").both("knows", 2).select("c_custkey").frame(c)
+
+
+@query(f"SELECT vec_id, round({_METRIC_SQL['COSINE']}, 6) AS near FROM embeddings ORDER BY {_METRIC_SQL['COSINE']} DESC, vec_id LIMIT 8")
+def similarity_helper(c):
+    return vector_query("embeddings", "embedding", sample_vector(c), 8, "COSINE", score="near").frame(c).select("vec_id", F.round("near", 6).alias("near"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 0.0 ELSE c_acctbal END AS c_acctbal, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'poor' ELSE c_name END AS c_name FROM customer")
+def deferred_update(c):
+    u = mutate.Update().set(c_acctbal=0.0).where("c_acctbal < 0").set(c_name="poor").where(P.eq("c_mktsegment", "BUILDING")).returning("none")
+    return u.apply(c.frame("customer"), "c_custkey").state.select("c_custkey", "c_acctbal", "c_name")
+
+
+@query("SELECT 'after' AS image, c_custkey, 1.0 AS c_acctbal FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'full', c_custkey, 1.0 FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'before', c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
+def return_images(c):
+    rows = c.frame("customer").select("c_custkey", "c_acctbal")
+    shown = [mutate.update(rows, {"c_acctbal": 1.0}, "c_custkey", "c_acctbal < 0", image).result.select(F.lit(image).alias("image"), "c_custkey", "c_acctbal") for image in ("after", "full", "before", "none")]
+    return shown[0].union(shown[1]).union(shown[2]).union(shown[3])
+
+
+@query("SELECT event_id, true AS past, true AS unlike FROM events")
+def now_and_uuids(c):
+    return c.frame("events").select("event_id", (F.col("ts") < S.time_now()).alias("past"), (F.length(S.rand_uuid()) == 36).alias("unlike"))
+
+
+@query("SELECT 1 AS a, o_orderkey AS b, 'out' AS \"end\" FROM orders WHERE o_orderkey % 9 = 0 UNION ALL SELECT NULL, o_orderkey, 'in' FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 9 <> 0")
+def edge_violations(c):
+    e = c.frame("placed").select(F.when(F.col("out") % 9 == 0, F.lit(1)).when(F.col("out") % 10 != 0, F.col("in")).cast("long").alias("in"), F.when(F.col("out") % 9 == 0, -1 - F.col("out")).otherwise(F.col("out")).alias("out"))
+    found = typed_edge("placed", "customer", "orders").broken(e, c.keys())
+    return found.select(F.col("in").alias("a"), F.greatest("out", -1 - F.col("out")).alias("b"), "end")
+
+
 from recordspark import queries_stored  # noqa: E402, F401  registers its queries

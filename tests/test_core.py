@@ -338,3 +338,20 @@ def test_repeated_edges_and_loops_both_ways(spark):
     c = Catalog(spark).add("n", nodes).add("two", nodes.where("id < 3")).add("three", nodes.where("id = 3")).add_edge("e", edges, "n", "n")
     assert Query().from_table("two").traverse("<->e").frame(c).count() == 4
     assert Query().from_table("three").traverse("<->e").frame(c).count() == 1
+
+
+def test_typed_writes(spark):
+    @dataclass
+    class User:
+        id: int
+        name: str
+        age: int | None = None
+
+    rows = spark.createDataFrame([(1, "Ann", 30), (2, "Bo", None)], "id long, name string, age int")
+    m, made = records.create(rows, [User(3, "Cy"), User(4, "Di", 5)], "id")
+    assert sorted(made, key=lambda u: u.id) == [User(3, "Cy"), User(4, "Di", 5)] and m.state.count() == 4
+    m, put = records.put(rows, [User(1, "Anne"), User(9, "New", 1)], "id")
+    assert sorted(u.name for u in put) == ["Anne", "New"] and {(r["id"], r["age"]) for r in m.state.collect()} == {(1, None), (2, None), (9, 1)}
+    m, changed = records.change(rows, "id", 2, User, age=7)
+    assert changed == User(2, "Bo", 7) and records.change(rows, "id", 99, User, age=7)[1] is None and records.create(rows, [], "id")[1] == []
+    assert records.untyped({"a": 1}) == {"a": 1}
