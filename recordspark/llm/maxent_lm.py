@@ -5,12 +5,15 @@ P(word | context) = P(class | context) * P(word | class, context).  The MODEL_WO
 tail class.  Unseen words have 0.5 / (N_tail + 0.5 * (V_tail + 1)) of it.  The counted ones are the leaves of
 a tree of classes: a word goes down by the bits of its hash, up to 5 a level, each step a softmax over the
 branches given the context, to a group of about LEAF words; there it has its smoothed share (c + 0.5).  The
-number of levels and groups follows from the number of distinct words, so groups don't grow with the corpus;
-what the context doesn't move is a word's share within its group.  So the model sums to 1 over the same events
+number of levels and groups follows from the number of distinct words, up to MOST_BITS bits (2 MB of masses): with
+more than LEAF words for each of these, groups grow, as their masses are in every worker.  What the context
+doesn't move is a word's share within its group, which its own count gives, so every word stays a word of its own,
+whatever the size of its group.  So the model sums to 1 over the same events
 as the unigram base.  Class and word logits are sums of rows of weight tables, picked by hashed features of
 the context: the word before, the one before that (a skip), and both together; within a class or at a node
 of the tree, the first two with the class or node.  The tables' rows grow with the square root of the number
-of distinct words.
+of distinct words, to MOST_ROWS for each kind of feature (59 MB in all), so neither the driver nor a worker holds
+what grows with the vocabulary beyond that.
 
 Counting: every task counts the words of its rows, and the counts of all words meet by hash.  Training:
 ROUNDS disjoint slices of the training rows, each read once by as many tasks as it has TASK_TOKENS (whatever
@@ -50,6 +53,8 @@ ROWS_ROOT = 8
 CLASS_KINDS, WORD_KINDS, NODE_KINDS = 3, 2, 2
 #: Counted words of the tail in a group, about; and the most bits of a level of the tail's tree.
 LEAF, LEVEL_BITS = 16, 5
+#: The most bits that lead to a group, and rows of a kind of feature: what the driver, closures and workers hold is bounded by them.
+MOST_BITS, MOST_ROWS = 18, 1 << 16
 ROUNDS, RATE, BATCH, BLOCK = 3, 0.12, 1 << 15, 32
 #: Tokens that a training task learns from, about (or a partition's, where these are larger); and sums of changes that one task adds.
 TASK_TOKENS, FAN = 1 << 22, 64
@@ -125,7 +130,7 @@ class Vocabulary:
         order = np.argsort(word)
         out = Vocabulary(n, v, word[order], order.astype(np.int64), c[order])
         model = out.rank < MODEL_WORDS
-        bits = max(0, math.ceil(math.log2(max(1, v - int(model.sum())) / LEAF)))
+        bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, v - int(model.sum())) / LEAF))))
         met = counts.groupBy(prefix_of(bits).alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).toArrow()
         sums = np.zeros((2, 1 << bits), dtype=np.int64)
         sums[:, met["g"].to_numpy()] = met["c"].to_numpy(), met["v"].to_numpy()
@@ -145,7 +150,7 @@ class Vocabulary:
     @property
     def rows(self) -> int:
         """Rows of the tables for each kind of feature: a power of 2."""
-        return max(CLASS_ROWS, 1 << math.ceil(math.log2(ROWS_ROOT * math.sqrt(max(1, self.v)))))
+        return min(MOST_ROWS, max(CLASS_ROWS, 1 << math.ceil(math.log2(ROWS_ROOT * math.sqrt(max(1, self.v))))))
 
     @property
     def levels(self) -> list[tuple[int, int]]:

@@ -326,13 +326,15 @@ def test_language_model_learns_words_outside_the_classes(spark):
     assert got[0] > got[1] + 50
 
 
-def test_language_model_tree_sums_to_one(spark):
-    """Over all counted words and one unseen word, whatever the weights."""
+@pytest.mark.parametrize("most", [18, 4])
+def test_language_model_tree_sums_to_one(spark, monkeypatch, most):
+    """Over all counted words and one unseen word, whatever the weights, and however large the groups are."""
+    monkeypatch.setattr(maxent_lm, "MOST_BITS", most)
     rng = np.random.default_rng(2)
     c = rng.integers(1, 500, 20000)
     word = rng.integers(-(1 << 63), 1 << 63, 20000, dtype=np.int64)
     v = maxent_lm.Vocabulary.of(maxent_lm.cut(spark.createDataFrame(list(zip(word.tolist(), c.tolist(), strict=True)), "word long, c long")))
-    assert len(v.groups) > 1 and v.groups.sum() == pytest.approx(v.tail_total() - 0.5)
+    assert 1 < len(v.groups) <= 1 << most and v.groups.sum() == pytest.approx(v.tail_total() - 0.5)
     t = maxent_lm.Tables.blank(v.rows)
     for x in t.all:
         x += rng.normal(0, 1, x.shape).astype(np.float32)
