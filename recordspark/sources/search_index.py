@@ -45,7 +45,9 @@ class SearchIndex:
     path: str
     fields: tuple[str, ...]
     analyser: Analyser
+    #: The type and the name of the key.
     key: str = "bigint"
+    column: str = "id"
 
     def terms(self, spark: SparkSession, text: str) -> list[str]:
         return list(spark.range(1).select(self.analyser.words(F.lit(text))).first()[0])
@@ -83,23 +85,42 @@ def _folder(term: Column) -> Column:
 def build(rows: DataFrame, key: str, fields: Sequence[str], path: str, analyser: Analyser | None = None) -> SearchIndex:
     """Write an index of text columns to a new folder."""
     analyser = analyser or Analyser()
+    _check(rows, key)
+    _write(rows, key, fields, analyser, path)
+    kind = rows.schema[key].dataType.simpleString()
+    told = json.dumps({"fields": list(fields), "analyser": asdict(analyser), "key": kind, "column": key})
+    rows.sparkSession.createDataFrame([(told,)], "told string").coalesce(1).write.text(f"{path}/index")
+    return SearchIndex(path, tuple(fields), analyser, kind, key)
+
+
+def add(index: SearchIndex, rows: DataFrame) -> SearchIndex:
+    """The index with the texts of more records; their keys must be new."""
+    _check(rows, index.column)
+    there = rows.sparkSession.read.schema(f"key {index.key}, _folder int").parquet(f"{index.path}/postings").select("key")
+    again = rows.select(F.col(index.column).alias("key")).join(there, "key", "left_semi").take(1)
+    if again:
+        raise ValueError(f"the index has the record {again[0][0]}")
+    _write(rows, index.column, index.fields, index.analyser, index.path)
+    return index
+
+
+def _check(rows: DataFrame, key: str) -> None:
     odd = rows.groupBy(key).agg(F.count("*").alias("n")).where(f"n > 1 or `{key}` is null").select(key).take(1)
     if odd:
         raise ValueError(f"a search index needs a key for each record: {odd[0][0]}")
+
+
+def _write(rows: DataFrame, key: str, fields: Sequence[str], analyser: Analyser, path: str) -> None:
     every = F.array(*[F.struct(F.lit(f).alias("field"), analyser.words(F.col(f)).alias("words")) for f in fields])
     by_field = rows.select(F.col(key).alias("key"), F.explode(every).alias("f"))
     words = by_field.select("key", "f.field", F.posexplode("f.words").alias("p", "term"))
     postings = words.groupBy("term", "field", "key").agg(F.sort_array(F.collect_list("p")).alias("positions")).withColumn("_folder", _folder(F.col("term")))
     # a folder with very frequent terms is split over several files
     spread = postings.hint("rebalance", "_folder").sortWithinPartitions("_folder", "term")
-    spread.write.option("parquet.bloom.filter.enabled#term", "true").partitionBy("_folder").parquet(f"{path}/postings")
-    kind = rows.schema[key].dataType.simpleString()
-    told = json.dumps({"fields": list(fields), "analyser": asdict(analyser), "key": kind})
-    rows.sparkSession.createDataFrame([(told,)], "told string").coalesce(1).write.text(f"{path}/index")
-    return SearchIndex(path, tuple(fields), analyser, kind)
+    spread.write.mode("append").option("parquet.bloom.filter.enabled#term", "true").partitionBy("_folder").parquet(f"{path}/postings")
 
 
 def open_index(spark: SparkSession, path: str) -> SearchIndex:
     """An index that `build` wrote."""
     told = json.loads(spark.read.text(f"{path}/index").first()[0])
-    return SearchIndex(path, tuple(told["fields"]), Analyser(**{**told["analyser"], "stop": tuple(told["analyser"]["stop"])}), told["key"])
+    return SearchIndex(path, tuple(told["fields"]), Analyser(**{**told["analyser"], "stop": tuple(told["analyser"]["stop"])}), told["key"], told["column"])

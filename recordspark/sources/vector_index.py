@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordspark.functions import vectors
+from recordspark.sources.storage import cut
 
 METRICS = ("COSINE", "EUCLIDEAN", "MANHATTAN", "MINKOWSKI", "CHEBYSHEV", "HAMMING", "JACCARD", "PEARSON")
 #: Sampled vectors for each cell and in all, cells, queries that the number of cells to read is chosen by, and rounds of the centres.
 SAMPLE_A_CELL, SAMPLE, MOST_CELLS, TRIED, ROUNDS = 64, 100_000, 4096, 200, 8
+#: The table of cells.
+CELLS = "cell int, centre array<double>, radius double, field string, metric string, dimension int, probes int, rows string"
 #: The cell of vectors without a score.
 NOWHERE = -1
 #: What rounding may make of distances.
@@ -226,10 +229,28 @@ def build(rows: DataFrame, field: str, metric: str, path: str, cells: int | None
     radii = {r["_cell"]: r["far"] for r in written.groupBy("_cell").agg(F.max("_far").alias("far")).collect()}
     probes = probes_for(sample, centres, metric, recall, k) if len(centres) else 1
     told = [(i, [float(v) for v in c], float(radii[i]), field, metric, dimension, probes, schema.json()) for i, c in enumerate(centres) if i in radii]
-    spark.createDataFrame(told or [(NOWHERE, [], 0.0, field, metric, dimension, probes, schema.json())], "cell int, centre array<double>, radius double, field string, metric string, dimension int, probes int, rows string").coalesce(1).write.parquet(f"{path}/cells")
+    spark.createDataFrame(told or [(NOWHERE, [], 0.0, field, metric, dimension, probes, schema.json())], CELLS).coalesce(1).write.parquet(f"{path}/cells")
     return open_index(spark, path)
 
 
+def add(spark: SparkSession, index: VectorIndex, rows: DataFrame) -> VectorIndex:
+    """The index with more rows, of the same columns, in its cells; centres and the number of cells to read stay, radii grow."""
+    row = F.struct(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in index.schema["_row"].dataType])
+    light, at = rows.select(row.alias("_row")), index.schema["_row"].dataType.names.index(index.field)
+    if not len(index.cells.numbers):
+        raise ValueError("an index without a vector has no cells; build it anew")
+    # cells are numbered by their place here, and by what they were called in the index
+    numbers = index.cells.numbers
+    named = F.when(F.col("_cell") != NOWHERE, F.get(F.array(*[F.lit(int(n)) for n in numbers]), F.col("_cell"))).otherwise(NOWHERE).cast("int")
+    placed = cut(light.mapInArrow(_placed(at, index.cells.centres, index.metric), index.schema).withColumn("_cell", named))
+    placed.hint("rebalance", "_cell").write.mode("append").partitionBy("_cell").parquet(f"{index.path}/rows")
+    grown = {r["_cell"]: r["far"] for r in placed.groupBy("_cell").agg(F.max("_far").alias("far")).collect()}  # a row a cell
+    radii = np.array([max(r, grown.get(int(n), 0.0)) for n, r in zip(numbers, index.cells.radii, strict=True)])
+    told = [(int(n), [float(v) for v in c], float(r), index.field, index.metric, index.dimension, index.probes, index.schema.json()) for n, c, r in zip(numbers, index.cells.centres, radii, strict=True)]
+    spark.createDataFrame(told, CELLS).coalesce(1).write.mode("overwrite").parquet(f"{index.path}/cells")
+    return open_index(spark, index.path)
+
+
 def open_index(spark: SparkSession, path: str) -> VectorIndex:
     """An index that `build` wrote."""
     found = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()  # MOST_CELLS rows, at most

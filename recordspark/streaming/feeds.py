@@ -8,10 +8,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from recordspark.operators.mutate import diff
+from recordspark.streaming.patches import changes
 
 
 def stream(spark: SparkSession, path: str, schema: str | None = None, files_per_batch: int = 100) -> DataFrame:
@@ -115,6 +117,7 @@ def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str
     late: `order` is a timestamp, and versions wait until the watermark has passed them by so much; so they are told
     in their order even if batches come shuffled, but for those that come later still.  keep: seconds after which the
     state of a record goes (since it came, or with `late` in the time of `order`); a version after that is a new record.
+    The session's streams get the RocksDB state store, which this needs.
     Of versions of one order a deletion is the last but for what is written again.  Versions without an order are left out.
     """
     fields = [c for c in rows.columns if c not in (order, deleted)]
@@ -128,6 +131,13 @@ def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str
     return versions.groupBy("key").transformWithState(held, _TOLD, "Append", mode)
 
 
+def with_patches(told: DataFrame, form: T.StructType) -> DataFrame:
+    """Notifications with `patch`, what leads from the version before to the new one (none for CREATE and DELETE); form: the type of the records."""
+    old, new = F.from_json("before", form), F.from_json("result", form)
+    true = F.lit(True)
+    return told.withColumn("patch", F.when(F.col("action") == "UPDATE", changes(old, new, form, F.lit(""), true, true)))
+
+
 def on_event(changes: DataFrame, actions: Sequence[str], then: Callable[[DataFrame, int], None], checkpoint: str, when: Column | None = None, once: bool = False) -> StreamingQuery:
     """An event trigger: hand the notifications of some actions, for which a condition holds, to a callback."""
     if unknown := set(actions) - {"CREATE", "UPDATE", "DELETE"}:

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from recordspark.functions import predicates as P
 from recordspark.functions import vectors
+from recordspark.plans import hints
 from recordspark.plans.hints import explained
 from recordspark.plans.query import Query
+from recordspark.sources import schema as sc
 from recordspark.sources import search_index, vector_index
 from recordspark.sources.catalog import Catalog
+from recordspark.sources.indexes import build_indexes
 
 SCHEMA = "id long, v array<float>, colour string"
 
@@ -124,3 +127,31 @@ def test_search_indexes_need_keys_and_keep_their_analyser(spark, texts, tmp_path
     with pytest.raises(ValueError):
         again.matching(spark, "title", "x")
     assert search_index.build(texts.limit(0), "id", ["body"], f"file://{tmp_path}/d").matching(spark, "body", "x").count() == 0
+
+
+def test_declared_indexes_are_built_and_used(spark, texts, tmp_path):
+    rows = texts.withColumn("v", F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")))
+    s = sc.TableSchema("t", indexes=(sc.vector_index("near", "v", 2), sc.search_index("words", "body"), sc.Index("by_title", ("title",))))
+    c = build_indexes(Catalog(spark).add("t", rows, "id", rule=lambda df: df["id"] != 3), s, f"file://{tmp_path}", 4)
+    assert set(c.vector_indexes) == {("t", "v")} and set(c.search_indexes) == {("t", "body")} and set(c.layouts) == {("t", "by_title")}
+    q = Query().from_table("t").where(P.full_text("body", "fox")).where("title <> 'b'").vector_search("v", [2.0, 1.0], 2, "EUCLIDEAN", exact=True).select("id")
+    assert [r["id"] for r in q.frame(c).collect()] == [1, 7]
+    laid = Query().from_table("t").hint(hints.Index("t", "by_title", True)).frame(c)
+    assert laid.count() == 7 and "layout_by_title" in explained(laid)
+    with pytest.raises(KeyError):
+        build_indexes(Catalog(spark), s)
+
+
+def test_rows_are_added_to_indexes(spark, clustered, texts, tmp_path):
+    whole = clustered.where("id is not null")
+    first, more = whole.where("id % 3 > 0"), whole.where("id % 3 = 0").withColumn("v", F.when(F.col("id") == 9, F.array(*[F.lit(50.0 + i).cast("float") for i in range(12)])).otherwise(F.col("v")))
+    index = vector_index.add(spark, vector_index.build(first, "v", "EUCLIDEAN", f"file://{tmp_path}/v", cells=9), more)
+    every = first.union(more)
+    assert index.rows(spark).count() == every.count()
+    c, plain = Catalog(spark).add("t", every, "id").add_vector_index("t", index), Catalog(spark).add("t", every, "id")
+    for q in ([50.0] * 12, every.where("id = 6").first()["v"]):
+        assert found(c, q, 30, "EUCLIDEAN", exact=True) == found(plain, q, 30, "EUCLIDEAN")
+    words = search_index.add(search_index.build(texts.where("id < 5"), "id", ["body"], f"file://{tmp_path}/s"), texts.where("id >= 5"))
+    assert sorted(r["key"] for r in words.matching(spark, "body", "fox brown").collect()) == [1, 2, 7, 8]
+    with pytest.raises(ValueError):
+        search_index.add(words, texts.where("id = 1"))

@@ -126,3 +126,10 @@ def test_paths_of_patches(spark):
     assert more == 2
     with pytest.raises(ValueError):
         patches.patches(old, new.withColumn("s", F.lit(1)), "id")
+
+
+def test_patches_of_notifications(spark):
+    told = spark.createDataFrame([("1", "UPDATE", '{"a":{"b":[1,3]}}', '{"a":{"b":[1,2]},"c":"x"}'), ("2", "CREATE", '{"c":"y"}', None), ("3", "DELETE", '{"c":"y"}', '{"c":"y"}')], "key string, action string, result string, before string")
+    form = spark.createDataFrame([], "a struct<b: array<int>>, c string").schema
+    got = {r["key"]: r["patch"] for r in feeds.with_patches(told, form).collect()}
+    assert [tuple(p) for p in got["1"]] == [("replace", "/a/b/1", "3"), ("remove", "/c", None)] and got["2"] is None and got["3"] is None
