@@ -111,6 +111,32 @@ def test_language_id(spark, docs, rows, none):
 
 
 # 3
+def test_secrets_planted_in_documents(spark):
+    """Free-standing random strings are found by the method, without a word that names them; documents without one stay clean."""
+    rng = np.random.default_rng(31)
+    syllables = "an be cor dif er fu ga hi jo ki lo mu na op qu re si ta un vo wi xe ya zo".split()
+    prose = lambda n: ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(n)]
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    rows, planted = [], {}
+    for i in range(240):
+        w = prose(120)
+        if i % 3 == 0:
+            planted[i] = "".join(rng.choice(letters, int(rng.integers(20, 41))))
+            w.insert(int(rng.integers(0, 120)), planted[i])
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found, clean, base = 0, 0, 0
+    for r in secret_scan.scan(docs, secret_scan.train(docs)).collect():
+        text, spans = rows[r["doc_id"]][1], [x.split(":") for x in r["spans"].split(",") if x]
+        markov = [text[int(a) : int(z)] for kind, a, z in spans if kind == "markov"]
+        base += r["n_assign"] + r["n_access"]
+        if r["doc_id"] in planted:
+            found += planted[r["doc_id"]] in markov
+        else:
+            clean += not spans
+    assert base == 0 and found >= 0.95 * len(planted) and clean == 160
+
+
 def test_secrets(docs, rows, none, spark):
     rng = np.random.default_rng(8)
     syllables = "an be cor dif er fu ga hi jo ki lo mu na op qu re si ta un vo wi xe ya zo".split()
@@ -440,6 +466,41 @@ def test_quality_model(spark, docs, rows, none):
     assert {r["score"] for r in quality_model.score(docs.withColumn("held_out", F.lit(True)), blank).collect()} == {0.5}
 
 
+def plain_quality_features(text, n_chars):
+    """index: value, counted word by word and character by character."""
+    data = (text or "").encode()
+    w = [x.encode() for x in words(text)]
+    parted = quality_model.split(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]))
+    h = [int(x) for x in parted.hashes()]
+    per = collections.Counter(x % quality_model.BUCKETS for x in h)
+    x = {i: math.sqrt(c / len(w)) for i, c in per.items()}
+    size, n = max(1, len(data)), max(1, len(w))
+    share = lambda chars: sum(b in chars for b in data) / size
+    dense = [math.log1p(size) / 12, math.log1p(len(w)) / 10, sum(map(len, w)) / n / 10, len(per) / n]
+    dense += [share(c) for c in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&|<>", b".", b"!?", b",;:", bytes(range(128, 256)))]
+    dense += [sum(p == q for p, q in zip(w, w[1:])) / n, min(1.0, (data.count(b"\n") + 1) / n), math.log1p(n_chars or 0) / 12, float(n_chars is None), 1.0]
+    return x | {quality_model.BUCKETS + i: v for i, v in enumerate(dense)}
+
+
+def test_quality_scores_are_those_of_all_pairs(docs, rows):
+    """Features counted plainly, and every pair of them."""
+    rng = np.random.default_rng(6)
+    m = quality_model.Machine.blank()
+    m.bias, m.weight = 0.3, rng.normal(0, 0.5, len(m.weight)).astype(np.float32)
+    m.factors = rng.normal(0, 0.3, m.factors.shape).astype(np.float32)
+    want = collections.defaultdict(list)
+    for doc_id, text, _, _, n_chars, _ in rows:
+        x = sorted(plain_quality_features(text, n_chars).items())
+        index, value = np.array([i for i, _ in x]), np.array([v for _, v in x])
+        pairs = m.factors[index].astype(float) @ m.factors[index].astype(float).T * np.outer(value, value)
+        raw = m.bias + float(m.weight[index].astype(float) @ value) + sum(pairs[i, j] for i in range(len(x)) for j in range(i + 1, len(x)))
+        want[doc_id].append(1 / (1 + math.exp(-raw)))
+    got = collections.defaultdict(list)
+    for r in quality_model.score(docs.withColumn("held_out", F.lit(True)), m).collect():
+        got[r["doc_id"]].append(r["score"])
+    assert set(got) == set(want) and all(sorted(got[k]) == pytest.approx(sorted(want[k]), abs=2e-4) for k in want)
+
+
 def test_quality_model_of_a_repeated_document_and_metadata(spark):
     """One labelled doc_id with many texts stays within the bound; n_chars tells where the text doesn't."""
     rows = [(i, "same words here", 50 if i % 2 else 5000) for i in range(200)] + [(1000, f"same words here {i}", 50) for i in range(900)]
