@@ -59,7 +59,7 @@ COMPONENTS = ("F64", "F32", "I64", "I32", "I16")
 
 @dataclass(frozen=True)
 class Index:
-    """kind: standard, search, mtree or hnsw.  Spark has no indexes; these are promises that `violations` and `duplicates` check."""
+    """kind: standard, search, mtree or hnsw.  `sources.indexes` builds them; `violations` and `duplicates` check what they promise."""
 
     name: str
     columns: tuple[str, ...]

@@ -30,9 +30,13 @@ from pyspark.sql import types as T
 from recordspark.functions import vectors
 from recordspark.sources.storage import cut
 
+#: Metrics whose distance is the root of a sum of squares.
+ROOTS = ("EUCLIDEAN", "COSINE", "PEARSON")
 METRICS = ("COSINE", "EUCLIDEAN", "MANHATTAN", "MINKOWSKI", "CHEBYSHEV", "HAMMING", "JACCARD", "PEARSON")
 #: Sampled vectors for each cell and in all, cells, queries that the number of cells to read is chosen by, and rounds of the centres.
 SAMPLE_A_CELL, SAMPLE, MOST_CELLS, TRIED, ROUNDS = 64, 100_000, 4096, 200, 8
+#: Distances that are held at once.
+PAIRS = 1 << 22
 #: The table of cells.
 CELLS = "cell int, centre array<double>, radius double, field string, metric string, dimension int, probes int, rows string"
 #: The cell of vectors without a score.
@@ -54,7 +58,7 @@ def normal(x: np.ndarray, metric: str) -> np.ndarray:
 
 def far(x: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
     """Distances of vectors to centres, both in normal form."""
-    if metric in ("EUCLIDEAN", "COSINE", "PEARSON"):
+    if metric in ROOTS:
         square = (x * x).sum(1)[:, None] + (centres * centres).sum(1) - 2 * x @ centres.T
         return np.sqrt(np.maximum(square, 0.0))
     if metric == "JACCARD":
@@ -70,6 +74,18 @@ def far(x: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
     return np.cbrt(out) if metric == "MINKOWSKI" else out
 
 
+def nearest(x: np.ndarray, centres: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each vector and the distance to it, PAIRS distances at a time."""
+    step, cell, away = max(1, PAIRS // len(centres)), np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+    for i in range(0, len(x), step):
+        s = slice(i, i + step)
+        d = far(x[s], centres, metric)
+        cell[s], away[s] = d.argmin(1), d.min(1)
+        if metric in ROOTS:  # a product of matrices finds the centre, but is too rough for a radius
+            away[s] = np.sqrt(((x[s] - centres[cell[s]]) ** 2).sum(1))
+    return cell, away
+
+
 def distance_of(score: float, metric: str) -> float:
     """The distance that a score stands for."""
     if metric in ("COSINE", "PEARSON"):
@@ -94,7 +110,7 @@ def centres_of(sample: np.ndarray, cells: int, metric: str, seed: int = 1) -> np
     distinct = np.unique(sample, axis=0)
     centres = distinct[np.random.default_rng(seed).permutation(len(distinct))[:cells]]
     for _ in range(0 if metric in ("HAMMING", "JACCARD") else ROUNDS):
-        cell = far(sample, centres, metric).argmin(1)
+        cell, _ = nearest(sample, centres, metric)
         n = np.bincount(cell, minlength=len(centres))
         total = np.zeros_like(centres)
         np.add.at(total, cell, sample)
@@ -107,7 +123,7 @@ def probes_for(sample: np.ndarray, centres: np.ndarray, metric: str, recall: flo
     tried = sample[: min(TRIED, len(sample))]
     if len(sample) <= 1:
         return len(centres)
-    cell = far(sample, centres, metric).argmin(1)
+    cell, _ = nearest(sample, centres, metric)
     near = far(tried, sample, metric)
     near[np.arange(len(tried)), np.arange(len(tried))] = np.inf
     neighbours = np.argsort(near, 1, kind="stable")[:, : min(k, len(sample) - 1)]
@@ -125,12 +141,15 @@ class Cells:
     radii: np.ndarray
 
     def nearest(self, q: np.ndarray, metric: str, probes: int) -> list[int]:
-        order = np.argsort(far(q, self.centres, metric)[0], kind="stable")
+        order = np.argsort(self._far(q, metric), kind="stable")
         return [int(c) for c in self.numbers[order[:probes]]]
 
+    def _far(self, q: np.ndarray, metric: str) -> np.ndarray:
+        return np.sqrt(((q - self.centres) ** 2).sum(1)) if metric in ROOTS else far(q, self.centres, metric)[0]
+
     def within(self, q: np.ndarray, metric: str, bound: float) -> list[int]:
         """Cells that can hold vectors no farther than the bound."""
-        least = far(q, self.centres, metric)[0] - self.radii
+        least = self._far(q, metric) - self.radii
         return [int(c) for c in self.numbers[least <= bound * (1 + SLACK) + SLACK]]
 
 
@@ -185,8 +204,7 @@ def _placed(field: int, centres: np.ndarray, metric: str) -> Callable:
             there, x = _matrix(b.column(0).field(field), centres.shape[1], metric)
             cell, away = np.full(b.num_rows, NOWHERE, dtype=np.int32), np.zeros(b.num_rows)
             if len(x):
-                d = far(x, centres, metric)
-                cell[there], away[there] = d.argmin(1), d.min(1)
+                cell[there], away[there] = nearest(x, centres, metric)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(away), pa.array(cell)], ["_row", "_far", "_cell"])
 
     return run

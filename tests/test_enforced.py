@@ -146,3 +146,15 @@ def test_version_graphs(spark):
         versions.graph(spark.createDataFrame([(1, None), (2, 1), (3, 2), (2, 3)], "version long, parent long"))
     empty = versions.graph(spark.createDataFrame([], "version string, parent string"))
     assert empty.heads().count() == 0 and empty.path("a", "b").count() == 0
+
+
+def test_kinds_of_fields_against_rows(spark):
+    kinds = list(sc.SPARK_TYPES)
+    s = sc.TableSchema("t", tuple(sc.Field(f"f_{k}", k) for k in kinds) + (sc.Field("many", "array", element="datetime"), sc.Field("absent", "bool")))
+    rows = spark.createDataFrame([], sc.TableSchema("t", s.fields[:-1]).spark())
+    assert sc.mismatches(s, rows) == [("error", "absent", "missing")]
+    other = rows.withColumns({"f_bool": F.lit(1), "f_datetime": F.lit("now"), "more": F.lit(1)})
+    assert sc.mismatches(s, other) == [("error", "f_bool", "int instead of boolean"), ("error", "f_datetime", "string instead of timestamp"), ("error", "absent", "missing"), ("warning", "more", "not declared")]
+    there = spark.createDataFrame([(1, True, "2024-01-01 00:00:00"), (2, None, None)], "id long, ok boolean, at string").withColumn("at", F.to_timestamp("at"))
+    checked = sc.TableSchema("t", (sc.Field("ok", "bool", assertion="ok"), sc.Field("at", "datetime", assertion="at > timestamp'2024-06-01'", nullable=False)))
+    assert sorted((r["id"], r["field"], r["kind"]) for r in checked.violations(there, "id").collect()) == [(1, "at", "assert"), (2, "at", "null")]
