@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from recordspark.llm.common import cut
 
+#: Edges in a file that a round writes, about.
+FILE = 100_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -34,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.where("a <> b").select("a", "b").distinct())
     before = edges.select(mark.alias("m")).first()["m"]
     while True:
-        edges = cut(_small_star(_large_star(edges)).where("a <> b").distinct())
+        # a round has about as many edges as the one before, and is written in as few files as they need
+        edges = cut(_small_star(_large_star(edges)).where("a <> b").distinct().coalesce(1 + before[0] // FILE))
         now = edges.select(mark.alias("m")).first()["m"]
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
