@@ -110,7 +110,8 @@ def test_postings_find_what_scans_find(spark, texts, tmp_path):
             assert ask(c, P.full_text(field, terms)) == ask(plain, P.full_text(field, terms)), (terms, field)
     for terms in ("quick brown", "brown fox", "the the", "the quick the", "fox brown quick the fox", "brown brown_fox", "the"):
         assert ask(c, P.phrase("body", terms)) == ask(plain, P.phrase("body", terms)), terms
-    df = Query().from_table("t").where(P.full_text("body", "quick fox")).select("id").frame(c)
+    texts.write.parquet(f"file://{tmp_path}/t")
+    df = Query().from_table("t").where(P.full_text("body", "quick fox")).select("id").frame(c.add("t", f"file://{tmp_path}/t", "id"))
     plan = explained(df)
     assert "body" not in plan and "_folder" in plan.split("PartitionFilters", 1)[1].splitlines()[0]
 
