@@ -711,7 +711,7 @@ def lookup_text_key(c):
 @query("SELECT c_custkey, 'UPDATE' AS action FROM customer WHERE c_custkey % 5 <> 0 AND c_acctbal > 0")
 def snapshot_null_keys(c):
     before = c.frame("customer").select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey")).alias("c_custkey"), "c_acctbal")
-    return feeds.snapshot_changes(before, before.withColumn("c_acctbal", F.least(F.lit(0.0), "c_acctbal")), "c_custkey")
+    return feeds.snapshot_changes(before, before.withColumn("c_acctbal", F.when(F.col("c_acctbal") > 0, 0.0).otherwise(F.col("c_acctbal"))), "c_custkey")
 
 
 @query(f"{_WITH}, twice AS (SELECT * FROM knows UNION ALL SELECT * FROM knows) SELECT a, b FROM twice WHERE a = 6 OR b = 6")

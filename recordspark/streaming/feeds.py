@@ -175,15 +175,18 @@ def windowed_counts(rows: DataFrame, time: str, by: str, size: str, late: str) -
 def snapshot_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """key and action (CREATE, UPDATE, DELETE) of every record that differs between two snapshots.
 
-    Rows are compared by a hash of their other fields, so that one narrow full join does.  Rows without a key
-    are nobody's record and take no part.
+    Rows are compared by a hash of their other fields, counted for each key.  Rows without a key are nobody's record
+    and take no part.  Of rows that share a key, equal ones stand for each other and the others are updates, one by one.
     """
     names = sorted({*before.columns, *after.columns} - {key})
     # JSON leaves nulls out, so a field that only one of the two has is null in the other
-    mark = lambda df, name: df.where(F.col(key).isNotNull()).select(F.col(key), F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in names if c in df.columns] or [F.lit(0)]))).alias(name))
-    both = mark(before, "_a").join(mark(after, "_b"), key, "full")
-    action = F.when(F.col("_a").isNull(), "CREATE").when(F.col("_b").isNull(), "DELETE").when(F.col("_a") != F.col("_b"), "UPDATE")
-    return both.select(key, action.alias("action")).where("action is not null")
+    mark = lambda df, n: df.where(F.col(key).isNotNull()).select(F.col(key), F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in names if c in df.columns] or [F.lit(0)]))).alias("_mark"), F.lit(n).cast("long").alias("_n"))
+    marks = mark(before, 1).union(mark(after, -1)).repartition(F.col(key)).groupBy(key, "_mark").agg(F.sum("_n").alias("_n"))
+    left = marks.groupBy(key).agg(F.sum(F.greatest("_n", F.lit(0))).alias("_old"), F.sum(F.greatest(-F.col("_n"), F.lit(0))).alias("_new"))
+    times = lambda action, n: F.array_repeat(F.lit(action), n.cast("int"))
+    both = F.least("_old", "_new")
+    actions = F.concat(times("UPDATE", both), times("CREATE", F.col("_new") - both), times("DELETE", F.col("_old") - both))
+    return left.where("_old > 0 or _new > 0").select(key, F.explode(actions).alias("action"))
 
 
 def patches(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

@@ -133,3 +133,21 @@ def test_patches_of_notifications(spark):
     form = spark.createDataFrame([], "a struct<b: array<int>>, c string").schema
     got = {r["key"]: r["patch"] for r in feeds.with_patches(told, form).collect()}
     assert [tuple(p) for p in got["1"]] == [("replace", "/a/b/1", "3"), ("remove", "/c", None)] and got["2"] is None and got["3"] is None
+
+
+def test_snapshot_changes_of_nulls_zeros_and_repeats(spark, tmp_path):
+    """What the SQL of snapshot_null_keys says, with balances that are null or -0.0 and with repeated keys."""
+    rows = [(1, 5.0), (2, None), (3, -0.0), (4, -7.0), (5, 9.0), (6, 3.0), (6, 3.0), (7, 2.0), (7, -1.0), (8, 4.0), (8, 0.0), (9, float("nan")), (None, 1.0)]
+    _same_as_sql(spark, tmp_path, "snapshot_null_keys", "customer", rows, "c_custkey long, c_acctbal double")
+
+
+def _same_as_sql(spark, tmp_path, name, table, rows, form):
+    import duckdb
+
+    from recordspark.registry import ORACLE_SQL, QUERIES
+
+    spark.createDataFrame(rows, form).coalesce(2).write.parquet(f"{tmp_path}/{table}.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    got = [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(con.sql(ORACLE_SQL[name]).fetchall(), key=repr)
