@@ -61,7 +61,7 @@ class _Versions(StatefulProcessor):
             if last is not None and v[0] < last[0]:
                 continue  # older than what is known
             action = ("DELETE" if there else None) if v[2] else "CREATE" if not there else "UPDATE" if v[1] != last[1] else None
-            if action:
+            if action and not (v[2] and v[3] is None):
                 yield Row(key=key[0], action=action, result=last[3] if v[2] else v[3], before=last[3] if there else None)
             last = v
         if last is not None:
@@ -79,9 +79,9 @@ class _Versions(StatefulProcessor):
                     self.handle.deleteTimer(t)
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep)
             return
-        for v in new:
-            self.pending.appendValue(v)
-            self.handle.registerTimer(self._until(v[0]))
+        if new:  # one timer for the earliest; those behind it get theirs when it has expired
+            self.pending.appendList(new)
+            self.handle.registerTimer(min(self._until(v[0]) for v in new))
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         if not self.waits:
@@ -92,6 +92,7 @@ class _Versions(StatefulProcessor):
         due, rest = [v for v in waiting if self._until(v[0]) <= now], [v for v in waiting if self._until(v[0]) > now]
         if rest:
             self.pending.put(rest)
+            self.handle.registerTimer(min(self._until(v[0]) for v in rest))
         else:
             self.pending.clear()
         yield from self._told(key, due)
@@ -107,7 +108,7 @@ class _Versions(StatefulProcessor):
         pass
 
 
-def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str | None = None, keep: float | None = None) -> DataFrame:
+def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str | None = None, keep: float | None = None, quiet: str | None = None) -> DataFrame:
     """key, action (CREATE, UPDATE, DELETE), result and before (JSON) for the versions of records in a stream.
 
     A version replaces those before it in the order of the column `order`; where the column `deleted` is true, the
@@ -117,15 +118,17 @@ def notifications(rows: DataFrame, key: str, order: str, deleted: str, late: str
     late: `order` is a timestamp, and versions wait until the watermark has passed them by so much; so they are told
     in their order even if batches come shuffled, but for those that come later still.  keep: seconds after which the
     state of a record goes (since it came, or with `late` in the time of `order`); a version after that is a new record.
+    quiet: a column that is true where a record goes and nothing is told of it; what comes next is new.
     The session's streams get the RocksDB state store, which this needs.
     Of versions of one order a deletion is the last but for what is written again.  Versions without an order are left out.
     """
-    fields = [c for c in rows.columns if c not in (order, deleted)]
+    fields = [c for c in rows.columns if c not in (order, deleted, quiet)]
     rows.sparkSession.conf.set(*_STORE)
     if late is not None:
         rows = rows.withWatermark(order, late)
-    result = F.to_json(F.struct(*fields))
-    versions = rows.select(F.col(key).cast("string").alias("key"), F.col(order).alias("order"), F.coalesce(F.col(deleted), F.lit(False)).alias("gone"), F.xxhash64(result).alias("mark"), result.alias("result"))
+    hushed = F.lit(False) if quiet is None else F.coalesce(F.col(quiet), F.lit(False))
+    result = F.when(~hushed, F.to_json(F.struct(*fields)))  # none: the record goes without a word
+    versions = rows.select(F.col(key).cast("string").alias("key"), F.col(order).alias("order"), (F.coalesce(F.col(deleted), F.lit(False)) | hushed).alias("gone"), F.xxhash64(result).alias("mark"), result.alias("result"))
     held = _Versions(rows.schema[order].dataType.simpleString(), late is not None, None if keep is None else math.ceil(keep * 1000))
     mode = "EventTime" if late is not None else "None" if keep is None else "ProcessingTime"
     return versions.groupBy("key").transformWithState(held, _TOLD, "Append", mode)

@@ -141,6 +141,13 @@ def test_snapshot_changes_of_nulls_zeros_and_repeats(spark, tmp_path):
     _same_as_sql(spark, tmp_path, "snapshot_null_keys", "customer", rows, "c_custkey long, c_acctbal double")
 
 
+def test_live_notifications_of_nulls_and_wide_keys(spark, tmp_path):
+    """What the SQL of live_notifications says, with nulls in every column and event numbers that reach over years."""
+    year, kinds, rng = 366 * 86_400_000, ["view", "click", "error", None], random.Random(3)
+    rows = [(i * year // 40 + i % 2, rng.choice([1, 2, 3, None]), rng.choice(kinds)) for i in range(200)] + [(None, 1, "last"), (None, 2, None), (-3, 1, "view"), (-2, 1, "error")]
+    _same_as_sql(spark, tmp_path, "live_notifications", "events", rows, "event_id long, user_id long, event_type string")
+
+
 def _same_as_sql(spark, tmp_path, name, table, rows, form):
     import duckdb
 
