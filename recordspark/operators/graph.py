@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from recordspark.functions.predicates import Condition, as_column
 from recordspark.sources.catalog import Catalog
-from recordspark.sources.storage import cut
+from recordspark.sources.storage import cut, dealt
 
 _HOP = re.compile(r"(<->|->|<-)([A-Za-z_][A-Za-z0-9_]*|\?)")
 
@@ -110,8 +110,8 @@ def neighbours(catalog: Catalog, key: object, edge: str, depth: int = 1, directi
     start = steps.sparkSession.createDataFrame([(key,)], _keys(steps, "id"))
     seen, frontier = start.withColumn("depth", F.lit(0)), start
     for level in range(1, depth + 1):
-        met = frontier.join(steps, F.col("id") == F.col("_from")).select(F.col("_to").alias("id")).distinct()
-        frontier = cut(met.join(seen, "id", "left_anti"))
+        met = frontier.join(dealt(steps), F.col("id") == F.col("_from")).select(F.col("_to").alias("id")).distinct()
+        frontier = cut(met.join(dealt(seen), "id", "left_anti"))
         seen = seen.union(frontier.withColumn("depth", F.lit(level)))
     return seen.where("depth > 0")
 
@@ -155,8 +155,8 @@ def shortest_path(catalog: Catalog, a: object, b: object, edge: str, max_depth:
     levels, seen, frontier = [start], start, start
     found = a == b
     while not found and len(levels) <= max_depth:
-        met = frontier.join(steps, F.col("id") == F.col("_from")).groupBy("_to").agg(F.min("id").alias("parent")).withColumnRenamed("_to", "id")
-        frontier = cut(met.join(seen.select("id"), "id", "left_anti"))
+        met = frontier.join(dealt(steps), F.col("id") == F.col("_from")).groupBy("_to").agg(F.min("id").alias("parent")).withColumnRenamed("_to", "id")
+        frontier = cut(met.join(dealt(seen.select("id")), "id", "left_anti"))
         if frontier.isEmpty():
             break
         levels.append(frontier)

@@ -29,3 +29,8 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows from the checkpoint folder, with no lineage behind them."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The same rows for a join that is dealt out by its key at any size: what is broadcast passes through the driver, at each level of a search."""
+    return df.hint("merge")

@@ -355,3 +355,25 @@ def test_typed_writes(spark):
     m, changed = records.change(rows, "id", 2, User, age=7)
     assert changed == User(2, "Bo", 7) and records.change(rows, "id", 99, User, age=7)[1] is None and records.create(rows, [], "id")[1] == []
     assert records.untyped({"a": 1}) == {"a": 1}
+
+
+def test_levels_of_searches_broadcast_nothing(spark, monkeypatch):
+    """Neither edges nor what is met pass through the driver, however small they look."""
+    from recordspark.operators import versions
+    from recordspark.sources.storage import cut
+
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    for module in (graph, versions):
+        monkeypatch.setattr(module, "cut", seen)
+    rows = [(i, i + 1) for i in range(6)] + [(0, 3)]
+    c = Catalog(spark).add("t", spark.range(7), "id").add_edge("next", spark.createDataFrame(rows, "`in` long, out long"), "t", "t")
+    assert [tuple(r) for r in graph.shortest_path(c, 0, 5, "next").orderBy("step").collect()] == [(0, 0), (1, 3), (2, 4), (3, 5)]
+    assert graph.neighbours(c, 0, "next", 2, "out").count() == 4
+    g = versions.graph(spark.createDataFrame(rows, "parent long, version long"))
+    assert {tuple(r) for r in g.descendants(2).collect()} == {(3, 1), (4, 2), (5, 3), (6, 4)} and g.ancestors(3).count() == 3
+    assert len(plans) > 15 and not [p for p in plans if "Broadcast" in p]
