@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordspark.sources.storage import cut
+from recordspark.sources.storage import cut, dealt
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,8 @@ class Versions:
         seen, out, distance = frontier, frontier.withColumn("distance", F.lit(0)), 0
         while version != until:
             distance += 1
-            met = steps.join(frontier, F.col("_at") == F.col("version"), "left_semi").select(F.col("_to").alias("version")).distinct()
-            frontier = cut(met.join(seen, "version", "left_anti"))
+            met = steps.join(dealt(frontier), F.col("_at") == F.col("version"), "left_semi").select(F.col("_to").alias("version")).distinct()
+            frontier = cut(met.join(dealt(seen), "version", "left_anti"))
             if frontier.isEmpty():
                 break
             seen, out = seen.union(frontier), out.union(frontier.withColumn("distance", F.lit(distance)))
@@ -92,10 +92,10 @@ def graph(rows: DataFrame) -> Versions:
     out, level, waiting = left.withColumn("level", F.lit(0)).limit(0), 0, edges
     while not left.isEmpty():
         # versions whose parents all have a level
-        ready = cut(left.join(waiting.select("version"), "version", "left_anti"))
+        ready = cut(left.join(dealt(waiting.select("version")), "version", "left_anti"))
         if ready.isEmpty():
             raise ValueError(f"versions come from themselves, {left.first()[0]} among them or after them")
         out, level = out.union(ready.withColumn("level", F.lit(level))), level + 1
-        left = cut(left.join(ready, "version", "left_anti"))
-        waiting = cut(waiting.join(ready.withColumnRenamed("version", "parent"), "parent", "left_anti"))
+        left = cut(left.join(dealt(ready), "version", "left_anti"))
+        waiting = cut(waiting.join(dealt(ready.withColumnRenamed("version", "parent")), "parent", "left_anti"))
     return Versions(edges, out)
