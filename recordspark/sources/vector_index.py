@@ -62,8 +62,7 @@ def far(x: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
         square = (x * x).sum(1)[:, None] + (centres * centres).sum(1) - 2 * x @ centres.T
         return np.sqrt(np.maximum(square, 0.0))
     if metric == "JACCARD":
-        sets, others = [set(v) for v in x.tolist()], [set(v) for v in centres.tolist()]
-        return np.array([[1 - len(a & b) / len(a | b) for b in others] for a in sets]).reshape(len(x), len(centres))
+        return _overlaps(x, centres)
     out = np.zeros((len(x), len(centres)))
     for j in range(x.shape[1]):
         step = np.abs(x[:, j, None] - centres[None, :, j])
@@ -74,6 +73,37 @@ def far(x: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
     return np.cbrt(out) if metric == "MINKOWSKI" else out
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and value of each distinct value of the rows, and how many each row has."""
+    x = np.sort(x, axis=1)
+    new = np.ones(x.shape, dtype=bool)
+    new[:, 1:] = x[:, 1:] != x[:, :-1]
+    row, column = np.nonzero(new)
+    return row, x[row, column], new.sum(1)
+
+
+def _overlaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """One less the overlap of the sets of values: each value finds the centres that have it, so what shares nothing costs nothing."""
+    row, value, size = _distinct(x)
+    owner, held, others = _distinct(centres)
+    order = np.argsort(held, kind="stable")
+    owner, held = owner[order], held[order]
+    lo, hi = np.searchsorted(held, value, "left"), np.searchsorted(held, value, "right")
+    hit = np.flatnonzero(hi > lo)
+    row, lo, n = row[hit], lo[hit], (hi - lo)[hit]
+    shared, upto = np.zeros(len(x) * len(centres)), np.cumsum(n)
+    at = 0
+    while at < len(n):  # PAIRS pairs of equal values at a time, or those of one value
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        m = n[at:stop]
+        place = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo[at:stop], m)
+        pair, times = np.unique(np.repeat(row[at:stop], m) * len(centres) + owner[place], return_counts=True)
+        shared[pair] += times
+        at = stop
+    shared = shared.reshape(len(x), len(centres))
+    return 1 - shared / (size[:, None] + others - shared)
+
+
 def nearest(x: np.ndarray, centres: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centre of each vector and the distance to it, PAIRS distances at a time."""
     step, cell, away = max(1, PAIRS // len(centres)), np.zeros(len(x), dtype=np.int64), np.zeros(len(x))

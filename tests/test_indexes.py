@@ -1,5 +1,7 @@
 """Indexes: what they read, that nothing is lost, and odd rows."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +158,16 @@ def test_rows_are_added_to_indexes(spark, clustered, texts, tmp_path):
     assert sorted(r["key"] for r in words.matching(spark, "body", "fox brown").collect()) == [1, 2, 7, 8]
     with pytest.raises(ValueError):
         search_index.add(words, texts.where("id = 1"))
+
+
+def test_jaccard_distances_are_those_of_sets_and_cost_what_is_shared():
+    rng = np.random.default_rng(8)
+    for x in (rng.integers(0, 9, (200, 12)).astype(float), rng.normal(size=(100, 7)), np.array([[0.0, -0.0, 1.0], [1.0, 1.0, 1.0]] * 3), np.zeros((3, 2))):
+        centres = x[rng.permutation(len(x))[:20]]
+        sets, others = [set(v) for v in x.tolist()], [set(v) for v in centres.tolist()]
+        assert (vector_index.far(x, centres, "JACCARD") == np.array([[1 - len(a & b) / len(a | b) for b in others] for a in sets])).all()
+    assert vector_index.far(np.zeros((0, 3)), np.ones((2, 3)), "JACCARD").shape == (0, 2)
+    x, begun = rng.normal(size=(20_000, 64)), time.process_time()
+    cell, away = vector_index.nearest(x, x[:200], "JACCARD")
+    assert (cell[:200] == np.arange(200)).all() and not away[:200].any() and (away[200:] == 1).all()
+    assert time.process_time() - begun < 6  # pairs of sets, one by one, take far longer
