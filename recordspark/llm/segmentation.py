@@ -87,12 +87,17 @@ class Vocabulary:
         if self.tables:
             return
         by_length: dict[int, list[tuple[int, int]]] = {}
+        starts = np.zeros((max(map(len, self.pieces), default=0) + 1, 1 << _FILTER_BITS), dtype=bool)
         for i, p in enumerate(self.pieces):
             if p:
                 h = np.uint64(0)
-                for c in np.array([ord(x) for x in p], dtype=np.uint64):
+                for k, c in enumerate(np.array([ord(x) for x in p], dtype=np.uint64), 1):
                     h = _roll(np.array([h]), np.array([c]))[0]
+                    if k < len(p):
+                        starts[k, h >> np.uint64(64 - _FILTER_BITS)] = True
                 by_length.setdefault(len(p), []).append((int(h), i))
+        #: By length and the hashes' last bits: whether a longer piece starts so.
+        self.starts = starts
         for length, found in by_length.items():
             found.sort()
             hashes = np.array([h for h, _ in found], dtype=np.uint64)
@@ -177,6 +182,8 @@ def build(code: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocabulary
             piece.append(ids[where[hit]])
             if k == 1:
                 single[found] = True
+        more = v.starts[k][h >> np.uint64(64 - _FILTER_BITS)]
+        rows, h = rows[more], h[more]
     bare = np.flatnonzero(~single)
     from_.append(bare)
     size.append(np.ones(len(bare), dtype=np.int64))
@@ -186,7 +193,8 @@ def build(code: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocabulary
     n_bytes = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
     weight = np.where(piece >= 0, v.weights[np.maximum(piece, 0)], v.byte_weight * n_bytes)
     # from the ends of the units to their starts: the mass behind each position
-    order = np.lexsort((from_, left[from_]))
+    wide = max(v.tables) + 1  # no two arcs have start and size in common, so one number orders them
+    order = np.argsort((left[from_] * n + from_) * wide + size)
     from_, size, piece, weight = from_[order], size[order], piece[order], weight[order]
     behind = np.zeros(n + 1)
     end = from_ + size
@@ -198,7 +206,7 @@ def build(code: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocabulary
     for a, z in zip(cuts, np.append(cuts[1:], len(starts)), strict=True) if n else ():
         lo, hi = starts[a], starts[z] if z < len(starts) else len(from_)
         behind[from_[starts[a:z]]] = np.logaddexp.reduceat(weight[lo:hi] + behind[target[lo:hi]], starts[a:z] - lo)
-    order = np.argsort(from_, kind="stable")
+    order = np.argsort(from_ * wide + size)
     from_, piece, weight, target, closes, end = from_[order], piece[order], weight[order], target[order], closes[order], end[order]
     log_p = weight + behind[target] - behind[from_]
     first = np.searchsorted(from_, np.arange(n + 1))
@@ -457,8 +465,9 @@ SCHEMA = "doc_id long, sample int, ids array<int>, log_prob double, log_inclusio
 DIGEST = "doc_id long, sample int, n_pieces long, log_prob double, log_inclusion double, round_trip boolean, ids_sha256 string"
 
 
-def sample(docs: DataFrame, v: Vocabulary, k: int = K, digest: bool = False) -> DataFrame:
-    """k segmentations of every row of `docs` (doc_id, text); digest: with the count and the digest of the ids instead of them."""
+def sample(docs: DataFrame, v: Vocabulary, k: int = K, digest: bool = False, ids: bool = False) -> DataFrame:
+    """k segmentations of every row of `docs` (doc_id, text); digest: with the count and the digest of the ids instead of them, or with `ids` besides them."""
+    form = f"{DIGEST}, ids array<int>" if digest and ids else DIGEST if digest else SCHEMA
     keyed = docs.select("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")).alias("key"), "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,12 +487,12 @@ def sample(docs: DataFrame, v: Vocabulary, k: int = K, digest: bool = False) ->
                 if digest:
                     data = x.ids.astype("<i4")
                     columns += [pa.array(np.diff(x.first)), *scores, pa.array([hashlib.sha256(data[i:j]).hexdigest() for i, j in itertools.pairwise(x.first.tolist())], pa.string())]
-                else:
-                    columns += [pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.ids)), *scores]
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in (DIGEST if digest else SCHEMA).split(", ")])
+                pieces = pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.ids)) if ids or not digest else None
+                columns += ([] if pieces is None else [pieces]) if digest else [pieces, *scores]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in form.split(", ")])
                 a = z
 
-    return keyed.mapInArrow(rows, DIGEST if digest else SCHEMA)
+    return keyed.mapInArrow(rows, form)
 
 
 def decode(encoded: DataFrame, v: Vocabulary) -> DataFrame:
@@ -498,4 +507,5 @@ def decode(encoded: DataFrame, v: Vocabulary) -> DataFrame:
 
 
 def op8_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample(table(spark, sf_dir, "documents"), Vocabulary.load(), digest=True)
+    """Every segmentation itself, with its count of pieces and digest."""
+    return sample(table(spark, sf_dir, "documents"), Vocabulary.load(), digest=True, ids=True)

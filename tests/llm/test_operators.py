@@ -655,6 +655,18 @@ def test_segmentation(docs, rows, none):
     assert segmentation.sample(none, v).count() == 0
 
 
+def test_the_query_gives_segmentations_themselves(spark, tmp_path):
+    import hashlib
+
+    texts = {1: "plain words and plain words", 2: None, 3: "", 4: "été \U0001f600\n\nx  y", 5: "word " * 3000}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    v, got = segmentation.Vocabulary.load(), segmentation.op8_segmentation(spark, str(tmp_path)).collect()
+    assert len(got) == 2 * 3 + 2 and {r["doc_id"] for r in got} == set(texts)
+    for r in got:
+        assert r["n_pieces"] == len(r["ids"]) and hashlib.sha256(np.array(r["ids"], dtype="<i4")).hexdigest() == r["ids_sha256"]
+        assert v.decode(np.array(r["ids"], dtype=np.int64)) == (texts[r["doc_id"]] or "") if r["ids"] else not texts[r["doc_id"]]
+
+
 def test_round_trip_is_of_the_original_text():
     v = segmentation.Vocabulary.load()
     v.prepare()
