@@ -1,8 +1,8 @@
 """Search indexes: postings of the terms of text columns, so that full-text conditions read no text.
 
-A posting is a term of a field of a record, with its positions.  Postings are written in folders by a hash of the
-term, sorted by term in each file, with Bloom filters: a search prunes to the folders of its terms and, in their
-files, to row groups that hold them.  Several terms are an intersection of their postings by key; a phrase is one
+A posting is a term of a field of a record, with its positions.  Where the texts are read, the postings of a term are put
+together in blocks, so that only blocks are shuffled.  They are written in folders by a hash of the term, sorted by term
+in each file, with Bloom filters: a search prunes to the folders of its terms and, in their files, to row groups that hold them.  Several terms are an intersection of their postings by key; a phrase is one
 by key and position.
 
 Defined results: terms are those of the analyser, in searches too.  A null text has none.  Keys must be unique and
@@ -13,9 +13,11 @@ scan does; it isn't for the index.  The index holds the texts as they were.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +54,15 @@ class SearchIndex:
     def terms(self, spark: SparkSession, text: str) -> list[str]:
         return list(spark.range(1).select(self.analyser.words(F.lit(text))).first()[0])
 
+    def _blocks(self, spark: SparkSession, field: str, terms: Sequence[str]) -> DataFrame:
+        folders = [r[0] for r in spark.createDataFrame([(t,) for t in terms], "term string").select(_folder(F.col("term"))).distinct().collect()]
+        df = spark.read.schema(f"{_form(self.key)}, _folder int").parquet(f"{self.path}/postings")
+        return df.where(F.col("_folder").isin(folders) & F.col("term").isin(list(terms)) & (F.col("field") == field))
+
     def postings(self, spark: SparkSession, field: str, terms: Sequence[str]) -> DataFrame:
         """key, term and positions of some terms, from their folders."""
-        folders = [r[0] for r in spark.createDataFrame([(t,) for t in terms], "term string").select(_folder(F.col("term"))).distinct().collect()]
-        df = spark.read.schema(f"term string, field string, key {self.key}, positions array<int>, _folder int").parquet(f"{self.path}/postings")
-        return df.where(F.col("_folder").isin(folders) & F.col("term").isin(list(terms)) & (F.col("field") == field)).select("key", "term", "positions")
+        each = self._blocks(spark, field, terms).select("term", F.explode(F.arrays_zip("keys", "positions")).alias("p"))
+        return each.select(F.col("p.keys").alias("key"), "term", "p.positions")
 
     def matching(self, spark: SparkSession, field: str, text: str, phrase: bool = False) -> DataFrame | None:
         """`key` of the records whose field has all terms of the text, or has them one after the other; None if it has no term."""
@@ -65,11 +71,12 @@ class SearchIndex:
         terms = self.terms(spark, text)
         if not terms:
             return None
-        found = self.postings(spark, field, sorted(set(terms)))
-        if len(set(terms)) == 1 and not (phrase and len(terms) > 1):
-            return found.select("key")
-        if not phrase:
+        if not phrase or len(terms) == 1:  # positions aren't read
+            found = self._blocks(spark, field, sorted(set(terms))).select(F.explode("keys").alias("key"))
+            if len(set(terms)) == 1:
+                return found
             return found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") == len(set(terms))).select("key")
+        found = self.postings(spark, field, sorted(set(terms)))
         places: dict[str, list[int]] = {}
         for i, t in enumerate(terms):
             places.setdefault(t, []).append(i)
@@ -96,7 +103,7 @@ def build(rows: DataFrame, key: str, fields: Sequence[str], path: str, analyser:
 def add(index: SearchIndex, rows: DataFrame) -> SearchIndex:
     """The index with the texts of more records; their keys must be new."""
     _check(rows, index.column)
-    there = rows.sparkSession.read.schema(f"key {index.key}, _folder int").parquet(f"{index.path}/postings").select("key")
+    there = rows.sparkSession.read.schema(f"keys array<{index.key}>, _folder int").parquet(f"{index.path}/postings").select(F.explode("keys").alias("key"))
     again = rows.select(F.col(index.column).alias("key")).join(there, "key", "left_semi").take(1)
     if again:
         raise ValueError(f"the index has the record {again[0][0]}")
@@ -110,11 +117,40 @@ def _check(rows: DataFrame, key: str) -> None:
         raise ValueError(f"a search index needs a key for each record: {odd[0][0]}")
 
 
+def _form(kind: str) -> str:
+    return f"term string, field string, keys array<{kind}>, positions array<array<int>>"
+
+
+def _put_together(fields: Sequence[str]) -> Callable:
+    """Blocks of postings from rows of a key and the words of each field: one of each term of each field and batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, field in enumerate(fields, 1):
+                n = b.column(i).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                words = b.column(i).flatten().dictionary_encode()
+                if not len(words):
+                    continue
+                code, row = words.indices.to_numpy(), np.repeat(np.arange(len(n)), n)
+                place = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+                order = np.argsort(code, kind="stable")  # by row and place within a term
+                code, row, place = code[order], row[order], place[order]
+                new = np.concatenate(([True], code[1:] != code[:-1]))
+                posting = np.flatnonzero(new | np.concatenate(([True], row[1:] != row[:-1])))
+                block = np.flatnonzero(new)
+                at, inner = np.append(np.searchsorted(posting, block), len(posting)), np.append(posting, len(code))
+                keys = pa.ListArray.from_arrays(pa.array(at, pa.int32()), b.column(0).take(pa.array(row[posting])))
+                places = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(place, pa.int32()))
+                terms = words.dictionary.take(pa.array(code[block]))
+                yield pa.RecordBatch.from_arrays([terms, pa.array([field] * len(terms), pa.string()), keys, pa.ListArray.from_arrays(pa.array(at, pa.int32()), places)], ["term", "field", "keys", "positions"])
+
+    return run
+
+
 def _write(rows: DataFrame, key: str, fields: Sequence[str], analyser: Analyser, path: str) -> None:
-    every = F.array(*[F.struct(F.lit(f).alias("field"), analyser.words(F.col(f)).alias("words")) for f in fields])
-    by_field = rows.select(F.col(key).alias("key"), F.explode(every).alias("f"))
-    words = by_field.select("key", "f.field", F.posexplode("f.words").alias("p", "term"))
-    postings = words.groupBy("term", "field", "key").agg(F.sort_array(F.collect_list("p")).alias("positions")).withColumn("_folder", _folder(F.col("term")))
+    words = rows.select(F.col(key).alias("key"), *[analyser.words(F.col(f)).alias(f"w{i}") for i, f in enumerate(fields)])
+    blocks = words.mapInArrow(_put_together(list(fields)), _form(rows.schema[key].dataType.simpleString()))
+    postings = blocks.withColumn("_folder", _folder(F.col("term")))
     # a folder with very frequent terms is split over several files
     spread = postings.hint("rebalance", "_folder").sortWithinPartitions("_folder", "term")
     spread.write.mode("append").option("parquet.bloom.filter.enabled#term", "true").partitionBy("_folder").parquet(f"{path}/postings")

@@ -171,3 +171,22 @@ def test_jaccard_distances_are_those_of_sets_and_cost_what_is_shared():
     cell, away = vector_index.nearest(x, x[:200], "JACCARD")
     assert (cell[:200] == np.arange(200)).all() and not away[:200].any() and (away[200:] == 1).all()
     assert time.process_time() - begun < 6  # pairs of sets, one by one, take far longer
+
+
+def test_postings_are_put_together_before_they_are_shuffled(spark, texts, tmp_path):
+    """One block for each term of a field that a task has met, with every record and every place."""
+    more = texts.select("id", "body", "title").union(spark.range(100, 160).selectExpr("id", "concat('the fox ', id, ' the')", "'b'"))
+    index = search_index.build(more.coalesce(1), "id", ["body", "title"], f"file://{tmp_path}/s")
+    blocks = spark.read.parquet(f"file://{tmp_path}/s/postings").groupBy("term", "field").count()
+    assert blocks.where("count > 1").count() == 0
+    rows, words = more.collect(), search_index.Analyser().words
+    for field in ("body", "title"):
+        split = {r["id"]: r["w"] or [] for r in more.select("id", words(F.col(field)).alias("w")).collect()}
+        for term in ("the", "fox", "b", "quick", "absent", "straße"):
+            want = {i: [p for p, x in enumerate(w) if x == term] for i, w in split.items() if term in w}
+            got = index.postings(spark, field, [term]).collect()
+            assert len(got) == len(want) and {r["key"]: list(r["positions"]) for r in got} == want
+    assert len(rows) == 68
+    odd = more.select(F.concat(F.lit("k"), "id").alias("id"), "body")
+    named = search_index.build(odd, "id", ["body"], f"file://{tmp_path}/n")
+    assert named.matching(spark, "body", "fox the").count() == 60 + 3 and named.matching(spark, "body", "the fox", phrase=True).count() == 60 + 1
