@@ -88,14 +88,17 @@ class Vocabulary:
             return
         by_length: dict[int, list[tuple[int, int]]] = {}
         starts = np.zeros((max(map(len, self.pieces), default=0) + 1, 1 << _FILTER_BITS), dtype=bool)
-        for i, p in enumerate(self.pieces):
-            if p:
-                h = np.uint64(0)
-                for k, c in enumerate(np.array([ord(x) for x in p], dtype=np.uint64), 1):
-                    h = _roll(np.array([h]), np.array([c]))[0]
-                    if k < len(p):
-                        starts[k, h >> np.uint64(64 - _FILTER_BITS)] = True
-                by_length.setdefault(len(p), []).append((int(h), i))
+        own = np.array([i for i, p in enumerate(self.pieces) if p], dtype=np.int64)
+        size = np.array([len(self.pieces[i]) for i in own], dtype=np.int64)
+        code = np.array([ord(c) for i in own for c in self.pieces[i]], dtype=np.uint64)
+        begin, h = np.cumsum(size) - size, np.zeros(len(own), dtype=np.uint64)
+        for k in range(1, len(starts)):
+            on = size >= k
+            own, size, begin, h = own[on], size[on], begin[on], h[on]
+            h = _roll(h, code[begin + k - 1])
+            starts[k, h[size > k] >> np.uint64(64 - _FILTER_BITS)] = True
+            if (size == k).any():
+                by_length[k] = list(zip(h[size == k].tolist(), own[size == k].tolist(), strict=True))
         #: By length and the hashes' last bits: whether a longer piece starts so.
         self.starts = starts
         for length, found in by_length.items():
