@@ -49,7 +49,8 @@ NEGLIGIBLE = -40.0
 PIECE_CHARS = 1 << 18
 SPACE, NEWLINE = 0x2581, 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_FILTER_BITS = 20
+_FILTER_BITS, _BUCKET_BITS = 20, 16
+ENDS, GOES_ON = 1, 2
 
 
 @dataclass
@@ -83,30 +84,29 @@ class Vocabulary:
         return Vocabulary(pieces, -alpha * np.log(rank + SHIFT), byte_ids)
 
     def prepare(self) -> None:
-        """Tables by length (in characters): sorted hashes, ids, and a filter of the hashes' last bits."""
+        """Tables by length (in characters): sorted hashes, ids and where hashes of each beginning are; what hashes' last bits can be."""
         if self.tables:
             return
-        by_length: dict[int, list[tuple[int, int]]] = {}
-        starts = np.zeros((max(map(len, self.pieces), default=0) + 1, 1 << _FILTER_BITS), dtype=bool)
+        #: By length and the hashes' last bits: ENDS where a piece may end, GOES_ON where a longer one may start so.
+        self.flags = np.zeros((max(map(len, self.pieces), default=0) + 1, 1 << _FILTER_BITS), dtype=np.uint8)
         own = np.array([i for i, p in enumerate(self.pieces) if p], dtype=np.int64)
         size = np.array([len(self.pieces[i]) for i in own], dtype=np.int64)
         code = np.array([ord(c) for i in own for c in self.pieces[i]], dtype=np.uint64)
         begin, h = np.cumsum(size) - size, np.zeros(len(own), dtype=np.uint64)
-        for k in range(1, len(starts)):
+        for k in range(1, len(self.flags)):
             on = size >= k
             own, size, begin, h = own[on], size[on], begin[on], h[on]
             h = _roll(h, code[begin + k - 1])
-            starts[k, h[size > k] >> np.uint64(64 - _FILTER_BITS)] = True
+            self.flags[k, h[size > k] >> np.uint64(64 - _FILTER_BITS)] |= GOES_ON
             if (size == k).any():
-                by_length[k] = list(zip(h[size == k].tolist(), own[size == k].tolist(), strict=True))
-        #: By length and the hashes' last bits: whether a longer piece starts so.
-        self.starts = starts
-        for length, found in by_length.items():
-            found.sort()
-            hashes = np.array([h for h, _ in found], dtype=np.uint64)
-            bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            bits[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-            self.tables[length] = (hashes, np.array([i for _, i in found], dtype=np.int32), bits)
+                hashes, ids = h[size == k], own[size == k]
+                self.flags[k, hashes >> np.uint64(64 - _FILTER_BITS)] |= ENDS
+                order = np.lexsort((ids, hashes))
+                hashes, ids = hashes[order], ids[order].astype(np.int32)
+                edges = np.searchsorted(hashes, np.arange(1 << _BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - _BUCKET_BITS))
+                most = int(np.diff(np.append(edges, len(hashes))).max())
+                # the last is repeated, so a look at `most` hashes never leads past the end
+                self.tables[k] = (np.pad(hashes, (0, most), "edge"), np.pad(ids, (0, most), "edge"), edges, most)
         data = [bytes([b]) for b in range(256)]
         out = [p.encode() for p in self.pieces]
         for b, i in enumerate(self.byte_ids):
@@ -117,17 +117,17 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(out), dtype=np.uint8)
         self.byte_weight = float(self.weights[np.isfinite(self.weights)].min())
 
-    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of all pieces, one after the other."""
-        n = self.byte_length[ids]
-        total = int(n.sum())
-        at = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-        return self.bytes[np.repeat(self.byte_start[ids], n) + at]
+    def decode_bytes(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all pieces, one after the other, and where each piece's start."""
+        starts = np.append(self.byte_start, len(self.bytes))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(self.byte_start), [None, pa.py_buffer(starts), pa.py_buffer(self.bytes)])
+        data, offsets = buffers(pieces.take(pa.array(ids)))
+        return data.tobytes(), offsets
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of pieces."""
         self.prepare()
-        text = self.decode_bytes(np.asarray(ids, dtype=np.int64)).tobytes().decode("utf-8", "replace").replace(chr(SPACE), " ")
+        text = self.decode_bytes(np.asarray(ids, dtype=np.int64))[0].decode("utf-8", "replace").replace(chr(SPACE), " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -135,12 +135,17 @@ def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     return mix(h * _MULTIPLIER + c + np.uint64(1))
 
 
-def uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) that depend only on the parts (64-bit values, broadcast)."""
-    h = np.full(1, 0x243F6A8885A308D3, dtype=np.uint64)
+def _seeded(*parts, seed: np.ndarray | None = None) -> np.ndarray:
+    """A hash of the parts (64-bit values, broadcast), behind those that `seed` is of."""
+    h = np.full(1, 0x243F6A8885A308D3, dtype=np.uint64) if seed is None else seed
     for p in parts:
         h = mix((np.asarray(p).astype(np.uint64) + np.uint64(0x9E3779B9)) ^ (h * _MULTIPLIER))
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    return h
+
+
+def uniform(*parts, seed: np.ndarray | None = None) -> np.ndarray:
+    """Numbers in (0, 1) that depend only on the parts and those that `seed` is of."""
+    return ((_seeded(*parts, seed=seed) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
 @dataclass
@@ -156,68 +161,78 @@ class Lattice:
     position: np.ndarray  # the position that each arc leaves
 
 
-def build(code: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocabulary) -> Lattice:
-    """The lattice of units given as runs of `code`."""
-    n = int(length.sum())
-    unit_first = np.cumsum(length) - length
-    unit = np.repeat(np.arange(len(length)), length)
-    at = np.arange(n) - unit_first[unit]
-    chars = code[start[unit] + at].astype(np.uint64)
-    left = length[unit] - at  # characters to the end of the unit
-    from_, size, piece = [], [], []
-    rows = np.arange(n)
-    h = np.zeros(n, dtype=np.uint64)
-    single = np.zeros(n, dtype=bool)
-    for k in range(1, max(v.tables) + 1):
-        inside = left[rows] >= k
-        rows, h = rows[inside], h[inside]
-        if not len(rows):
+def lookup(h: np.ndarray, hashes: np.ndarray, ids: np.ndarray, edges: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of h are among the sorted hashes, and their ids; edges: where hashes of each beginning start, `most` of them at most."""
+    where = edges[h >> np.uint64(64 - _BUCKET_BITS)]
+    wrong = np.flatnonzero(hashes[where] != h)
+    for _ in range(most - 1):
+        if not len(wrong):
             break
-        h = _roll(h, chars[rows + k - 1])
+        where[wrong] += 1
+        wrong = wrong[hashes[where[wrong]] != h[wrong]]
+    which = np.delete(np.arange(len(h)), wrong) if len(wrong) else np.arange(len(h))
+    return which, ids[where[which]]
+
+
+def build(code: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocabulary) -> Lattice:
+    """The lattice of units given as runs of `code`.
+
+    Positions are in levels by the characters left to the unit's end, first the ends themselves; within a level by
+    unit, the longest first, so a unit has the same place in all its levels.
+    """
+    units, order = len(length), np.argsort(-length, kind="stable")
+    start, length = start[order], length[order]
+    tall = np.cumsum(np.bincount(length, minlength=1)[::-1])[::-1]  # units of so many characters at least
+    base = np.concatenate(([0], np.cumsum(tall)))
+    n = int(base[-1])
+    level = np.repeat(np.arange(len(tall)), tall)
+    unit = np.arange(n) - np.repeat(base[:-1], tall)
+    rows = np.arange(units, n)
+    at = (start + length)[unit[units:]] - level[units:]
+    h = np.zeros(len(rows), dtype=np.uint64)
+    single = -1 - code[at].astype(np.int64)  # each position has an arc of one character
+    found: list[tuple[int, np.ndarray, np.ndarray]] = [(1, rows, single)]
+    for k in range(1, min(max(v.tables, default=0) + 1, len(tall))):
+        h = _roll(h, code[at + (k - 1)].astype(np.uint64))
+        flags = v.flags[k][h >> np.uint64(64 - _FILTER_BITS)]
         if k in v.tables:
-            hashes, ids, bits = v.tables[k]
-            maybe = np.flatnonzero(bits[h >> np.uint64(64 - _FILTER_BITS)])
-            where = np.minimum(np.searchsorted(hashes, h[maybe]), len(hashes) - 1)
-            hit = hashes[where] == h[maybe]
-            found = rows[maybe[hit]]
-            from_.append(found)
-            size.append(np.full(len(found), k))
-            piece.append(ids[where[hit]])
+            maybe = np.flatnonzero(flags & ENDS)
+            which, ids = lookup(h[maybe], *v.tables[k])
             if k == 1:
-                single[found] = True
-        more = v.starts[k][h >> np.uint64(64 - _FILTER_BITS)]
-        rows, h = rows[more], h[more]
-    bare = np.flatnonzero(~single)
-    from_.append(bare)
-    size.append(np.ones(len(bare), dtype=np.int64))
-    piece.append(-1 - chars[bare].astype(np.int64))
-    from_, size, piece = np.concatenate(from_), np.concatenate(size), np.concatenate(piece).astype(np.int64)
-    character = np.maximum(-1 - piece, 0)
-    n_bytes = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
-    weight = np.where(piece >= 0, v.weights[np.maximum(piece, 0)], v.byte_weight * n_bytes)
-    # from the ends of the units to their starts: the mass behind each position
-    wide = max(v.tables) + 1  # no two arcs have start and size in common, so one number orders them
-    order = np.argsort((left[from_] * n + from_) * wide + size)
-    from_, size, piece, weight = from_[order], size[order], piece[order], weight[order]
-    behind = np.zeros(n + 1)
-    end = from_ + size
-    closes = left[from_] == size
-    target = np.where(closes, n, end)
-    starts = np.flatnonzero(np.concatenate(([True], from_[1:] != from_[:-1]))) if n else np.zeros(0, dtype=np.int64)
-    by_left = left[from_[starts]]
-    cuts = np.flatnonzero(np.concatenate(([True], by_left[1:] != by_left[:-1]))) if n else np.zeros(0, dtype=np.int64)
-    for a, z in zip(cuts, np.append(cuts[1:], len(starts)), strict=True) if n else ():
-        lo, hi = starts[a], starts[z] if z < len(starts) else len(from_)
-        behind[from_[starts[a:z]]] = np.logaddexp.reduceat(weight[lo:hi] + behind[target[lo:hi]], starts[a:z] - lo)
-    order = np.argsort(from_ * wide + size)
-    from_, piece, weight, target, closes, end = from_[order], piece[order], weight[order], target[order], closes[order], end[order]
-    log_p = weight + behind[target] - behind[from_]
-    first = np.searchsorted(from_, np.arange(n + 1))
-    total = np.cumsum(np.exp(log_p))
-    upto = total - np.where(first[from_] > 0, total[first[from_] - 1], 0.0)
-    last = first[1:] - 1
-    upto[last] = 2.0  # rounding never leads past the last arc
-    return Lattice(first, np.where(closes, -1, end), piece, log_p, upto, unit_first, from_)
+                single[maybe[which]] = ids
+            else:
+                found.append((k, rows[maybe[which]], ids))
+        inside = int(np.searchsorted(rows, base[k + 1]))  # from there on, more than k characters are left
+        more = inside + np.flatnonzero(flags[inside:] & GOES_ON)
+        if not len(more):
+            break
+        rows, at, h = rows[more], at[more], h[more]
+    # arcs in order of start and size: each goes behind those that its start has already
+    counts = np.zeros(n, dtype=np.int64)
+    for _, from_, _ in found:
+        counts[from_] += 1
+    first = np.concatenate(([0], np.cumsum(counts)))
+    target, piece, free = np.empty(first[-1], dtype=np.int64), np.empty(first[-1], dtype=np.int64), first[:-1].copy()
+    for k, from_, ids in found:
+        slot = free[from_]
+        target[slot], piece[slot], free[from_] = base[level[from_] - k] + unit[from_], ids, slot + 1
+    log_p = v.weights[np.maximum(piece, 0)]
+    bare = np.flatnonzero(piece < 0)
+    character = -1 - piece[bare]
+    log_p[bare] = v.byte_weight * (1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF))
+    # level by level: the mass behind each position
+    behind = np.zeros(n)
+    for a, z in itertools.pairwise(base[1:].tolist()):
+        lo, hi = first[a], first[z]
+        log_p[lo:hi] += behind[target[lo:hi]]
+        behind[a:z] = np.logaddexp.reduceat(log_p[lo:hi], first[a:z] - lo)
+    log_p -= np.repeat(behind, counts)
+    total = np.concatenate(([0.0], np.cumsum(np.exp(log_p))))
+    upto = total[1:] - np.repeat(total[first[:-1]], counts)
+    upto[first[units + 1 :] - 1] = 2.0  # rounding never leads past the last arc
+    own = np.empty(units, dtype=np.int64)
+    own[order] = base[length] + np.arange(units)
+    return Lattice(first, np.where(target < units, -1, target), piece, log_p, upto, own, np.repeat(np.arange(n), counts))
 
 
 def draw(x: Lattice, position: np.ndarray, chance) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -229,12 +244,14 @@ def draw(x: Lattice, position: np.ndarray, chance) -> Iterator[tuple[np.ndarray,
         u = chance(which, step)
         arc = x.first[position]
         more = np.flatnonzero(u > x.upto[arc])
+        u, next_ = u[more], arc[more] + 1
         while len(more):
-            arc[more] += 1
-            more = more[u[more] > x.upto[arc[more]]]
+            arc[more] = next_
+            on = np.flatnonzero(u > x.upto[next_])
+            more, u, next_ = more[on], u[on], next_[on] + 1
         yield which, arc
         position = x.end[arc]
-        on = position >= 0
+        on = np.flatnonzero(position >= 0)
         which, position = which[on], position[on]
         step += 1
 
@@ -246,8 +263,7 @@ class Texts:
     lattice: Lattice
     unit: np.ndarray
     first: np.ndarray
-    data: np.ndarray  # the texts as UTF-8 with a space mark before each
-    offsets: np.ndarray
+    marked: list[bytes]  # the texts as UTF-8 with a space mark before each
 
 
 def read(texts: list[str], v: Vocabulary) -> Texts:
@@ -270,8 +286,7 @@ def read(texts: list[str], v: Vocabulary) -> Texts:
     h = mix((total[start + length] - total[start]) * back[start] + length.astype(np.uint64)) if len(start) else np.zeros(0, dtype=np.uint64)
     _, own, unit = np.unique(h, return_index=True, return_inverse=True)
     lattice = build(code, start[own], length[own], v)
-    data, offsets = buffers(pa.array([m.encode("utf-8", "surrogatepass") for m in marked], pa.binary()))
-    return Texts(lattice, unit.astype(np.int64), np.searchsorted(start, np.concatenate((edges, [len(code)]))), data, offsets)
+    return Texts(lattice, unit.astype(np.int64), np.searchsorted(start, np.concatenate((edges, [len(code)]))), [m.encode("utf-8", "surrogatepass") for m in marked])
 
 
 class Paths:
@@ -280,9 +295,9 @@ class Paths:
     def __init__(self, texts: Texts, keys: np.ndarray, sample: int):
         x, n = texts.lattice, len(texts.unit)
         owner = np.repeat(np.arange(len(texts.first) - 1), np.diff(texts.first))
-        seed = keys[owner]
         place = np.arange(n) - texts.first[owner] if n else np.zeros(0, dtype=np.int64)
-        steps = list(draw(x, x.start[texts.unit] if n else np.zeros(0, dtype=np.int64), lambda which, step: uniform(seed[which], sample, place[which], step)))
+        seed = _seeded(place, seed=_seeded(keys, sample)[owner])
+        steps = list(draw(x, x.start[texts.unit] if n else np.zeros(0, dtype=np.int64), lambda which, step: uniform(step, seed=seed[which])))
         length = np.zeros(n, dtype=np.int64)
         for which, _ in steps:
             length[which] += 1
@@ -450,18 +465,11 @@ def segment(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int) -> Segmen
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
         inclusion = np.where(gap > 30, 0.0, np.where(gap < -30, gap, np.log(-np.expm1(-np.exp(np.clip(gap, -40, 40))))))
     # decoded by the ids alone, and compared with the texts
-    data = v.decode_bytes(ids)
-    size = np.concatenate(([0], np.cumsum(v.byte_length[ids])))[first]
-    length = np.diff(size)
-    own = np.array([chr(SPACE) in t for t in texts], dtype=bool)  # these become spaces, in the marked text too
-    same = (length == np.diff(x.offsets)[text]) & ~own[text]
-    asked = np.repeat(same, length)
-    at = np.arange(len(data)) - np.repeat(size[:-1], length) + np.repeat(x.offsets[:-1][text], length)
-    differs = np.zeros(len(data), dtype=bool)
-    differs[asked] = data[asked] != x.data[at[asked]]
-    wrong = np.concatenate(([0], np.cumsum(differs)))
-    same &= wrong[size[1:]] == wrong[size[:-1]]
-    return Segmented(text, np.array(number), ids, first, log_p, inclusion, same)
+    data, offsets = v.decode_bytes(ids)
+    size = offsets[first].tolist()
+    own = [chr(SPACE) in t for t in texts]  # these become spaces, in the marked text too
+    same = [not own[t] and data[i:j] == x.marked[t] for t, (i, j) in zip(text.tolist(), itertools.pairwise(size), strict=True)]
+    return Segmented(text, np.array(number), ids, first, log_p, inclusion, np.array(same, dtype=bool))
 
 
 SCHEMA = "doc_id long, sample int, ids array<int>, log_prob double, log_inclusion double, round_trip boolean"

@@ -682,6 +682,47 @@ def test_round_trip_is_of_the_original_text():
     v.bytes = pieces
 
 
+def test_a_lattice_has_all_pieces_and_their_shares():
+    v = segmentation.Vocabulary.load()
+    v.prepare()
+    ids = {p: i for i, p in enumerate(v.pieces) if p}
+    texts = ["hello the hello\n\nthere  are", "", "\u00e9t\u00e9 \U0001f600\u4e2d\ud800", "a" * 40, " "]
+    s = segmentation.read(texts, v)
+    x = s.lattice
+    for t, text in enumerate(texts):
+        whole = ""
+        for u in range(s.first[t], s.first[t + 1]):
+            at, unit = [int(x.start[s.unit[u]])], ""
+            while at[-1] >= 0:  # a position's first arc is that of one character
+                arc = x.first[at[-1]]
+                unit += v.pieces[x.piece[arc]] if x.piece[arc] >= 0 else chr(-1 - x.piece[arc])
+                at.append(int(x.end[arc]))
+            whole, n, mass = whole + unit, len(unit), {len(unit): 0.0}
+            for i in reversed(range(n)):
+                arcs = {i + k: (ids[unit[i : i + k]], v.weights[ids[unit[i : i + k]]]) for k in range(1, n - i + 1) if unit[i : i + k] in ids}
+                arcs.setdefault(i + 1, (-1 - ord(unit[i]), v.byte_weight * len(unit[i].encode("utf-8", "surrogatepass"))))
+                mass[i] = np.logaddexp.reduce([w + mass[j] for j, (_, w) in arcs.items()])
+                a, z = x.first[at[i]], x.first[at[i] + 1]
+                assert x.piece[a:z].tolist() == [arcs[j][0] for j in sorted(arcs)] and x.end[a:z].tolist() == [at[j] for j in sorted(arcs)]
+                assert (x.position[a:z] == at[i]).all() and x.log_p[a:z] == pytest.approx([arcs[j][1] + mass[j] - mass[i] for j in sorted(arcs)])
+                assert x.upto[a : z - 1] == pytest.approx(np.cumsum(np.exp(x.log_p[a:z]))[:-1])
+        assert whole == ("\u2581" + text.replace(" ", "\u2581") if text else "")
+
+
+def test_work_of_lattices_and_draws(monkeypatch):
+    """Arcs are put in order without a sort, and a drawn arc takes one mixing of bits."""
+    v = segmentation.Vocabulary.load()
+    v.prepare()
+    texts = [" ".join(f"international{i}understanding{j}" for i in range(30)) for j in range(4)]
+    work, sort, mix = collections.Counter(), np.argsort, segmentation.mix
+    monkeypatch.setattr(np, "argsort", lambda a, **b: (work.update(sorted=len(a)), sort(a, **b))[1])
+    x = segmentation.read(texts, v)
+    assert work["sorted"] <= len(x.unit) < len(x.lattice.piece)
+    monkeypatch.setattr(segmentation, "mix", lambda a: (work.update(mixed=len(a)), mix(a))[1])
+    drawn = segmentation.Paths(x, np.arange(len(texts), dtype=np.uint64), 0)
+    assert work["mixed"] <= len(drawn.arcs) + len(x.unit) + 2 * len(texts)
+
+
 def test_segmentation_inclusion_weights():
     """Over many keys, sums weighted by log_prob - log_inclusion come to the whole, 1."""
     v = segmentation.Vocabulary.load()
