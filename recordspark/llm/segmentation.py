@@ -32,7 +32,7 @@ import hashlib
 import heapq
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -132,7 +132,10 @@ class Vocabulary:
 
 
 def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return mix(h * _MULTIPLIER + c + np.uint64(1))
+    """A hash of strings and one more character each, from the strings' own."""
+    h = (h ^ (c + np.uint64(1))) * _MULTIPLIER
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _seeded(*parts, seed: np.ndarray | None = None) -> np.ndarray:
@@ -322,22 +325,48 @@ def _below(log_mass: float, top: float, u: float) -> float:
     return -float(np.logaddexp(-top, -(log_mass + _gumbel(u))))
 
 
+@dataclass
 class Head:
     """The start of a path, as far as branches off it matter: its arcs, and all arcs by which others branch off.
 
     branch[i] leaves the path at step[i] and leads to paths of log probability mass[i].
     """
 
-    def __init__(self, x: Lattice, arcs: np.ndarray):
-        self.arcs = arcs
-        before = np.concatenate(([0.0], np.cumsum(x.log_p[arcs])))[:-1]
-        position = x.position[arcs]
-        n = x.first[position + 1] - x.first[position]
-        step = np.repeat(np.arange(len(arcs)), n)
-        branch = np.arange(len(step)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(x.first[position], n)
-        other = branch != arcs[step]
-        self.step, self.branch = step[other], branch[other]
-        self.mass = before[self.step] + x.log_p[self.branch]
+    arcs: np.ndarray
+    step: np.ndarray
+    branch: np.ndarray
+    mass: np.ndarray
+
+
+def heads(texts: Texts, wanted: list[tuple[int, np.ndarray, int]], p: Paths) -> list[Head]:
+    """For each (text, arcs, units): the head of the path that has these arcs in its first units and goes on as in p."""
+    x, starts = texts.lattice, [arcs for _, arcs, _ in wanted]
+    t, units = np.array([t for t, _, _ in wanted], dtype=np.int64), np.array([u for _, _, u in wanted], dtype=np.int64)
+    at, stop, size = p.first[texts.first[t] + units], p.first[texts.first[t + 1]], np.full(len(wanted), 64)
+    # until a path is too improbable for branches
+    log_p = np.array([x.log_p[arcs].sum() for arcs in starts])
+    on = np.flatnonzero(at + size < stop)
+    while len(on):
+        begin = np.cumsum(size[on]) - size[on]
+        arcs = p.arcs[np.repeat(at[on] - begin, size[on]) + np.arange(begin[-1] + size[on[-1]])]
+        on = on[log_p[on] + np.add.reduceat(x.log_p[arcs], begin) > NEGLIGIBLE]
+        size[on] *= 2
+        on = on[at[on] + size[on] < stop[on]]
+    paths = [np.concatenate([arcs, p.arcs[a:z]]) for arcs, a, z in zip(starts, at.tolist(), np.minimum(stop, at + size).tolist(), strict=True)]
+    arcs = np.concatenate(paths)
+    first = np.concatenate(([0], np.cumsum([len(path) for path in paths])))
+    before, own = np.zeros(len(arcs)), x.log_p[arcs]
+    for a, z in itertools.pairwise(first.tolist()):
+        np.cumsum(own[a : z - 1], out=before[a + 1 : z])
+    position = x.position[arcs]
+    n = x.first[position + 1] - x.first[position]
+    step = np.repeat(np.arange(len(arcs)), n)
+    branch = np.arange(len(step)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(x.first[position], n)
+    other = np.flatnonzero(branch != arcs[step])
+    step, branch = step[other], branch[other]
+    mass = before[step] + x.log_p[branch]
+    cuts = itertools.pairwise(np.searchsorted(step, first).tolist())
+    return [Head(path, step[i:j] - a, branch[i:j], mass[i:j]) for path, a, (i, j) in zip(paths, first.tolist(), cuts, strict=False)]
 
 
 def _total(masses: np.ndarray) -> float:
@@ -357,20 +386,12 @@ class Sample:
     value: float
 
 
-def search(texts: Texts, t: int, key: int, drawn: list[Paths], k: int) -> tuple[list[Sample], float]:
-    """Up to k samples of a text, and the next largest perturbed value."""
-    x, u0, u1 = texts.lattice, int(texts.first[t]), int(texts.first[t + 1])
-    chances = _chances(key)
-
-    def head_of(start: np.ndarray, units: int, rest: int) -> Head:
-        """The path's arcs from its start on, until it is too improbable for branches."""
-        p = drawn[rest]
-        at, stop, size = int(p.first[u0 + units]), int(p.first[u1]), 64
-        log_p = float(x.log_p[start].sum())
-        while at + size < stop and log_p + float(x.log_p[p.arcs[at : at + size]].sum()) > NEGLIGIBLE:
-            size *= 2
-        return Head(x, np.concatenate([start, p.arcs[at : min(stop, at + size)]]))
+def search(x: Lattice, key: int, k: int) -> Generator[tuple[np.ndarray, int], Head, tuple[list[Sample], float]]:
+    """Up to k samples of a text, and the next largest perturbed value.
 
+    Asks for heads by (arcs, units); that of the j-th time goes on as in the j-th drawn path.
+    """
+    chances = _chances(key)
     none = np.zeros(0, dtype=np.int64)
     out = [Sample(none, 0, 0, _gumbel(next(chances)))]
     heap: list[tuple[float, int, Head, np.ndarray]] = []
@@ -381,7 +402,7 @@ def search(texts: Texts, t: int, key: int, drawn: list[Paths], k: int) -> tuple[
         if mass > -math.inf:
             heapq.heappush(heap, (-_below(mass, top, next(chances)), len(heap) + 1000 * len(out), head, alive))
 
-    first = head_of(none, 0, 0)
+    first = yield none, 0
     push(first, np.arange(len(first.branch)), out[0].value)
     while heap and len(out) < k:
         value, _, head, alive = heapq.heappop(heap)
@@ -404,12 +425,29 @@ def search(texts: Texts, t: int, key: int, drawn: list[Paths], k: int) -> tuple[
         own = np.array(start, dtype=np.int64)
         out.append(Sample(own, units, len(out), value))
         # what the node leaves: paths that share the branch and leave the new path later, and the other branches
-        new = head_of(own, units, len(out) - 1)
+        new = yield own, units
         push(new, np.flatnonzero(new.step > step), value)
         push(head, alive[alive != chosen], value)
     return out, -heap[0][0] if heap else -math.inf
 
 
+def searches(texts: Texts, keys: np.ndarray, drawn: list[Paths], k: int) -> list[tuple[list[Sample], float]]:
+    """The searches of all texts that have units, a round of heads at a time."""
+    running = {t: search(texts.lattice, int(keys[t]), k) for t in np.flatnonzero(np.diff(texts.first)).tolist()}
+    wanted = [(t, *next(one)) for t, one in running.items()]
+    out: list = [None] * len(keys)
+    for p in drawn:
+        if not wanted:
+            break
+        given, wanted = zip(wanted, heads(texts, wanted, p), strict=True), []
+        for (t, *_), head in given:
+            try:
+                wanted.append((t, *running[t].send(head)))
+            except StopIteration as end:
+                out[t] = end.value
+    return out
+
+
 def arcs_of(texts: Texts, t: int, sample: Sample, drawn: list[Paths]) -> np.ndarray:
     p = drawn[sample.rest]
     u0, u1 = int(texts.first[t]) + sample.units, int(texts.first[t + 1])
@@ -446,8 +484,8 @@ def segment(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int) -> Segmen
     x = read(texts, v)
     drawn = [Paths(x, keys, j) for j in range(k)]
     text, number, arcs, after = [], [], [], []
-    for t in range(len(texts)):
-        found, rest = ([None], math.inf) if x.first[t] == x.first[t + 1] else search(x, t, int(keys[t]), drawn, k)
+    for t, one in enumerate(searches(x, keys, drawn, k)):
+        found, rest = one or ([None], math.inf)
         for j, one in enumerate(found):
             text.append(t)
             number.append(j + 1)

@@ -723,6 +723,20 @@ def test_work_of_lattices_and_draws(monkeypatch):
     assert work["mixed"] <= len(drawn.arcs) + len(x.unit) + 2 * len(texts)
 
 
+def test_segmentations_of_texts_side_by_side_are_those_of_each_alone(monkeypatch):
+    """Also where heads are of different length; the heads of all texts are made in k rounds."""
+    v = segmentation.Vocabulary.load()
+    v.prepare()
+    texts = ["plain words " * 400, "", "a", " ", "\U0001f600" * 300, "\u4e2d " * 500, "hello the", "x" * 700]
+    keys, rounds, heads = np.arange(len(texts), dtype=np.uint64) * np.uint64(77), [], segmentation.heads
+    alone = [segmentation.segment([t], keys[i : i + 1], v, 3) for i, t in enumerate(texts)]
+    monkeypatch.setattr(segmentation, "heads", lambda *a: (rounds.append(1), heads(*a))[1])
+    s = segmentation.segment(texts, keys, v, 3)
+    assert len(rounds) == 3
+    assert s.ids.tolist() == [i for one in alone for i in one.ids.tolist()] and s.text.tolist() == [i for i, one in enumerate(alone) for _ in one.text]
+    assert s.log_prob == pytest.approx(np.concatenate([one.log_prob for one in alone])) and s.log_inclusion == pytest.approx(np.concatenate([one.log_inclusion for one in alone]))
+
+
 def test_segmentation_inclusion_weights():
     """Over many keys, sums weighted by log_prob - log_inclusion come to the whole, 1."""
     v = segmentation.Vocabulary.load()
